@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grantledger.functions import labels as L
-from grantledger.operators.keys import ANY_SERVER, lookup_lane, with_server
+from grantledger.operators.keys import ANY_SERVER, lookup_id, with_server
 from grantledger.schemas import OBJECTS, ROLES
 
 IN_DATABASE = [ANY_SERVER, "database_name"]
@@ -69,7 +69,7 @@ def _securable_names(
         return df.select(
             *key,
             F.lit(cls).alias("class"),
-            F.col(key_id).cast("bigint").alias("major_id"),
+            F.col(key_id).cast("bigint").alias("target_id"),
             schema.alias("target_schema"),
             name.alias("target_name"),
             kind.alias("target_kind"),
@@ -121,41 +121,34 @@ def object_permissions(
         *IN_DATABASE, F.col("principal_id").alias("grantee_principal_id"),
         "sid", F.col("name").alias("PrincipalName"),
     )
-    names = (
-        _securable_names(
-            principals,
-            with_server(objects, server_name),
-            with_server(schemas, server_name),
-            with_server(securables, server_name),
-        )
-        .filter(F.col("class").isin(classes))
-        .withColumn("name_lane", F.lit(0))
-    )
+    names = _securable_names(
+        principals,
+        with_server(objects, server_name),
+        with_server(schemas, server_name),
+        with_server(securables, server_name),
+    ).filter(F.col("class").isin(classes))
     column_names = with_server(columns, server_name).select(
         *IN_DATABASE,
-        F.col("object_id").cast("bigint").alias("major_id"),
-        F.col("column_id").cast("bigint").alias("minor_id"),
+        F.col("object_id").cast("bigint").alias("target_id"),
+        F.col("column_id").cast("bigint").alias("column_id"),
         F.col("name").alias("column_name"),
-        F.lit(0).alias("column_lane"),
     )
     spread_by = ("grantee_principal_id", "major_id", "permission_name")
+    # class 0 has no names, and column ids are positive: a spread id finds nothing there
+    has_name = F.col("class") != L.DATABASE
     on_column = (F.col("class") == L.OBJECT_OR_COLUMN) & (F.col("minor_id") > 0)
     facts = facts.withColumns(
         {
             "class": F.col("class").cast("int"),
-            "major_id": F.col("major_id").cast("bigint"),
-            "minor_id": F.col("minor_id").cast("bigint"),
-            "name_lane": lookup_lane(F.col("class") != L.DATABASE, *spread_by),
-            "column_lane": lookup_lane(on_column, *spread_by),
+            "target_id": lookup_id(has_name, "major_id", *spread_by),
+            "column_id": lookup_id(on_column, "minor_id", *spread_by),
         }
     )
     resolved = facts.join(grantees, [*IN_DATABASE, "grantee_principal_id"], "left").join(
-        names, [*IN_DATABASE, "class", "major_id", "name_lane"], "left"
+        names, [*IN_DATABASE, "class", "target_id"], "left"
     )
     if L.OBJECT_OR_COLUMN in classes:
-        resolved = resolved.join(
-            column_names, [*IN_DATABASE, "major_id", "minor_id", "column_lane"], "left"
-        )
+        resolved = resolved.join(column_names, [*IN_DATABASE, "target_id", "column_id"], "left")
     else:
         resolved = resolved.withColumn("column_name", F.lit(None).cast("string"))
 

@@ -3,7 +3,7 @@
 Edges are (account_name, type, permission_path): the account is a direct
 member of the group `permission_path`. Only edges between groups are walked
 round by round; the far larger number of user edges is joined once at the end.
-Every round is written to the shared folder, and groups already seen are not
+Every round is written to the shared folder, and pairs already found are not
 followed again, so cycles end and any depth is covered.
 """
 
@@ -37,42 +37,39 @@ def _links(edges: DataFrame) -> DataFrame:
     return _nested(edges).filter(F.col("child") != F.col("parent"))
 
 
-def reachable_groups(edges: DataFrame, roots: DataFrame) -> DataFrame:
-    """The root groups and all groups nested anywhere below them."""
-    links = settle(_links(edges), "links")
-    seen = settle(roots.select("group").distinct(), "roots")
-    frontier = seen
-    while not frontier.isEmpty():
-        below = (
-            links.join(frontier.withColumnRenamed("group", "parent"), "parent", "left_semi")
-            .select(F.col("child").alias("group"))
-            .distinct()
-            .join(seen, "group", "left_anti")
-        )
-        frontier = settle(below, "groups")
-        seen = seen.unionByName(frontier)
-    return seen
-
-
 def group_paths(edges: DataFrame) -> DataFrame:
-    """All (child, ancestor, depth) among groups, with the smallest depth per pair."""
-    links = settle(_links(edges), "links")
-    up = links.select(F.col("child").alias("ancestor"), "parent")
-    frontier = links.select("child", F.col("parent").alias("ancestor"))
-    found = frontier.withColumn("depth", F.lit(1))
-    depth = 1
-    while not frontier.isEmpty():
-        depth += 1
-        further = (
-            frontier.join(up, "ancestor", "inner")
-            .select("child", F.col("parent").alias("ancestor"))
+    """All (child, ancestor, depth) among groups, with the smallest depth per pair.
+
+    Each round doubles the covered depth: a shortest path longer than `reach`
+    starts with a shortest path of exactly `reach`, followed by a known one.
+    A hierarchy of depth d takes log2(d) rounds.
+    """
+    found = settle(_links(edges).withColumn("depth", F.lit(1)), "paths").withColumnRenamed(
+        "parent", "ancestor"
+    )
+    reach = 1
+    while True:
+        start = found.filter(F.col("depth") == reach).select("child", F.col("ancestor").alias("mid"))
+        rest = found.withColumnsRenamed({"child": "mid"})
+        longer = (
+            start.join(rest, "mid", "inner")
             .filter(F.col("child") != F.col("ancestor"))
-            .distinct()
+            .groupBy("child", "ancestor")
+            .agg((F.min("depth") + reach).alias("depth"))
             .join(found, ["child", "ancestor"], "left_anti")
         )
-        frontier = settle(further, "paths")
-        found = found.unionByName(frontier.withColumn("depth", F.lit(depth)))
-    return found
+        longer = settle(longer, "paths")
+        if longer.isEmpty():
+            return found
+        found = found.unionByName(longer)
+        reach *= 2
+
+
+def groups_below(paths: DataFrame, roots: DataFrame) -> DataFrame:
+    """The root groups and all groups nested anywhere below them, as `ancestor`."""
+    top = roots.select(F.col("group").alias("ancestor"))
+    below = paths.join(top, "ancestor", "left_semi").select(F.col("child").alias("ancestor"))
+    return settle(top.unionByName(below).distinct(), "groups")
 
 
 def closure(edges: DataFrame, roots: DataFrame | None = None) -> DataFrame:
@@ -80,13 +77,14 @@ def closure(edges: DataFrame, roots: DataFrame | None = None) -> DataFrame:
 
     With `roots`, ancestors are the roots and the groups below them.
     """
-    if roots is not None:
-        groups = reachable_groups(edges, roots).withColumnRenamed("group", "permission_path")
-        edges = edges.join(groups, "permission_path", "left_semi")
     paths = group_paths(edges)
     direct = edges.select(
         "account_name", F.col("permission_path").alias("ancestor"), F.lit(1).alias("depth")
     )
+    if roots is not None:
+        wanted = groups_below(paths, roots)
+        paths = paths.join(wanted, "ancestor", "left_semi")
+        direct = direct.join(wanted, "ancestor", "left_semi")
     nested = spread_join(
         edges.select("account_name", F.col("permission_path").alias("child")).distinct(),
         paths,
@@ -142,10 +140,10 @@ def gather(edges: DataFrame, logins: DataFrame, compat: bool = False) -> DataFra
             )
             .distinct()
         )
-    groups = reachable_groups(edges, group_logins(logins))
+    wanted = groups_below(group_paths(edges), group_logins(logins))
     upper = (
         _nested(edges)
-        .join(groups.withColumnRenamed("group", "parent"), "parent", "left_semi")
+        .join(wanted.withColumnRenamed("ancestor", "parent"), "parent", "left_semi")
         .alias("u")
         .join(_login_sids(logins).alias("s"), F.col("u.child") == F.col("s.login"), "left")
         .select("sid", "child", F.col("parent").alias("ADGroupName"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from grantledger.functions.labels import (
     FIXED_SERVER_ROLES, NOT_APPLICABLE, disabled_flag, disabled_from_status, login_type,
 )
-from grantledger.operators.keys import ANY_SERVER, lookup_lane, with_server
+from grantledger.operators.keys import ANY_SERVER, lookup_id, with_server
 from grantledger.schemas import INSTANCE
 
 SCOPE = "Instance-Level"
@@ -45,8 +45,8 @@ def grants(
         ANY_SERVER, F.col("principal_id").cast("bigint").alias("target_id"),
         F.col("name").alias("target_name"),
     )
-    named = named.withColumn("target_id", F.col("major_id").cast("bigint"))
     if compat:
+        named = named.withColumn("target_id", F.col("major_id").cast("bigint"))
         resolved = named.join(endpoint_names, [ANY_SERVER, "target_id"], "left").join(
             principal_names, [ANY_SERVER, "target_id"], "left"
         )
@@ -57,12 +57,12 @@ def grants(
             endpoint_names.withColumnRenamed("endpoint_name", "target_name")
             .withColumn("class_desc", F.lit("ENDPOINT"))
             .unionByName(principal_names.withColumn("class_desc", F.lit("SERVER_PRINCIPAL")))
-            .withColumn("lane", F.lit(0))
         )
         resolvable = F.col("class_desc").isin("ENDPOINT", "SERVER_PRINCIPAL")
         resolved = named.withColumn(
-            "lane", lookup_lane(resolvable, "grantee_principal_id", "permission_name")
-        ).join(targets, [ANY_SERVER, "class_desc", "target_id", "lane"], "left")
+            "target_id",
+            lookup_id(resolvable, "major_id", "grantee_principal_id", "permission_name"),
+        ).join(targets, [ANY_SERVER, "class_desc", "target_id"], "left")
         target = F.coalesce("target_name", F.lit(NOT_APPLICABLE))
     return resolved.select(
         F.col(ANY_SERVER).alias("ServerName"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ANY_SERVER = "server_name"
-LANES = 4096
+SPREAD = 1 << 20
 
 
 def with_server(df: DataFrame, server_name: str | None) -> DataFrame:
@@ -18,11 +18,12 @@ def with_server(df: DataFrame, server_name: str | None) -> DataFrame:
     return df.withColumn(ANY_SERVER, F.lit(server_name))
 
 
-def lookup_lane(resolvable: Column, *spread_by: str) -> Column:
-    """Extra key of a left lookup join; the looked-up side carries lane 0.
+def lookup_id(resolvable: Column, key: str, *spread_by: str) -> Column:
+    """The id to look `key` up by in a left join; rows without a partner get a spread one.
 
-    Rows that cannot find a partner get one of many other lanes. Without it
-    they would all share one key (often id 0) and meet in a single task.
+    Rows that cannot find a partner would all carry the same id (often 0) and
+    meet in a single task. They get a negative hash instead, which the caller
+    must know to match nothing, by another key column or by the ids' range.
     """
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(LANES)).cast("int") + 1
-    return F.when(resolvable, 0).otherwise(spread)
+    spread = -1 - F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD))
+    return F.when(resolvable, F.col(key).cast("bigint")).otherwise(spread)

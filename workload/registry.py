@@ -19,24 +19,28 @@ from workload.views import BASE_TABLES, VIEWS, needed, with_views
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived view (or given table) as a DataFrame, without registering anything."""
-    base = {t: f"SELECT * FROM parquet.`{sf_dir}/{t}.parquet`" for t in BASE_TABLES}
-    everything = {**base, **VIEWS}
-    query = f"SELECT * FROM {name}"
-    names = needed(query, everything)
-    steps = ", ".join(f"{n} AS ({everything[n]})" for n in names)
-    return spark.sql(f"WITH {steps} {query}")
-
-
 class Views:
-    """Views of one scale by attribute."""
+    """Given tables and derived views of one scale by attribute; nothing stays registered."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self._spark, self._sf_dir = spark, sf_dir
+        self._made: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return view(self._spark, self._sf_dir, name)
+        if name not in self._made:
+            self._made[name] = self._make(name)
+        return self._made[name]
+
+    def _make(self, name: str) -> DataFrame:
+        if name in BASE_TABLES:
+            reader = self._spark.read.schema(BASE_TABLES[name])
+            return reader.parquet(f"{self._sf_dir}/{name}.parquet")
+        steps = {t: f"SELECT * FROM {{{t}}}" for t in BASE_TABLES} | VIEWS
+        query = f"SELECT * FROM {name}"
+        names = needed(query, steps)
+        tables = {t: getattr(self, t) for t in BASE_TABLES if t in names}
+        listed = ", ".join(f"{n} AS ({steps[n]})" for n in names)
+        return self._spark.sql(f"WITH {listed} {query}", **tables)
 
 
 def _plain_time(df: DataFrame) -> DataFrame:

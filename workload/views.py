@@ -10,9 +10,20 @@ from __future__ import annotations
 
 import re
 
-BASE_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-)
+# the given tables in use, with their columns
+BASE_TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
 
 _LOGIN_SID = (
     "CASE WHEN {k} % 29 = 0 THEN NULL ELSE 'S-' || lpad(CAST({k} AS STRING), 10, '0') END"
@@ -59,14 +70,14 @@ WHERE r.type_desc = 'DATABASE_ROLE' AND r.principal_id <> m.principal_id"""
 
 def _database_permissions(state: str) -> str:
     return f"""
-SELECT p.database_name, c.class, c.class_desc,
+SELECT r_name AS database_name, c.class, c.class_desc,
 CASE c.class WHEN 4 THEN l.l_suppkey WHEN 0 THEN 0 WHEN 3 THEN l.l_partkey % 30 ELSE l.l_partkey END AS major_id,
 CASE WHEN c.class = 1 AND l.l_shipdate > TIMESTAMP '1997-01-01 00:00:00' THEN 1 + l.l_orderkey % 7 ELSE 0 END AS minor_id,
 l.l_suppkey AS grantee_principal_id,
 CASE l.l_returnflag WHEN 'A' THEN 'SELECT' WHEN 'N' THEN 'EXECUTE' ELSE 'UPDATE' END AS permission_name,
 {state} AS state_desc
-FROM lineitem l JOIN fx_database_principals p ON p.principal_id = l.l_suppkey
-JOIN fx_securable_classes c ON c.line = l.l_linenumber AND c.flag = l.l_returnflag"""
+FROM lineitem l JOIN fx_securable_classes c ON c.line = l.l_linenumber AND c.flag = l.l_returnflag
+JOIN supplier ON s_suppkey = l.l_suppkey JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey"""
 
 
 VIEWS: dict[str, str] = {
@@ -133,9 +144,9 @@ FROM part JOIN region ON r_regionkey = p_partkey % 5""",
 SELECT DISTINCT r_name AS database_name, n_nationkey AS schema_id, n_name AS name
 FROM part JOIN region ON r_regionkey = p_partkey % 5 JOIN nation ON n_nationkey = p_partkey % 30""",
     "fx_all_columns": """
-SELECT DISTINCT o.database_name, o.object_id, l_linenumber AS column_id,
-'col_' || CAST(o.object_id AS STRING) || '_' || CAST(l_linenumber AS STRING) AS name
-FROM lineitem JOIN fx_all_objects o ON o.object_id = l_partkey""",
+SELECT r_name AS database_name, l_partkey AS object_id, l_linenumber AS column_id,
+'col_' || CAST(l_partkey AS STRING) || '_' || CAST(l_linenumber AS STRING) AS name
+FROM (SELECT DISTINCT l_partkey, l_linenumber FROM lineitem) l JOIN region ON r_regionkey = l_partkey % 5""",
     "fx_securables": """
 SELECT database_name, CASE WHEN p_size <= 15 THEN 'ASSEMBLY' WHEN p_size <= 30 THEN 'TYPE' ELSE 'CERTIFICATE' END AS kind,
 p_partkey AS id, p_brand || '_' || CAST(p_partkey AS STRING) AS name
