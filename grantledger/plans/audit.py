@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grantledger.functions.times import stamp
 from grantledger.operators import databases, diff, groups, instance
-from grantledger.schemas import DOMAINS, GROUPS, INSTANCE, OBJECTS, PRINCIPALS, ROLES, Domain
+from grantledger.schemas import (
+    DOMAINS, GROUPS, INSTANCE, OBJECTS, POLL, PRINCIPALS, ROLES, Domain,
+)
 from grantledger.sources.catalogs import Catalogs
 from grantledger.sources.state import State
 
@@ -20,6 +24,23 @@ LOG = logging.getLogger(__name__)
 IDS_PER_RUN = 100
 NO_PARENT = -1
 RUN_NAME = "record permissions"
+CLEAR = "clear staging"
+
+# the steps of each domain, in order
+STEPS = {
+    INSTANCE: (
+        "gather instance",
+        "record revoked instance permissions",
+        "record dropped principals",
+        "record instance permission changes",
+    ),
+    GROUPS: ("gather groups", "record dropped group members", "record new group members"),
+    ROLES: ("gather roles", "record dropped role members", "record new role members"),
+    OBJECTS: (
+        "gather objects", "record revoked object permissions", "record new object permissions",
+    ),
+}
+ORDER = (CLEAR, *[name for names in STEPS.values() for name in names])
 
 
 @dataclass
@@ -49,96 +70,101 @@ def gather(domain: Domain, catalogs: Catalogs, server_name: str | None, compat:
     )
 
 
-class _Recorder:
-    """State of one run between its steps."""
+class _DomainRun:
+    """One domain's part of a run; its steps follow each other."""
 
-    def __init__(self, state: State, run_id: int, as_of, compat: bool, since) -> None:
+    def __init__(self, domain: Domain, state: State, run_id: int, as_of, slot: int | None) -> None:
+        self.domain = domain
         self.state = state
         self.run_id = run_id
         self.as_of = as_of
-        self.compat = compat
-        self.since = since
-        self.slots: dict[str, int | None] = {}
-        self.recorded: dict[str, list[str]] = {d.name: [] for d in DOMAINS}
-        self.delta: dict[str, DataFrame] = {}
-        self.dropped: DataFrame | None = None
-        # compat only: live as left by the steps so far
-        self.live: dict[str, DataFrame] = {}
-
-    def _record(self, domain: Domain, owner: Domain, rows: DataFrame) -> None:
-        if self.state.write_history(domain, self.run_id, rows):
-            self.recorded[owner.name].append(domain.removed)
-
-    # strict: one comparison per domain, its result reused by the later steps
-
-    def record_removed(self, domain: Domain) -> None:
+        self.slot = slot
+        self.recorded: list[str] = []
+        self.live = state.live_at(domain, slot)
+
+    def gather(self, catalogs: Catalogs, server_name: str | None, compat: bool) -> None:
+        rows = gather(self.domain, catalogs, server_name, compat)
+        self.state.write_staging(self.domain, rows)
+
+    @property
+    def staging(self) -> DataFrame:
+        return self.state.staging(self.domain)
+
+    def record(self, kind: Domain, rows: DataFrame) -> bool:
+        if not self.state.write_history(kind, self.run_id, rows):
+            return False
+        self.recorded.append(kind.removed)
+        return True
+
+    def write_live(self, rows: DataFrame) -> None:
+        self.slot = self.state.write_live(self.domain, rows, self.slot)
+
+
+class _StrictRun(_DomainRun):
+    """One comparison, whose result all later steps reuse."""
+
+    def removed(self) -> None:
+        domain = self.domain
         history = self.state.history(domain) if domain.sticky else None
-        found = diff.changes(
-            self.state.live(domain), self.state.staging(domain), domain, history
-        )
-        delta = self.state.settle_work(domain, found)
-        self.delta[domain.name] = delta
-        gone = delta.filter((F.col("change") == "removed") & F.col("unrecorded"))
-        self._record(
-            domain, domain, gone.select(*domain.values, diff.stamp(self.as_of).alias("PollDate"))
-        )
+        found = diff.changes(self.live, self.staging, domain, history)
+        self.delta = self.state.settle_work(domain, found)
+        gone = self.delta.filter((F.col("change") == "removed") & F.col("unrecorded"))
+        self.record(domain, gone.select(*domain.values, stamp(self.as_of).alias(POLL)))
 
-    def record_dropped(self) -> None:
-        dropped = diff.dropped_principals(
-            self.delta[INSTANCE.name], self.state.staging(INSTANCE), self.as_of
-        )
-        self._record(PRINCIPALS, INSTANCE, dropped)
-        self.dropped = self.state.recorded_in(PRINCIPALS, self.run_id) if (
-            PRINCIPALS.removed in self.recorded[INSTANCE.name]
-        ) else None
-
-    def record_changes(self, domain: Domain) -> None:
-        delta = self.delta[domain.name]
-        if diff.alters_live(delta, domain).isEmpty():
-            self.slots[domain.name] = self.state.slot(domain)
+    def dropped(self) -> None:
+        rows = diff.dropped_principals(self.delta, self.staging, self.as_of)
+        self.drops = self.record(PRINCIPALS, rows)
+
+    def changed(self) -> None:
+        if diff.alters_live(self.delta, self.domain).isEmpty():
             return
         dropped = None
-        if domain is INSTANCE and self.dropped is not None:
-            dropped = self.dropped.select(*PRINCIPALS.values)
-        live = diff.next_live(self.state.live(domain), delta, domain, self.as_of, dropped)
-        self.slots[domain.name] = self.state.write_live(domain, live)
-
-    # compat: every step changes live on its own
-
-    def _live(self, domain: Domain) -> DataFrame:
-        if domain.name not in self.live:
-            self.live[domain.name] = self.state.live(domain)
-        return self.live[domain.name]
-
-    def _delete(self, domain: Domain, owner: Domain) -> None:
-        live = self._live(owner)
-        gone = diff.removed(live, self.state.staging(owner), domain, self.as_of)
-        self._record(domain, owner, self.state.settle_work(domain, gone))
-        history = self.state.history(domain).drop("run_id")
-        if domain.removed in self.recorded[owner.name]:
-            history = history.unionByName(self.state.recorded_in(domain, self.run_id))
-        self.live[owner.name] = diff.apply_removed(live, history, domain, True, self.since)
-
-    def compat_removed(self, domain: Domain) -> None:
-        self._delete(domain, domain)
-
-    def compat_dropped(self) -> None:
-        self._delete(PRINCIPALS, INSTANCE)
-
-    def compat_changes(self, domain: Domain) -> None:
-        live = self._live(domain)
-        staging = self.state.staging(domain)
+        if self.domain is INSTANCE and self.drops:
+            recorded = self.state.recorded_in(PRINCIPALS, self.run_id)
+            dropped = recorded.select(*PRINCIPALS.values)
+        self.write_live(
+            diff.next_live(self.live, self.delta, self.domain, self.as_of, dropped)
+        )
+
+    def finish(self) -> None:
+        pass
+
+
+class _CompatRun(_DomainRun):
+    """Every step changes live on its own, with what the steps before it left."""
+
+    since: datetime | str | None = None
+    deleted = False
+
+    def _delete(self, kind: Domain) -> None:
+        gone = diff.removed(self.live, self.staging, kind, self.as_of)
+        recorded = self.record(kind, self.state.settle_work(kind, gone))
+        history = self.state.history(kind).drop("run_id")
+        if recorded:
+            history = history.unionByName(self.state.recorded_in(kind, self.run_id))
+        self.live = diff.apply_removed(self.live, history, kind, True, self.since)
+        self.deleted = True
+
+    def removed(self) -> None:
+        self._delete(self.domain)
+
+    def dropped(self) -> None:
+        self._delete(PRINCIPALS)
+
+    def changed(self) -> None:
+        domain, staging = self.domain, self.staging
         if domain is INSTANCE:
-            live = diff.upsert(live, staging, self.as_of, compat=True)
+            live = diff.upsert(self.live, staging, self.as_of, compat=True)
         else:
-            live = diff.apply_added(live, diff.added(live, staging, domain, self.as_of), domain)
-        self.slots[domain.name] = self.state.write_live(domain, live)
+            new = diff.added(self.live, staging, domain, self.as_of)
+            live = diff.apply_added(self.live, new, domain)
+        self.write_live(live)
+        self.deleted = False
 
     def finish(self) -> None:
-        """Compat only: keep the deletions of domains whose last step failed."""
-        for domain in DOMAINS:
-            if domain.name in self.live and domain.name not in self.slots:
-                self.slots[domain.name] = self.state.write_live(domain, self.live[domain.name])
+        """Keep the deletions where the last step failed."""
+        if self.deleted:
+            self.write_live(self.live)
 
 
 def run_audit(
@@ -154,88 +180,73 @@ def run_audit(
 ) -> AuditResult:
     """Run the fourteen steps once and commit the result.
 
-    A failed step never stops the run. In strict mode the rest of its domain
-    is skipped and its state left as it was, and the run counts as failed. In
-    compat mode the later steps go on with what is there, the run counts as
-    successful, and deletions use history polled after `since`, the time of the
-    last successful run (see `sources.runs.watermark`).
+    The four domains share nothing, so their jobs are submitted side by side
+    and fill the cluster together. A failed step never stops the run. In strict
+    mode the rest of its domain is skipped and its state left as it was, and
+    the run counts as failed. In compat mode the later steps go on with what is
+    there, the run counts as successful, and deletions use history polled after
+    `since`, the time of the last successful run (see `sources.runs.watermark`).
     """
     if run_id is None:
         run_id = state.last_run() + 1
     elif state.is_committed(run_id):
         return AuditResult(run_id, True)
-    recorder = _Recorder(state, run_id, as_of, compat, since)
-    parent = run_id * IDS_PER_RUN
     result = AuditResult(run_id, True)
+    parent = run_id * IDS_PER_RUN
     started = clock()
-    rows: list[tuple] = []
-    failed: set[str] = set()
+    rows: dict[str, tuple] = {}
 
-    def step(name: str, domain: Domain | None, action: Callable[[], None]) -> None:
+    def step(name: str, action: Callable[[], None], skip: str | None = None) -> bool:
         opened = clock()
-        message = None
-        if not compat and domain is not None and domain.name in failed:
-            message = f"skipped after a failed step of {domain.name}"
-        else:
+        message = skip
+        if skip is None:
             LOG.info("%s: starting", name)
             try:
                 action()
-            except Exception as error:  # noqa: BLE001 - any failure is recorded, none ends the run
+            except Exception as error:  # noqa: BLE001 - a failure is recorded, the run goes on
                 LOG.exception("%s: failed", name)
                 message = str(error)
         if message is not None:
             result.errors[name] = message
-            if domain is not None:
-                failed.add(domain.name)
-        result.steps[name] = message is None
-        rows.append(
-            (
-                parent + len(result.steps), parent, name, opened, clock(), run_by,
-                "Y" if message is None else "N",
-            )
+        rows[name] = (
+            parent + 1 + ORDER.index(name), parent, name, opened, clock(), run_by,
+            "Y" if message is None else "N",
         )
-
-    def gather_step(domain: Domain) -> None:
-        step(
-            f"gather {domain.name}",
-            domain,
-            lambda: state.write_staging(domain, gather(domain, catalogs, server_name, compat)),
-        )
-
-    removed = recorder.compat_removed if compat else recorder.record_removed
-    dropped = recorder.compat_dropped if compat else recorder.record_dropped
-    changed = recorder.compat_changes if compat else recorder.record_changes
-
-    step("clear staging", None, state.clear_staging)
-    gather_step(INSTANCE)
-    step("record revoked instance permissions", INSTANCE, lambda: removed(INSTANCE))
-    step("record dropped principals", INSTANCE, dropped)
-    step("record instance permission changes", INSTANCE, lambda: changed(INSTANCE))
-    gather_step(GROUPS)
-    step("record dropped group members", GROUPS, lambda: removed(GROUPS))
-    step("record new group members", GROUPS, lambda: changed(GROUPS))
-    gather_step(ROLES)
-    step("record dropped role members", ROLES, lambda: removed(ROLES))
-    step("record new role members", ROLES, lambda: changed(ROLES))
-    gather_step(OBJECTS)
-    step("record revoked object permissions", OBJECTS, lambda: removed(OBJECTS))
-    step("record new object permissions", OBJECTS, lambda: changed(OBJECTS))
-
-    recorder.finish()
-    complete = [d for d in DOMAINS if compat or d.name not in failed]
-    entries = [
-        (d.name, recorder.slots.get(d.name, state.slot(d)), recorder.recorded[d.name])
-        for d in complete
-    ]
-    if entries:
-        state.commit(run_id, entries)
-    result.succeeded = compat or all(result.steps.values())
-    rows.insert(
-        0,
-        (
-            parent, NO_PARENT, RUN_NAME, started, clock(), run_by,
-            "Y" if result.succeeded else "N",
-        ),
+        return message is None
+
+    def run_domain(part: _StrictRun | _CompatRun) -> bool:
+        actions = [
+            lambda: part.gather(catalogs, server_name, compat),
+            part.removed,
+            *([part.dropped] if part.domain is INSTANCE else []),
+            part.changed,
+        ]
+        complete = True
+        for name, action in zip(STEPS[part.domain], actions):
+            skip = None
+            if not (complete or compat):
+                skip = f"skipped after a failed step of {part.domain.name}"
+            complete = step(name, action, skip) and complete
+        part.finish()
+        return complete
+
+    step(CLEAR, state.clear_staging)
+    slots = state.slots_in_use()
+    kind = _CompatRun if compat else _StrictRun
+    parts = [kind(d, state, run_id, as_of, slots.get(d.name)) for d in DOMAINS]
+    for part in parts:
+        part.since = since
+    with ThreadPoolExecutor(len(parts)) as threads:
+        complete = list(threads.map(run_domain, parts))
+
+    state.commit(
+        run_id,
+        [(p.domain.name, p.slot, p.recorded) for p, ok in zip(parts, complete) if ok or compat],
+    )
+    result.steps = {name: name not in result.errors for name in ORDER}
+    result.succeeded = compat or not result.errors
+    whole = (
+        parent, NO_PARENT, RUN_NAME, started, clock(), run_by, "Y" if result.succeeded else "N",
     )
-    state.append_log(rows)
+    state.append_log([whole, *[rows[name] for name in ORDER]])
     return result

@@ -70,8 +70,11 @@ class State:
         return not self.commits().filter(F.col("run_id") == run_id).isEmpty()
 
     def commit(self, run_id: int, entries: list[tuple[str, int | None, list[str]]]) -> None:
-        """Make a run visible; `entries` hold domain, live slot and history tables written."""
-        rows = [(run_id, *entry) for entry in entries]
+        """Make a run visible; `entries` hold domain, live slot and history tables written.
+
+        A run without a complete domain is committed too, so that its id is used up.
+        """
+        rows = [(run_id, *entry) for entry in entries or [("", None, [])]]
         frame = self.spark.createDataFrame(rows, COMMITS).coalesce(1)
         frame.write.mode("append").parquet(f"{self.root}/commits")
 
@@ -102,21 +105,21 @@ class State:
 
     # live versions
 
-    def slot(self, domain: Domain) -> int | None:
-        """Slot of the newest committed version; one row, whatever the table size."""
+    def slots_in_use(self) -> dict[str, int]:
+        """Slot of the newest committed version per domain: at most one row each."""
         newest = (
             self.commits()
-            .filter((F.col("domain") == domain.name) & F.col("slot").isNotNull())
+            .filter(F.col("slot").isNotNull())
+            .groupBy("domain")
             .agg(F.max(F.struct("run_id", "slot")).alias("newest"))
-            .select("newest.slot")
-            .first()
+            .select("domain", "newest.slot")
         )
-        return newest[0]
+        return {row["domain"]: row["slot"] for row in newest.collect()}
 
     def live(self, domain: Domain) -> DataFrame:
-        return self._live_at(domain, self.slot(domain))
+        return self.live_at(domain, self.slots_in_use().get(domain.name))
 
-    def _live_at(self, domain: Domain, slot: int | None) -> DataFrame:
+    def live_at(self, domain: Domain, slot: int | None) -> DataFrame:
         schema = live_schema(domain, self.sid_type)
         if slot is None:
             return self.spark.createDataFrame([], schema)
@@ -124,20 +127,20 @@ class State:
             f"{self.root}/live/{domain.live}/slot={slot}"
         )
 
-    def write_live(self, domain: Domain, rows: DataFrame) -> int:
+    def write_live(self, domain: Domain, rows: DataFrame, in_use: int | None) -> int:
         """Write the next version and return its slot; it counts once committed.
 
         Rows are sorted by principal within each file, so that a lookup by
         name can skip row groups without the write paying for a shuffle.
         """
-        current = self.slot(domain)
-        slot = 0 if current is None else (current + 1) % self.slots
+        slot = 0 if in_use is None else (in_use + 1) % self.slots
         ordered = rows.select(*domain.values, POLL).sortWithinPartitions("PrincipalName")
         self._write(ordered, f"live/{domain.live}/slot={slot}")
         return slot
 
     def all_live(self) -> Live:
-        return Live(*[self.live(domain) for domain in DOMAINS])
+        slots = self.slots_in_use()
+        return Live(*[self.live_at(domain, slots.get(domain.name)) for domain in DOMAINS])
 
     # history
 

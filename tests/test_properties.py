@@ -40,8 +40,7 @@ def positions(names):
     return lambda row: tuple(row[INSTANCE.values.index(n)] for n in names)
 
 
-@pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("partitions", ["1", "7"])
+@pytest.mark.parametrize("seed, partitions", [(0, "1"), (1, "7"), (2, "4")])
 def test_instance_run_matches_model(spark, conf, seed, partitions):
     conf(spark__sql__shuffle__partitions=partitions)
     rng = random.Random(seed)
@@ -63,7 +62,7 @@ def test_instance_run_matches_model(spark, conf, seed, partitions):
     assert polled(diff.upsert(step, snapshot, DAY2), INSTANCE) == polled(after, INSTANCE)
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_plain_domain_follows_snapshot_and_settles(spark, seed):
     rng = random.Random(seed)
 

@@ -13,6 +13,7 @@ from grantledger.operators import databases, diff, groups, instance, lookup
 from grantledger.schemas import GROUPS, INSTANCE, OBJECTS, POLL, PRINCIPALS, ROLES, Domain
 from grantledger.session import settle
 from grantledger.sources import runs
+from workload import audit_runs
 from workload import oracles as O
 from workload.views import BASE_TABLES, VIEWS, needed, with_views
 
@@ -22,8 +23,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 class Views:
     """Given tables and derived views of one scale by attribute; nothing stays registered."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, views: dict[str, str] | None = None
+    ) -> None:
         self._spark, self._sf_dir = spark, sf_dir
+        self._views = VIEWS if views is None else views
         self._made: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -35,7 +39,7 @@ class Views:
         if name in BASE_TABLES:
             reader = self._spark.read.schema(BASE_TABLES[name])
             return reader.parquet(f"{self._sf_dir}/{name}.parquet")
-        steps = {t: f"SELECT * FROM {{{t}}}" for t in BASE_TABLES} | VIEWS
+        steps = {t: f"SELECT * FROM {{{t}}}" for t in BASE_TABLES} | self._views
         query = f"SELECT * FROM {name}"
         names = needed(query, steps)
         tables = {t: getattr(self, t) for t in BASE_TABLES if t in names}
@@ -220,6 +224,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     ),
     "lookup_objects": lambda v: _plain_time(asked(v, O.USER).objects),
     "lookup_summary": lambda v: lookup.summary(v.fx_user_logins, live(v), v.fx_user_logins),
+    "audit_two_runs": audit_runs.summary,
     "last_success": last_success,
     "job_run_times": job_run_times,
     "alert_gate": alert_gate,
@@ -283,6 +288,7 @@ def oracle_sql() -> dict[str, str]:
         "lookup_role_permissions_compat": _sql(O.LOOKUP_ROLE_PERMISSIONS_COMPAT, O.LIVE),
         "lookup_objects": _sql(O.LOOKUP_OBJECTS, O.LIVE),
         "lookup_summary": _sql(f"SELECT * FROM ({O.LOOKUP_SUMMARY}) t", O.LIVE),
+        "audit_two_runs": _sql(audit_runs.final(), audit_runs.steps(walk)),
         "last_success": _sql(O.LAST_SUCCESS),
         "job_run_times": _sql(O.JOB_RUN_TIMES),
         "alert_gate": _sql(O.ALERT_GATE),

@@ -47,6 +47,24 @@ CASE WHEN o_orderpriority = '1-URGENT' THEN 'CONNECT SQL' ELSE o_orderpriority E
 FROM orders"""
 
 
+def _server_principals(name: str, disabled_every: int) -> str:
+    return f"""
+SELECT c_custkey AS principal_id, {_LOGIN_SID.format(k='c_custkey')} AS sid, {name} AS name,
+{_LOGIN_KIND.format(k='c_custkey')} AS type_desc,
+CASE WHEN c_custkey % 97 = 0 THEN NULL WHEN c_custkey % {disabled_every} = 0 THEN 1 ELSE 0 END AS is_disabled
+FROM customer"""
+
+
+def _server_permissions(other_state: str) -> str:
+    return f"""
+SELECT o_custkey AS grantee_principal_id,
+CASE o_orderkey % 4 WHEN 0 THEN o_orderkey % 40 ELSE -1 END AS major_id,
+CASE WHEN o_orderkey % 8 = 0 THEN 'ENDPOINT' WHEN o_orderkey % 4 = 0 THEN 'SERVER_PRINCIPAL' ELSE 'SERVER' END AS class_desc,
+CASE WHEN o_orderpriority = '1-URGENT' THEN 'CONNECT SQL' ELSE o_orderpriority END AS permission_name,
+CASE o_orderstatus WHEN 'F' THEN 'GRANT' WHEN 'O' THEN 'DENY' ELSE '{other_state}' END AS state_desc
+FROM orders"""
+
+
 def _group_edges(second_parent_of: str) -> str:
     return f"""
 SELECT m.c_name AS account_name, CASE WHEN k.parent IS NOT NULL THEN 'group' ELSE 'user' END AS type,
@@ -81,11 +99,10 @@ JOIN supplier ON s_suppkey = l.l_suppkey JOIN nation ON n_nationkey = s_nationke
 
 
 VIEWS: dict[str, str] = {
-    "fx_server_principals": f"""
-SELECT c_custkey AS principal_id, {_LOGIN_SID.format(k='c_custkey')} AS sid, c_name AS name,
-{_LOGIN_KIND.format(k='c_custkey')} AS type_desc,
-CASE WHEN c_custkey % 97 = 0 THEN NULL WHEN c_custkey % 10 = 0 THEN 1 ELSE 0 END AS is_disabled
-FROM customer""",
+    "fx_server_principals": _server_principals("c_name", 10),
+    "prev_server_principals": _server_principals(
+        "CASE WHEN c_custkey % 43 = 1 THEN 'Former ' || c_name ELSE c_name END", 11
+    ),
     "fx_logins": f"""
 SELECT {_LOGIN_SID.format(k='c_custkey')} AS sid, c_name AS name,
 CASE WHEN c_custkey % 31 = 0 THEN 0 WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS isntgroup,
@@ -101,13 +118,8 @@ CASE WHEN c_custkey % 53 = 6 THEN 1 ELSE 0 END AS diskadmin,
 CASE WHEN c_custkey % 25 = 7 THEN 1 ELSE 0 END AS dbcreator,
 CASE WHEN c_custkey % 20 = 8 THEN 1 ELSE 0 END AS bulkadmin
 FROM customer""",
-    "fx_server_permissions": """
-SELECT o_custkey AS grantee_principal_id,
-CASE o_orderkey % 4 WHEN 0 THEN o_orderkey % 40 ELSE -1 END AS major_id,
-CASE WHEN o_orderkey % 8 = 0 THEN 'ENDPOINT' WHEN o_orderkey % 4 = 0 THEN 'SERVER_PRINCIPAL' ELSE 'SERVER' END AS class_desc,
-CASE WHEN o_orderpriority = '1-URGENT' THEN 'CONNECT SQL' ELSE o_orderpriority END AS permission_name,
-CASE o_orderstatus WHEN 'F' THEN 'GRANT' WHEN 'O' THEN 'DENY' ELSE 'GRANT_WITH_GRANT_OPTION' END AS state_desc
-FROM orders""",
+    "fx_server_permissions": _server_permissions("GRANT_WITH_GRANT_OPTION"),
+    "prev_server_permissions": _server_permissions("GRANT"),
     "fx_endpoints": "SELECT n_nationkey AS endpoint_id, n_name AS name FROM nation",
     "fx_databases": """
 SELECT r_name AS name, CASE WHEN r_regionkey = 4 THEN 'OFFLINE' ELSE 'ONLINE' END AS state_desc,
