@@ -7,6 +7,7 @@ loop over databases is needed.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,42 +60,38 @@ def role_members(
 
 
 def _securable_names(
-    principals: DataFrame, objects: DataFrame, schemas: DataFrame, securables: DataFrame
+    principals: DataFrame, objects: DataFrame, securables: DataFrame
 ) -> DataFrame:
-    """Names of everything a permission can point to, keyed by class and id."""
-    key = [F.col(c) for c in IN_DATABASE]
-    no_text = F.lit(None).cast("string")
+    """Names of what a permission can point to, keyed by class and id; schemas aside.
 
-    def entry(df, cls, key_id, schema=no_text, name=no_text, kind=no_text):
+    A plain stack of the name tables, so Catalyst knows its size and broadcasts
+    it only where that is small.
+    """
+    nothing = F.lit(None)
+
+    def entry(df, cls, key, kind=nothing.cast("string"), schema_id=nothing.cast("bigint")):
         return df.select(
-            *key,
+            *IN_DATABASE,
             F.lit(cls).alias("class"),
-            F.col(key_id).cast("bigint").alias("target_id"),
-            schema.alias("target_schema"),
-            name.alias("target_name"),
+            F.col(key).cast("bigint").alias("target_id"),
+            F.col("name").alias("target_name"),
             kind.alias("target_kind"),
+            schema_id.alias("schema_id"),
         )
 
-    placed = objects.join(
-        schemas.withColumnRenamed("name", "schema_name"), [*IN_DATABASE, "schema_id"], "left"
-    )
-    names = entry(
-        placed, L.OBJECT_OR_COLUMN, "object_id",
-        F.col("schema_name"), F.col("name"), F.col("type_desc"),
-    )
     parts = [
-        entry(objects, L.XML_SCHEMA_COLLECTION, "object_id", name=F.col("name")),
-        entry(schemas, L.SCHEMA, "schema_id", schema=F.col("name")),
-        entry(principals, L.DATABASE_PRINCIPAL, "principal_id", name=F.col("name")),
+        entry(
+            objects, L.OBJECT_OR_COLUMN, "object_id",
+            F.col("type_desc"), F.col("schema_id").cast("bigint"),
+        ),
+        entry(objects, L.XML_SCHEMA_COLLECTION, "object_id"),
+        entry(principals, L.DATABASE_PRINCIPAL, "principal_id"),
     ]
     for kind, cls in (
         ("ASSEMBLY", L.ASSEMBLY), ("TYPE", L.TYPE), ("CERTIFICATE", L.CERTIFICATE)
     ):
-        of_kind = securables.filter(F.col("kind") == kind)
-        parts.append(entry(of_kind, cls, "id", name=F.col("name")))
-    for part in parts:
-        names = names.unionByName(part)
-    return names
+        parts.append(entry(securables.filter(F.col("kind") == kind), cls, "id"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def object_permissions(
@@ -111,7 +108,7 @@ def object_permissions(
     """Staging rows of the object domain, for all securable classes in one scan.
 
     The eight classes differ only in where the securable's name comes from.
-    Their name sources are stacked into one table keyed by class and id, so the
+    The name tables are stacked into one keyed by class and id, so the
     permissions are read and joined once instead of once per class.
     """
     classes = list(classes)
@@ -124,9 +121,13 @@ def object_permissions(
     names = _securable_names(
         principals,
         with_server(objects, server_name),
-        with_server(schemas, server_name),
         with_server(securables, server_name),
     ).filter(F.col("class").isin(classes))
+    schema_names = with_server(schemas, server_name).select(
+        *IN_DATABASE,
+        F.col("schema_id").cast("bigint").alias("schema_id"),
+        F.col("name").alias("schema_name"),
+    )
     column_names = with_server(columns, server_name).select(
         *IN_DATABASE,
         F.col("object_id").cast("bigint").alias("target_id"),
@@ -134,19 +135,25 @@ def object_permissions(
         F.col("name").alias("column_name"),
     )
     spread_by = ("grantee_principal_id", "major_id", "permission_name")
-    # class 0 has no names, and column ids are positive: a spread id finds nothing there
-    has_name = F.col("class") != L.DATABASE
+    # neither class is among the names, and column and schema ids are positive: a
+    # spread id finds nothing
+    has_name = ~F.col("class").isin(L.DATABASE, L.SCHEMA)
     on_column = (F.col("class") == L.OBJECT_OR_COLUMN) & (F.col("minor_id") > 0)
     facts = facts.withColumns(
         {
             "class": F.col("class").cast("int"),
-            "target_id": lookup_id(has_name, "major_id", *spread_by),
-            "column_id": lookup_id(on_column, "minor_id", *spread_by),
+            "target_id": lookup_id(has_name, F.col("major_id"), *spread_by),
+            "column_id": lookup_id(on_column, F.col("minor_id"), *spread_by),
         }
     )
     resolved = facts.join(grantees, [*IN_DATABASE, "grantee_principal_id"], "left").join(
         names, [*IN_DATABASE, "class", "target_id"], "left"
     )
+    # a schema is either the securable itself or the home of an object
+    home = F.when(F.col("class") == L.SCHEMA, F.col("major_id")).otherwise(F.col("schema_id"))
+    resolved = resolved.withColumn("schema_id", lookup_id(home.isNotNull(), home, *spread_by)).join(
+        schema_names, [*IN_DATABASE, "schema_id"], "left"
+    )
     if L.OBJECT_OR_COLUMN in classes:
         resolved = resolved.join(column_names, [*IN_DATABASE, "target_id", "column_id"], "left")
     else:
@@ -163,8 +170,8 @@ def object_permissions(
         F.coalesce("target_kind", "class_desc").alias("ObjectType"),
         F.col("permission_name").alias("PermissionType"),
         F.col("state_desc").alias("PermissionState"),
-        F.when(cls == L.OBJECT_OR_COLUMN, F.coalesce("target_schema", unknown))
-        .when(cls == L.SCHEMA, F.col("target_schema"))
+        F.when(cls == L.OBJECT_OR_COLUMN, F.coalesce("schema_name", unknown))
+        .when(cls == L.SCHEMA, F.col("schema_name"))
         .otherwise(absent)
         .alias("SchemaName"),
         F.when(cls.isin(L.DATABASE, L.SCHEMA), absent)

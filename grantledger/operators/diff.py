@@ -294,11 +294,12 @@ def dropped_principals(
     """
     columns = PRINCIPALS.values
     candidates = delta.filter(F.col("change") == "removed").select(*columns).distinct()
+    # distinct first: a principal with many rows combines map-side before the join
     present = (
         staging.select(*columns)
+        .distinct()
         .alias("l")
         .join(candidates.alias("r"), same(columns), "left_semi")
-        .distinct()
     )
     return (
         candidates.alias("l")

@@ -106,14 +106,16 @@ def direct_members(edges: DataFrame, logins: DataFrame) -> DataFrame:
     """Direct members of the group logins; the directory gives no sid for them."""
     roots = group_logins(logins).withColumnRenamed("group", "permission_path")
     sid = logins.schema["sid"].dataType
+    # distinct first: the join by group then ends the plan, and a hot group can be split
     return (
-        edges.join(roots, "permission_path", "left_semi")
+        edges.select("account_name", "permission_path")
+        .distinct()
+        .join(roots, "permission_path", "left_semi")
         .select(
             F.lit(None).cast(sid).alias("sid"),
             F.col("account_name").alias("PrincipalName"),
             F.col("permission_path").alias("ADGroupName"),
         )
-        .distinct()
     )
 
 
@@ -127,18 +129,11 @@ def gather(edges: DataFrame, logins: DataFrame, compat: bool = False) -> DataFra
     """
     if not compat:
         pairs = closure(edges, group_logins(logins))
-        return (
-            pairs.join(
-                _login_sids(logins).withColumnRenamed("login", "account_name"),
-                "account_name",
-                "left",
-            )
-            .select(
-                "sid",
-                F.col("account_name").alias("PrincipalName"),
-                F.col("ancestor").alias("ADGroupName"),
-            )
-            .distinct()
+        own = _login_sids(logins).withColumnRenamed("login", "account_name")
+        return pairs.join(own, "account_name", "left").select(
+            "sid",
+            F.col("account_name").alias("PrincipalName"),
+            F.col("ancestor").alias("ADGroupName"),
         )
     wanted = groups_below(group_paths(edges), group_logins(logins))
     upper = (

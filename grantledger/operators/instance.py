@@ -61,7 +61,7 @@ def grants(
         resolvable = F.col("class_desc").isin("ENDPOINT", "SERVER_PRINCIPAL")
         resolved = named.withColumn(
             "target_id",
-            lookup_id(resolvable, "major_id", "grantee_principal_id", "permission_name"),
+            lookup_id(resolvable, F.col("major_id"), "grantee_principal_id", "permission_name"),
         ).join(targets, [ANY_SERVER, "class_desc", "target_id"], "left")
         target = F.coalesce("target_name", F.lit(NOT_APPLICABLE))
     return resolved.select(

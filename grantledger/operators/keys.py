@@ -18,12 +18,12 @@ def with_server(df: DataFrame, server_name: str | None) -> DataFrame:
     return df.withColumn(ANY_SERVER, F.lit(server_name))
 
 
-def lookup_id(resolvable: Column, key: str, *spread_by: str) -> Column:
-    """The id to look `key` up by in a left join; rows without a partner get a spread one.
+def lookup_id(resolvable: Column, key: Column, *spread_by: str) -> Column:
+    """The id to look a row up by in a left join; rows without a partner get a spread one.
 
-    Rows that cannot find a partner would all carry the same id (often 0) and
+    Rows that cannot find a partner would all carry the same id (0 or NULL) and
     meet in a single task. They get a negative hash instead, which the caller
     must know to match nothing, by another key column or by the ids' range.
     """
     spread = -1 - F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD))
-    return F.when(resolvable, F.col(key).cast("bigint")).otherwise(spread)
+    return F.when(resolvable, key.cast("bigint")).otherwise(spread)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from grantledger.operators.skew import spread_join
 from grantledger.schemas import INSTANCE, POLL
+from grantledger.session import settle
 
 INSTANCE_COLUMNS = (*INSTANCE.values, POLL)
 OBJECT_COLUMNS = (
@@ -55,11 +57,14 @@ def permissions(
 ) -> Permissions:
     """Effective permissions of one principal.
 
+    The principal's identities, roles and sids are settled first: their size is
+    then known, and where it is small the live tables are read without a shuffle.
+
     Compat mode shows `server_name` on role rows, joins roles to their
     permissions without the server, and repeats a role's permissions for each
     of the principal's identities that holds the role.
     """
-    who = identities(principal, live.groups)
+    who = settle(identities(principal, live.groups), "identities")
     instance = live.instance.join(who, "PrincipalName", "left_semi").select(*INSTANCE_COLUMNS)
     held = live.roles.join(who, "PrincipalName", "left_semi")
     roles = held.select(*ROLE_COLUMNS)
@@ -70,19 +75,21 @@ def permissions(
     role_names = held.select(*role_key)
     if not compat:
         role_names = role_names.distinct()
-    role_names = role_names.withColumnRenamed("DatabaseRole", "PrincipalName")
+    role_names = settle(role_names.withColumnRenamed("DatabaseRole", "PrincipalName"), "roles")
     through_roles = live.objects.join(
         role_names, [c if c != "DatabaseRole" else "PrincipalName" for c in role_key], "inner"
     ).select(*OBJECT_COLUMNS)
 
-    # the OR of both conditions as one semi join: each object row is matched
-    # by name, or by sid where its name is not one of the identities
-    sids = logins.filter(F.col("name") == principal).select("sid").dropna().distinct()
-    by_name = live.objects.join(who, "PrincipalName", "left_semi")
-    by_sid = live.objects.join(sids, "sid", "left_semi").alias("l").join(
-        who.alias("r"), F.col("l.PrincipalName") == F.col("r.PrincipalName"), "left_anti"
+    # both conditions of the OR as flags, so the objects are read once
+    sids = settle(
+        logins.filter(F.col("name") == principal).select("sid").dropna().distinct(), "sids"
     )
-    objects = by_name.select(*OBJECT_COLUMNS).unionByName(by_sid.select(*OBJECT_COLUMNS))
+    flagged = live.objects.join(
+        who.withColumn("by_name", F.lit(True)), "PrincipalName", "left"
+    ).join(sids.withColumn("by_sid", F.lit(True)), "sid", "left")
+    objects = flagged.filter(
+        F.col("by_name").isNotNull() | F.col("by_sid").isNotNull()
+    ).select(*OBJECT_COLUMNS)
     return Permissions(instance, roles, through_roles, objects)
 
 
@@ -141,50 +148,45 @@ def summary(principals: DataFrame, live: Live, logins: DataFrame) -> DataFrame:
     """
     who = identities_of(principals, live.groups)
 
-    def per_principal(counts: DataFrame, keys: list[str], holders: DataFrame, part: str):
-        return (
-            holders.join(counts, keys, "inner")
-            .groupBy(ASKED)
-            .agg(F.sum("n").alias("n"))
-            .select(ASKED, F.lit(part).alias("part"), "n")
-        )
+    def total(rows: DataFrame, part: str) -> DataFrame:
+        return rows.groupBy(ASKED).agg(F.sum("n").alias("n")).withColumn("part", F.lit(part))
 
-    def count_by(df: DataFrame, *keys: str) -> DataFrame:
+    def counted(df: DataFrame, *keys: str) -> DataFrame:
         return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
-    by_name = ["PrincipalName"]
-    role_holders = (
+    def merged(counts: DataFrame, *keys: str) -> DataFrame:
+        return counts.groupBy(*keys).agg(F.sum("n").alias("n"))
+
+    in_scope = ["ServerName", "Scope", "PrincipalName"]
+    objects = counted(live.objects, *in_scope, "sid")
+    holders = (
         who.join(
             live.roles.select("ServerName", "Scope", "PrincipalName", "DatabaseRole").distinct(),
             "PrincipalName",
-            "inner",
         )
         .select(ASKED, "ServerName", "Scope", F.col("DatabaseRole").alias("PrincipalName"))
         .distinct()
     )
-    in_scope = ["ServerName", "Scope", "PrincipalName"]
     sids = (
         logins.select(F.col("name").alias(ASKED), "sid")
         .join(who.select(ASKED).distinct(), ASKED, "left_semi")
         .dropna()
         .distinct()
     )
-    sid_counts = count_by(live.objects.filter(F.col("sid").isNotNull()), "sid", "PrincipalName")
-    # a NULL principal name matches no identity, but its sid may still match
-    by_sid_only = (
-        sids.join(sid_counts, "sid", "inner")
-        .join(who, [ASKED, "PrincipalName"], "left_anti")
-        .groupBy(ASKED)
-        .agg(F.sum("n").alias("n"))
-        .select(ASKED, F.lit("objects").alias("part"), "n")
+    by_name = ["PrincipalName"]
+    # rows found by sid only; a NULL principal name is nobody's identity
+    by_sid = sids.join(merged(objects, "sid", "PrincipalName"), "sid").join(
+        who, [ASKED, "PrincipalName"], "left_anti"
+    )
+    parts = (
+        total(who.join(counted(live.instance, *by_name), by_name), "instance"),
+        total(who.join(counted(live.roles, *by_name), by_name), "roles"),
+        total(holders.join(merged(objects, *in_scope), in_scope), "role_permissions"),
+        total(who.join(merged(objects, *by_name), by_name), "objects"),
+        total(by_sid, "objects"),
     )
-    parts = per_principal(count_by(live.instance, *by_name), by_name, who, "instance")
-    for counts, keys, holders, part in (
-        (count_by(live.roles, *by_name), by_name, who, "roles"),
-        (count_by(live.objects, *in_scope), in_scope, role_holders, "role_permissions"),
-        (count_by(live.objects, *by_name), by_name, who, "objects"),
-    ):
-        parts = parts.unionByName(per_principal(counts, keys, holders, part))
     return (
-        parts.unionByName(by_sid_only).groupBy(ASKED, "part").agg(F.sum("n").alias("n"))
+        reduce(DataFrame.unionByName, parts)
+        .groupBy(ASKED, "part")
+        .agg(F.sum("n").alias("n"))
     )
