@@ -48,6 +48,48 @@ def identities(principal: str, groups: DataFrame) -> DataFrame:
     return own.unionByName(in_groups.dropna()).distinct()
 
 
+def instance_part(who: DataFrame, live: Live) -> DataFrame:
+    """Instance permissions of the identities."""
+    return live.instance.join(who, "PrincipalName", "left_semi").select(*INSTANCE_COLUMNS)
+
+
+def roles_part(
+    who: DataFrame, live: Live, server_name: str | None = None, compat: bool = False
+) -> DataFrame:
+    """Database roles the identities hold; compat mode shows `server_name` on them."""
+    held = live.roles.join(who, "PrincipalName", "left_semi").select(*ROLE_COLUMNS)
+    if compat and server_name is not None:
+        held = held.withColumn("ServerName", F.lit(server_name))
+    return held
+
+
+def role_permissions_part(who: DataFrame, live: Live, compat: bool = False) -> DataFrame:
+    """Object permissions of those roles.
+
+    Compat mode ignores the server and repeats a role's permissions for each
+    identity that holds the role.
+    """
+    key = ["Scope", "PrincipalName"] if compat else ["ServerName", "Scope", "PrincipalName"]
+    held = live.roles.join(who, "PrincipalName", "left_semi")
+    names = held.drop("PrincipalName").withColumnRenamed("DatabaseRole", "PrincipalName")
+    names = names.select(*key) if compat else names.select(*key).distinct()
+    return live.objects.join(settle(names, "roles"), key, "inner").select(*OBJECT_COLUMNS)
+
+
+def objects_part(principal: str, who: DataFrame, live: Live, logins: DataFrame) -> DataFrame:
+    """Object permissions of the identities, or of the sid of the principal's login."""
+    sids = settle(
+        logins.filter(F.col("name") == principal).select("sid").dropna().distinct(), "sids"
+    )
+    # both conditions of the OR as flags, so the objects are read once
+    flagged = live.objects.join(
+        who.withColumn("by_name", F.lit(True)), "PrincipalName", "left"
+    ).join(sids.withColumn("by_sid", F.lit(True)), "sid", "left")
+    return flagged.filter(
+        F.col("by_name").isNotNull() | F.col("by_sid").isNotNull()
+    ).select(*OBJECT_COLUMNS)
+
+
 def permissions(
     principal: str,
     live: Live,
@@ -59,38 +101,14 @@ def permissions(
 
     The principal's identities, roles and sids are settled first: their size is
     then known, and where it is small the live tables are read without a shuffle.
-
-    Compat mode shows `server_name` on role rows, joins roles to their
-    permissions without the server, and repeats a role's permissions for each
-    of the principal's identities that holds the role.
     """
     who = settle(identities(principal, live.groups), "identities")
-    instance = live.instance.join(who, "PrincipalName", "left_semi").select(*INSTANCE_COLUMNS)
-    held = live.roles.join(who, "PrincipalName", "left_semi")
-    roles = held.select(*ROLE_COLUMNS)
-    if compat and server_name is not None:
-        roles = roles.withColumn("ServerName", F.lit(server_name))
-
-    role_key = ["Scope", "DatabaseRole"] if compat else ["ServerName", "Scope", "DatabaseRole"]
-    role_names = held.select(*role_key)
-    if not compat:
-        role_names = role_names.distinct()
-    role_names = settle(role_names.withColumnRenamed("DatabaseRole", "PrincipalName"), "roles")
-    through_roles = live.objects.join(
-        role_names, [c if c != "DatabaseRole" else "PrincipalName" for c in role_key], "inner"
-    ).select(*OBJECT_COLUMNS)
-
-    # both conditions of the OR as flags, so the objects are read once
-    sids = settle(
-        logins.filter(F.col("name") == principal).select("sid").dropna().distinct(), "sids"
+    return Permissions(
+        instance_part(who, live),
+        roles_part(who, live, server_name, compat),
+        role_permissions_part(who, live, compat),
+        objects_part(principal, who, live, logins),
     )
-    flagged = live.objects.join(
-        who.withColumn("by_name", F.lit(True)), "PrincipalName", "left"
-    ).join(sids.withColumn("by_sid", F.lit(True)), "sid", "left")
-    objects = flagged.filter(
-        F.col("by_name").isNotNull() | F.col("by_sid").isNotNull()
-    ).select(*OBJECT_COLUMNS)
-    return Permissions(instance, roles, through_roles, objects)
 
 
 def identities_of(principals: DataFrame, groups: DataFrame) -> DataFrame:
@@ -144,9 +162,10 @@ def summary(principals: DataFrame, live: Live, logins: DataFrame) -> DataFrame:
     """How many permission rows each principal has in each part of its answer.
 
     Grants are counted per identity before they meet the identities, so the
-    work follows the size of the tables and not the number of answer rows.
+    work follows the size of the tables and not the number of answer rows. The
+    objects are read once.
     """
-    who = identities_of(principals, live.groups)
+    who = settle(identities_of(principals, live.groups), "identities")
 
     def total(rows: DataFrame, part: str) -> DataFrame:
         return rows.groupBy(ASKED).agg(F.sum("n").alias("n")).withColumn("part", F.lit(part))
@@ -158,7 +177,7 @@ def summary(principals: DataFrame, live: Live, logins: DataFrame) -> DataFrame:
         return counts.groupBy(*keys).agg(F.sum("n").alias("n"))
 
     in_scope = ["ServerName", "Scope", "PrincipalName"]
-    objects = counted(live.objects, *in_scope, "sid")
+    objects = settle(counted(live.objects, *in_scope, "sid"), "counts")
     holders = (
         who.join(
             live.roles.select("ServerName", "Scope", "PrincipalName", "DatabaseRole").distinct(),

@@ -150,9 +150,16 @@ def live(v: Views) -> lookup.Live:
     )
 
 
-def asked(v: Views, principal: str, compat: bool = False) -> lookup.Permissions:
-    logins = v.fx_logins if principal == O.LOGIN else v.fx_user_logins
-    return lookup.permissions(principal, live(v), logins, O.SERVER, compat)
+def identities(v: Views, principal: str) -> DataFrame:
+    return settle(lookup.identities(principal, v.fx_group_mappings), "identities")
+
+
+def role_permissions(v: Views, compat: bool = False) -> DataFrame:
+    return lookup.role_permissions_part(identities(v, O.USER), live(v), compat)
+
+
+def lookup_objects(v: Views) -> DataFrame:
+    return lookup.objects_part(O.USER, identities(v, O.USER), live(v), v.fx_user_logins)
 
 
 def job_run_times(v: Views) -> DataFrame:
@@ -216,13 +223,13 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "obj_revoked": lambda v: gone(v, OBJECTS),
     "obj_new": lambda v: new(v, OBJECTS),
     "obj_live_next": lambda v: next_state(v, OBJECTS),
-    "lookup_instance": lambda v: _plain_time(asked(v, O.LOGIN).instance),
-    "lookup_roles": lambda v: _plain_time(asked(v, O.USER).roles),
-    "lookup_role_permissions": lambda v: _plain_time(asked(v, O.USER).role_permissions),
-    "lookup_role_permissions_compat": lambda v: _plain_time(
-        asked(v, O.USER, compat=True).role_permissions
+    "lookup_instance": lambda v: _plain_time(
+        lookup.instance_part(identities(v, O.LOGIN), live(v))
     ),
-    "lookup_objects": lambda v: _plain_time(asked(v, O.USER).objects),
+    "lookup_roles": lambda v: _plain_time(lookup.roles_part(identities(v, O.USER), live(v))),
+    "lookup_role_permissions": lambda v: _plain_time(role_permissions(v)),
+    "lookup_role_permissions_compat": lambda v: _plain_time(role_permissions(v, compat=True)),
+    "lookup_objects": lambda v: _plain_time(lookup_objects(v)),
     "lookup_summary": lambda v: lookup.summary(v.fx_user_logins, live(v), v.fx_user_logins),
     "audit_two_runs": audit_runs.summary,
     "last_success": last_success,
