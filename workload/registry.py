@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,10 +145,27 @@ def after_upsert_compat(v: Views) -> DataFrame:
 
 # lookups
 
-def live(v: Views) -> lookup.Live:
-    return lookup.Live(
-        v.prev_instance, v.fx_group_mappings, _polled(roles_gather(v)), _polled(objects_gather(v))
-    )
+class LiveViews:
+    """The live tables, each built when a lookup first asks for it."""
+
+    def __init__(self, v: Views) -> None:
+        self._v = v
+
+    @cached_property
+    def instance(self) -> DataFrame:
+        return self._v.prev_instance
+
+    @cached_property
+    def groups(self) -> DataFrame:
+        return self._v.fx_group_mappings
+
+    @cached_property
+    def roles(self) -> DataFrame:
+        return _polled(roles_gather(self._v))
+
+    @cached_property
+    def objects(self) -> DataFrame:
+        return _polled(objects_gather(self._v))
 
 
 def identities(v: Views, principal: str) -> DataFrame:
@@ -155,11 +173,11 @@ def identities(v: Views, principal: str) -> DataFrame:
 
 
 def role_permissions(v: Views, compat: bool = False) -> DataFrame:
-    return lookup.role_permissions_part(identities(v, O.USER), live(v), compat)
+    return lookup.role_permissions_part(identities(v, O.USER), LiveViews(v), compat)
 
 
 def lookup_objects(v: Views) -> DataFrame:
-    return lookup.objects_part(O.USER, identities(v, O.USER), live(v), v.fx_user_logins)
+    return lookup.objects_part(O.USER, identities(v, O.USER), LiveViews(v), v.fx_user_logins)
 
 
 def job_run_times(v: Views) -> DataFrame:
@@ -224,13 +242,13 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "obj_new": lambda v: new(v, OBJECTS),
     "obj_live_next": lambda v: next_state(v, OBJECTS),
     "lookup_instance": lambda v: _plain_time(
-        lookup.instance_part(identities(v, O.LOGIN), live(v))
+        lookup.instance_part(identities(v, O.LOGIN), LiveViews(v))
     ),
-    "lookup_roles": lambda v: _plain_time(lookup.roles_part(identities(v, O.USER), live(v))),
+    "lookup_roles": lambda v: _plain_time(lookup.roles_part(identities(v, O.USER), LiveViews(v))),
     "lookup_role_permissions": lambda v: _plain_time(role_permissions(v)),
     "lookup_role_permissions_compat": lambda v: _plain_time(role_permissions(v, compat=True)),
     "lookup_objects": lambda v: _plain_time(lookup_objects(v)),
-    "lookup_summary": lambda v: lookup.summary(v.fx_user_logins, live(v), v.fx_user_logins),
+    "lookup_summary": lambda v: lookup.summary(v.fx_user_logins, LiveViews(v), v.fx_user_logins),
     "audit_two_runs": audit_runs.summary,
     "last_success": last_success,
     "job_run_times": job_run_times,
