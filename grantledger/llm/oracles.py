@@ -90,4 +90,32 @@ SELECT conv_id, count(*) AS n_turns,
 FROM runs GROUP BY conv_id
 """
 
-ORACLES = {"op1_mixing": MIXING, "op5_sharding": SHARDING, "op8_chat": CHAT}
+_FOLDED = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+CONTAMINATION = f"""
+WITH items AS (
+    SELECT item_id, {_FOLDED} AS words FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, words[i:i + least(len(words), 10) - 1] AS w, least(len(words), 10) AS k
+    FROM (SELECT *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM items WHERE len(words) > 0)
+), docs AS (
+    SELECT row_number() OVER () AS r, doc_id, {_FOLDED} AS words FROM documents
+), spots AS (
+    SELECT r, k, i, words[i:i + k - 1] AS w
+    FROM (SELECT r, words, k, unnest(range(1, len(words) - k + 2)) AS i
+          FROM docs JOIN (SELECT DISTINCT k FROM windows) ON len(words) >= k)
+), hits AS (
+    SELECT DISTINCT s.r, s.i, s.k, w.item_id FROM spots s JOIN windows w ON s.w = w.w
+), places AS (
+    SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS place FROM hits) GROUP BY r
+), found AS (
+    SELECT r, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+    FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN places USING (r) LEFT JOIN found USING (r)
+"""
+
+ORACLES = {"op1_mixing": MIXING, "op3_decontamination": CONTAMINATION, "op5_sharding": SHARDING, "op8_chat": CHAT}

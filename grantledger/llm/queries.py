@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantledger.llm import chat, mixing, sharding
+from grantledger.llm import chat, contamination, mixing, personal, quality, sharding
 from grantledger.llm.common import WORD, table, whole_text
 
 
@@ -18,6 +18,29 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.digest(contamination.find_items(docs, table(spark, sf_dir, "benchmark")))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal.find(docs, personal.train(docs))
+    kinds = F.transform("base", lambda span: span["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
+        for kind in personal.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2("base_written", 256).alias("base_sha256"),
+        F.col("all_written").alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = whole_text()
     docs = table(spark, sf_dir, "documents").select(
@@ -32,6 +55,18 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = "\\### Assistant: </turn> ok"
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -50,6 +85,9 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op3_decontamination": op3_decontamination,
+    "op4_personal_data": op4_personal_data,
     "op5_sharding": op5_sharding,
+    "op6_quality": op6_quality,
     "op8_chat": op8_chat,
 }
