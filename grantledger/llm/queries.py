@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantledger.llm import chat, contamination, mixing, personal, quality, sharding
+from grantledger.llm import chat, contamination, fingerprints, mixing, pages, personal, quality, sharding
 from grantledger.llm.common import WORD, table, whole_text
+from grantledger.session import settle
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +84,50 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = fingerprints.with_edited(docs).select(
+        "_k", "_k2", "_next", "_next2", "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        F.explode(F.array(
+            F.struct(F.lit(False).alias("is_edited"), F.col("text").alias("body")),
+            F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("body")),
+        )).alias("version"),
+    ).select("*", "version.*")
+    keys = ["_k", "_k2", "_next", "_next2", "doc_id", "n_chars", "edited_sha256", "is_edited"]
+    marks = settle(fingerprints.simhash(both, *keys, text="body"), "fingerprints")
+
+    own = marks.where("not is_edited").drop("is_edited")
+    edited = marks.where("is_edited").select("_k", "_k2", F.col("fingerprint").alias("changed"))
+    following = own.select(
+        F.col("_k").alias("_next"), F.col("_k2").alias("_next2"), F.col("fingerprint").alias("following")
+    )
+    asked = own.where(F.col("doc_id") % 50 == 0)
+    sizes = own.groupBy("fingerprint").agg(F.count("*").alias("size"))
+    found = fingerprints.near(asked, own).join(sizes, "fingerprint").groupBy("query").agg(
+        (F.sum("size") - 1).alias("near")  # without itself
+    )
+    rows = own.join(edited, ["_k", "_k2"]).join(following, ["_next", "_next2"])
+    rows = rows.join(found, rows["fingerprint"] == found["query"], "left")
+    mark = F.col("fingerprint")
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprints.written(mark).alias("fingerprint"),
+        fingerprints.written(F.col("changed")).alias("edited_fingerprint"),
+        fingerprints.likeness(mark, F.col("changed")).alias("near_edited"),
+        fingerprints.likeness(mark, F.col("following")).alias("near_next"),
+        F.when(F.col("doc_id") % 50 == 0, F.col("near")).alias("n_near"),
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_decontamination": op3_decontamination,
@@ -90,4 +135,6 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_quality": op6_quality,
     "op8_chat": op8_chat,
+    "op9_main_text": op9_main_text,
+    "op10_fingerprints": op10_fingerprints,
 }
