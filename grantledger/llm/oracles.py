@@ -118,4 +118,33 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coale
 FROM docs LEFT JOIN places USING (r) LEFT JOIN found USING (r)
 """
 
-ORACLES = {"op1_mixing": MIXING, "op3_decontamination": CONTAMINATION, "op5_sharding": SHARDING, "op8_chat": CHAT}
+_SETS = r"""
+docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT r, list_aggregate(words[i:i + 2], 'string_agg', ' ') AS s
+    FROM (SELECT *, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS i FROM docs WHERE len(words) > 0)
+), sizes AS (
+    SELECT r, count(*) AS n FROM shingles GROUP BY r
+)"""
+
+JACCARD = rf"""
+WITH RECURSIVE {_SETS}, pairs AS (
+    SELECT a.r AS a, b.r AS b, count(*) AS common
+    FROM shingles a JOIN sizes x ON x.r = a.r JOIN shingles b ON a.s = b.s AND a.r < b.r JOIN sizes y ON y.r = b.r
+    WHERE 100 * least(x.n, y.n) >= 90 * greatest(x.n, y.n) GROUP BY a.r, b.r
+), links AS (
+    SELECT a, b FROM pairs JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * common >= 90 * (x.n + y.n - common)
+), ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+    SELECT r, r AS other FROM docs UNION SELECT reached.r, ways.b FROM reached JOIN ways ON reached.other = ways.a
+)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM reached JOIN docs d ON d.r = reached.r JOIN docs o ON o.r = reached.other LEFT JOIN sizes ON sizes.r = d.r
+GROUP BY d.r, d.doc_id
+"""
+
+ORACLES = {"op1_mixing": MIXING, "op3_decontamination": CONTAMINATION, "op5_sharding": SHARDING, "op7_jaccard": JACCARD, "op8_chat": CHAT}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantledger.llm import chat, contamination, fingerprints, mixing, pages, personal, quality, sharding
+from grantledger.llm import chat, contamination, fingerprints, jaccard, mixing, pages, personal, quality, sharding
 from grantledger.llm.common import WORD, table, whole_text
 from grantledger.session import settle
 
@@ -68,6 +68,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = jaccard.link(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return linked.select("doc_id", "n_shingles", "component_id")
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = "\\### Assistant: </turn> ok"
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -134,6 +139,7 @@ QUERIES = {
     "op4_personal_data": op4_personal_data,
     "op5_sharding": op5_sharding,
     "op6_quality": op6_quality,
+    "op7_jaccard": op7_jaccard,
     "op8_chat": op8_chat,
     "op9_main_text": op9_main_text,
     "op10_fingerprints": op10_fingerprints,
