@@ -147,7 +147,7 @@ def find_items(
     ).distinct()
     total = items.agg(F.sum(F.size(F.split(F.col("text").cast("string"), r"[^0-9A-Za-z\x80-\x{10FFFF}]+")))).first()[0]
     blocks = -(-(total or 0) // block_words) or 1
-    items = items.withColumn("_block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    items = items.withColumn("__block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     kept = [c for c in docs.columns if c not in ("n_words", "hit_runs", "items")]
     out = docs.select(
         *kept,
@@ -157,7 +157,7 @@ def find_items(
     )
     for block in range(blocks):
         # a block's words are bounded by block_words, so is what the driver and each task hold of it
-        held = [(r.item_id, bytes(r.text)) for r in items.where(F.col("_block") == block).collect()]
+        held = [(r.item_id, bytes(r.text)) for r in items.where(F.col("__block") == block).collect()]
         vocabulary = frozenset(w for _, text in held for w in words_of(text))
         counted = docs.select("text").mapInArrow(_counter(vocabulary), "word binary, n long")
         rows = counted.groupBy("word").agg(F.sum("n").alias("n")).collect()

@@ -39,16 +39,16 @@ def simhash(texts: DataFrame, *keys: str, text: str = "text") -> DataFrame:
     """
     words = F.split(F.coalesce(F.col(text), F.lit("")), f"[{SPACE}]+")
     # the empty word votes for nothing, but keeps texts without words
-    rows = texts.select(*keys, F.explode(words).alias("_word"))
-    spoken = F.col("_word") != ""
-    rows = rows.select(*keys, F.when(spoken, F.xxhash64("_word")).alias("_hash"))
+    rows = texts.select(*keys, F.explode(words).alias("__word"))
+    spoken = F.col("__word") != ""
+    rows = rows.select(*keys, F.when(spoken, F.xxhash64("__word")).alias("__hash"))
     lanes = [
-        F.sum(F.shiftrightunsigned("_hash", i).bitwiseAND(F.lit(LANES))).alias(f"_v{i}") for i in range(HALF)
+        F.sum(F.shiftrightunsigned("__hash", i).bitwiseAND(F.lit(LANES))).alias(f"__v{i}") for i in range(HALF)
     ]
-    votes = rows.groupBy(*keys).agg(F.count("_hash").alias("_n"), *lanes)
-    n = F.col("_n")
-    low = [_bit(i, F.col(f"_v{i}").bitwiseAND(F.lit((1 << HALF) - 1)) * 2 > n) for i in range(HALF)]
-    high = [_bit(i + HALF, F.shiftrightunsigned(f"_v{i}", HALF) * 2 > n) for i in range(HALF)]
+    votes = rows.groupBy(*keys).agg(F.count("__hash").alias("__n"), *lanes)
+    n = F.col("__n")
+    low = [_bit(i, F.col(f"__v{i}").bitwiseAND(F.lit((1 << HALF) - 1)) * 2 > n) for i in range(HALF)]
+    high = [_bit(i + HALF, F.shiftrightunsigned(f"__v{i}", HALF) * 2 > n) for i in range(HALF)]
     return votes.select(*keys, reduce(Column.bitwiseOR, low + high).alias("fingerprint"))
 
 
@@ -94,49 +94,49 @@ def near(queries: DataFrame, fingerprints: DataFrame, radius: int = RADIUS) -> D
     tables = F.array(*[F.struct(F.lit(i).alias("t"), F.lit(m).alias("m")) for i, m in enumerate(masks)])
 
     def dealt(df: DataFrame, column: str) -> DataFrame:
-        rows = df.withColumn("_table", F.explode(tables))
+        rows = df.withColumn("__table", F.explode(tables))
         return rows.select(
-            column, F.col("_table.t").alias("_t"), F.col(column).bitwiseAND(F.col("_table.m")).alias("_key")
+            column, F.col("__table.t").alias("__t"), F.col(column).bitwiseAND(F.col("__table.m")).alias("__key")
         )
 
     left, right = dealt(asked, "query").alias("q"), dealt(known, "fingerprint").alias("k")
     differ = F.col("query").bitwiseXOR(F.col("fingerprint"))
     first = F.coalesce(*[F.when(differ.bitwiseAND(F.lit(m)) == 0, F.lit(i)) for i, m in enumerate(masks)])
-    within = (F.bit_count(differ) <= radius) & (first == F.col("q._t"))
-    pairs = left.join(right, (F.col("q._t") == F.col("k._t")) & (F.col("q._key") == F.col("k._key")) & within)
+    within = (F.bit_count(differ) <= radius) & (first == F.col("q.__t"))
+    pairs = left.join(right, (F.col("q.__t") == F.col("k.__t")) & (F.col("q.__key") == F.col("k.__key")) & within)
     return pairs.select("query", "fingerprint", F.bit_count(differ).alias("distance"))
 
 
 def with_edited(docs: DataFrame) -> DataFrame:
-    """`doc_id`, `_k`, `_k2`, `text`, `edited`, `_next`, `_next2` for each different row of `docs` (doc_id, text).
+    """`doc_id`, `__k`, `__k2`, `text`, `edited`, `__next`, `__next2` for each different row of `docs` (doc_id, text).
 
     The edited text ends with the beginning of the next document, by descending
     id, nulls last, then a hash of the text; the last one's next is the first.
     Repeated rows are one document. The whole text is dealt out once, by the key
-    (`_k`, `_k2`); to its neighbour goes only the borrowed beginning.
+    (`__k`, `__k2`); to its neighbour goes only the borrowed beginning.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumns(
-        {"_k": F.xxhash64("doc_id", "text"), "_k2": F.xxhash64(F.lit(1), "text", "doc_id")}
+        {"__k": F.xxhash64("doc_id", "text"), "__k2": F.xxhash64(F.lit(1), "text", "doc_id")}
     )
-    counted = rows.groupBy("_k", "_k2", "doc_id", F.length("text").cast("long").alias("n")).count()
-    ranked = with_rank(counted, F.col("doc_id").desc_nulls_last(), F.col("_k"), F.col("_k2"))
+    counted = rows.groupBy("__k", "__k2", "doc_id", F.length("text").cast("long").alias("n")).count()
+    ranked = with_rank(counted, F.col("doc_id").desc_nulls_last(), F.col("__k"), F.col("__k2"))
     if not ranked.where("count > 1").isEmpty():
-        rows = rows.dropDuplicates(["_k", "_k2"])
+        rows = rows.dropDuplicates(["__k", "__k2"])
     follows = ranked.select(
-        F.col("_k").alias("_next"), F.col("_k2").alias("_next2"), F.col("rank").alias("_rank")
+        F.col("__k").alias("__next"), F.col("__k2").alias("__next2"), F.col("rank").alias("__rank")
     )
-    order = ranked.select("_k", "_k2", "n", ((F.col("rank") + 1) % F.col("total")).alias("_rank"))
-    order = order.join(follows, "_rank")
+    order = ranked.select("__k", "__k2", "n", ((F.col("rank") + 1) % F.col("total")).alias("__rank"))
+    order = order.join(follows, "__rank")
     asked = order.select(
-        F.col("_next").alias("_k"), F.col("_next2").alias("_k2"), F.col("_k").alias("_to"),
-        F.col("_k2").alias("_to2"), F.floor(F.col("n") / 2).cast("int").alias("_chars"),
+        F.col("__next").alias("__k"), F.col("__next2").alias("__k2"), F.col("__k").alias("__to"),
+        F.col("__k2").alias("__to2"), F.floor(F.col("n") / 2).cast("int").alias("__chars"),
     )
-    lent = rows.select("_k", "_k2", "text", "doc_id").join(asked, ["_k", "_k2"]).select(
-        F.col("_to").alias("_k"), F.col("_to2").alias("_k2"), F.col("_k").alias("_next"),
-        F.col("_k2").alias("_next2"), "_chars", F.expr("substring(text, 1, _chars)").alias("_lent"),
+    lent = rows.select("__k", "__k2", "text", "doc_id").join(asked, ["__k", "__k2"]).select(
+        F.col("__to").alias("__k"), F.col("__to2").alias("__k2"), F.col("__k").alias("__next"),
+        F.col("__k2").alias("__next2"), "__chars", F.expr("substring(text, 1, __chars)").alias("__lent"),
     )
-    kept = F.expr("substring(text, 1, length(text) - _chars)")
-    return rows.select("_k", "_k2", "text", "doc_id").join(lent, ["_k", "_k2"]).select(
-        "_k", "_k2", "doc_id", "text", F.concat(kept, "_lent").alias("edited"), "_next", "_next2"
+    kept = F.expr("substring(text, 1, length(text) - __chars)")
+    return rows.select("__k", "__k2", "text", "doc_id").join(lent, ["__k", "__k2"]).select(
+        "__k", "__k2", "doc_id", "text", F.concat(kept, "__lent").alias("edited"), "__next", "__next2"
     )

@@ -194,9 +194,9 @@ def _sized(words: int) -> Callable:
                 shingles, sizes = shingle_sets(batch.column("text"), words)
                 low, high = parities(shingles, sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(n) for n in ("doc_id", "_k", "_k2")), pa.array(nodes(shingles, sizes)),
+                    [*(batch.column(n) for n in ("doc_id", "__k", "__k2")), pa.array(nodes(shingles, sizes)),
                      pa.array(sizes), pa.array(low), pa.array(high)],
-                    names=["doc_id", "_k", "_k2", "node", "n_shingles", "low", "high"],
+                    names=["doc_id", "__k", "__k2", "node", "n_shingles", "low", "high"],
                 )
 
     return sized
@@ -264,21 +264,21 @@ class _Linker:
         self.percent, self.words = percent, words
         bounded_batches(docs.sparkSession)
         self.docs = docs.select("doc_id", "text").withColumns(
-            {"_k": F.xxhash64("doc_id", "text"), "_k2": F.xxhash64(F.lit(1), "text", "doc_id")}
+            {"__k": F.xxhash64("doc_id", "text"), "__k2": F.xxhash64(F.lit(1), "text", "doc_id")}
         )
         id_kind = docs.schema["doc_id"].dataType.simpleString()
-        kind = f"doc_id {id_kind}, _k long, _k2 long, node long, n_shingles long, low long, high long"
+        kind = f"doc_id {id_kind}, __k long, __k2 long, node long, n_shingles long, low long, high long"
         self.members = settle(self.docs.mapInArrow(_sized(words), kind), "members")
         sets = self.members.where("n_shingles > 0").groupBy("node")
         self.sets = settle(
             sets.agg(
                 F.first("n_shingles").alias("n"), F.first("low").alias("low"), F.first("high").alias("high"),
-                F.min(F.struct("_k", "_k2")).alias("_of"),
+                F.min(F.struct("__k", "__k2")).alias("__of"),
             ),
             "sets",
         )
 
-        counted = self.members.groupBy("_k", "_k2").count()
+        counted = self.members.groupBy("__k", "__k2").count()
         self.repeated = not counted.where("count > 1").isEmpty()
 
     def _band_sizes(self) -> dict[int, int]:
@@ -299,8 +299,8 @@ class _Linker:
             "signatures",
         )
         led = rows.where("node = lead").select("signature", "node")
-        hubs = led.groupBy("signature").agg(F.min("node").alias("hub"), F.max("node").alias("_last"))
-        hubs = hubs.where("hub < _last").select("signature", "hub")
+        hubs = led.groupBy("signature").agg(F.min("node").alias("hub"), F.max("node").alias("__last"))
+        hubs = hubs.where("hub < __last").select("signature", "hub")
         across = led.join(hubs, "signature").select("signature", "node", "hub")
         near = rows.where("node <> lead").select("signature", "node", F.col("lead").alias("hub"))
         # a batch's own group also has the row that leads it
@@ -320,8 +320,8 @@ class _Linker:
 
     def shingles(self, wanted: DataFrame) -> DataFrame:
         """`node`, `shingles` of the wanted nodes, computed again from one text of each."""
-        of = settle(self.sets.join(wanted, "node", "left_semi").select("node", "_of._k", "_of._k2"), "wanted")
-        texts = self.docs.join(_sent(of), ["_k", "_k2"]).select("node", "text")
+        of = settle(self.sets.join(wanted, "node", "left_semi").select("node", "__of.__k", "__of.__k2"), "wanted")
+        texts = self.docs.join(_sent(of), ["__k", "__k2"]).select("node", "text")
         made = texts.mapInArrow(_shingled(self.words), "node long, shingles array<bigint>")
         made = settle(made, "shingles")
         # one text was chosen for each node; only rows repeated in the input come twice
@@ -345,15 +345,15 @@ class _Linker:
         """
         shared = self.shared_signatures(plan)
         starred = shared.where("node <> hub").groupBy(F.col("node").alias("a"), F.col("hub").alias("b"))
-        stars = settle(self.bounded(starred.agg(F.count("*").alias("_n"))), "stars")
+        stars = settle(self.bounded(starred.agg(F.count("*").alias("__n"))), "stars")
         shingles = None
         links: DataFrame | None = None
         found: DataFrame | None = None
         tried: DataFrame | None = None
-        best = stars.groupBy("a").agg(F.max_by("b", F.struct("_n", "b")).alias("b"))
+        best = stars.groupBy("a").agg(F.max_by("b", F.struct("__n", "b")).alias("b"))
         rounds = [
-            lambda: stars.join(best, ["a", "b"], "left_semi").drop("_n"),
-            lambda: self._apart(stars.drop("_n").join(best, ["a", "b"], "left_anti"), found),
+            lambda: stars.join(best, ["a", "b"], "left_semi").drop("__n"),
+            lambda: self._apart(stars.drop("__n").join(best, ["a", "b"], "left_anti"), found),
             lambda: self._rest(shared, found, tried),
         ]
         for candidates in rounds:
@@ -387,14 +387,14 @@ class _Linker:
 
     def _rest(self, shared: DataFrame, found: DataFrame | None, tried: DataFrame | None) -> DataFrame:
         """Pairs of different components that share a signature, meet the bounds and were not compared yet."""
-        rows = shared.select("signature", "node").distinct().join(self.sets.drop("_of"), "node")
+        rows = shared.select("signature", "node").distinct().join(self.sets.drop("__of"), "node")
         if found is not None:
             rows = rows.join(found, "node", "left")
         else:
             rows = rows.withColumn("component", F.lit(None).cast("long"))
         rows = settle(rows.withColumn("component", F.coalesce("component", "node")), "members-of")
-        mixed_ = rows.groupBy("signature").agg(F.min("component").alias("_a"), F.max("component").alias("_b"))
-        rows = rows.join(mixed_.where("_a < _b").select("signature"), "signature", "left_semi")
+        mixed_ = rows.groupBy("signature").agg(F.min("component").alias("__a"), F.max("component").alias("__b"))
+        rows = rows.join(mixed_.where("__a < __b").select("signature"), "signature", "left_semi")
         side = lambda s: rows.select(
             "signature", *[F.col(c).alias(f"{d}_{s}") for c, d in
                            (("n", "n"), ("low", "low"), ("high", "high"), ("component", "c"))], F.col("node").alias(s)
@@ -408,11 +408,11 @@ class _Linker:
 
 
 def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, plan: Bands | None = None) -> DataFrame:
-    """One row for each row of `docs`: `doc_id`, `n_shingles`, `node`, `component_id`, `leads`, `_k`, `_k2`.
+    """One row for each row of `docs`: `doc_id`, `n_shingles`, `node`, `component_id`, `leads`, `__k`, `__k2`.
 
     `node` is the same for equal sets of shingles, `component_id` the least id
     that links reach, itself included, and `leads` holds for the row with that
-    id (of several, that of the least key). `_k`, `_k2` are hashes of id and text.
+    id (of several, that of the least key). `__k`, `__k2` are hashes of id and text.
 
     A null or empty text has no shingles and no link. Null ids count last; a
     component of null ids only has a null id. Repeated rows are linked. An
@@ -423,33 +423,33 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, plan: Band
     rows = linker.members.drop("low", "high").join(found, "node", "left")
     rows = rows.withColumn("component", F.coalesce("component", "node"))
     linked = rows.where("n_shingles > 0")
-    first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_k", "_k2")
-    leaders = settle(linked.groupBy("component").agg(F.min(first).alias("_first")), "leaders")
+    first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__k", "__k2")
+    leaders = settle(linked.groupBy("component").agg(F.min(first).alias("__first")), "leaders")
     of = rows.join(leaders, (rows["component"] == leaders["component"]) & (rows["n_shingles"] > 0), "left")
-    alone = F.col("_first").isNull()
+    alone = F.col("__first").isNull()
     return of.select(
         "doc_id",
         "n_shingles",
         "node",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("_first.doc_id")).alias("component_id"),
-        (alone | ((F.col("_first._k") == F.col("_k")) & (F.col("_first._k2") == F.col("_k2")))).alias("leads"),
-        "_k",
-        "_k2",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("__first.doc_id")).alias("component_id"),
+        (alone | ((F.col("__first.__k") == F.col("__k")) & (F.col("__first.__k2") == F.col("__k2")))).alias("leads"),
+        "__k",
+        "__k2",
     )
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """`docs` with one row of each component: the leading one."""
     dropped = settle(
-        link(docs, words, percent).where("not leads").select("_k", "_k2").distinct(), "dropped"
+        link(docs, words, percent).where("not leads").select("__k", "__k2").distinct(), "dropped"
     )
     keyed = docs.withColumns(
-        {"_k": F.xxhash64("doc_id", "text"), "_k2": F.xxhash64(F.lit(1), "text", "doc_id")}
+        {"__k": F.xxhash64("doc_id", "text"), "__k2": F.xxhash64(F.lit(1), "text", "doc_id")}
     )
-    kept = keyed.join(_sent(dropped), ["_k", "_k2"], "left_anti")
-    repeated = keyed.where(F.col("text").rlike(WORD)).groupBy("_k", "_k2").count().where("count > 1")
+    kept = keyed.join(_sent(dropped), ["__k", "__k2"], "left_anti")
+    repeated = keyed.where(F.col("text").rlike(WORD)).groupBy("__k", "__k2").count().where("count > 1")
     if not repeated.isEmpty():
-        again = settle(repeated.select("_k", "_k2"), "repeated")
-        twice = kept.join(_sent(again), ["_k", "_k2"], "left_semi").dropDuplicates(["_k", "_k2"])
-        kept = kept.join(_sent(again), ["_k", "_k2"], "left_anti").unionByName(twice)
+        again = settle(repeated.select("__k", "__k2"), "repeated")
+        twice = kept.join(_sent(again), ["__k", "__k2"], "left_semi").dropDuplicates(["__k", "__k2"])
+        kept = kept.join(_sent(again), ["__k", "__k2"], "left_anti").unionByName(twice)
     return kept.select(*docs.columns)

@@ -37,21 +37,21 @@ def fill(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     earlier, rest = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
     shared = sources.select(
         "*",
-        stop.alias("_stop"),
+        stop.alias("__stop"),
         (F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum(stop).over(earlier), F.lit(0)))
-        .cast("double").alias("_left"),
-        F.sum("weight").over(rest).cast("double").alias("_rest"),
+        .cast("double").alias("__left"),
+        F.sum("weight").over(rest).cast("double").alias("__rest"),
     )
-    full = F.col("_stop") <= F.col("_left") * F.col("weight") / F.col("_rest")
+    full = F.col("__stop") <= F.col("__left") * F.col("weight") / F.col("__rest")
     # the level at which the others settle is that of the first source that is not full
-    level = F.first(F.when(~full, F.struct("_left", "_rest")), ignorenulls=True).over(
+    level = F.first(F.when(~full, F.struct("__left", "__rest")), ignorenulls=True).over(
         order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     )
-    levelled = shared.withColumn("_full", full).withColumn("_level", level)
-    share = F.col("_level._left") * F.col("weight") / F.col("_level._rest")
+    levelled = shared.withColumn("__full", full).withColumn("__level", level)
+    share = F.col("__level.__left") * F.col("weight") / F.col("__level.__rest")
     return levelled.withColumn(
-        "target", F.when(F.col("_full"), F.col("_stop").cast("double")).otherwise(share)
-    ).drop("_stop", "_left", "_rest", "_full", "_level")
+        "target", F.when(F.col("__full"), F.col("__stop").cast("double")).otherwise(share)
+    ).drop("__stop", "__left", "__rest", "__full", "__level")
 
 
 def mix(
@@ -90,30 +90,31 @@ def mix(
     targets = fill(cyclic_weights(sizes, weights), max_epochs)
 
     running = with_running(slim, "source", "size", F.col("place"))
-    of = targets.withColumnRenamed("source", "_source")
-    placed = running.join(of, running["source"].eqNullSafe(of["_source"]))
+    of = targets.withColumnRenamed("source", "__source")
+    placed = running.join(of, running["source"].eqNullSafe(of["__source"]))
     whole = F.when(
         F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
     ).otherwise(F.lit(0))
     extra = F.col("target") - whole * F.col("source_size")
     inside = F.col("before") + F.col("size") / 2 <= extra
-    cuts = placed.groupBy("_source").agg(F.max(F.when(inside, F.col("place"))).alias("_cut"))
+    cuts = placed.groupBy("__source").agg(F.max(F.when(inside, F.col("place"))).alias("__cut"))
 
-    of = of.withColumn("_whole", whole.cast("int")).join(
-        cuts.withColumnRenamed("_source", "_cut_source"),
-        F.col("_source").eqNullSafe(F.col("_cut_source")),
+    of = of.withColumn("__whole", whole.cast("int")).join(
+        cuts.withColumnRenamed("__source", "__cut_source"),
+        F.col("__source").eqNullSafe(F.col("__cut_source")),
     )
-    joined = rows.join(of, rows["source"].eqNullSafe(of["_source"]))
-    once_more = F.coalesce((place <= F.col("_cut")) & (F.col("source_size") > 0), F.lit(False))
+    of = settle(of, "mix-cuts")  # one row for each source, whose size is known from here on
+    joined = rows.join(of, rows["source"].eqNullSafe(of["__source"]))
+    once_more = F.coalesce((place <= F.col("__cut")) & (F.col("source_size") > 0), F.lit(False))
     return joined.select(
         *[rows[c] for c in rows.columns],
         "source_size",
         "target",
-        (F.col("_whole") + once_more.cast("int")).alias("repeats"),
+        (F.col("__whole") + once_more.cast("int")).alias("repeats"),
     )
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """Each row as often as the mix takes it."""
     copies = F.explode(F.sequence(F.lit(1), F.col("repeats")))
-    return mixed.where("repeats > 0").withColumn("_copy", copies).drop("_copy")
+    return mixed.where("repeats > 0").withColumn("__copy", copies).drop("__copy")

@@ -306,16 +306,16 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [sorted(template_candidates(parse(html or ""))) for html in batch.column("html").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("_k"), batch.column("_k2"), batch.column("_host"), pa.array(found, pa.list_(pa.int64()))],
-            names=["_k", "_k2", "_host", "subtrees"],
+            [batch.column("__k"), batch.column("__k2"), batch.column("__host"), pa.array(found, pa.list_(pa.int64()))],
+            names=["__k", "__k2", "__host", "subtrees"],
         )
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = zip(batch.column("html").to_pylist(), batch.column("_template").to_pylist(), strict=True)
+        rows = zip(batch.column("html").to_pylist(), batch.column("__template").to_pylist(), strict=True)
         texts = [main_text(parse(html or ""), frozenset(template or ())) for html, template in rows]
-        kept = [n for n in batch.schema.names if n != "_template"]
+        kept = [n for n in batch.schema.names if n != "__template"]
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(n) for n in kept), pa.array(texts, pa.string())], names=[*kept, "text"]
         )
@@ -338,20 +338,20 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     bounded_batches(pages.sparkSession)
     rows = pages.drop("text")
     keyed = rows.withColumns({
-        "_k": F.xxhash64("url", "html"), "_k2": F.xxhash64(F.lit(1), "html", "url"), "_host": host(F.col("url")),
+        "__k": F.xxhash64("url", "html"), "__k2": F.xxhash64(F.lit(1), "html", "url"), "__host": host(F.col("url")),
     })
-    hashed = keyed.select("_k", "_k2", "_host", "html").mapInArrow(
-        _hashed, "_k long, _k2 long, _host string, subtrees array<bigint>"
+    hashed = keyed.select("__k", "__k2", "__host", "html").mapInArrow(
+        _hashed, "__k long, __k2 long, __host string, subtrees array<bigint>"
     )
     # one row for each different page
-    different = settle(hashed.groupBy("_k", "_k2", "_host").agg(F.first("subtrees").alias("subtrees")), "subtrees")
-    seen = different.select("_k", "_k2", "_host", F.explode("subtrees").alias("_subtree"))
-    sizes = different.groupBy("_host").agg(F.count("*").alias("_pages"))
-    counts = seen.groupBy("_host", "_subtree").agg(F.count("*").alias("_on")).where(F.col("_on") >= min_pages)
-    template = counts.join(sizes, "_host").where(F.col("_on") >= min_share * F.col("_pages"))
-    of_page = seen.join(template.select("_host", "_subtree"), ["_host", "_subtree"])
+    different = settle(hashed.groupBy("__k", "__k2", "__host").agg(F.first("subtrees").alias("subtrees")), "subtrees")
+    seen = different.select("__k", "__k2", "__host", F.explode("subtrees").alias("__subtree"))
+    sizes = different.groupBy("__host").agg(F.count("*").alias("__pages"))
+    counts = seen.groupBy("__host", "__subtree").agg(F.count("*").alias("__on")).where(F.col("__on") >= min_pages)
+    template = counts.join(sizes, "__host").where(F.col("__on") >= min_share * F.col("__pages"))
+    of_page = seen.join(template.select("__host", "__subtree"), ["__host", "__subtree"])
     # at most the elements of one page in a row
-    of_page = of_page.groupBy("_k", "_k2").agg(F.collect_list("_subtree").alias("_template"))
-    joined = keyed.drop("_host").join(of_page, ["_k", "_k2"], "left").drop("_k", "_k2")
-    joined = joined.select(*rows.columns, "_template")
+    of_page = of_page.groupBy("__k", "__k2").agg(F.collect_list("__subtree").alias("__template"))
+    joined = keyed.drop("__host").join(of_page, ["__k", "__k2"], "left").drop("__k", "__k2")
+    joined = joined.select(*rows.columns, "__template")
     return joined.mapInArrow(_extracted, with_fields(rows.schema, ("text", "string")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantledger.llm import chat, contamination, fingerprints, jaccard, mixing, pages, personal, quality, sharding
+from grantledger.llm import chat, contamination, fingerprints, jaccard, mixing, pages, personal, quality, repeats, sharding
 from grantledger.llm.common import WORD, table, whole_text
 from grantledger.session import settle
 
@@ -19,6 +19,13 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = contamination.digest(contamination.find_items(docs, table(spark, sf_dir, "benchmark")))
@@ -97,7 +104,7 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     both = fingerprints.with_edited(docs).select(
-        "_k", "_k2", "_next", "_next2", "doc_id",
+        "__k", "__k2", "__next", "__next2", "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         F.explode(F.array(
@@ -105,20 +112,20 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("body")),
         )).alias("version"),
     ).select("*", "version.*")
-    keys = ["_k", "_k2", "_next", "_next2", "doc_id", "n_chars", "edited_sha256", "is_edited"]
+    keys = ["__k", "__k2", "__next", "__next2", "doc_id", "n_chars", "edited_sha256", "is_edited"]
     marks = settle(fingerprints.simhash(both, *keys, text="body"), "fingerprints")
 
     own = marks.where("not is_edited").drop("is_edited")
-    edited = marks.where("is_edited").select("_k", "_k2", F.col("fingerprint").alias("changed"))
+    edited = marks.where("is_edited").select("__k", "__k2", F.col("fingerprint").alias("changed"))
     following = own.select(
-        F.col("_k").alias("_next"), F.col("_k2").alias("_next2"), F.col("fingerprint").alias("following")
+        F.col("__k").alias("__next"), F.col("__k2").alias("__next2"), F.col("fingerprint").alias("following")
     )
     asked = own.where(F.col("doc_id") % 50 == 0)
     sizes = own.groupBy("fingerprint").agg(F.count("*").alias("size"))
     found = fingerprints.near(asked, own).join(sizes, "fingerprint").groupBy("query").agg(
         (F.sum("size") - 1).alias("near")  # without itself
     )
-    rows = own.join(edited, ["_k", "_k2"]).join(following, ["_next", "_next2"])
+    rows = own.join(edited, ["__k", "__k2"]).join(following, ["__next", "__next2"])
     rows = rows.join(found, rows["fingerprint"] == found["query"], "left")
     mark = F.col("fingerprint")
     return rows.select(
@@ -135,6 +142,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_repeats": op2_repeats,
     "op3_decontamination": op3_decontamination,
     "op4_personal_data": op4_personal_data,
     "op5_sharding": op5_sharding,

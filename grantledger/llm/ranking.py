@@ -18,35 +18,35 @@ PLACE_BITS = 33
 
 
 def in_order(df: DataFrame, *keys: Column) -> DataFrame:
-    """`df`, written in the order of `keys`, with `_range` and `_place` (both from 0).
+    """`df`, written in the order of `keys`, with `__range` and `__place` (both from 0).
 
     Rows equal in all keys follow in the order of the input; that last key also
     lets a long run of equal rows be cut into several ranges.
     """
     width = shuffle_width(df.sparkSession)
-    df = df.withColumn("_input", F.monotonically_increasing_id())
-    by = [*keys, F.col("_input")]
-    dealt = df.repartitionByRange(width, *by).sortWithinPartitions(*by).drop("_input")
-    written = settle(dealt.withColumn("_at", F.monotonically_increasing_id()), "in-order")
+    df = df.withColumn("__input", F.monotonically_increasing_id())
+    by = [*keys, F.col("__input")]
+    dealt = df.repartitionByRange(width, *by).sortWithinPartitions(*by).drop("__input")
+    written = settle(dealt.withColumn("__at", F.monotonically_increasing_id()), "in-order")
     return written.select(
-        *[c for c in written.columns if c != "_at"],
-        F.shiftrightunsigned("_at", PLACE_BITS).alias("_range"),
-        F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("_place"),
+        *[c for c in written.columns if c != "__at"],
+        F.shiftrightunsigned("__at", PLACE_BITS).alias("__range"),
+        F.col("__at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("__place"),
     )
 
 
 def with_rank(df: DataFrame, *keys: Column, rank: str = "rank", total: str = "total") -> DataFrame:
     """`df` with the row's number, from 0, in the order of `keys` over the whole table, and the table's length."""
     ordered = in_order(df, *keys)
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     # one row for each range, so as many as there are shuffle partitions
-    starts = ordered.groupBy("_range").agg(F.count("*").alias("_n")).select(
-        "_range",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
-        F.sum("_n").over(Window.partitionBy()).alias(total),
+    starts = ordered.groupBy("__range").agg(F.count("*").alias("__n")).select(
+        "__range",
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"),
+        F.sum("__n").over(Window.partitionBy()).alias(total),
     )
-    joined = ordered.join(F.broadcast(starts), "_range")
-    return joined.withColumn(rank, F.col("_start") + F.col("_place")).drop("_range", "_place", "_start")
+    joined = ordered.join(F.broadcast(starts), "__range")
+    return joined.withColumn(rank, F.col("__start") + F.col("__place")).drop("__range", "__place", "__start")
 
 
 def with_running(df: DataFrame, group: str, value: str, *keys: Column, before: str = "before") -> DataFrame:
@@ -56,19 +56,19 @@ def with_running(df: DataFrame, group: str, value: str, *keys: Column, before: s
     """
     ordered = in_order(df, F.col(group), *keys)
     inside = (
-        Window.partitionBy("_range", group).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("__range", group).orderBy("__place").rowsBetween(Window.unboundedPreceding, -1)
     )
-    earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = ordered.groupBy("_range", group).agg(F.sum(value).alias("_sum"))
+    earlier = Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ordered.groupBy("__range", group).agg(F.sum(value).alias("__sum"))
     starts = sums.select(
-        F.col("_range").alias("_r"),
-        F.col(group).alias("_g"),
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"),
+        F.col("__range").alias("__r"),
+        F.col(group).alias("__g"),
+        F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__start"),
     )
-    local = ordered.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    local = ordered.withColumn("__inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     joined = local.join(
-        starts, (local["_range"] == starts["_r"]) & local[group].eqNullSafe(starts["_g"])
+        starts, (local["__range"] == starts["__r"]) & local[group].eqNullSafe(starts["__g"])
     )
-    return joined.withColumn(before, F.col("_start") + F.col("_inside")).drop(
-        "_range", "_place", "_inside", "_start", "_r", "_g"
+    return joined.withColumn(before, F.col("__start") + F.col("__inside")).drop(
+        "__range", "__place", "__inside", "__start", "__r", "__g"
     )

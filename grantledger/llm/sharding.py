@@ -24,18 +24,18 @@ def interleave(docs: DataFrame, key: str = "doc_id", shards: int = SHARDS, seed:
     source; null keys and repeated rows are rows like others; an empty table
     gives an empty table. Columns named `shard` and `slot` are replaced.
     """
-    rows = docs.drop("shard", "slot").withColumn("_drawn", seeded(seed, F.col(key))).withColumn("_one", F.lit(1))
-    ranked = with_running(rows, "source", "_one", F.col("_drawn"), F.col(key), before="_k")
-    sizes = docs.groupBy(F.col("source").alias("_source")).agg(F.count("*").alias("_n"))
-    placed = ranked.join(sizes, ranked["source"].eqNullSafe(sizes["_source"])).drop("_source")
-    placed = placed.withColumn("_at", (F.col("_k") + F.lit(0.5)) / F.col("_n"))
+    rows = docs.drop("shard", "slot").withColumn("__drawn", seeded(seed, F.col(key))).withColumn("__one", F.lit(1))
+    ranked = with_running(rows, "source", "__one", F.col("__drawn"), F.col(key), before="__earlier")
+    sizes = docs.groupBy(F.col("source").alias("__source")).agg(F.count("*").alias("__n"))
+    placed = ranked.join(sizes, ranked["source"].eqNullSafe(sizes["__source"])).drop("__source")
+    placed = placed.withColumn("__at", (F.col("__earlier") + F.lit(0.5)) / F.col("__n"))
     ordered = with_rank(
-        placed.select(*docs.drop("shard", "slot").columns, F.col("_at").alias("_fraction"), "_drawn"),
-        F.col("_fraction"), F.col("_drawn"), F.col(key), rank="_rank", total="_total",
+        placed.select(*docs.drop("shard", "slot").columns, F.col("__at").alias("__fraction"), "__drawn"),
+        F.col("__fraction"), F.col("__drawn"), F.col(key), rank="__rank", total="__total",
     )
     # the first rank of a shard is the least r with r * shards >= shard * total
-    return ordered.withColumn("shard", F.expr(f"cast(_rank * {shards} div _total as int)")).select(
+    return ordered.withColumn("shard", F.expr(f"cast(__rank * {shards} div __total as int)")).select(
         *docs.drop("shard", "slot").columns,
         "shard",
-        F.expr(f"_rank - (shard * _total + {shards - 1}) div {shards}").alias("slot"),
+        F.expr(f"__rank - (shard * __total + {shards - 1}) div {shards}").alias("slot"),
     )
