@@ -108,11 +108,13 @@ def near(queries: DataFrame, fingerprints: DataFrame, radius: int = RADIUS) -> D
 
 
 def with_edited(docs: DataFrame) -> DataFrame:
-    """`doc_id`, `__k`, `__k2`, `text`, `edited`, `__next`, `__next2` for each different row of `docs` (doc_id, text).
+    """A row for each different row of `docs` (doc_id, text), with its number of `copies`, `text` and `edited` text.
+
+    `__k` and `__k2` are its key, `__next` and `__next2` that of the next document.
 
     The edited text ends with the beginning of the next document, by descending
     id, nulls last, then a hash of the text; the last one's next is the first.
-    Repeated rows are one document. The whole text is dealt out once, by the key
+    Repeated rows are one document here, null texts empty. The whole text is dealt out once, by the key
     (`__k`, `__k2`); to its neighbour goes only the borrowed beginning.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -126,17 +128,22 @@ def with_edited(docs: DataFrame) -> DataFrame:
     follows = ranked.select(
         F.col("__k").alias("__next"), F.col("__k2").alias("__next2"), F.col("rank").alias("__rank")
     )
-    order = ranked.select("__k", "__k2", "n", ((F.col("rank") + 1) % F.col("total")).alias("__rank"))
-    order = order.join(follows, "__rank")
+    order = ranked.select(
+        "__k", "__k2", "doc_id", F.col("count").alias("copies"), "n",
+        ((F.col("rank") + 1) % F.col("total")).alias("__rank"),
+    ).join(follows, "__rank")
     asked = order.select(
         F.col("__next").alias("__k"), F.col("__next2").alias("__k2"), F.col("__k").alias("__to"),
-        F.col("__k2").alias("__to2"), F.floor(F.col("n") / 2).cast("int").alias("__chars"),
+        F.col("__k2").alias("__to2"), "doc_id", "copies", F.floor(F.col("n") / 2).cast("int").alias("__chars"),
     )
-    lent = rows.select("__k", "__k2", "text", "doc_id").join(asked, ["__k", "__k2"]).select(
+    # both joins read the same columns of the texts, so both read the same shuffle
+    texts = rows.select("__k", "__k2", "text")
+    lent = texts.join(asked, ["__k", "__k2"]).select(
         F.col("__to").alias("__k"), F.col("__to2").alias("__k2"), F.col("__k").alias("__next"),
-        F.col("__k2").alias("__next2"), "__chars", F.expr("substring(text, 1, __chars)").alias("__lent"),
+        F.col("__k2").alias("__next2"), "doc_id", "copies", "__chars",
+        F.expr("substring(text, 1, __chars)").alias("__lent"),
     )
     kept = F.expr("substring(text, 1, length(text) - __chars)")
-    return rows.select("__k", "__k2", "text", "doc_id").join(lent, ["__k", "__k2"]).select(
-        "__k", "__k2", "doc_id", "text", F.concat(kept, "__lent").alias("edited"), "__next", "__next2"
+    return texts.join(lent, ["__k", "__k2"]).select(
+        "__k", "__k2", "doc_id", "copies", "text", F.concat(kept, "__lent").alias("edited"), "__next", "__next2"
     )

@@ -104,7 +104,7 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     both = fingerprints.with_edited(docs).select(
-        "__k", "__k2", "__next", "__next2", "doc_id",
+        "__k", "__k2", "__next", "__next2", "doc_id", "copies",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         F.explode(F.array(
@@ -112,7 +112,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("body")),
         )).alias("version"),
     ).select("*", "version.*")
-    keys = ["__k", "__k2", "__next", "__next2", "doc_id", "n_chars", "edited_sha256", "is_edited"]
+    keys = ["__k", "__k2", "__next", "__next2", "doc_id", "copies", "n_chars", "edited_sha256", "is_edited"]
     marks = settle(fingerprints.simhash(both, *keys, text="body"), "fingerprints")
 
     own = marks.where("not is_edited").drop("is_edited")
@@ -121,14 +121,15 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__k").alias("__next"), F.col("__k2").alias("__next2"), F.col("fingerprint").alias("following")
     )
     asked = own.where(F.col("doc_id") % 50 == 0)
-    sizes = own.groupBy("fingerprint").agg(F.count("*").alias("size"))
+    sizes = own.groupBy("fingerprint").agg(F.sum("copies").alias("size"))
     found = fingerprints.near(asked, own).join(sizes, "fingerprint").groupBy("query").agg(
         (F.sum("size") - 1).alias("near")  # without itself
     )
     rows = own.join(edited, ["__k", "__k2"]).join(following, ["__next", "__next2"])
     rows = rows.join(found, rows["fingerprint"] == found["query"], "left")
     mark = F.col("fingerprint")
-    return rows.select(
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))  # repeated rows come back repeated
+    return rows.withColumn("__copy", each).select(
         "doc_id",
         "n_chars",
         "edited_sha256",
