@@ -96,7 +96,7 @@ def mix(
         F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
     ).otherwise(F.lit(0))
     extra = F.col("target") - whole * F.col("source_size")
-    inside = F.col("before") + F.col("size") / 2 <= extra
+    inside = (extra > 0) & (F.col("before") + F.col("size") / 2 <= extra)
     cuts = placed.groupBy("__source").agg(F.max(F.when(inside, F.col("place"))).alias("__cut"))
 
     of = of.withColumn("__whole", whole.cast("int")).join(

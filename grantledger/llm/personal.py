@@ -19,7 +19,7 @@ SAMPLE_DOCS = 20_000
 STEPS = 400
 ROUNDS = 12
 #: The log potential, before the sample is seen, of two similar words having one label.
-AGREE = 3.0
+AGREE = 6.0
 #: A token that no pattern found needs this chance of a label.
 SURE = 0.9
 
@@ -142,10 +142,12 @@ WIDTH = len(_shape("0")) * 3
 
 
 def _key(word: str) -> str:
-    """What similar words share: long numbers by their digits, other words without edges and case."""
+    """What similar words share: long numbers by their digits, addresses without edges and case; "" if the word says too little."""
     core = word.strip(_EDGES).lower()
     digits = "".join(_DIGITS.findall(core))
-    return digits if len(digits) >= 7 and not any(c.isalpha() for c in core) else core
+    if len(digits) >= 6 and not any(c.isalpha() for c in core):
+        return digits
+    return core if "@" in core or len(digits) >= 6 else ""
 
 
 def graph(text: str, words: list[tuple[int, int]]) -> tuple[list[list[float]], list[tuple[int, int]], list[tuple[int, int]]]:

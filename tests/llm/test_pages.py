@@ -1,0 +1,79 @@
+import re
+import time
+from html import unescape
+
+import pytest
+
+from grantledger.llm import pages as P
+from grantledger.llm.common import table
+from tests.conftest import TESTDATA
+
+PAGES = "page_id long, url string, html string, text string, keep int"
+
+
+def extracted(spark, rows, **limits):
+    df = spark.createDataFrame([(i, url, html, "old", 1) for i, (url, html) in enumerate(rows)], PAGES)
+    return {r.page_id: r.text for r in P.extract(df, **limits).collect()}
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<article><h1>A &amp; B</h1><p>one\n two<br>three<p>four &lt;x&gt;</article>", "A & B\n\none two three\n\nfour <x>"),
+    ("<body><nav><a>m</a></nav><article><p>x</p><aside>s</aside><div class='share-buttons'>y</div></article><footer>f", "x"),
+    ("<header><h1>Site</h1></header><main><article><header><h1>T</h1><span>by me</span></header><p>t</p></article></main>", "T\n\nt"),
+    ("<div id=cookie-notice>c</div><main><p>only main</main><div>x</div>", "only main"),
+    ("<p>no article</p><form><p>f</p></form><ul><li>a<li>b</ul><div class=\"comments\"><p>c</p></div>", "no article\n\na\n\nb"),
+    ("<article><p>long enough text</p></article><article class='comment'><p>a much longer reader comment than it</p></article>", "long enough text"),
+    ("<article><script>var t = '</p>';</script><p>a<!-- <p>b --> c</p><style>p{}</style></article>", "a c"),
+    ("<article><p>5 < 6 & 7 &gt; 3</p><p title='a > b'>q</p></article>", "5 < 6 & 7 > 3\n\nq"),
+    ("<article><table><tr><td>a<td>b<tr><td>c</table></article>", "a b\n\nc"),
+    ("<body class='has-sidebar ad'><article class='post ad-free'><p>kept</p></article></body>", "kept"),
+    ("<article><p hidden>h</p><p style='display: none'>n</p><p>v</p></article>", "v"),
+    ("just text", "just text"), ("", ""), (None, ""), ("<", "<"), ("<p", ""), ("<article>", ""),
+])
+def test_main_text(html, want):
+    assert P.main_text(P.parse(html or ""), frozenset()) == want
+
+
+def test_given_pages(spark):
+    rows = table(spark, f"{TESTDATA}/sf0.01", "pages").collect()
+    got = {r.page_id: r.text for r in P.extract(table(spark, f"{TESTDATA}/sf0.01", "pages")).collect()}
+    assert len(got) == len(rows)
+    for row in rows:
+        inside = re.search(r"<article>(.*)</article>", row.html, re.S)[1].replace("<br>", " ").replace("<b>", "")
+        blocks = [" ".join(unescape(b).split()) for b in re.split(r"</?(?:p|h1)>", inside)]
+        assert got[row.page_id] == "\n\n".join(b for b in blocks if b)
+
+
+def test_what_recurs_on_a_host_goes(spark):
+    frame = "<div class=x1><b>Best shop</b> of town</div>"
+    page = lambda i: f"{frame}<div class=x2><p>Text {i} of its own.</p><p>Same line.</p></div>"
+    rows = [(f"http://A.example:80/{i}", page(i)) for i in range(12)]
+    rows += [(f"https://b.example/{i}", frame + f"<p>Other {i}</p>") for i in range(3)]
+    rows += [(None, frame + "<p>No host</p>"), ("http://a.example/x", f"<article><p>Best shop</p><div><p>Body</p></div></article>{frame}")]
+    got = extracted(spark, rows)
+    assert got[4] == "Text 4 of its own."
+    assert got[13] == "Best shop of town\n\nOther 1"
+    assert got[15] == "Best shop of town\n\nNo host"
+    assert got[16] == "Best shop\n\nBody"
+    assert extracted(spark, rows, min_pages=100)[4] == "Best shop of town\n\nText 4 of its own.\n\nSame line."
+
+
+def test_paragraphs_of_articles_may_recur(spark):
+    rows = [("http://h/1", f"<article><p>License.</p><div class=z><p>Share it</p></div><p>{i}</p></article>") for i in range(20)]
+    assert extracted(spark, rows)[7] == "License.\n\n7"
+
+
+def test_odd_rows(spark):
+    rows = [(None, None), ("", ""), ("odd", "<article><p>x</p></article>")] + [("http://h/1", "<article><p>same</p></article>")] * 9
+    got = extracted(spark, rows)
+    assert got == {0: "", 1: "", 2: "x"} | {i: "same" for i in range(3, 12)}
+    empty = spark.createDataFrame([], PAGES)
+    assert P.extract(empty).count() == 0
+
+
+def test_odd_markup_takes_linear_time():
+    start = time.perf_counter()
+    for html in ("<" * 200_000, "<p \"" * 80_000, "<b>" * 40_000, "<p>x" * 40_000, "</b>" * 40_000, "<!--" * 50_000,
+                 "<span>" * 20_000 + "<p>" * 20_000, "<script>" * 30_000, "&" * 200_000, "<a href='" * 50_000):
+        P.main_text(P.parse(html), frozenset({1}))
+    assert time.perf_counter() - start < 60
