@@ -19,6 +19,8 @@ from grantledger.session import settle
 #: A subtree is template if it stands on so many pages of its host, and on this part of them.
 MIN_PAGES = 5
 MIN_SHARE = 0.2
+#: All hosts' templates go to every task if they have at most so many hashes (8 bytes each).
+SENT_HASHES = 1_000_000
 
 # fixed values: elements of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -183,7 +185,7 @@ def is_dropped(node: Node, in_article: bool) -> bool:
     if node.tag in ("html", "body", "main"):
         return False
     if node.tag == "article":
-        return bool(marks(node) & OWN_PARTS)
+        return not OWN_PARTS.isdisjoint(node.attribute("class", "id").lower().split())
     if node.tag == "header" and not in_article:
         return True
     if not node.attributes:
@@ -321,6 +323,27 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """`__host`, `__template`: the subtrees that recur on each host.
+
+    A subtree that stands on a part of `min_share` of the pages takes that part
+    of all their elements, so a host has at most 1 / `min_share` times as many
+    as one of its pages has elements on average, whatever its size.
+    """
+    keyed = pages.select(
+        F.xxhash64("url", "html").alias("__k"), F.xxhash64(F.lit(1), "html", "url").alias("__k2"),
+        host(F.col("url")).alias("__host"), "html",
+    )
+    hashed = keyed.mapInArrow(_hashed, "__k long, __k2 long, __host string, subtrees array<bigint>")
+    # one row for each different page
+    different = settle(hashed.groupBy("__k", "__k2", "__host").agg(F.first("subtrees").alias("subtrees")), "subtrees")
+    seen = different.select("__host", F.explode("subtrees").alias("__subtree"))
+    sizes = different.groupBy("__host").agg(F.count("*").alias("__pages"))
+    counts = seen.groupBy("__host", "__subtree").agg(F.count("*").alias("__on")).where(F.col("__on") >= min_pages)
+    recurring = counts.join(sizes, "__host").where(F.col("__on") >= min_share * F.col("__pages"))
+    return settle(recurring.groupBy("__host").agg(F.collect_list("__subtree").alias("__template")), "templates")
+
+
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """`pages` (with url, html) and `text`, the main text.
 
@@ -337,21 +360,11 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     """
     bounded_batches(pages.sparkSession)
     rows = pages.drop("text")
-    keyed = rows.withColumns({
-        "__k": F.xxhash64("url", "html"), "__k2": F.xxhash64(F.lit(1), "html", "url"), "__host": host(F.col("url")),
-    })
-    hashed = keyed.select("__k", "__k2", "__host", "html").mapInArrow(
-        _hashed, "__k long, __k2 long, __host string, subtrees array<bigint>"
+    found = templates(rows, min_pages, min_share)
+    held = found.agg(F.sum(F.size("__template"))).first()[0] or 0
+    # sent to all tasks up to a length, and joined by a shuffle, whose hot hosts are cut, beyond
+    found = F.broadcast(found) if held <= SENT_HASHES else found
+    joined = rows.withColumn("__host", host(F.col("url"))).join(found, "__host", "left")
+    return joined.select(*rows.columns, "__template").mapInArrow(
+        _extracted, with_fields(rows.schema, ("text", "string"))
     )
-    # one row for each different page
-    different = settle(hashed.groupBy("__k", "__k2", "__host").agg(F.first("subtrees").alias("subtrees")), "subtrees")
-    seen = different.select("__k", "__k2", "__host", F.explode("subtrees").alias("__subtree"))
-    sizes = different.groupBy("__host").agg(F.count("*").alias("__pages"))
-    counts = seen.groupBy("__host", "__subtree").agg(F.count("*").alias("__on")).where(F.col("__on") >= min_pages)
-    template = counts.join(sizes, "__host").where(F.col("__on") >= min_share * F.col("__pages"))
-    of_page = seen.join(template.select("__host", "__subtree"), ["__host", "__subtree"])
-    # at most the elements of one page in a row
-    of_page = of_page.groupBy("__k", "__k2").agg(F.collect_list("__subtree").alias("__template"))
-    joined = keyed.drop("__host").join(of_page, ["__k", "__k2"], "left").drop("__k", "__k2")
-    joined = joined.select(*rows.columns, "__template")
-    return joined.mapInArrow(_extracted, with_fields(rows.schema, ("text", "string")))
