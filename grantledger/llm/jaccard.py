@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grantledger.llm.common import WORD, bounded_batches
+from grantledger.llm.common import WORD, bounded_batches, shuffle_width
 from grantledger.llm.components import components
 from grantledger.llm.hashing import joined_bytes, mixed, word_hashes
 from grantledger.session import settle
@@ -298,7 +298,11 @@ class _Linker:
             self.docs.select("text").mapInArrow(_signed(self.words, plan), "signature long, node long, lead long"),
             "signatures",
         )
-        led = rows.where("node = lead").select("signature", "node")
+        # one shuffle serves both the hubs and the join with them; with a row for each batch
+        # at most, no signature has many
+        led = rows.where("node = lead").select("signature", "node").repartition(
+            shuffle_width(self.docs.sparkSession), "signature"
+        )
         hubs = led.groupBy("signature").agg(F.min("node").alias("hub"), F.max("node").alias("__last"))
         hubs = hubs.where("hub < __last").select("signature", "hub")
         across = led.join(hubs, "signature").select("signature", "node", "hub")
@@ -338,73 +342,80 @@ class _Linker:
     def labels(self, plan: Bands | None = None) -> DataFrame:
         """`node`, `component` for all sets with a link to another set.
 
-        Three rounds, each only over pairs of different components. First the
-        most frequent hub of each set, then all its hubs, then whatever pairs
-        share a signature. A large group of near copies is one component after
-        the first or second, so its pairs are never listed.
+        Three rounds, each only over pairs of different components. First each
+        set is compared with the hub that it shares most signatures with; then,
+        where sets of a signature are still apart, with a hub of another
+        component; then all pairs that share a signature and are still apart.
+        A large group of near copies is one component after the first or second
+        round, so its pairs are never listed.
         """
         shared = self.shared_signatures(plan)
-        starred = shared.where("node <> hub").groupBy(F.col("node").alias("a"), F.col("hub").alias("b"))
-        stars = settle(self.bounded(starred.agg(F.count("*").alias("__n"))), "stars")
-        shingles = None
-        links: DataFrame | None = None
-        found: DataFrame | None = None
-        tried: DataFrame | None = None
-        best = stars.groupBy("a").agg(F.max_by("b", F.struct("__n", "b")).alias("b"))
-        rounds = [
-            lambda: stars.join(best, ["a", "b"], "left_semi").drop("__n"),
-            lambda: self._apart(stars.drop("__n").join(best, ["a", "b"], "left_anti"), found),
-            lambda: self._rest(shared, found, tried),
-        ]
-        for candidates in rounds:
-            pairs = settle(candidates(), "pairs")
+        found = tried = links = known = shingles = None
+        for candidates in (self._first, self._second, self._rest):
+            pairs = settle(candidates(shared, found, tried), "pairs")
             if pairs.isEmpty():
                 continue
             ends = settle(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends")
-            if shingles is None:
-                shingles = self.shingles(ends)
-                known = ends
+            if known is None:
+                known, shingles = ends, self.shingles(ends)
             else:
                 new = settle(ends.join(known, "node", "left_anti"), "ends")
                 if not new.isEmpty():
-                    shingles = shingles.union(self.shingles(new))
-                    known = known.union(new)
+                    known, shingles = known.union(new), shingles.union(self.shingles(new))
             more = settle(self.verified(pairs, shingles), "links")
-            tried = pairs.select("a", "b") if tried is None else tried.union(pairs.select("a", "b"))
+            compared = pairs.select("a", "b")
+            tried = compared if tried is None else tried.union(compared)
             links = more if links is None else links.union(more)
             found = components(links)
         if found is None:
             return self.sets.where("false").select("node", F.col("node").alias("component"))
         return found
 
-    def _apart(self, pairs: DataFrame, found: DataFrame | None) -> DataFrame:
+    def _best(self, stars: DataFrame) -> DataFrame:
+        """Of each `a` the `b` with most signatures, if the bounds let the pair through."""
+        counted = stars.groupBy("a", "b").agg(F.count("*").alias("__n"))
+        best = counted.groupBy("a").agg(F.max_by("b", F.struct("__n", "b")).alias("b"))
+        return self.bounded(best)
+
+    def _first(self, shared: DataFrame, found: DataFrame | None, tried: DataFrame | None) -> DataFrame:
+        return self._best(shared.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")))
+
+    def _apart(self, shared: DataFrame, found: DataFrame | None) -> DataFrame:
+        """(`signature`, `node`, `component`) of the signatures whose sets are not one component."""
+        rows = shared.select("signature", "node")
         if found is None:
+            rows = rows.withColumn("component", F.col("node"))
+        else:
+            rows = rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        ends = rows.groupBy("signature").agg(F.min("component").alias("__a"), F.max("component").alias("__b"))
+        ends = ends.where("__a < __b").select("signature")
+        return settle(rows.join(ends, "signature", "left_semi").distinct(), "apart")
+
+    def _second(self, shared: DataFrame, found: DataFrame | None, tried: DataFrame | None) -> DataFrame:
+        apart = self._apart(shared, found)
+        hubs = apart.groupBy("signature").agg(F.min(F.struct("component", "node")).alias("hub"))
+        hubs = hubs.select("signature", F.col("hub.component").alias("__of"), F.col("hub.node").alias("b"))
+        stars = apart.join(hubs, "signature").where("component <> __of").select(F.col("node").alias("a"), "b")
+        return self._untried(self._best(stars), tried)
+
+    def _untried(self, pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
+        if tried is None:
             return pairs
-        for side in ("a", "b"):
-            of = found.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
-            pairs = pairs.join(of, side, "left").withColumn(f"c_{side}", F.coalesce(f"c_{side}", side))
-        return pairs.where("c_a <> c_b").drop("c_a", "c_b")
+        return pairs.join(tried.union(tried.select("b", "a")), ["a", "b"], "left_anti")
 
     def _rest(self, shared: DataFrame, found: DataFrame | None, tried: DataFrame | None) -> DataFrame:
-        """Pairs of different components that share a signature, meet the bounds and were not compared yet."""
-        rows = shared.select("signature", "node").distinct().join(self.sets.drop("__of"), "node")
-        if found is not None:
-            rows = rows.join(found, "node", "left")
-        else:
-            rows = rows.withColumn("component", F.lit(None).cast("long"))
-        rows = settle(rows.withColumn("component", F.coalesce("component", "node")), "members-of")
-        mixed_ = rows.groupBy("signature").agg(F.min("component").alias("__a"), F.max("component").alias("__b"))
-        rows = rows.join(mixed_.where("__a < __b").select("signature"), "signature", "left_semi")
-        side = lambda s: rows.select(
-            "signature", *[F.col(c).alias(f"{d}_{s}") for c, d in
-                           (("n", "n"), ("low", "low"), ("high", "high"), ("component", "c"))], F.col("node").alias(s)
-        )
-        pairs = side("a").join(side("b"), "signature").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")))
-        pairs = pairs.where(_may_link(self.percent)).select("a", "b", "n_a", "n_b").distinct()
-        if tried is not None:
-            both_ways = tried.union(tried.select("b", "a"))
-            pairs = pairs.join(both_ways, ["a", "b"], "left_anti")
-        return pairs
+        """All pairs of different components that share a signature, meet the bounds and were not compared yet."""
+        rows = settle(self._apart(shared, found).join(self.sets.drop("__of"), "node"), "sets-apart")
+
+        def side(name: str) -> DataFrame:
+            columns = {"n": "n", "low": "low", "high": "high", "component": "c"}
+            return rows.select(
+                "signature", F.col("node").alias(name), *[F.col(c).alias(f"{d}_{name}") for c, d in columns.items()]
+            )
+
+        wanted = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _may_link(self.percent)
+        both = side("a").join(side("b").withColumnRenamed("signature", "__s"), (F.col("signature") == F.col("__s")) & wanted)
+        return self._untried(both.select("a", "b", "n_a", "n_b").distinct(), tried)
 
 
 def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, plan: Bands | None = None) -> DataFrame:
