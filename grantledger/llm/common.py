@@ -31,7 +31,7 @@ def seeded(seed: int, *columns: Column) -> Column:
 
 
 #: Bytes of one Arrow batch handed to Python; a single longer text makes a batch of its own.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
