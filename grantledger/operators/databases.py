@@ -60,36 +60,41 @@ def role_members(
 
 
 def _securable_names(
-    principals: DataFrame, objects: DataFrame, securables: DataFrame
+    principals: DataFrame, objects: DataFrame, schemas: DataFrame, securables: DataFrame, compat: bool
 ) -> DataFrame:
-    """Names of what a permission can point to, keyed by class and id; schemas aside.
+    """Names of what a permission can point to, keyed by class and id.
 
-    A plain stack of the name tables, so Catalyst knows its size and broadcasts
-    it only where that is small.
+    Objects meet their schemas here, on the names' side, so the permissions
+    themselves are joined once. A stack of the name tables, so Catalyst knows
+    its size and broadcasts it only where that is small.
     """
-    nothing = F.lit(None)
+    nothing = F.lit(None).cast("string")
 
-    def entry(df, cls, key, kind=nothing.cast("string"), schema_id=nothing.cast("bigint")):
+    def entry(df, cls, key, name=F.col("name"), kind=nothing, schema_name=nothing):
         return df.select(
             *IN_DATABASE,
             F.lit(cls).alias("class"),
             F.col(key).cast("bigint").alias("target_id"),
-            F.col("name").alias("target_name"),
+            name.alias("target_name"),
             kind.alias("target_kind"),
-            schema_id.alias("schema_id"),
+            schema_name.alias("schema_name"),
         )
 
+    homes = schemas.select(*IN_DATABASE, "schema_id", F.col("name").alias("home"))
     parts = [
         entry(
-            objects, L.OBJECT_OR_COLUMN, "object_id",
-            F.col("type_desc"), F.col("schema_id").cast("bigint"),
+            objects.join(homes, [*IN_DATABASE, "schema_id"], "left"), L.OBJECT_OR_COLUMN, "object_id",
+            kind=F.col("type_desc"), schema_name=F.col("home"),
         ),
-        entry(objects, L.XML_SCHEMA_COLLECTION, "object_id"),
+        entry(schemas, L.SCHEMA, "schema_id", name=nothing, schema_name=F.col("name")),
         entry(principals, L.DATABASE_PRINCIPAL, "principal_id"),
     ]
-    for kind, cls in (
-        ("ASSEMBLY", L.ASSEMBLY), ("TYPE", L.TYPE), ("CERTIFICATE", L.CERTIFICATE)
-    ):
+    kinds = {"ASSEMBLY": L.ASSEMBLY, "TYPE": L.TYPE, "CERTIFICATE": L.CERTIFICATE}
+    if compat:
+        parts.append(entry(objects, L.XML_SCHEMA_COLLECTION, "object_id"))
+    else:
+        kinds["XML_SCHEMA_COLLECTION"] = L.XML_SCHEMA_COLLECTION
+    for kind, cls in kinds.items():
         parts.append(entry(securables.filter(F.col("kind") == kind), cls, "id"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -104,9 +109,13 @@ def object_permissions(
     databases: DataFrame,
     server_name: str | None = None,
     classes: Iterable[int] = L.SECURABLE_CLASSES,
+    compat: bool = False,
 ) -> DataFrame:
     """Staging rows of the object domain, for all securable classes in one scan.
 
+    An XML schema collection has an id space of its own and is looked up among
+    the collections; compat mode looks its id up among the objects.
+
     The eight classes differ only in where the securable's name comes from.
     The name tables are stacked into one keyed by class and id, so the
     permissions are read and joined once instead of once per class.
@@ -121,13 +130,10 @@ def object_permissions(
     names = _securable_names(
         principals,
         with_server(objects, server_name),
+        with_server(schemas, server_name),
         with_server(securables, server_name),
+        compat,
     ).filter(F.col("class").isin(classes))
-    schema_names = with_server(schemas, server_name).select(
-        *IN_DATABASE,
-        F.col("schema_id").cast("bigint").alias("schema_id"),
-        F.col("name").alias("schema_name"),
-    )
     column_names = with_server(columns, server_name).select(
         *IN_DATABASE,
         F.col("object_id").cast("bigint").alias("target_id"),
@@ -135,9 +141,9 @@ def object_permissions(
         F.col("name").alias("column_name"),
     )
     spread_by = ("grantee_principal_id", "major_id", "permission_name")
-    # neither class is among the names, and column and schema ids are positive: a
-    # spread id finds nothing
-    has_name = ~F.col("class").isin(L.DATABASE, L.SCHEMA)
+    # a database is not among the names, and column ids are positive: a spread id
+    # finds nothing
+    has_name = F.col("class") != L.DATABASE
     on_column = (F.col("class") == L.OBJECT_OR_COLUMN) & (F.col("minor_id") > 0)
     facts = facts.withColumns(
         {
@@ -149,11 +155,6 @@ def object_permissions(
     resolved = facts.join(grantees, [*IN_DATABASE, "grantee_principal_id"], "left").join(
         names, [*IN_DATABASE, "class", "target_id"], "left"
     )
-    # a schema is either the securable itself or the home of an object
-    home = F.when(F.col("class") == L.SCHEMA, F.col("major_id")).otherwise(F.col("schema_id"))
-    resolved = resolved.withColumn("schema_id", lookup_id(home.isNotNull(), home, *spread_by)).join(
-        schema_names, [*IN_DATABASE, "schema_id"], "left"
-    )
     if L.OBJECT_OR_COLUMN in classes:
         resolved = resolved.join(column_names, [*IN_DATABASE, "target_id", "column_id"], "left")
     else:

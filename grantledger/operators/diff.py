@@ -40,7 +40,8 @@ def compare(
 ) -> DataFrame:
     """One row per distinct value tuple, flagged with the sides that hold it.
 
-    `history` adds the time a sticky row was last recorded as removed.
+    The time a sticky row was last recorded as removed comes from live, where
+    live tables carry it, or else from `history`.
     """
     def side(df: DataFrame, in_live: bool, in_staging: bool, seen: Column, recorded: Column):
         return df.select(
@@ -52,7 +53,8 @@ def compare(
         )
 
     never = F.lit(None).cast("timestamp")
-    stacked = side(live, True, False, _poll(live), never).unionByName(
+    noted = F.col(RECORDED) if RECORDED in live.columns else never
+    stacked = side(live, True, False, _poll(live), noted).unionByName(
         side(staging, False, True, never, never)
     )
     if history is not None and domain.sticky is not None:
@@ -168,56 +170,13 @@ def apply_added(live: DataFrame, new: DataFrame, domain: Domain) -> DataFrame:
     return live.select(*columns).unionByName(new.select(*columns))
 
 
-def replace(
-    live: DataFrame, staging: DataFrame, domain: Domain, as_of: datetime | str
-) -> DataFrame:
-    """Removal and insertion in one shuffle, for domains without sticky rows.
-
-    Every distinct snapshot row, with the live row's time where it has one.
-    """
-    if domain.sticky is not None:
-        raise ValueError(f"{domain.name} keeps sticky rows; use upsert")
-    rows = compare(live, staging, domain).filter(F.col(IN_STAGING))
-    return rows.select(
-        *domain.values, F.coalesce(F.col(FIRST_SEEN), stamp(as_of)).alias(POLL)
-    )
-
-
-def upsert(
-    live: DataFrame,
-    staging: DataFrame,
-    as_of: datetime | str,
-    domain: Domain = INSTANCE,
-    compat: bool = False,
+def upsert_compat(
+    live: DataFrame, staging: DataFrame, as_of: datetime | str, domain: Domain = INSTANCE
 ) -> DataFrame:
-    """Bring live up to the snapshot, rewriting stale rows that share the update key.
+    """Live with every row of a new row's key overwritten, also those still valid, by the smallest new one.
 
-    Strict mode lets a new row replace every stale row (one the snapshot no
-    longer holds) of its key, and inserts the other new rows. All new rows get
-    the same time, so the result does not depend on which of several new rows
-    is called the update and which the insert.
-
-    Compat mode overwrites every live row of the key, also those still valid,
-    with the smallest new row of that key, and matches with plain equality.
+    Keys match with plain equality; the other new rows are inserted.
     """
-    if compat:
-        return _upsert_compat(live, staging, as_of, domain)
-    rows = compare(live, staging, domain)
-    new = rows.filter(_new())
-    stale = rows.filter(_gone())
-    kept_stale = stale.alias("l").join(
-        new.select(*domain.update_key).distinct().alias("r"), same(domain.update_key), "left_anti"
-    )
-    current = rows.filter(F.col(IN_STAGING)).withColumn(
-        FIRST_SEEN, F.coalesce(F.col(FIRST_SEEN), stamp(as_of))
-    )
-    columns = [*domain.values, F.col(FIRST_SEEN).alias(POLL)]
-    return current.select(*columns).unionByName(kept_stale.select(*columns))
-
-
-def _upsert_compat(
-    live: DataFrame, staging: DataFrame, as_of: datetime | str, domain: Domain
-) -> DataFrame:
     delta = added(live, staging, domain, as_of)
     pick = delta.groupBy(*domain.update_key).agg(
         F.min(F.struct(*domain.values, POLL)).alias("pick")
@@ -239,6 +198,25 @@ def _upsert_compat(
     return updated.unionByName(rest.select(*columns))
 
 
+def upsert(
+    live: DataFrame,
+    staging: DataFrame,
+    as_of: datetime | str,
+    domain: Domain = INSTANCE,
+    compat: bool = False,
+) -> DataFrame:
+    """Live brought up to the snapshot by a comparison of the two.
+
+    Strict mode lets a new row replace every stale row (one the snapshot no
+    longer holds) of its key, and inserts the other new rows. All new rows get
+    the same time, so the result does not depend on which of several new rows
+    is called the update and which the insert.
+    """
+    if compat:
+        return upsert_compat(live, staging, as_of, domain)
+    return next_live(live, changes(live, staging, domain), domain, as_of)
+
+
 def next_live(
     live: DataFrame,
     delta: DataFrame,
@@ -268,10 +246,24 @@ def next_live(
             leaving = leaving.unionByName(
                 sticky.alias("l").join(dropped.alias("r"), same(principal), "left_semi")
             )
-    stay = live.alias("l").join(leaving.alias("r"), same(domain.values), "left_anti")
-    return stay.select(*domain.values, POLL).unionByName(
-        new.select(*domain.values, stamp(as_of).alias(POLL))
-    )
+    columns = [*domain.values, POLL]
+    if RECORDED in live.columns:
+        # what stays although it is gone was recorded by this run at the latest
+        recorded = gone.filter(_is_sticky(domain) & F.col("unrecorded")).select(*domain.values)
+        marks = leaving.select("*", F.lit(True).alias("leaves")).unionByName(
+            recorded.select("*", F.lit(False).alias("leaves"))
+        ).groupBy(*domain.values).agg(F.max("leaves").alias("leaves"))
+        noted = F.when(F.col("r.leaves").isNotNull(), stamp(as_of)).otherwise(F.col(f"l.{RECORDED}"))
+        stay = live.alias("l").join(marks.alias("r"), same(domain.values), "left").filter(
+            ~F.coalesce(F.col("r.leaves"), F.lit(False))
+        ).select("l.*", noted.alias("__noted")).drop(RECORDED).withColumnRenamed("__noted", RECORDED)
+        columns.append(RECORDED)
+    else:
+        stay = live.alias("l").join(leaving.alias("r"), same(domain.values), "left_anti")
+    fresh = new.select(*domain.values, stamp(as_of).alias(POLL))
+    if RECORDED in columns:
+        fresh = fresh.withColumn(RECORDED, F.lit(None).cast("timestamp"))
+    return stay.select(*columns).unionByName(fresh.select(*columns))
 
 
 def alters_live(delta: DataFrame, domain: Domain) -> DataFrame:

@@ -52,7 +52,7 @@ def group_paths(edges: DataFrame) -> DataFrame:
         start = found.filter(F.col("depth") == reach).select("child", F.col("ancestor").alias("mid"))
         rest = found.withColumnsRenamed({"child": "mid"})
         longer = (
-            start.join(rest, "mid", "inner")
+            spread_join(start, rest, ["mid"])
             .filter(F.col("child") != F.col("ancestor"))
             .groupBy("child", "ancestor")
             .agg((F.min("depth") + reach).alias("depth"))
@@ -65,26 +65,38 @@ def group_paths(edges: DataFrame) -> DataFrame:
         reach *= 2
 
 
-def groups_below(paths: DataFrame, roots: DataFrame) -> DataFrame:
-    """The root groups and all groups nested anywhere below them, as `ancestor`."""
-    top = roots.select(F.col("group").alias("ancestor"))
-    below = paths.join(top, "ancestor", "left_semi").select(F.col("child").alias("ancestor"))
-    return settle(top.unionByName(below).distinct(), "groups")
+def groups_below(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """The root groups and all groups nested anywhere below them, as `ancestor`.
+
+    Walked from the roots down, a level in each round, so edges out of their
+    reach are not followed.
+    """
+    links = _links(edges)
+    found = settle(roots.select(F.col("group").alias("ancestor")).distinct(), "groups")
+    level = found
+    while True:
+        below = links.join(level.select(F.col("ancestor").alias("parent")), "parent", "left_semi")
+        level = settle(
+            below.select(F.col("child").alias("ancestor")).distinct().join(found, "ancestor", "left_anti"), "groups"
+        )
+        if level.isEmpty():
+            return found
+        found = found.unionByName(level)
 
 
 def closure(edges: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     """(account_name, ancestor, depth) over any number of nesting levels.
 
-    With `roots`, ancestors are the roots and the groups below them.
+    With `roots`, ancestors are the roots and the groups below them, and only
+    edges into these are walked.
     """
+    if roots is not None:
+        wanted = groups_below(edges, roots).withColumnRenamed("ancestor", "permission_path")
+        edges = settle(edges.join(wanted, "permission_path", "left_semi"), "edges")
     paths = group_paths(edges)
     direct = edges.select(
         "account_name", F.col("permission_path").alias("ancestor"), F.lit(1).alias("depth")
     )
-    if roots is not None:
-        wanted = groups_below(paths, roots)
-        paths = paths.join(wanted, "ancestor", "left_semi")
-        direct = direct.join(wanted, "ancestor", "left_semi")
     nested = spread_join(
         edges.select("account_name", F.col("permission_path").alias("child")).distinct(),
         paths,
@@ -135,7 +147,7 @@ def gather(edges: DataFrame, logins: DataFrame, compat: bool = False) -> DataFra
             F.col("account_name").alias("PrincipalName"),
             F.col("ancestor").alias("ADGroupName"),
         )
-    wanted = groups_below(group_paths(edges), group_logins(logins))
+    wanted = groups_below(edges, group_logins(logins))
     upper = (
         _nested(edges)
         .join(wanted.withColumnRenamed("ancestor", "parent"), "parent", "left_semi")

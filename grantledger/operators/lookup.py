@@ -19,6 +19,8 @@ OBJECT_COLUMNS = (
 )
 ROLE_COLUMNS = ("ServerName", "Scope", "PrincipalName", "PrincipalType", "DatabaseRole", POLL)
 ASKED = "Principal"
+#: So many names become literals of a filter; longer lists are joined.
+LITERALS = 10_000
 
 
 class Live(NamedTuple):
@@ -48,16 +50,34 @@ def identities(principal: str, groups: DataFrame) -> DataFrame:
     return own.unionByName(in_groups.dropna()).distinct()
 
 
+def _listed(rows: DataFrame, column: str) -> list | None:
+    """The distinct values of a settled column, or None if they are many."""
+    values = rows.select(column).distinct().limit(LITERALS + 1).collect()
+    return [row[0] for row in values] if len(values) <= LITERALS else None
+
+
+def _having(table: DataFrame, column: str, rows: DataFrame) -> DataFrame:
+    """Rows of `table` whose `column` is among that of `rows`.
+
+    A short list is a filter with literals, which reaches the scan: live files
+    are sorted by principal, so most of their row groups and pages are skipped.
+    """
+    values = _listed(rows, column)
+    if values is None:
+        return table.join(rows.select(column).distinct(), column, "left_semi")
+    return table.filter(F.col(column).isin(values))
+
+
 def instance_part(who: DataFrame, live: Live) -> DataFrame:
     """Instance permissions of the identities."""
-    return live.instance.join(who, "PrincipalName", "left_semi").select(*INSTANCE_COLUMNS)
+    return _having(live.instance, "PrincipalName", who).select(*INSTANCE_COLUMNS)
 
 
 def roles_part(
     who: DataFrame, live: Live, server_name: str | None = None, compat: bool = False
 ) -> DataFrame:
     """Database roles the identities hold; compat mode shows `server_name` on them."""
-    held = live.roles.join(who, "PrincipalName", "left_semi").select(*ROLE_COLUMNS)
+    held = _having(live.roles, "PrincipalName", who).select(*ROLE_COLUMNS)
     if compat and server_name is not None:
         held = held.withColumn("ServerName", F.lit(server_name))
     return held
@@ -70,17 +90,21 @@ def role_permissions_part(who: DataFrame, live: Live, compat: bool = False) -> D
     identity that holds the role.
     """
     key = ["Scope", "PrincipalName"] if compat else ["ServerName", "Scope", "PrincipalName"]
-    held = live.roles.join(who, "PrincipalName", "left_semi")
+    held = _having(live.roles, "PrincipalName", who)
     names = held.drop("PrincipalName").withColumnRenamed("DatabaseRole", "PrincipalName")
-    names = names.select(*key) if compat else names.select(*key).distinct()
-    return live.objects.join(settle(names, "roles"), key, "inner").select(*OBJECT_COLUMNS)
+    names = settle(names.select(*key) if compat else names.select(*key).distinct(), "roles")
+    return _having(live.objects, "PrincipalName", names).join(names, key, "inner").select(*OBJECT_COLUMNS)
 
 
 def objects_part(principal: str, who: DataFrame, live: Live, logins: DataFrame) -> DataFrame:
-    """Object permissions of the identities, or of the sid of the principal's login."""
+    """Object permissions of the identities, or of the sid of the principal's login; one read of the objects."""
     sids = settle(
         logins.filter(F.col("name") == principal).select("sid").dropna().distinct(), "sids"
     )
+    names, numbers = _listed(who, "PrincipalName"), _listed(sids, "sid")
+    if names is not None and numbers is not None:
+        either = F.col("PrincipalName").isin(names) | F.col("sid").isin(numbers)
+        return live.objects.filter(either).select(*OBJECT_COLUMNS)
     # both conditions of the OR as flags, so the objects are read once
     flagged = live.objects.join(
         who.withColumn("by_name", F.lit(True)), "PrincipalName", "left"
@@ -130,7 +154,7 @@ def permissions_of(principals: DataFrame, live: Live, logins: DataFrame) -> Perm
     left side of the spread joins, so a name or role holding a large share of
     all rows is cut into slices.
     """
-    who = identities_of(principals, live.groups)
+    who = settle(identities_of(principals, live.groups), "identities")
     instance = spread_join(
         live.instance.select(*INSTANCE_COLUMNS), who, ["PrincipalName"]
     ).select(ASKED, *INSTANCE_COLUMNS)

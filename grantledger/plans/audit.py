@@ -16,11 +16,13 @@ from grantledger.operators import databases, diff, groups, instance
 from grantledger.schemas import (
     DOMAINS, GROUPS, INSTANCE, OBJECTS, POLL, PRINCIPALS, ROLES, Domain,
 )
+from grantledger.session import scratch
 from grantledger.sources.catalogs import Catalogs
-from grantledger.sources.state import State
+from grantledger.sources.state import CHANGE_KIND, Part, State
 
 LOG = logging.getLogger(__name__)
 
+#: Log ids of a run: its own and those of its steps, of which there are fourteen.
 IDS_PER_RUN = 100
 NO_PARENT = -1
 RUN_NAME = "record permissions"
@@ -43,6 +45,21 @@ STEPS = {
 ORDER = (CLEAR, *[name for names in STEPS.values() for name in names])
 
 
+#: The watermark of a compat run is that of the last successful run, unless one is given.
+LAST_SUCCESS = "last success"
+
+
+class LateSnapshot(ValueError):
+    """The snapshot is not newer than what is recorded already."""
+
+
+def moment(value: datetime | str) -> datetime:
+    """A time as it is compared with recorded ones, in the session time zone."""
+    if isinstance(value, str):
+        value = datetime.fromisoformat(value)
+    return value.astimezone(timezone.utc).replace(tzinfo=None) if value.tzinfo else value
+
+
 @dataclass
 class AuditResult:
     run_id: int
@@ -66,23 +83,24 @@ def gather(domain: Domain, catalogs: Catalogs, server_name: str | None, compat:
         )
     return databases.object_permissions(
         c.database_permissions, c.database_principals, c.all_objects, c.schemas,
-        c.all_columns, c.securables, c.databases, server_name,
+        c.all_columns, c.securables, c.databases, server_name, compat=compat,
     )
 
 
 class _DomainRun:
     """One domain's part of a run; its steps follow each other."""
 
-    def __init__(self, domain: Domain, state: State, run_id: int, as_of, slot: int | None) -> None:
+    def __init__(self, domain: Domain, state: State, run_id: int, as_of, version: int | None) -> None:
         self.domain = domain
         self.state = state
         self.run_id = run_id
         self.as_of = as_of
-        self.slot = slot
+        self.earlier = version
+        self.version: int | None = None
         self.recorded: list[str] = []
-        self.live = state.live_at(domain, slot)
 
     def gather(self, catalogs: Catalogs, server_name: str | None, compat: bool) -> None:
+        self.live = self.state.live_at(self.domain, self.earlier)
         rows = gather(self.domain, catalogs, server_name, compat)
         self.state.write_staging(self.domain, rows)
 
@@ -90,6 +108,9 @@ class _DomainRun:
     def staging(self) -> DataFrame:
         return self.state.staging(self.domain)
 
+    def settled(self, step: str, rows: DataFrame) -> DataFrame:
+        return self.state.settle_work(self.domain, step, rows)
+
     def record(self, kind: Domain, rows: DataFrame) -> bool:
         if not self.state.write_history(kind, self.run_id, rows):
             return False
@@ -97,23 +118,26 @@ class _DomainRun:
         return True
 
     def write_live(self, rows: DataFrame) -> None:
-        self.slot = self.state.write_live(self.domain, rows, self.slot)
+        self.version = self.state.write_live(self.domain, rows, self.run_id)
 
 
 class _StrictRun(_DomainRun):
-    """One comparison, whose result all later steps reuse."""
+    """One comparison, whose result all later steps reuse; no history is read."""
 
     def removed(self) -> None:
         domain = self.domain
-        history = self.state.history(domain) if domain.sticky else None
-        found = diff.changes(self.live, self.staging, domain, history)
-        self.delta = self.state.settle_work(domain, found)
+        self.delta = self.settled("changes", diff.changes(self.live, self.staging, domain))
         gone = self.delta.filter((F.col("change") == "removed") & F.col("unrecorded"))
-        self.record(domain, gone.select(*domain.values, stamp(self.as_of).alias(POLL)))
+        if domain.update_key:
+            gone = diff.superseded(gone, self.delta.filter(F.col("change") == "added"), domain)
+        else:
+            gone = gone.withColumn(CHANGE_KIND, F.lit("removed"))
+        kept = gone.select(*domain.values, stamp(self.as_of).alias(POLL), diff.FIRST_SEEN, CHANGE_KIND)
+        self.record(domain, kept)
 
     def dropped(self) -> None:
         rows = diff.dropped_principals(self.delta, self.staging, self.as_of)
-        self.drops = self.record(PRINCIPALS, rows)
+        self.drops = self.record(PRINCIPALS, self.settled("dropped", rows))
 
     def changed(self) -> None:
         if diff.alters_live(self.delta, self.domain).isEmpty():
@@ -136,25 +160,33 @@ class _CompatRun(_DomainRun):
     since: datetime | str | None = None
     deleted = False
 
-    def _delete(self, kind: Domain) -> None:
+    def gather(self, catalogs: Catalogs, server_name: str | None, compat: bool) -> None:
+        super().gather(catalogs, server_name, compat)
+        self.live = self.live.select(*self.domain.values, POLL)
+
+    def _delete(self, kind: Domain, step: str) -> None:
         gone = diff.removed(self.live, self.staging, kind, self.as_of)
-        recorded = self.record(kind, self.state.settle_work(kind, gone))
-        history = self.state.history(kind).drop("run_id")
+        recorded = self.record(kind, self.settled(step, gone))
+        if self.since is None:
+            return
+        columns = [*kind.values, POLL]
+        history = self.state.history(kind, self.since).select(*columns)
         if recorded:
-            history = history.unionByName(self.state.recorded_in(kind, self.run_id))
-        self.live = diff.apply_removed(self.live, history, kind, True, self.since)
+            history = history.unionByName(self.state.recorded_in(kind, self.run_id).select(*columns))
+        after = diff.apply_removed(self.live, history, kind, True, self.since)
+        self.live = self.settled(f"after-{step}", after)
         self.deleted = True
 
     def removed(self) -> None:
-        self._delete(self.domain)
+        self._delete(self.domain, "removed")
 
     def dropped(self) -> None:
-        self._delete(PRINCIPALS)
+        self._delete(PRINCIPALS, "dropped")
 
     def changed(self) -> None:
         domain, staging = self.domain, self.staging
         if domain is INSTANCE:
-            live = diff.upsert(self.live, staging, self.as_of, compat=True)
+            live = diff.upsert_compat(self.live, staging, self.as_of)
         else:
             new = diff.added(self.live, staging, domain, self.as_of)
             live = diff.apply_added(self.live, new, domain)
@@ -174,8 +206,9 @@ def run_audit(
     server_name: str | None = None,
     run_by: str = "audit",
     compat: bool = False,
-    since: datetime | str | None = None,
+    since: datetime | str | None = LAST_SUCCESS,
     run_id: int | None = None,
+    delivery: str | None = None,
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc).replace(tzinfo=None),
 ) -> AuditResult:
     """Run the fourteen steps once and commit the result.
@@ -185,16 +218,40 @@ def run_audit(
     mode the rest of its domain is skipped and its state left as it was, and
     the run counts as failed. In compat mode the later steps go on with what is
     there, the run counts as successful, and deletions use history polled after
-    `since`, the time of the last successful run (see `sources.runs.watermark`).
+    `since`: by default the snapshot of the last successful run, without which,
+    or with None, nothing is deleted.
+
+    A run has the next number. `delivery` (or an earlier `run_id`) says which
+    snapshot this is: if all its domains are complete nothing is done, and of
+    one that failed in part only the open domains are run. A snapshot that is
+    not newer than what an open domain has recorded raises `LateSnapshot`.
     """
+    at = moment(as_of)
+    head = state.head()
+    known = None
+    if run_id is not None or delivery is not None:
+        known = state.done(run_id, delivery)
+    wanted = [d for d in DOMAINS if d.name not in (known or ())]
+    if not wanted:
+        return AuditResult(head.last_run if run_id is None else run_id, True)
+    late = [d.name for d in wanted if d.name in head.as_of and head.as_of[d.name] >= at]
+    if late:
+        raise LateSnapshot(f"{', '.join(late)}: a snapshot of {at} or later is recorded already")
     if run_id is None:
-        run_id = state.last_run() + 1
-    elif state.is_committed(run_id):
-        return AuditResult(run_id, True)
+        run_id = head.last_run + 1
+    if since == LAST_SUCCESS:
+        since = head.last_success
     result = AuditResult(run_id, True)
     parent = run_id * IDS_PER_RUN
     started = clock()
+    number = {name: parent + 1 + i for i, name in enumerate(ORDER)}
+    names = [CLEAR, *[name for d in wanted for name in STEPS[d]]]
     rows: dict[str, tuple] = {}
+    state.begin(
+        run_id, delivery, at, started,
+        [(parent, NO_PARENT, RUN_NAME, started, None, run_by, "N")]
+        + [(number[name], parent, name, started, None, run_by, "N") for name in names],
+    )
 
     def step(name: str, action: Callable[[], None], skip: str | None = None) -> bool:
         opened = clock()
@@ -208,10 +265,7 @@ def run_audit(
                 message = str(error)
         if message is not None:
             result.errors[name] = message
-        rows[name] = (
-            parent + 1 + ORDER.index(name), parent, name, opened, clock(), run_by,
-            "Y" if message is None else "N",
-        )
+        rows[name] = (number[name], parent, name, opened, clock(), run_by, "Y" if message is None else "N")
         return message is None
 
     def run_domain(part: _StrictRun | _CompatRun) -> bool:
@@ -222,31 +276,44 @@ def run_audit(
             part.changed,
         ]
         complete = True
-        for name, action in zip(STEPS[part.domain], actions):
+        for name, action in zip(STEPS[part.domain], actions, strict=True):
             skip = None
             if not (complete or compat):
                 skip = f"skipped after a failed step of {part.domain.name}"
             complete = step(name, action, skip) and complete
-        part.finish()
-        return complete
-
-    step(CLEAR, state.clear_staging)
-    slots = state.slots_in_use()
-    kind = _CompatRun if compat else _StrictRun
-    parts = [kind(d, state, run_id, as_of, slots.get(d.name)) for d in DOMAINS]
-    for part in parts:
-        part.since = since
-    with ThreadPoolExecutor(len(parts)) as threads:
-        complete = list(threads.map(run_domain, parts))
-
+        try:
+            part.finish()
+        except Exception as error:  # noqa: BLE001 - the last step has not kept what it should
+            name = STEPS[part.domain][-1]
+            LOG.exception("%s: failed", name)
+            result.errors[name] = str(error)
+            rows[name] = (*rows[name][:-1], "N")
+            part.version = None
+            return False
+        return complete or compat
+
+    with scratch(state.spark):
+        step(CLEAR, state.clear_staging)
+        kind = _CompatRun if compat else _StrictRun
+        parts = [kind(d, state, run_id, at, head.versions.get(d.name)) for d in wanted]
+        for part in parts:
+            part.since = since
+        with ThreadPoolExecutor(len(parts)) as threads:
+            complete = list(threads.map(run_domain, parts))
+
+    result.steps = {name: name not in result.errors for name in names}
+    failed = [p.domain.name for p, ok in zip(parts, complete, strict=True) if not ok]
+    result.succeeded = not failed and (compat or not result.errors)
+    ended = clock()
+    whole = (parent, NO_PARENT, RUN_NAME, started, ended, run_by, "Y" if result.succeeded else "N")
     state.commit(
-        run_id,
-        [(p.domain.name, p.slot, p.recorded) for p, ok in zip(parts, complete) if ok or compat],
-    )
-    result.steps = {name: name not in result.errors for name in ORDER}
-    result.succeeded = compat or not result.errors
-    whole = (
-        parent, NO_PARENT, RUN_NAME, started, clock(), run_by, "Y" if result.succeeded else "N",
+        run_id, delivery, at, ended, result.succeeded,
+        [
+            Part(p.domain.name, ok, p.version, p.recorded) if ok else Part(p.domain.name, False, None, [])
+            for p, ok in zip(parts, complete, strict=True)
+        ],
+        [whole, *[rows[name] for name in names]],
     )
-    state.append_log([whole, *[rows[name] for name in ORDER]])
+    state.compact()
+    state.retire(ended)
     return result

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from grantledger.sources import files
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -46,7 +50,8 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by `spark.checkpoint.dir`.
 
-    Only a local session without that setting gets a folder of its own.
+    Only a local session without that setting, whose executors are the driver,
+    gets a folder of its own.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -58,13 +63,33 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Tables settled since each open `scratch` began.
+_OWNED: list[list[str]] = []
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts the lineage of iterative jobs. The table outlives lost executors, and
-    its file sizes let Catalyst choose the join for the next step.
+    its file sizes let Catalyst choose the join for the next step. Inside a
+    `scratch` it is removed at its end, otherwise it stays for the caller.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    if _OWNED:
+        _OWNED[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what was settled meanwhile; results must be written by then."""
+    owned: list[str] = []
+    _OWNED.append(owned)
+    try:
+        yield
+    finally:
+        _OWNED.remove(owned)
+        for path in owned:
+            files.delete(spark, path)

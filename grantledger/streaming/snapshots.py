@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import json
+import logging
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from grantledger.plans.audit import run_audit
+from grantledger.plans.audit import LateSnapshot, moment, run_audit
 from grantledger.sources.catalogs import Catalogs
 from grantledger.sources.state import State
 
+LOG = logging.getLogger(__name__)
+
 ANNOUNCEMENT = T.StructType(
     [
         T.StructField("path", T.StringType(), False),
@@ -19,7 +25,11 @@ ANNOUNCEMENT = T.StructType(
         T.StructField("server_name", T.StringType()),
     ]
 )
-RUNS_PER_BATCH = 10_000
+
+
+def delivery_of(path: str, as_of: str, server_name: str | None) -> str:
+    """What identifies an announcement, whichever stream or batch brings it."""
+    return json.dumps([path, as_of, server_name])
 
 
 def run_batch(
@@ -28,22 +38,31 @@ def run_batch(
     state: State,
     open_catalogs: Callable[[SparkSession, str], Catalogs] = Catalogs.from_files,
 ) -> None:
-    """Audit each announced snapshot in time order.
+    """Audit each announced snapshot in the order of its time, one at a time.
 
-    Run ids follow from the batch id, and committed runs are skipped, so a
-    batch delivered again adds nothing.
+    A delivery whose domains are all complete is skipped; of one that failed in
+    part, only the open domains are run again. A snapshot older than what is
+    recorded is set aside. A failed run ends the batch with an error, so the
+    stream brings it again and nothing later overtakes it.
     """
-    ordered = announced.orderBy("as_of", "path").toLocalIterator()
-    for position, row in enumerate(ordered, start=1):
-        if position >= RUNS_PER_BATCH:
-            raise ValueError("announce fewer snapshots per file")
-        run_audit(
-            open_catalogs(state.spark, row["path"]),
-            state,
-            row["as_of"],
-            server_name=row["server_name"],
-            run_id=batch_id * RUNS_PER_BATCH + position,
-        )
+    announced = announced.withColumn("_at", F.try_to_timestamp("as_of"))
+    for row in announced.orderBy("_at", "path").toLocalIterator():
+        if row["_at"] is None:
+            raise ValueError(f"no time: {row['as_of']!r} of {row['path']}")
+        delivery = delivery_of(row["path"], row["as_of"], row["server_name"])
+        if state.is_parked(delivery):
+            continue
+        try:
+            result = run_audit(
+                open_catalogs(state.spark, row["path"]), state, row["as_of"],
+                server_name=row["server_name"], delivery=delivery,
+            )
+        except LateSnapshot as late:
+            LOG.warning("set aside: %s", late)
+            state.park(delivery, moment(row["as_of"]), datetime.now(timezone.utc).replace(tzinfo=None))
+            continue
+        if not result.succeeded:
+            raise RuntimeError(f"run {result.run_id} on {row['path']} failed: {result.errors}")
 
 
 def follow(

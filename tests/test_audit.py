@@ -1,6 +1,7 @@
 """Whole runs on a small server: recording, failures, replays, compat mode, streaming."""
 
 import json
+import re
 from collections import Counter
 from dataclasses import fields, replace
 from datetime import datetime, timedelta
@@ -11,9 +12,11 @@ from pyspark.sql import types as T
 
 from grantledger.functions.times import in_alert_window, run_timestamp, stamp, stamp_text
 from grantledger.operators.lookup import permissions
-from grantledger.plans.audit import run_audit
+from grantledger.plans import audit
+from grantledger.plans.audit import LateSnapshot, run_audit
 from grantledger.schemas import DOMAINS, GROUPS, INSTANCE, OBJECTS, PRINCIPALS, ROLES
 from grantledger.sources import runs
+from grantledger.sources import state as state_module
 from grantledger.sources.catalogs import Catalogs
 from grantledger.sources.state import State
 from grantledger.streaming.snapshots import follow
@@ -120,23 +123,167 @@ def test_two_runs_and_a_quiet_third(spark, state):
     assert rows(state.history(OBJECTS), "PrincipalName", "PermissionState") == Counter(
         [("readers", "GRANT"), ("bob", "GRANT")]
     )
-    slots = state.slots_in_use()
+    versions = state.versions_in_use()
     kept = {d.name: (polled(state.live(d), d), state.history(d).count()) for d in DOMAINS}
 
     assert run_audit(second(spark), state, DAY3, "srv").succeeded
-    assert state.slots_in_use() == slots  # nothing rewritten
+    assert state.versions_in_use() == versions  # nothing rewritten
     assert {d.name: (polled(state.live(d), d), state.history(d).count()) for d in DOMAINS} == kept
 
     answer = permissions("ann", state.all_live(), second(spark).logins)
     assert rows(answer.role_permissions, "PrincipalName", "PermissionState") == Counter([("readers", "DENY")])
 
 
-def test_slots_are_reused_in_turn(spark, tmp_path):
-    state = State(spark, str(tmp_path / "state"), slots=2, sid_type=T.StringType())
-    for day, source, expected in ((1, first, 2), (2, second, 1), (3, first, 2)):
-        assert run_audit(source(spark), state, f"2024-02-0{day} 00:00:00", "srv").succeeded
-        assert state.slots_in_use()[ROLES.name] == (day - 1) % 2
-        assert state.live(ROLES).count() == expected
+def test_readers_keep_their_version_until_it_is_old(spark, tmp_path):
+    state = State(spark, str(tmp_path / "state"), retention=timedelta(hours=1), sid_type=T.StringType())
+    opened = None
+    for day, source, expected in ((1, first, 2), (2, second, 1), (3, first, 2), (4, second, 1)):
+        now = datetime(2024, 3, 1) + timedelta(minutes=10 * day)
+        assert run_audit(source(spark), state, f"2024-02-0{day} 00:00:00", "srv", clock=lambda now=now: now).succeeded
+        assert state.versions_in_use()[ROLES.name] == day and state.live(ROLES).count() == expected
+        opened = opened or state.all_live()
+    assert opened.roles.count() == 2 and opened.instance.count() == 4  # three rewrites later
+    assert run_audit(first(spark), state, "2024-02-05 00:00:00", "srv", clock=lambda: datetime(2024, 3, 2)).succeeded
+    folder = tmp_path / "state" / "live" / ROLES.live
+    assert sorted(p.name for p in folder.iterdir()) == ["run_id=4", "run_id=5"]
+
+
+def test_journal_stays_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state_module, "JOURNAL_FILES", 3)
+    state = State(spark, str(tmp_path / "state"), sid_type=T.StringType())
+    for day in range(1, 5):
+        assert run_audit((second, first)[day % 2](spark), state, f"2024-02-0{day} 00:00:00", "srv").succeeded
+        assert state.log().count() == 15 * day and state.commits().count() == day
+    folder = tmp_path / "state" / "journal"
+    files = {g.name: sum(p.name.startswith("part-") for p in g.iterdir()) for g in folder.iterdir()}
+    assert len(files) <= 2 and max(files.values()) <= 4
+    assert state.history(ROLES).count() == 2
+
+
+def test_a_lost_run_leaves_its_log_open(spark, state, monkeypatch):
+    def lost(*_):
+        raise ConnectionError("driver lost")
+
+    with monkeypatch.context() as patch, pytest.raises(ConnectionError):
+        patch.setattr(State, "commit", lost)
+        run_audit(first(spark), state, DAY1, "srv")
+    begun = state.log().collect()
+    assert len(begun) == 15 and all(r.ExecStopDT is None and r.SuccessIndicator == "N" for r in begun)
+    assert run_audit(first(spark), state, DAY1, "srv").succeeded
+    ended = state.log().collect()
+    assert len(ended) == 15 and all(r.ExecStopDT is not None and r.SuccessIndicator == "Y" for r in ended)
+
+
+def test_run_and_stream_share_one_state(spark, state, tmp_path):
+    """A direct run, then a stream with another snapshot, then a new checkpoint with a third one."""
+    assert run_audit(first(spark), state, DAY1, "srv").run_id == 1
+    feed = Feed(spark, state, tmp_path)
+    feed.announce("1.json", (feed.snapshot("b", second(spark)), DAY2))
+    feed.drain("checkpoint")
+    assert rows(state.history(INSTANCE), "PermissionType") == Counter([("VIEW",), ("CONNECT SQL",)])
+    feed.announce("2.json", (feed.snapshot("c", first(spark)), DAY3))
+    feed.drain("new_checkpoint")  # brings both files, of which one is new
+    assert state.last_run() == 3 and state.live(ROLES).count() == 2
+    assert set(values(state.live(OBJECTS), OBJECTS)) == set(values(state.staging(OBJECTS), OBJECTS))
+
+
+def test_redelivery_runs_only_what_failed(spark, state, tmp_path):
+    feed = Feed(spark, state, tmp_path)
+    feed.announce("1.json", (feed.snapshot("a", first(spark)), DAY1))
+    feed.drain("checkpoint")
+    path = feed.snapshot("b", second(spark))
+    members = tmp_path / "b" / "database_role_members"
+    sound = {p: p.read_bytes() for p in members.iterdir() if p.name.startswith("part-")}
+    for p in sound:
+        p.write_bytes(sound[p][: len(sound[p]) // 2] + b"torn")
+        (members / f".{p.name}.crc").unlink()
+    feed.announce("2.json", (path, DAY2))
+    with pytest.raises(Exception):  # noqa: B017 - the stream ends with the batch's error
+        feed.drain("checkpoint")
+    kept = state.live(ROLES).count()
+    for p, content in sound.items():
+        p.write_bytes(content)
+    feed.drain("checkpoint")
+    assert kept == 2 and state.live(ROLES).count() == 1
+    assert rows(state.history(ROLES), "PrincipalName", "DatabaseRole") == Counter([("bob", "readers")])
+    assert state.history(OBJECTS).count() == 2  # recorded once
+    last = state.commits().orderBy(F.desc("run_id")).first()
+    assert last.succeeded and "roles" in [p.domain for p in last.parts]
+
+
+def test_late_snapshots_are_set_aside(spark, state, tmp_path):
+    feed = Feed(spark, state, tmp_path)
+    feed.announce("1.json", (feed.snapshot("b", second(spark)), DAY2))
+    feed.drain("checkpoint")
+    kept = {d.name: polled(state.live(d), d) for d in DOMAINS}
+    feed.announce("2.json", (feed.snapshot("a", first(spark)), DAY1))
+    feed.drain("checkpoint")
+    assert {d.name: polled(state.live(d), d) for d in DOMAINS} == kept
+    assert state.commits().count() == 1
+    assert [r.as_of for r in state.journal().filter("kind = 'parked'").collect()] == [datetime(2024, 1, 1)]
+    feed.drain("other_checkpoint")
+    assert state.journal().filter("kind = 'parked'").count() == 1
+    with pytest.raises(LateSnapshot):
+        run_audit(first(spark), state, DAY2, "srv")
+
+
+def test_times_are_compared_as_times(spark, state, tmp_path):
+    feed = Feed(spark, state, tmp_path)
+    feed.announce("1.json", (feed.snapshot("b", second(spark)), "2024-01-10 00:00:00"), (feed.snapshot("a", first(spark)), "2024-01-09"))
+    feed.drain("checkpoint")
+    assert state.live(ROLES).count() == 1 and state.history(ROLES).count() == 1
+
+
+def test_a_failing_finish_is_a_failed_step(spark, state, monkeypatch):
+    run_audit(first(spark), state, DAY1, "srv", compat=True)
+    before = polled(state.live(ROLES), ROLES)
+
+    def broken_finish(self):
+        if self.domain is ROLES:
+            raise OSError("disk full")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(audit._CompatRun, "finish", broken_finish)
+        done = run_audit(second(spark), state, DAY2, "srv", compat=True)
+    assert not done.succeeded and done.errors == {"record new role members": "disk full"}
+    assert polled(state.live(ROLES), ROLES) == before and state.last_run() == 2
+    log = state.log().filter("USPName = 'record new role members'").orderBy("RecordPermissionsAuditID")
+    assert [r.SuccessIndicator for r in log.collect()] == ["Y", "N"]
+    again = run_audit(second(spark), state, DAY2, "srv", compat=True, run_id=2)
+    assert again.succeeded
+    assert list(again.steps) == ["clear staging", "gather roles", "record dropped role members", "record new role members"]
+
+
+def test_compat_run_takes_the_watermark_from_the_last_success(spark, state):
+    run_audit(first(spark), state, DAY1, "srv", compat=True)
+    run_audit(second(spark), state, DAY2, "srv", compat=True)
+    # what this run recorded is later than the last successful one, so it is deleted; bob has no sid and stays
+    assert ("ann", "VIEW") not in rows(state.live(INSTANCE), "PrincipalName", "PermissionType")
+    assert rows(state.live(ROLES), "PrincipalName") == Counter([("ann",), ("bob",)])
+
+
+def test_history_tells_first_seen_and_kind(spark, state):
+    run_audit(first(spark), state, DAY1, "srv")
+    run_audit(second(spark), state, DAY2, "srv")
+    found = state.history(INSTANCE).select("PermissionType", F.date_format("first_seen", "yyyy-MM-dd HH:mm:ss"), "change_kind")
+    assert {tuple(r) for r in found.collect()} == {("VIEW", DAY1, "removed"), ("CONNECT SQL", DAY1, "removed")}
+
+
+def test_strict_runs_read_no_history_and_compat_runs_prune_it(spark, state, monkeypatch):
+    run_audit(first(spark), state, DAY1, "srv")
+
+    def unread(*_):
+        raise AssertionError("history was read")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(State, "history", unread)
+        assert run_audit(second(spark), state, DAY2, "srv").succeeded
+        assert run_audit(second(spark), state, DAY3, "srv").succeeded
+    assert state.history(INSTANCE).count() == 2
+    later = state.history(INSTANCE, DAY1)
+    text = later._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*run_id", text)
+    assert later.count() == 2 and state.history(INSTANCE, DAY2).count() == 0
 
 
 def test_run_log(spark, state):
@@ -188,7 +335,7 @@ def test_failed_gather_in_compat_mode_empties_live(spark, state):
 
 def test_compat_run_without_watermark_deletes_nothing(spark, state):
     run_audit(first(spark), state, DAY1, "srv", compat=True)
-    run_audit(second(spark), state, DAY2, "srv", compat=True)
+    run_audit(second(spark), state, DAY2, "srv", compat=True, since=None)
     assert rows(state.live(INSTANCE), "PrincipalName", "PermissionType") == Counter(
         [("ann", "CONNECT SQL"), ("ann", "VIEW"), ("ann", "ALTER"), ("bob", "CONNECT SQL"), ("ann", "Database Role")]
     )
@@ -225,31 +372,38 @@ def test_committed_run_id_is_not_run_again(spark, state):
     assert state.live(INSTANCE).count() == 4
 
 
-def test_snapshots_arriving_as_a_stream(spark, state, tmp_path):
-    for name, source in (("a", first), ("b", second)):
-        snapshot = source(spark)
-        for field in fields(snapshot):
-            getattr(snapshot, field.name).write.parquet(f"{tmp_path}/{name}/{field.name}")
-    inbox = tmp_path / "inbox"
-    inbox.mkdir()
-
-    def announce(file, *entries):
-        lines = [
-            json.dumps({"path": f"{tmp_path}/{n}", "as_of": at, "server_name": "srv"}) for n, at in entries
-        ]
-        (inbox / file).write_text("\n".join(lines))
-
-    def drain(checkpoint):
-        query = follow(spark, str(inbox), state, str(tmp_path / checkpoint))
+class Feed:
+    """Snapshots in files and announcements of them."""
+
+    def __init__(self, spark, state, tmp_path):
+        self.spark, self.state, self.at = spark, state, tmp_path
+        self.inbox = tmp_path / "inbox"
+        self.inbox.mkdir()
+
+    def snapshot(self, name, source):
+        for field in fields(source):
+            getattr(source, field.name).write.parquet(f"{self.at}/{name}/{field.name}")
+        return f"{self.at}/{name}"
+
+    def announce(self, file, *entries):
+        lines = [json.dumps({"path": path, "as_of": at, "server_name": "srv"}) for path, at in entries]
+        (self.inbox / file).write_text("\n".join(lines))
+
+    def drain(self, checkpoint):
+        query = follow(self.spark, str(self.inbox), self.state, str(self.at / checkpoint))
         query.awaitTermination(300)
         assert query.exception() is None
 
-    announce("1.json", ("b", DAY2), ("a", DAY1))
-    drain("checkpoint")
+
+def test_snapshots_arriving_as_a_stream(spark, state, tmp_path):
+    feed = Feed(spark, state, tmp_path)
+    a, b = feed.snapshot("a", first(spark)), feed.snapshot("b", second(spark))
+    feed.announce("1.json", (b, DAY2), (a, DAY1))
+    feed.drain("checkpoint")
     assert rows(state.history(INSTANCE), "PermissionType") == Counter([("VIEW",), ("CONNECT SQL",)])
     committed = state.commits().count()
-    drain("checkpoint")          # nothing new
-    drain("other_checkpoint")    # the same batch delivered again
+    feed.drain("checkpoint")          # nothing new
+    feed.drain("other_checkpoint")    # the same batch delivered again
     assert state.commits().count() == committed
     assert state.history(INSTANCE).count() == 2
 

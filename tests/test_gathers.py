@@ -106,7 +106,8 @@ def database(spark):
             "database_name string, object_id int, column_id int, name string",
         ),
         securables=frame(
-            [("db", "ASSEMBLY", 7, "asm"), ("db", "TYPE", 7, "typ"), ("db", "CERTIFICATE", 7, "cert")],
+            [("db", "ASSEMBLY", 7, "asm"), ("db", "TYPE", 7, "typ"), ("db", "CERTIFICATE", 7, "cert"),
+             ("db", "XML_SCHEMA_COLLECTION", 10, "xsc")],
             "database_name string, kind string, id int, name string",
         ),
         databases=frame(
@@ -131,7 +132,7 @@ CASES = [
     ((5, 7, 0), ("CLASS", "N/A", "asm", "N/A")),
     ((6, 7, 0), ("CLASS", "N/A", "typ", "N/A")),
     ((6, 8, 0), ("CLASS", "N/A", None, "N/A")),
-    ((10, 10, 0), ("CLASS", "N/A", "t1", "N/A")),
+    ((10, 10, 0), ("CLASS", "N/A", "xsc", "N/A")),
     ((10, 50, 0), ("CLASS", "N/A", "Unknown", "N/A")),
     ((25, 7, 0), ("CLASS", "N/A", "cert", "N/A")),
     ((25, 8, 0), ("CLASS", "N/A", "Unknown", "N/A")),
@@ -158,6 +159,24 @@ def test_object_permissions_of_all_classes(spark):
     orphan = next(r for r in got if r.PermissionType == "orphan")
     assert orphan.sid is None and orphan.PrincipalName is None
     assert {(r.ServerName, r.Scope) for r in got} == {("srv", "db")}
+    # compat mode takes the id of a collection for that of an object
+    compat = databases.object_permissions(permissions, server_name="srv", compat=True, **parts)
+    names = {r.PermissionType: r.ObjectName for r in compat.collect()}
+    assert names == {r.PermissionType: r.ObjectName for r in got} | {"p13": "t1"}
+
+
+def test_permissions_meet_only_names_grantees_and_columns(spark, conf):
+    """Schemas join the objects: of three joins with the permissions none is by schema."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    parts = database(spark)
+    permissions = spark.createDataFrame(
+        [], "database_name string, class int, class_desc string, major_id int, minor_id int, "
+        "grantee_principal_id int, permission_name string, state_desc string",
+    )
+    df = databases.object_permissions(permissions, server_name="srv", **parts)
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    schema_joins = [line for line in text.splitlines() if "Join" in line and "schema_id" in line]
+    assert len(schema_joins) == 1 and text.count("Join LeftOuter") == 4
 
 
 def test_role_members_of_usable_databases(spark):

@@ -105,3 +105,15 @@ def test_direct_members_have_no_sid(spark):
     graph = edges(spark, [("u", "top"), ("u", "top"), ("u", "low")], {"top", "low"})
     rows = groups.direct_members(graph, logins(spark, ["top"], ["u"])).collect()
     assert [tuple(r) for r in rows] == [(None, "u", "top")]
+
+
+def test_edges_out_of_the_roots_reach_are_not_walked(spark, monkeypatch):
+    walked = []
+    paths = groups.group_paths
+    monkeypatch.setattr(groups, "group_paths", lambda edges: walked.append(edges.collect()) or paths(edges))
+    rows = [("a", "user", "g1"), ("g1", "group", "root"), ("b", "user", "far"), ("far", "group", "farther"), ("g2", "group", "g1"), ("g1", "group", "g2")]
+    edges = spark.createDataFrame(rows, "account_name string, type string, permission_path string")
+    roots = spark.createDataFrame([("root",)], "group string")
+    got = {(r.account_name, r.ancestor): r.depth for r in groups.closure(edges, roots).collect()}
+    assert {r.permission_path for r in walked[0]} == {"g1", "g2", "root"}
+    assert got == {("a", "g1"): 1, ("a", "root"): 2, ("a", "g2"): 2, ("g1", "root"): 1, ("g2", "root"): 2, ("g2", "g1"): 1, ("g1", "g2"): 1}

@@ -1,10 +1,12 @@
 """Lookups against nested loops in Python."""
 
 import random
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grantledger.operators import lookup
 from grantledger.schemas import GROUPS, INSTANCE, OBJECTS, ROLES
@@ -112,3 +114,29 @@ def test_role_permissions_compat_repeat_and_ignore_the_server(spark):
     assert sorted(r.ServerName for r in compat.role_permissions.collect()) == ["s", "s", "t", "t"]
     assert {r.ServerName for r in strict.roles.collect()} == {"s"}
     assert {r.ServerName for r in compat.roles.collect()} == {"here"}
+
+
+@pytest.mark.parametrize("literals", [0, 2])
+def test_long_lists_are_joined(spark, monkeypatch, literals):
+    monkeypatch.setattr(lookup, "LITERALS", literals)
+    data, state, logins = live_tables(spark, 1)
+    for name in SIDS:
+        answer = lookup.permissions(name, state, logins)
+        assert tuple(everything(part.drop("PollDate")) for part in answer) == brute(data, name)
+
+
+def test_names_reach_the_scan_of_a_recorded_state(spark, tmp_path):
+    from grantledger.plans.audit import run_audit
+    from grantledger.sources.state import State
+    from tests.rows import DAY1
+    from tests.test_audit import first
+
+    state = State(spark, str(tmp_path / "state"), sid_type=T.StringType())
+    catalogs = first(spark)
+    assert run_audit(catalogs, state, DAY1, "srv").succeeded
+    answer = lookup.permissions("ann", state.all_live(), catalogs.logins)
+    for part, scans in zip(answer, (1, 1, 1, 1)):
+        text = part._jdf.queryExecution().executedPlan().toString()
+        live = [line for line in text.splitlines() if "FileScan" in line and "/live/" in line]
+        assert len(live) == scans
+        assert re.search(r"PushedFilters: \[[^\]]*(In|EqualTo)\(PrincipalName", live[0])

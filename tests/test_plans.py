@@ -5,9 +5,9 @@ import re
 import pytest
 
 from grantledger.operators import diff, instance
-from grantledger.schemas import GROUPS, INSTANCE
+from grantledger.schemas import INSTANCE
 from grantledger.session import shared_dir, shuffle_partitions
-from tests.rows import DAY1, DAY2, grant, live, staging
+from tests.rows import DAY2, grant, live, staging
 
 
 def plan(df):
@@ -121,9 +121,3 @@ def test_shared_dir_is_the_configured_one(spark):
 def test_operators_run_without_python_workers(snapshots):
     text = plan(diff.upsert(*snapshots, DAY2))
     assert "Python" not in text and "Pandas" not in text
-
-
-def test_replace_has_one_shuffle(spark, conf):
-    conf(spark__sql__adaptive__enabled="false")
-    before, now = live(spark, GROUPS, [(None, "a", "g")]), staging(spark, GROUPS, [])
-    assert exchanges(diff.replace(before, now, GROUPS, DAY1)) == 1

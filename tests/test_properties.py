@@ -74,7 +74,7 @@ def test_plain_domain_follows_snapshot_and_settles(spark, seed):
 
     before, now = set(rows()), rows()
     frame, snapshot = live(spark, GROUPS, sorted(before, key=str)), staging(spark, GROUPS, now)
-    after = diff.replace(frame, snapshot, GROUPS, DAY2)
+    after = diff.upsert(frame, snapshot, DAY2, GROUPS)
     assert values(after, GROUPS) == Counter(set(now))
     delta = diff.changes(frame, snapshot, GROUPS)
     assert polled(diff.next_live(frame, delta, GROUPS, DAY2), GROUPS) == polled(after, GROUPS)
@@ -90,7 +90,7 @@ def test_spread_join_equals_plain_join(spark, rows_per_slice):
     right = [(k, w) for k in ["hot", "a", "b", "zz", None] for w in range(3)]
     facts = spark.createDataFrame(left, "k string, v int")
     names = spark.createDataFrame(right, "k string, w int")
-    got = spread_join(facts, names, ["k"], hot_keys=3, rows_per_slice=rows_per_slice)
+    got = spread_join(facts, names, ["k"], rows_per_slice=rows_per_slice)
     assert got.columns == ["k", "v", "w"]
     assert everything(got) == everything(facts.join(names, "k").select("k", "v", "w"))
 
@@ -99,7 +99,18 @@ def test_spread_join_splits_the_hot_key(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
     facts = spark.range(4000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k", "id AS v")
     names = spark.range(-1, 4000).selectExpr("id AS k", "id * 2 AS w")
-    joined = spread_join(facts, names, ["k"], hot_keys=5, rows_per_slice=100)
+    joined = spread_join(facts, names, ["k"], rows_per_slice=100)
     tasks = joined.where("k = -1").selectExpr("spark_partition_id() AS p").distinct().count()
     assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert joined.count() == 4000
+
+
+def test_every_key_above_the_threshold_is_cut(spark, conf):
+    """More hot keys than any list of fixed length would hold."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    facts = spark.range(36_000).selectExpr("id % 1200 AS k", "id AS v")
+    names = spark.range(1200).selectExpr("id AS k", "id * 2 AS w")
+    joined = spread_join(facts, names, ["k"], rows_per_slice=10)
+    spread = joined.selectExpr("k", "spark_partition_id() AS p").distinct().groupBy("k").count()
+    assert joined.count() == 36_000
+    assert spread.where("count > 1").count() > 1000

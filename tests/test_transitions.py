@@ -205,14 +205,12 @@ def test_ambiguous_update_key(spark):
     assert values(compat, INSTANCE) == Counter({grant("c", CONNECT): 3, grant("d", CONNECT): 1})
 
 
-def test_replace_for_plain_domains(spark):
+def test_upsert_for_plain_domains(spark):
     before = live(spark, GROUPS, [(None, "a", "g"), ("S", "b", "g")])
     now = staging(spark, GROUPS, [(None, "a", "g"), ("S", "c", "g"), ("S", "c", "g")])
-    assert polled(diff.replace(before, now, GROUPS, DAY2), GROUPS) == {
+    assert polled(diff.upsert(before, now, DAY2, GROUPS), GROUPS) == {
         (None, "a", "g"): DAY1, ("S", "c", "g"): DAY2,
     }
-    with pytest.raises(ValueError):
-        diff.replace(before, now, INSTANCE, DAY2)
 
 
 def test_binary_sids(spark):
@@ -221,7 +219,7 @@ def test_binary_sids(spark):
     row = (bytearray(b"\x01\x02"), "a", "g")
     before = spark.createDataFrame([], live_schema(GROUPS, T.BinaryType()))
     now = spark.createDataFrame([row, row], value_schema(GROUPS))
-    after = diff.replace(before, now, GROUPS, DAY1)
+    after = diff.upsert(before, now, DAY1, GROUPS)
     assert after.count() == 1 and diff.removed(after, now, GROUPS, DAY2).isEmpty()
 
 

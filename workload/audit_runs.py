@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,8 @@ from pyspark.sql import types as T
 
 from grantledger.functions.labels import FIXED_SERVER_ROLES
 from grantledger.functions.times import stamp
-from grantledger.plans.audit import run_audit
-from grantledger.schemas import DOMAINS, GROUPS, INSTANCE, OBJECTS, POLL, PRINCIPALS, ROLES
+from grantledger.plans.audit import IDS_PER_RUN, NO_PARENT, ORDER, RUN_NAME, run_audit
+from grantledger.schemas import DOMAINS, GROUPS, INSTANCE, OBJECTS, POLL, PRINCIPALS, ROLES, Domain
 from grantledger.session import shared_dir
 from grantledger.sources.catalogs import Catalogs
 from grantledger.sources.state import State
@@ -38,20 +39,36 @@ def catalogs(v, earlier: bool) -> Catalogs:
     return Catalogs(**{field: getattr(v, name) for field, name in names.items()})
 
 
-def record(spark: SparkSession, v) -> tuple[State, list[float]]:
+#: Runs of the registered queries begin at these times and take none.
+CLOCK = {FIRST: datetime(2024, 3, 1), SECOND: datetime(2024, 3, 2)}
+
+
+def record(spark: SparkSession, v, compat: bool = False) -> tuple[State, list[float]]:
     """A fresh state after both runs, and the seconds each took."""
     root = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/audit-{uuid.uuid4().hex}"
     state = State(spark, root, sid_type=T.StringType())
     taken = []
     for earlier, as_of in ((True, FIRST), (False, SECOND)):
         start = time.perf_counter()
-        result = run_audit(catalogs(v, earlier), state, as_of, O.SERVER)
+        result = run_audit(catalogs(v, earlier), state, as_of, O.SERVER, compat=compat, clock=lambda at=CLOCK[as_of]: at)
         taken.append(time.perf_counter() - start)
         if not result.succeeded:
             raise RuntimeError(f"audit run failed: {result.errors}")
     return state, taken
 
 
+_RECORDED: dict[tuple, State] = {}
+
+
+def recorded(v, compat: bool = False) -> State:
+    """The state after both runs, recorded once for all queries of an application that read it."""
+    spark = v.region.sparkSession
+    key = (spark.sparkContext.applicationId, v.sf_dir, compat)
+    if key not in _RECORDED:
+        _RECORDED[key], _ = record(spark, v, compat)
+    return _RECORDED[key]
+
+
 def two_runs(spark: SparkSession, sf_dir: str) -> dict[str, float]:
     from workload.registry import Views
 
@@ -61,8 +78,7 @@ def two_runs(spark: SparkSession, sf_dir: str) -> dict[str, float]:
 
 def summary(v) -> DataFrame:
     """Rows per live and history table after both runs, and how many the second run wrote."""
-    spark = v.region.sparkSession
-    state, _ = record(spark, v)
+    state = recorded(v)
 
     def count(table: str, rows: DataFrame) -> DataFrame:
         return rows.agg(
@@ -76,7 +92,23 @@ def summary(v) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def steps(walk: dict[str, str]) -> dict[str, str]:
+def live_rows(v, domain: Domain, compat: bool = False) -> DataFrame:
+    """A live table after both runs."""
+    return recorded(v, compat).live(domain).select(*domain.values, POLL)
+
+
+def history_rows(v, domain: Domain, compat: bool = False) -> DataFrame:
+    """A history table after both runs."""
+    return recorded(v, compat).history(domain).select(*domain.values, POLL, "run_id")
+
+
+def log_rows(v) -> DataFrame:
+    """The run log after both runs, by a fixed clock."""
+    text = {c: F.col(c).cast("string") for c in ("ExecStartDT", "ExecStopDT")}
+    return recorded(v).log().withColumns(text)
+
+
+def steps(walk: dict[str, str], compat: bool = False) -> dict[str, str]:
     """The same in SQL: both snapshots, their differences, and the rows that stay."""
     made = dict(walk)
     snapshots = {
@@ -88,7 +120,9 @@ def steps(walk: dict[str, str]) -> dict[str, str]:
         ROLES: (
             O.role_members("prev_database_role_members"), O.role_members("fx_database_role_members"),
         ),
-        OBJECTS: (O.object_gather("prev_database_permissions"), O.object_gather()),
+        OBJECTS: (
+            O.object_gather("prev_database_permissions", compat), O.object_gather(compat=compat),
+        ),
     }
     for domain, (before, now) in snapshots.items():
         name = domain.name
@@ -117,3 +151,36 @@ def final() -> str:
     for d in (*DOMAINS, PRINCIPALS):
         rows.append(counted(d.removed, size(f"{d.name}_gone"), size(f"{d.name}_gone")))
     return " UNION ALL ".join(rows)
+
+
+def live_sql(domain: Domain) -> str:
+    """Every row of the second snapshot with the time it was first seen, and sticky rows that stay."""
+    listed = O.cols(domain.values)
+    rows = f"""SELECT DISTINCT {listed}, CASE WHEN EXISTS (SELECT 1 FROM {domain.name}_before b
+WHERE {O.null_safe(domain.values, 'b', 'n')}) THEN TIMESTAMP '{FIRST}' ELSE TIMESTAMP '{SECOND}' END AS PollDate FROM {domain.name}_now n"""
+    if domain is INSTANCE:
+        rows += f" UNION ALL SELECT {listed}, TIMESTAMP '{FIRST}' FROM instance_kept"
+    return rows
+
+
+def history_sql(domain: Domain) -> str:
+    return f"SELECT {O.cols(domain.values)}, TIMESTAMP '{SECOND}' AS PollDate, CAST(2 AS BIGINT) AS run_id FROM {domain.name}_gone"
+
+
+def compat_live_sql(domain: Domain) -> str:
+    """Rows that plain equality does not remove, and the new ones."""
+    before, now = f"{domain.name}_before", f"{domain.name}_now"
+    return f"""{O.after_removal_compat(domain, before, now)}
+UNION ALL SELECT {O.cols(domain.values)}, TIMESTAMP '{SECOND}' FROM ({O.minus(domain, now, before)}) fresh"""
+
+
+def log_sql() -> str:
+    rows = []
+    for run, as_of in ((1, FIRST), (2, SECOND)):
+        for place, name in enumerate((RUN_NAME, *ORDER)):
+            parent = NO_PARENT if place == 0 else run * IDS_PER_RUN
+            rows.append(
+                f"({run * IDS_PER_RUN + place}::BIGINT, {parent}::BIGINT, '{name}', '{CLOCK[as_of]}', '{CLOCK[as_of]}', 'audit', 'Y')"
+            )
+    names = "RecordPermissionsAuditID, ParentAuditID, USPName, ExecStartDT, ExecStopDT, RunBy, SuccessIndicator"
+    return f"SELECT * FROM (VALUES {', '.join(rows)}) t({names})"

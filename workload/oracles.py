@@ -8,6 +8,7 @@ AS_OF = "2024-02-01 00:00:00"
 POLLED = "2024-01-01 00:00:00"
 LOGIN = "Customer#000000042"
 USER = "Supplier#000000003"
+ASKED = ("Supplier#000000001", "Supplier#000000003", "Supplier#000000007", "Supplier#000000010")
 JOB = "permissions-audit"
 SERVER = "SRV"
 
@@ -105,15 +106,20 @@ OBJECT_CLASSES = {
         _lookup("fx_securables", "t", "t.kind = 'ASSEMBLY' AND t.id = p.major_id")),
     6: ("p.class_desc", "'N/A'", "t.name", "'N/A'",
         _lookup("fx_securables", "t", "t.kind = 'TYPE' AND t.id = p.major_id")),
-    10: ("p.class_desc", "'N/A'", "COALESCE(o.name, 'Unknown')", "'N/A'",
-         _lookup("fx_all_objects", "o", "o.object_id = p.major_id")),
+    10: ("p.class_desc", "'N/A'", "COALESCE(t.name, 'Unknown')", "'N/A'",
+         _lookup("fx_securables", "t", "t.kind = 'XML_SCHEMA_COLLECTION' AND t.id = p.major_id")),
     25: ("p.class_desc", "'N/A'", "COALESCE(t.name, 'Unknown')", "'N/A'",
          _lookup("fx_securables", "t", "t.kind = 'CERTIFICATE' AND t.id = p.major_id")),
 }
 
 
-def object_class(cls: int, permissions: str = "fx_database_permissions") -> str:
-    kind, schema, name, column, joins = OBJECT_CLASSES[cls]
+# in compat mode a collection's id is looked up among the objects
+COLLECTION_COMPAT = ("p.class_desc", "'N/A'", "COALESCE(o.name, 'Unknown')", "'N/A'",
+                     _lookup("fx_all_objects", "o", "o.object_id = p.major_id"))
+
+
+def object_class(cls: int, permissions: str = "fx_database_permissions", compat: bool = False) -> str:
+    kind, schema, name, column, joins = COLLECTION_COMPAT if compat and cls == 10 else OBJECT_CLASSES[cls]
     return f"""
 SELECT '{SERVER}' AS ServerName, p.database_name AS Scope, g.sid, g.name AS PrincipalName, {kind} AS ObjectType,
 p.permission_name AS PermissionType, p.state_desc AS PermissionState, {schema} AS SchemaName, {name} AS ObjectName, {column} AS ColumnName
@@ -122,8 +128,8 @@ LEFT JOIN fx_database_principals g ON g.database_name = p.database_name AND g.pr
 {joins} WHERE p.class = {cls} AND p.database_name IN ({USABLE})"""
 
 
-def object_gather(permissions: str = "fx_database_permissions") -> str:
-    return " UNION ALL ".join(object_class(cls, permissions) for cls in OBJECT_CLASSES)
+def object_gather(permissions: str = "fx_database_permissions", compat: bool = False) -> str:
+    return " UNION ALL ".join(object_class(cls, permissions, compat) for cls in OBJECT_CLASSES)
 
 
 # groups
@@ -132,13 +138,18 @@ ROOTS = "SELECT DISTINCT name FROM fx_logins WHERE isntgroup = 1"
 
 
 def group_walk(edges: str, suffix: str = "") -> dict[str, str]:
-    """Recursive steps: groups below the roots, and all upward paths with their length."""
+    """Recursive steps: groups below the roots, all memberships, and upward ways with their length."""
     return {
         f"reach{suffix}": f"""{ROOTS} UNION SELECT e.account_name FROM reach{suffix} r
 JOIN {edges} e ON e.permission_path = r.name AND e.type = 'group'""",
-        f"walk{suffix}": f"""SELECT account_name, permission_path AS ancestor, 1 AS depth FROM {edges}
-UNION SELECT w.account_name, e.permission_path, w.depth + 1 FROM walk{suffix} w
-JOIN {edges} e ON e.account_name = w.ancestor AND e.type = 'group' WHERE w.depth < 12""",
+        f"walk{suffix}": f"""SELECT account_name, permission_path AS ancestor FROM {edges}
+UNION SELECT w.account_name, e.permission_path FROM walk{suffix} w
+JOIN {edges} e ON e.account_name = w.ancestor AND e.type = 'group'""",
+        # a shortest way passes each group once, so it is no longer than there are groups
+        f"ways{suffix}": f"""SELECT account_name, permission_path AS ancestor, 1 AS depth FROM {edges}
+UNION SELECT w.account_name, e.permission_path, w.depth + 1 FROM ways{suffix} w
+JOIN {edges} e ON e.account_name = w.ancestor AND e.type = 'group'
+WHERE w.depth <= (SELECT count(DISTINCT permission_path) FROM {edges})""",
     }
 
 
@@ -202,6 +213,16 @@ LEFT JOIN (SELECT DISTINCT *, 1 AS hit FROM {before}) p ON {null_safe(domain.val
 GROUP BY {cols(domain.values)}"""
 
 
+def after_removal_compat(domain, before: str, now: str) -> str:
+    """Live without the rows that the snapshot lacks, as plain equality finds them."""
+    match = plain(domain.compat_match, "l", "g")
+    if domain.compat_null_safe:
+        match += " AND " + null_safe(domain.compat_null_safe, "l", "g")
+    return f"""SELECT {cols(domain.values, 'l.')}, TIMESTAMP '{POLLED}' AS PollDate
+FROM (SELECT DISTINCT {cols(domain.values)} FROM {before}) l
+WHERE NOT EXISTS (SELECT 1 FROM ({minus(domain, before, now)}) g WHERE {match})"""
+
+
 # lookups: live tables and the four parts of an answer
 
 LIVE = {
@@ -253,6 +274,28 @@ UNION ALL SELECT Principal, 'objects', CAST(sum(n) AS BIGINT) FROM (
 SELECT w.Principal, o.* FROM who w JOIN counts o ON o.PrincipalName = w.PrincipalName
 UNION SELECT l.name, o.* FROM fx_user_logins l JOIN counts o ON o.sid = l.sid) t GROUP BY 1"""
 
+_WHO = f"""
+WITH asked AS (SELECT name FROM fx_user_logins WHERE name IN ({", ".join(f"'{n}'" for n in ASKED)})),
+who AS (SELECT name AS Principal, name AS PrincipalName FROM asked
+UNION SELECT PrincipalName, ADGroupName FROM fx_group_mappings WHERE PrincipalName IN (SELECT name FROM asked))"""
+LOOKUP_BATCH = {
+    "instance": f"""SELECT * FROM ({_WHO} SELECT w.Principal, {cols([*INSTANCE.values, 'PollDate'], 'l.')}
+FROM who w JOIN live_instance l ON l.PrincipalName = w.PrincipalName) t""",
+    "roles": f"""SELECT * FROM ({_WHO} SELECT w.Principal, {cols([*ROLE_SHOWN, 'PollDate'], 'l.')}
+FROM who w JOIN live_roles l ON l.PrincipalName = w.PrincipalName) t""",
+    "role_permissions": f"""SELECT * FROM ({_WHO} SELECT r.Principal, {cols([*OBJECT_SHOWN, 'PollDate'], 'o.')}
+FROM (SELECT DISTINCT w.Principal, l.ServerName, l.Scope, l.DatabaseRole FROM who w JOIN live_roles l ON l.PrincipalName = w.PrincipalName) r
+JOIN live_objects o ON o.ServerName = r.ServerName AND o.Scope = r.Scope AND o.PrincipalName = r.DatabaseRole) t""",
+    "objects": f"""SELECT * FROM ({_WHO} SELECT a.name AS Principal, {cols([*OBJECT_SHOWN, 'PollDate'], 'o.')}
+FROM asked a JOIN live_objects o ON o.PrincipalName IN (SELECT PrincipalName FROM who w WHERE w.Principal = a.name)
+OR o.sid IN (SELECT sid FROM fx_user_logins l WHERE l.name = a.name)) t""",
+}
+LOOKUP_ANSWER = f"""
+SELECT PrincipalName, count(*) AS n, 'instance' AS part FROM live_instance WHERE PrincipalName IN {identities(USER)} GROUP BY 1
+UNION ALL SELECT PrincipalName, count(*), 'roles' FROM live_roles WHERE PrincipalName IN {identities(USER)} GROUP BY 1
+UNION ALL SELECT PrincipalName, count(*), 'role_permissions' FROM ({LOOKUP_ROLE_PERMISSIONS}) a GROUP BY 1
+UNION ALL SELECT PrincipalName, count(*), 'objects' FROM ({LOOKUP_OBJECTS}) b GROUP BY 1"""
+
 LAST_SUCCESS = f"""
 SELECT run_date, run_time, strptime(CAST(run_date AS VARCHAR) || lpad(CAST(run_time AS VARCHAR), 6, '0'), '%Y%m%d%H%M%S') AS last_run
 FROM fx_job_history WHERE job_name = '{JOB}' AND step_id = 0 AND run_status = 1

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from grantledger.functions.labels import FIXED_SERVER_ROLES, SECURABLE_CLASSES
 from grantledger.functions.times import in_alert_window, run_timestamp, stamp, stamp_text
 from grantledger.operators import databases, diff, groups, instance, lookup
-from grantledger.schemas import GROUPS, INSTANCE, OBJECTS, POLL, PRINCIPALS, ROLES, Domain
+from grantledger.schemas import DOMAINS, GROUPS, INSTANCE, OBJECTS, POLL, PRINCIPALS, ROLES, Domain
 from grantledger.session import settle
 from grantledger.sources import runs
 from workload import audit_runs
@@ -27,7 +27,7 @@ class Views:
     def __init__(
         self, spark: SparkSession, sf_dir: str, views: dict[str, str] | None = None
     ) -> None:
-        self._spark, self._sf_dir = spark, sf_dir
+        self._spark, self.sf_dir = spark, sf_dir
         self._views = VIEWS if views is None else views
         self._made: dict[str, DataFrame] = {}
 
@@ -39,7 +39,7 @@ class Views:
     def _make(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
             reader = self._spark.read.schema(BASE_TABLES[name])
-            return reader.parquet(f"{self._sf_dir}/{name}.parquet")
+            return reader.parquet(f"{self.sf_dir}/{name}.parquet")
         steps = {t: f"SELECT * FROM {{{t}}}" for t in BASE_TABLES} | self._views
         query = f"SELECT * FROM {name}"
         names = needed(query, steps)
@@ -78,11 +78,11 @@ def roles_gather(v: Views, members: str = "fx_database_role_members") -> DataFra
 
 
 def objects_gather(
-    v: Views, permissions: str = "fx_database_permissions", classes=SECURABLE_CLASSES
+    v: Views, permissions: str = "fx_database_permissions", classes=SECURABLE_CLASSES, compat=False
 ) -> DataFrame:
     return databases.object_permissions(
         getattr(v, permissions), v.fx_database_principals, v.fx_all_objects, v.fx_schemas,
-        v.fx_all_columns, v.fx_securables, v.fx_databases, O.SERVER, classes,
+        v.fx_all_columns, v.fx_securables, v.fx_databases, O.SERVER, classes, compat,
     )
 
 
@@ -111,8 +111,19 @@ def new(v: Views, domain: Domain) -> DataFrame:
 
 
 def next_state(v: Views, domain: Domain) -> DataFrame:
+    """The way a run does it: live changed by the recorded differences."""
     before, now = snapshots(v, domain)
-    return _plain_time(diff.replace(_polled(before), now, domain, O.AS_OF))
+    live = settle(_polled(before.distinct()), "live")
+    delta = settle(diff.changes(live, now, domain), "changes")
+    return _plain_time(diff.next_live(live, delta, domain, O.AS_OF))
+
+
+def after_removal_compat(v: Views, domain: Domain) -> DataFrame:
+    """Live after the recorded removals of a run that compares with plain equality."""
+    before, now = snapshots(v, domain)
+    live = settle(_polled(before.distinct()), "live")
+    gone = settle(diff.removed(live, now, domain, O.AS_OF), "gone")
+    return _plain_time(diff.apply_removed(live, gone, domain, True, O.POLLED))
 
 
 # instance transitions
@@ -180,6 +191,22 @@ def lookup_objects(v: Views) -> DataFrame:
     return lookup.objects_part(O.USER, identities(v, O.USER), LiveViews(v), v.fx_user_logins)
 
 
+def batch(v: Views) -> lookup.Permissions:
+    """Answers for a given list of principals."""
+    asked = v.fx_user_logins.filter(F.col("name").isin(*O.ASKED)).select("name")
+    return lookup.permissions_of(asked, LiveViews(v), v.fx_user_logins)
+
+
+def answer(v: Views) -> DataFrame:
+    """A whole answer for one principal: the rows of its four parts."""
+    parts = lookup.permissions(O.USER, LiveViews(v), v.fx_user_logins)
+    counts = [
+        part.groupBy("PrincipalName").agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit(name))
+        for name, part in zip(parts._fields, parts, strict=True)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def job_run_times(v: Views) -> DataFrame:
     ran = run_timestamp(F.col("run_date"), F.col("run_time"))
     return v.fx_job_history.select("run_date", "run_time", stamp_text(ran).alias("run_text"))
@@ -218,6 +245,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
         f"obj_class_{cls}": lambda v, cls=cls: objects_gather(v, classes=[cls])
         for cls in SECURABLE_CLASSES
     },
+    "obj_class_10_compat": lambda v: objects_gather(v, classes=[10], compat=True),
     "obj_gather": objects_gather,
     "inst_revoked": lambda v: gone(v, INSTANCE),
     "principals_dropped": lambda v: gone(v, PRINCIPALS),
@@ -235,12 +263,15 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "group_dropped": lambda v: gone(v, GROUPS),
     "group_new": lambda v: new(v, GROUPS),
     "group_live_next": lambda v: next_state(v, GROUPS),
+    "group_live_after_removal_compat": lambda v: after_removal_compat(v, GROUPS),
     "role_dropped": lambda v: gone(v, ROLES),
     "role_new": lambda v: new(v, ROLES),
     "role_live_next": lambda v: next_state(v, ROLES),
+    "role_live_after_removal_compat": lambda v: after_removal_compat(v, ROLES),
     "obj_revoked": lambda v: gone(v, OBJECTS),
     "obj_new": lambda v: new(v, OBJECTS),
     "obj_live_next": lambda v: next_state(v, OBJECTS),
+    "obj_live_after_removal_compat": lambda v: after_removal_compat(v, OBJECTS),
     "lookup_instance": lambda v: _plain_time(
         lookup.instance_part(identities(v, O.LOGIN), LiveViews(v))
     ),
@@ -249,7 +280,33 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "lookup_role_permissions_compat": lambda v: _plain_time(role_permissions(v, compat=True)),
     "lookup_objects": lambda v: _plain_time(lookup_objects(v)),
     "lookup_summary": lambda v: lookup.summary(v.fx_user_logins, LiveViews(v), v.fx_user_logins),
+    "lookup_answer": answer,
+    **{
+        f"lookup_batch_{part}": lambda v, part=part: _plain_time(getattr(batch(v), part))
+        for part in lookup.Permissions._fields
+    },
     "audit_two_runs": audit_runs.summary,
+    **{
+        f"audit_live_{domain.name}": lambda v, domain=domain: _plain_time(audit_runs.live_rows(v, domain))
+        for domain in DOMAINS
+    },
+    **{
+        f"audit_history_{domain.name}": lambda v, domain=domain: _plain_time(audit_runs.history_rows(v, domain))
+        for domain in (*DOMAINS, PRINCIPALS)
+    },
+    **{
+        f"audit_compat_live_{domain.name}": lambda v, domain=domain: _plain_time(
+            audit_runs.live_rows(v, domain, compat=True)
+        )
+        for domain in (ROLES, OBJECTS)
+    },
+    **{
+        f"audit_compat_history_{domain.name}": lambda v, domain=domain: _plain_time(
+            audit_runs.history_rows(v, domain, compat=True)
+        )
+        for domain in (ROLES, OBJECTS)
+    },
+    "audit_log": audit_runs.log_rows,
     "last_success": last_success,
     "job_run_times": job_run_times,
     "alert_gate": alert_gate,
@@ -296,6 +353,7 @@ def oracle_sql() -> dict[str, str]:
         "db_online": _sql(O.DB_ONLINE),
         "db_role_members": _sql(O.role_members("fx_database_role_members")),
         **{f"obj_class_{cls}": _sql(O.object_class(cls)) for cls in SECURABLE_CLASSES},
+        "obj_class_10_compat": _sql(O.object_class(10, compat=True)),
         "obj_gather": _sql(O.object_gather()),
         "inst_revoked": _sql(O.minus(INSTANCE, "prev_instance", "fx_instance")),
         "principals_dropped": _sql(O.minus(PRINCIPALS, "prev_instance", "fx_instance")),
@@ -304,7 +362,7 @@ def oracle_sql() -> dict[str, str]:
         "group_members": _sql(O.group_members(), walk),
         "group_members_compat": _sql(O.GROUP_COMPAT, walk),
         "group_closure": _sql(
-            "SELECT account_name, ancestor, CAST(min(depth) AS INT) AS depth FROM walk "
+            "SELECT account_name, ancestor, CAST(min(depth) AS INT) AS depth FROM ways "
             "WHERE account_name <> ancestor GROUP BY account_name, ancestor", walk,
         ),
         "lookup_instance": _sql(O.LOOKUP_INSTANCE, O.LIVE),
@@ -313,7 +371,30 @@ def oracle_sql() -> dict[str, str]:
         "lookup_role_permissions_compat": _sql(O.LOOKUP_ROLE_PERMISSIONS_COMPAT, O.LIVE),
         "lookup_objects": _sql(O.LOOKUP_OBJECTS, O.LIVE),
         "lookup_summary": _sql(f"SELECT * FROM ({O.LOOKUP_SUMMARY}) t", O.LIVE),
+        "lookup_answer": _sql(O.LOOKUP_ANSWER, O.LIVE),
+        **{f"lookup_batch_{part}": _sql(sql, O.LIVE) for part, sql in O.LOOKUP_BATCH.items()},
         "audit_two_runs": _sql(audit_runs.final(), audit_runs.steps(walk)),
+        **{
+            f"audit_live_{domain.name}": _sql(audit_runs.live_sql(domain), audit_runs.steps(walk))
+            for domain in DOMAINS
+        },
+        **{
+            f"audit_history_{domain.name}": _sql(audit_runs.history_sql(domain), audit_runs.steps(walk))
+            for domain in (*DOMAINS, PRINCIPALS)
+        },
+        **{
+            f"audit_compat_live_{domain.name}": _sql(
+                audit_runs.compat_live_sql(domain), audit_runs.steps(walk, compat=True)
+            )
+            for domain in (ROLES, OBJECTS)
+        },
+        **{
+            f"audit_compat_history_{domain.name}": _sql(
+                audit_runs.history_sql(domain), audit_runs.steps(walk, compat=True)
+            )
+            for domain in (ROLES, OBJECTS)
+        },
+        "audit_log": audit_runs.log_sql(),
         "last_success": _sql(O.LAST_SUCCESS),
         "job_run_times": _sql(O.JOB_RUN_TIMES),
         "alert_gate": _sql(O.ALERT_GATE),
@@ -325,5 +406,8 @@ def oracle_sql() -> dict[str, str]:
         first = "revoked" if prefix == "obj" else "dropped"
         result[f"{prefix}_{first}"] = _sql(O.minus(domain, "before", "now"), steps)
         result[f"{prefix}_new"] = _sql(O.minus(domain, "now", "before"), steps)
+        result[f"{prefix}_live_after_removal_compat"] = _sql(
+            O.after_removal_compat(domain, "before", "now"), steps
+        )
         result[f"{prefix}_live_next"] = _sql(O.next_state(domain, "before", "now"), steps)
     return result

@@ -77,10 +77,15 @@ LEFT JOIN (SELECT DISTINCT CAST(floor(c_custkey / 10) AS BIGINT) AS parent FROM
 ON k.parent = m.c_custkey"""
 
 
-def _role_pairs(role_of: str) -> str:
+#: Supplier keys near that of a row of `lineitem`, so that every row names two suppliers.
+_NEAR_SUPPLIER = "((l_suppkey + {step} * (l_partkey % {width}) + {shift}) % (SELECT count(*) FROM supplier))"
+
+
+def _role_pairs(shift: str) -> str:
+    key = _NEAR_SUPPLIER.format(step=1, width=40, shift=shift)
     return f"""
 SELECT DISTINCT m.database_name, m.principal_id AS member_principal_id, r.principal_id AS role_principal_id
-FROM (SELECT l_suppkey, {role_of} AS role_key FROM lineitem) l
+FROM (SELECT l_suppkey, key - key % 5 AS role_key FROM (SELECT l_suppkey, {key} AS key FROM lineitem) k) l
 JOIN fx_database_principals m ON m.principal_id = l.l_suppkey
 JOIN fx_database_principals r ON r.principal_id = l.role_key AND r.database_name = m.database_name
 WHERE r.type_desc = 'DATABASE_ROLE' AND r.principal_id <> m.principal_id"""
@@ -128,10 +133,8 @@ CASE WHEN r_regionkey = 3 THEN 'SINGLE_USER' ELSE 'MULTI_USER' END AS user_acces
 SELECT r_name AS database_name, s_suppkey AS principal_id, {_USER_SID.format(k='s_suppkey')} AS sid,
 s_name AS name, CASE WHEN s_suppkey % 5 = 0 THEN 'DATABASE_ROLE' ELSE 'SQL_USER' END AS type_desc
 FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey""",
-    "fx_database_role_members": _role_pairs("l_partkey - l_partkey % 5"),
-    "prev_database_role_members": _role_pairs(
-        "CASE WHEN l_returnflag = 'R' THEN l_partkey - l_partkey % 5 + 5 ELSE l_partkey - l_partkey % 5 END"
-    ),
+    "fx_database_role_members": _role_pairs("0"),
+    "prev_database_role_members": _role_pairs("CASE WHEN l_suppkey % 4 = 1 THEN 20 ELSE 0 END"),
     "fx_securable_classes": """
 SELECT line, flag, class, class_desc FROM (VALUES
 (1, 'A', 0, 'DATABASE'), (1, 'N', 0, 'DATABASE'), (1, 'R', 0, 'DATABASE'),
@@ -162,7 +165,9 @@ FROM (SELECT DISTINCT l_partkey, l_linenumber FROM lineitem) l JOIN region ON r_
     "fx_securables": """
 SELECT database_name, CASE WHEN p_size <= 15 THEN 'ASSEMBLY' WHEN p_size <= 30 THEN 'TYPE' ELSE 'CERTIFICATE' END AS kind,
 p_partkey AS id, p_brand || '_' || CAST(p_partkey AS STRING) AS name
-FROM part JOIN fx_all_objects ON object_id = p_partkey""",
+FROM part JOIN fx_all_objects ON object_id = p_partkey
+UNION ALL SELECT database_name, 'XML_SCHEMA_COLLECTION', p_partkey, p_brand || '_xsc' || '_' || CAST(p_partkey AS STRING)
+FROM part JOIN fx_all_objects ON object_id = p_partkey WHERE p_partkey % 3 > 0""",
     "fx_group_edges": _group_edges("BUILDING"),
     "prev_group_edges": _group_edges("MACHINERY"),
     "fx_instance": _instance_snapshot(
@@ -181,8 +186,8 @@ FROM part JOIN fx_all_objects ON object_id = p_partkey""",
     "fx_user_groups": """
 SELECT DISTINCT CAST(NULL AS STRING) AS sid, m.s_name AS PrincipalName, g.s_name AS ADGroupName,
 TIMESTAMP '2024-01-01 00:00:00' AS PollDate
-FROM lineitem JOIN supplier m ON m.s_suppkey = l_suppkey
-JOIN supplier g ON g.s_suppkey = l_partkey AND g.s_suppkey <> m.s_suppkey""",
+FROM (SELECT l_suppkey, """ + _NEAR_SUPPLIER.format(step=11, width=7, shift=0) + """ AS key FROM lineitem) l
+JOIN supplier m ON m.s_suppkey = l_suppkey JOIN supplier g ON g.s_suppkey = l.key AND g.s_suppkey <> m.s_suppkey""",
     # a login whose sid is that of another database user
     "fx_user_logins": f"""
 SELECT {_USER_SID.format(k='(s_suppkey + 1)')} AS sid, s_name AS name FROM supplier""",
