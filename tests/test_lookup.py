@@ -125,12 +125,13 @@ def test_long_lists_are_joined(spark, monkeypatch, literals):
         assert tuple(everything(part.drop("PollDate")) for part in answer) == brute(data, name)
 
 
-def test_names_reach_the_scan_of_a_recorded_state(spark, tmp_path):
+def test_names_reach_the_scan_of_a_recorded_state(spark, conf, tmp_path):
     from grantledger.plans.audit import run_audit
     from grantledger.sources.state import State
     from tests.rows import DAY1
     from tests.test_audit import first
 
+    conf(spark__sql__maxMetadataStringLength="4000")
     state = State(spark, str(tmp_path / "state"), sid_type=T.StringType())
     catalogs = first(spark)
     assert run_audit(catalogs, state, DAY1, "srv").succeeded
