@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,3 +50,12 @@ def with_fields(schema: T.StructType, *fields: tuple[str, str]) -> T.StructType:
     for name, kind in fields:
         out = out.add(name, T._parse_datatype_string(kind))
     return out
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete now what steps before a written table had shuffled.
+
+    It notices dropped shuffles when garbage is collected, by itself every half hour.
+    """
+    gc.collect()
+    spark._jvm.System.gc()

@@ -12,10 +12,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grantledger.llm.common import WORD, bounded_batches, shuffle_width
+from grantledger.llm.common import WORD, bounded_batches, release, shuffle_width
 from grantledger.llm.components import components
 from grantledger.llm.hashing import joined_bytes, mixed, word_hashes
 from grantledger.session import settle
+from grantledger.sources import files
 
 #: Words of a shingle, and the similarity of two linked documents in percent.
 WORDS = 3
@@ -309,7 +310,11 @@ class _Linker:
         near = rows.where("node <> lead").select("signature", "node", F.col("lead").alias("hub"))
         # a batch's own group also has the row that leads it
         leads = near.select("signature", F.col("hub").alias("node"), "hub")
-        return settle(across.union(near).union(leads), "shared")
+        shared = settle(across.union(near).union(leads), "shared")
+        for folder in {name.rpartition("/")[0] for name in rows.inputFiles()}:
+            files.delete(self.docs.sparkSession, folder)
+        release(self.docs.sparkSession)
+        return shared
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
         """The pairs (`a`, `b`) that the bounds let through, with their sizes."""
@@ -353,6 +358,7 @@ class _Linker:
         found = tried = links = known = shingles = None
         for candidates in (self._first, self._second, self._rest):
             pairs = settle(candidates(shared, found, tried), "pairs")
+            release(self.docs.sparkSession)
             if pairs.isEmpty():
                 continue
             ends = settle(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends")
@@ -367,6 +373,7 @@ class _Linker:
             tried = compared if tried is None else tried.union(compared)
             links = more if links is None else links.union(more)
             found = components(links)
+            release(self.docs.sparkSession)
         if found is None:
             return self.sets.where("false").select("node", F.col("node").alias("component"))
         return found
