@@ -306,10 +306,13 @@ def host(url: Column) -> Column:
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [sorted(template_candidates(parse(html or ""))) for html in batch.column("html").to_pylist()]
+        roots = [parse(html or "") for html in batch.column("html").to_pylist()]
+        found = [sorted(template_candidates(root)) for root in roots]
+        bodies = [xxhash.xxh3_128_digest(main_text(root, frozenset())) for root in roots]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("__k"), batch.column("__k2"), batch.column("__host"), pa.array(found, pa.list_(pa.int64()))],
-            names=["__k", "__k2", "__host", "subtrees"],
+            [batch.column("__k"), batch.column("__k2"), batch.column("__host"), pa.array(bodies, pa.binary()),
+             pa.array(found, pa.list_(pa.int64()))],
+            names=["__k", "__k2", "__host", "__body", "subtrees"],
         )
 
 
@@ -331,13 +334,21 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     as one of its pages has elements on average, whatever its size.
     """
     keyed = pages.select(
-        F.xxhash64("url", "html").alias("__k"), F.xxhash64(F.lit(1), "html", "url").alias("__k2"),
+        F.xxhash64("html").alias("__k"), F.xxhash64(F.lit(1), "html").alias("__k2"),
         host(F.col("url")).alias("__host"), "html",
     )
-    hashed = keyed.mapInArrow(_hashed, "__k long, __k2 long, __host string, subtrees array<bigint>")
-    # one row for each different page
-    different = settle(hashed.groupBy("__k", "__k2", "__host").agg(F.first("subtrees").alias("subtrees")), "subtrees")
-    seen = different.select("__host", F.explode("subtrees").alias("__subtree"))
+    kind = "__k long, __k2 long, __host string, __body binary, subtrees array<bigint>"
+    hashed = settle(keyed.mapInArrow(_hashed, kind), "subtrees")
+    # whatever its addresses, a body counts once on a host, and what stands around it too
+    html = F.struct("__k", "__k2")
+    different = hashed.groupBy("__host", "__body").agg(
+        F.min(html).alias("__least"), F.max(html).alias("__most"), F.first("subtrees").alias("subtrees")
+    )
+    alone = different.where("__least = __most").select("__host", F.explode("subtrees").alias("__subtree"))
+    several = different.where("__least <> __most").select("__host", "__body")
+    around = hashed.join(several, ["__host", "__body"], "left_semi")
+    around = around.select("__host", "__body", F.explode("subtrees").alias("__subtree")).distinct()
+    seen = alone.union(around.select("__host", "__subtree"))
     sizes = different.groupBy("__host").agg(F.count("*").alias("__pages"))
     counts = seen.groupBy("__host", "__subtree").agg(F.count("*").alias("__on")).where(F.col("__on") >= min_pages)
     recurring = counts.join(sizes, "__host").where(F.col("__on") >= min_share * F.col("__pages"))
@@ -354,9 +365,9 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     Paragraphs and headings of an article are never template.
 
     A null or empty html gives an empty text; a null or odd url has the empty
-    host. Repeated pages count once and are treated alike. Other columns pass
-    through, a column named `text` is replaced, an empty table gives an empty
-    table.
+    host. Pages of a host with one body, as copies under several addresses, count once
+    and are treated alike. Other columns pass through, a column named `text` is
+    replaced, an empty table gives an empty table.
     """
     bounded_batches(pages.sparkSession)
     rows = pages.drop("text")

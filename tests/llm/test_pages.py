@@ -63,6 +63,27 @@ def test_paragraphs_of_articles_may_recur(spark):
     assert extracted(spark, rows)[7] == "License.\n\n7"
 
 
+@pytest.mark.parametrize("around", ["<article>%s</article>", "<main>%s</main>", "%s"])
+def test_copies_under_many_addresses_count_once(spark, around):
+    body = around % "<div class=z><p>The body of a copied page.</p></div>"
+    rows = [(f"http://h.example/1?from={i}", body) for i in range(20)]
+    rows += [(f"http://h.example/print/{i}", f"<title>{i}</title>{body}") for i in range(20)]
+    rows += [(f"http://h.example/other/{i}", around % f"<p>Other {i}.</p>") for i in range(4)]
+    got = extracted(spark, rows)
+    assert {got[i] for i in range(40)} == {"The body of a copied page."}
+    assert got[41] == "Other 1."
+
+
+def test_what_stands_around_copies_counts_once_for_each_body(spark):
+    box = "<div class=x9><b>Print</b> this page</div>"
+    pages = [f"<article><p>Text {i}</p></article>" for i in range(6)]
+    frames = ["%s", box + "%s", box + "<title>t</title>%s"]
+    rows = [("http://h/1", frame % page) for page in pages for frame in frames]
+    rows += [("http://h/2", box + "<p>No article</p>"), ("http://h/3", "<p>Plain</p>" + box)]
+    got = extracted(spark, rows)
+    assert got[18] == "No article" and got[19] == "Plain"
+
+
 def test_odd_rows(spark):
     rows = [(None, None), ("", ""), ("odd", "<article><p>x</p></article>")] + [("http://h/1", "<article><p>same</p></article>")] * 9
     got = extracted(spark, rows)
