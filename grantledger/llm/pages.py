@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -16,10 +17,9 @@ from pyspark.sql import functions as F
 from grantledger.llm.common import bounded_batches, with_fields
 from grantledger.session import settle
 
-#: A subtree is template if it stands on so many pages of its host, and on this part of them.
+#: A subtree is template if it stands on so many different pages of its host.
 MIN_PAGES = 5
-MIN_SHARE = 0.2
-#: All hosts' templates go to every task if they have at most so many hashes (8 bytes each).
+#: So many of the templates' hashes (8 bytes each), the most frequent ones, go to every task; the others are joined.
 SENT_HASHES = 1_000_000
 
 # fixed values: elements of HTML
@@ -198,8 +198,9 @@ def is_dropped(node: Node, in_article: bool) -> bool:
     return bool(words & DROPPED_WORDS) or ("header" in words and not in_article)
 
 
-def subtrees(root: Node) -> dict[int, int]:
-    """The hash of each element (by id()): its tag, its texts without extra white space, its elements' hashes."""
+def subtrees(root: Node, host: str = "") -> dict[int, int]:
+    """The hash of each element (by id()): its host and tag, its texts without extra white space, its elements' hashes."""
+    seed = xxhash.xxh3_64_intdigest(host)
     out: dict[int, int] = {}
     stack: list[tuple[Node, bool]] = [(root, False)]
     while stack:
@@ -208,16 +209,25 @@ def subtrees(root: Node) -> dict[int, int]:
             stack.append((node, True))
             stack.extend((child, False) for child in node.inside if isinstance(child, Node))
             continue
-        state = xxhash.xxh3_64(node.tag)
+        state = xxhash.xxh3_64(node.tag, seed)
         for child in node.inside:
             state.update(f"\1{out[id(child)]}" if isinstance(child, Node) else "\2" + " ".join(child.split()))
         out[id(node)] = state.intdigest() - (1 << 63)
     return out
 
 
-def template_candidates(root: Node) -> set[int]:
-    """Hashes of the elements with text that may be template: all outside an article, wrappers inside."""
-    hashes, out = subtrees(root), set()
+def may_be_template(node: Node, in_article: bool) -> bool:
+    """All outside an article but words within a sentence, whose block recurs or does not; wrappers inside."""
+    if in_article:
+        return node.tag in WRAPPERS
+    if node.tag in ("html", "head", "body", "main", "article"):
+        return False
+    return node.tag in BLOCK or not any(isinstance(c, str) and not c.isspace() for c in node.parent.inside)
+
+
+def template_candidates(root: Node, host: str = "") -> set[int]:
+    """Hashes of the elements with text that may be template."""
+    hashes, out = subtrees(root, host), set()
     stack = [(root, False)]
     while stack:
         node, in_article = stack.pop()
@@ -225,21 +235,20 @@ def template_candidates(root: Node) -> set[int]:
         for child in node.inside:
             if isinstance(child, Node):
                 stack.append((child, in_article))
-                holds_main = child.tag in ("head", "body", "main", "article")
-                if child.inside and not holds_main and (not in_article or child.tag in WRAPPERS):
+                if child.inside and may_be_template(child, in_article):
                     out.add(hashes[id(child)])
     return out
 
 
-def main_text(root: Node, template: frozenset[int]) -> str:
+def main_text(root: Node, template: frozenset[int], hashes: dict[int, int] | None = None) -> str:
     """The blocks of the article, or of the body without one, joined by empty lines."""
-    hashes = subtrees(root) if template else {}
+    if hashes is None:
+        hashes = subtrees(root) if template else {}
 
     def gone(node: Node, in_article: bool) -> bool:
         if is_dropped(node, in_article):
             return True
-        may = node.tag not in ("html", "head", "body", "main", "article") and (not in_article or node.tag in WRAPPERS)
-        return may and hashes.get(id(node)) in template
+        return hashes.get(id(node)) in template and may_be_template(node, in_article)
 
     articles: list[Node] = []
     mains: list[Node] = []
@@ -307,7 +316,8 @@ def host(url: Column) -> Column:
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         roots = [parse(html or "") for html in batch.column("html").to_pylist()]
-        found = [sorted(template_candidates(root)) for root in roots]
+        hosts = batch.column("__host").to_pylist()
+        found = [sorted(template_candidates(root, name)) for root, name in zip(roots, hosts, strict=True)]
         bodies = [xxhash.xxh3_128_digest(main_text(root, frozenset())) for root in roots]
         yield pa.RecordBatch.from_arrays(
             [batch.column("__k"), batch.column("__k2"), batch.column("__host"), pa.array(bodies, pa.binary()),
@@ -316,52 +326,78 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = zip(batch.column("html").to_pylist(), batch.column("__template").to_pylist(), strict=True)
-        texts = [main_text(parse(html or ""), frozenset(template or ())) for html, template in rows]
-        kept = [n for n in batch.schema.names if n != "__template"]
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(n) for n in kept), pa.array(texts, pa.string())], names=[*kept, "text"]
-        )
+def _extracted(sent: np.ndarray) -> Callable:
+    """Texts without the subtrees that are among `sent`, which is sorted, or in the page's own list."""
 
+    def known(hashes: dict[int, int]) -> set[int]:
+        if not len(sent):
+            return set()
+        own = np.fromiter(hashes.values(), np.int64, len(hashes))
+        return set(own[sent[np.minimum(np.searchsorted(sent, own), len(sent) - 1)] == own].tolist())
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """`__host`, `__template`: the subtrees that recur on each host.
+    def text_of(html: str | None, name: str, listed: list[int] | None) -> str:
+        root = parse(html or "")
+        hashes = subtrees(root, name)
+        return main_text(root, frozenset(known(hashes).union(listed or ())), hashes)
 
-    A subtree that stands on a part of `min_share` of the pages takes that part
-    of all their elements, so a host has at most 1 / `min_share` times as many
-    as one of its pages has elements on average, whatever its size.
-    """
-    keyed = pages.select(
-        F.xxhash64("html").alias("__k"), F.xxhash64(F.lit(1), "html").alias("__k2"),
-        host(F.col("url")).alias("__host"), "html",
-    )
+    def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(n).to_pylist() for n in ("html", "__host", "__template")), strict=True)
+            texts = [text_of(*row) for row in rows]
+            kept = [n for n in batch.schema.names if n not in ("__host", "__template")]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in kept), pa.array(texts, pa.string())], names=[*kept, "text"]
+            )
+
+    return extracted
+
+
+def _keyed(pages: DataFrame) -> DataFrame:
+    return pages.withColumns({
+        "__k": F.xxhash64("html"), "__k2": F.xxhash64(F.lit(1), "html"), "__host": host(F.col("url")),
+    })
+
+
+def hashed_pages(pages: DataFrame) -> DataFrame:
+    """`__k`, `__k2`, `__host`, `__body`, `subtrees`: keys of each page, and what of it may be template."""
     kind = "__k long, __k2 long, __host string, __body binary, subtrees array<bigint>"
-    hashed = settle(keyed.mapInArrow(_hashed, kind), "subtrees")
-    # whatever its addresses, a body counts once on a host, and what stands around it too
+    keyed = _keyed(pages).select("__k", "__k2", "__host", "html")
+    return settle(keyed.mapInArrow(_hashed, kind), "subtrees")
+
+
+def templates(hashed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """`__subtree`, `__on`: the subtrees that recur on their host, whose name is hashed with them, and on how many pages.
+
+    Whatever its addresses, a body counts once on a host, and what stands around it too.
+    """
     html = F.struct("__k", "__k2")
     different = hashed.groupBy("__host", "__body").agg(
         F.min(html).alias("__least"), F.max(html).alias("__most"), F.first("subtrees").alias("subtrees")
     )
-    alone = different.where("__least = __most").select("__host", F.explode("subtrees").alias("__subtree"))
+    alone = different.where("__least = __most").select(F.explode("subtrees").alias("__subtree"))
     several = different.where("__least <> __most").select("__host", "__body")
     around = hashed.join(several, ["__host", "__body"], "left_semi")
     around = around.select("__host", "__body", F.explode("subtrees").alias("__subtree")).distinct()
-    seen = alone.union(around.select("__host", "__subtree"))
-    sizes = different.groupBy("__host").agg(F.count("*").alias("__pages"))
-    counts = seen.groupBy("__host", "__subtree").agg(F.count("*").alias("__on")).where(F.col("__on") >= min_pages)
-    recurring = counts.join(sizes, "__host").where(F.col("__on") >= min_share * F.col("__pages"))
-    return settle(recurring.groupBy("__host").agg(F.collect_list("__subtree").alias("__template")), "templates")
+    counts = alone.union(around.select("__subtree")).groupBy("__subtree").agg(F.count("*").alias("__on"))
+    return settle(counts.where(F.col("__on") >= min_pages), "templates")
+
+
+def _listed(hashed: DataFrame, sent: DataFrame, others: DataFrame) -> DataFrame:
+    """For each page with some, its subtrees among `others`; the most frequent ones, `sent`, leave before the join."""
+    pages = hashed.groupBy("__host", "__k", "__k2").agg(F.first("subtrees").alias("subtrees"))
+    seen = pages.select("__host", "__k", "__k2", F.explode("subtrees").alias("__subtree"))
+    seen = seen.join(F.broadcast(sent), "__subtree", "left_anti").join(others, "__subtree", "left_semi")
+    return seen.groupBy("__host", "__k", "__k2").agg(F.collect_list("__subtree").alias("__template"))
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """`pages` (with url, html) and `text`, the main text.
 
     Every element's subtree is hashed; the hashes are counted by host over the
     pages, with the map side combining, so a host of any size spreads. What
-    stands on at least `min_pages` pages of a host and `min_share` of them is
-    deleted, beside elements that by their own name or class are no main text.
+    stands on at least `min_pages` different pages of a host, be it small or
+    large, is deleted, beside elements that by their own name or class are no
+    main text.
     Paragraphs and headings of an article are never template.
 
     A null or empty html gives an empty text; a null or odd url has the empty
@@ -371,11 +407,17 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     """
     bounded_batches(pages.sparkSession)
     rows = pages.drop("text")
-    found = templates(rows, min_pages, min_share)
-    held = found.agg(F.sum(F.size("__template"))).first()[0] or 0
-    # sent to all tasks up to a length, and joined by a shuffle, whose hot hosts are cut, beyond
-    found = F.broadcast(found) if held <= SENT_HASHES else found
-    joined = rows.withColumn("__host", host(F.col("url"))).join(found, "__host", "left")
-    return joined.select(*rows.columns, "__template").mapInArrow(
-        _extracted, with_fields(rows.schema, ("text", "string"))
+    hashed = hashed_pages(rows)
+    found = templates(hashed, min_pages)
+    sent, joined = found, _keyed(rows)
+    if found.count() > SENT_HASHES:
+        sent = settle(found.orderBy(F.desc("__on"), "__subtree").limit(SENT_HASHES), "sent")
+        listed = _listed(hashed, sent.select("__subtree"), found.join(sent, "__subtree", "left_anti"))
+        joined = joined.join(listed, ["__host", "__k", "__k2"], "left")
+    else:
+        joined = joined.withColumn("__template", F.lit(None).cast("array<bigint>"))
+    # at most SENT_HASHES numbers
+    hashes = np.sort(sent.select("__subtree").toArrow().column(0).to_numpy())
+    return joined.select(*rows.columns, "__host", "__template").mapInArrow(
+        _extracted(hashes), with_fields(rows.schema, ("text", "string"))
     )

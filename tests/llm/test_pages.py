@@ -84,6 +84,29 @@ def test_what_stands_around_copies_counts_once_for_each_body(spark):
     assert got[18] == "No article" and got[19] == "Plain"
 
 
+def hosts_with_boxes():
+    """A host of 100 pages, 10 of them with a box, and one of 25 with the same box on 5; no telling names."""
+    box = "<div class=q><b>Join us</b> in town</div>"
+    rows = [(f"http://large/{i}", box * (i < 10) + f"<p>Large {i} and <i>more</i></p>") for i in range(100)]
+    return rows + [(f"http://small/{i}", box * (i < 5) + f"<p>Small {i}</p>") for i in range(25)]
+
+
+def test_what_recurs_goes_on_large_hosts_too(spark):
+    got = extracted(spark, hosts_with_boxes())
+    assert [got[i] for i in range(100)] == [f"Large {i} and more" for i in range(100)]
+    assert [got[100 + i] for i in range(25)] == [f"Small {i}" for i in range(25)]
+
+
+@pytest.mark.parametrize("sent", [0, 1, 3])
+def test_long_lists_of_templates_are_joined(spark, monkeypatch, sent):
+    rows = hosts_with_boxes() + [("http://large/0", hosts_with_boxes()[0][1])] * 3 + [(None, None)]
+    rows += [(f"http://third/{i}", f"<div><p>Part {i % 4}</p><p>Own {i}</p></div><p>End</p>") for i in range(24)]
+    want = extracted(spark, rows)
+    assert want[130] == "Own 1" and want[125] == "Large 0 and more"
+    monkeypatch.setattr(P, "SENT_HASHES", sent)
+    assert extracted(spark, rows) == want
+
+
 def test_odd_rows(spark):
     rows = [(None, None), ("", ""), ("odd", "<article><p>x</p></article>")] + [("http://h/1", "<article><p>same</p></article>")] * 9
     got = extracted(spark, rows)
