@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html import unescape
 
 import numpy as np
@@ -48,13 +49,18 @@ DROPPED = frozenset(
     " dialog menu audio video search".split()
 )
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar".split())
-#: Words of a class or an id that mark menus, notices, adverts, comments and the like.
+#: Names that mark menus, notices, adverts, comments and the like.
 DROPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation"
     " menu menubar breadcrumb breadcrumbs sidebar sidebars widget widgets footer masthead cookie cookies consent notice"
     " notices gdpr popup modal overlay newsletter subscribe subscription signup login comment comments commentlist"
     " respond disqus replies share sharing social related recommended recommendations pager pagination toolbar".split()
 )
+#: What such names are compounded with, as in share-buttons; any other word tells of a title or a subject.
+PART_WORDS = frozenset(
+    "area bar block box button buttons container footer global header icons inner item items left link links list main"
+    " outer panel post posts primary right secondary section site slot sticky toggle top bottom unit wrap wrapper".split()
+)
 OWN_PARTS = frozenset("comment comments reply replies ad ads advert sponsored related promo teaser".split())
 #: Inside the article, only these can be template; its paragraphs may recur as they like.
 WRAPPERS = frozenset("div section ul ol table figure header details".split())
@@ -174,9 +180,33 @@ def _made_room(now: Node, tag: str, opened: Counter) -> Node:
     return now if last is None else _left(now, last, opened)
 
 
-def marks(node: Node) -> frozenset[str]:
-    names = node.attribute("class", "id")
-    return frozenset(w.lower() for w in _WORDS.findall(names)) if names else frozenset()
+@lru_cache(maxsize=1 << 16)
+def names_part(name: str, compound: bool = False) -> bool:
+    """Whether a class or an id is one of the names or a compound of such and of PART_WORDS; with `compound`, the latter."""
+    words = [w.lower() for w in _WORDS.findall(name)]
+    said = [w for w in words if not w.isdigit()]
+    if len(words) < 2 or len(said) < 2 and compound:
+        return not compound and name.lower() in DROPPED_WORDS
+    return not DROPPED_WORDS.isdisjoint(said) and all(w in DROPPED_WORDS or w in PART_WORDS for w in said)
+
+
+def is_named_part(node: Node, in_article: bool) -> bool:
+    """Whether an element's classes, or its id as far as it is not made from a title, mark it as no main text.
+
+    Ids of headings, paragraphs and sections come from titles; so may any id of
+    one word in an article. Headings, and an article's paragraphs, stay whatever
+    their classes are.
+    """
+    if node.tag in HEADINGS or in_article and node.tag == "p":
+        return False
+    classes = node.attribute("class").split()
+    if any(map(names_part, classes)) or not in_article and any(
+        "header" in (words := c.lower().replace("_", "-").split("-")) and PART_WORDS.issuperset(words) for c in classes
+    ):
+        return True
+    if node.tag in ("p", "section") or "section" in classes:
+        return False
+    return any(names_part(name, in_article) for name in node.attribute("id").split())
 
 
 def is_dropped(node: Node, in_article: bool) -> bool:
@@ -194,8 +224,7 @@ def is_dropped(node: Node, in_article: bool) -> bool:
         return True
     if "display:none" in node.attribute("style").replace(" ", "").lower():
         return True
-    words = marks(node)
-    return bool(words & DROPPED_WORDS) or ("header" in words and not in_article)
+    return is_named_part(node, in_article)
 
 
 def subtrees(root: Node, host: str = "") -> dict[int, int]:

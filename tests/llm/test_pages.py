@@ -34,6 +34,33 @@ def test_main_text(html, want):
     assert P.main_text(P.parse(html or ""), frozenset()) == want
 
 
+@pytest.mark.parametrize("around", ["<article>%s</article>", "<main>%s</main>", "%s"])
+@pytest.mark.parametrize("html", [
+    "<h2 id='social-media-use'>x</h2>", "<h2 id='cookies' class='notice'>x</h2>", "<h2 id='cookie-recipes'>x</h2>",
+    "<section id='related-work'><h2>x</h2></section>", "<section id='comments'><p>x</p></section>",
+    "<div class='section' id='related'><p>x</p></div>", "<div class='share-price-table'>x</div>", "<p id='login-problem'>x</p>",
+    "<p id='comments'>x</p>", "<div class='ad-hoc-queries'><p>x</p></div>", "<ul id='menu-of-the-day'><li>x</ul>",
+])
+def test_names_made_from_titles_keep_their_text(html, around):
+    assert P.main_text(P.parse(around % (html + "<p>y</p>")), frozenset()) == "x\n\ny"
+
+
+@pytest.mark.parametrize("around", ["<article>%s</article>", "<main>%s</main>", "%s"])
+@pytest.mark.parametrize("html", [
+    "<div class='wide share'>x</div>", "<div class='shareButtons'>x</div>", "<ul class='social-links'><li>x</ul>",
+    "<div id='cookie-notice'>x</div>", "<div class='comment-list'><p>x</p></div>", "<div class='ad-slot-2'>x</div>",
+    "<section class='related-posts'><h2>x</h2></section>", "<div class='comment-12'>x</div>",
+])
+def test_names_of_page_parts_drop_them(html, around):
+    assert P.main_text(P.parse(around % (html + "<p>y</p>")), frozenset()) == "y"
+
+
+def test_outside_an_article_ids_and_headers_tell_too():
+    for html in ("<div id=sidebar>x</div>", "<div id=comments>x</div>", "<div class=site-header>x</div>", "<p class=breadcrumbs>x</p>"):
+        assert P.main_text(P.parse(html + "<p>y</p>"), frozenset()) == "y"
+    assert P.main_text(P.parse("<article><div id=related>x</div><p class=notice>y</p></article>"), frozenset()) == "x\n\ny"
+
+
 def test_given_pages(spark):
     rows = table(spark, f"{TESTDATA}/sf0.01", "pages").collect()
     got = {r.page_id: r.text for r in P.extract(table(spark, f"{TESTDATA}/sf0.01", "pages")).collect()}
