@@ -17,7 +17,9 @@ SEED = 4
 #: The field is fitted on at most so many documents.
 SAMPLE_DOCS = 20_000
 STEPS = 400
-ROUNDS = 12
+#: Messages are passed on until they change by less; where they go on changing for long, this doubles by and by.
+SETTLED = 1e-6
+PATIENCE = 1000
 #: The log potential, before the sample is seen, of two similar words having one label.
 AGREE = 6.0
 #: A token that no pattern found needs this chance of a label.
@@ -170,6 +172,29 @@ def graph(text: str, words: list[tuple[int, int]]) -> tuple[list[list[float]], l
     return rows, [(i, i + 1) for i in chain], skips
 
 
+def reach(skips: list[tuple[int, int]], known: list[int]) -> list[tuple[int, int]]:
+    """Skip links, and one from each open word to the nearest like word that a pattern matched, however many are between.
+
+    A label would get weaker with each open word that it has to pass.
+    """
+    before: dict[int, int] = {}
+    after: dict[int, int] = {}
+    for a, b in skips:  # by their second word
+        before[b] = a if known[a] else before.get(a, -1)
+    for a, b in sorted(skips, reverse=True):
+        after[a] = b if known[b] else after.get(b, -1)
+    have = set(skips)
+    out = list(skips)
+    for i in sorted(before.keys() | after.keys()):
+        left, right = before.get(i, -1), after.get(i, -1)
+        if known[i] or left < 0 and right < 0:
+            continue
+        link = (left, i) if right < 0 or 0 <= left and i - left <= right - i else (i, right)
+        if link not in have:
+            out.append(link)
+    return out
+
+
 def covered(words: list[tuple[int, int]], spans: list[Span]) -> list[int]:
     """The label of each word: that of the first pattern match that overlaps it."""
     labels, at = [], 0
@@ -188,12 +213,12 @@ class Field:
     skip: np.ndarray
 
     def marginals(
-        self, x: np.ndarray, chain: np.ndarray, skips: np.ndarray, known: np.ndarray, rounds: int = ROUNDS
+        self, x: np.ndarray, chain: np.ndarray, skips: np.ndarray, known: np.ndarray, rounds: int | None = None
     ) -> np.ndarray:
-        """Label chances by loopy message passing over all words at once.
+        """Label chances by loopy message passing over all words at once, until no message changes.
 
         `known` has the labels that patterns have settled (0: open); those words
-        keep their label and pass it on.
+        keep their label and pass it on. Only links beside a change are worked on again.
         """
         own = x @ self.weights
         held = known > 0
@@ -205,15 +230,24 @@ class Field:
             np.broadcast_to(self.skip, (len(skips), LABELS, LABELS)),
         ])
         forth, back = np.zeros((len(links), LABELS)), np.zeros((len(links), LABELS))
-        belief = own
-        for _ in range(rounds if len(links) else 0):
-            to_right = (belief[links[:, 0]] - back)[:, :, None] + table
-            to_left = (belief[links[:, 1]] - forth)[:, None, :] + table
-            forth = 0.5 * forth + 0.5 * _normal(_logsum(to_right, 1))
-            back = 0.5 * back + 0.5 * _normal(_logsum(to_left, 2))
-            belief = own.copy()
-            np.add.at(belief, links[:, 1], forth)
-            np.add.at(belief, links[:, 0], back)
+        belief, live, done = own.copy(), np.arange(len(links)), 0
+        while len(live) and done != rounds:
+            a, b = links[live].T
+            to_right = (belief[a] - back[live])[:, :, None] + table[live]
+            to_left = (belief[b] - forth[live])[:, None, :] + table[live]
+            more_forth = 0.5 * (_normal(_logsum(to_right, 1)) - forth[live])
+            more_back = 0.5 * (_normal(_logsum(to_left, 2)) - back[live])
+            forth[live] += more_forth
+            back[live] += more_back
+            np.add.at(belief, b, more_forth)
+            np.add.at(belief, a, more_back)
+            done += 1
+            # a tree of so many links has settled by then; a loop that swings may not
+            least = SETTLED * 2.0 ** (max(done - PATIENCE - 4 * len(links), 0) // 100)
+            changed = np.zeros(len(own), bool)
+            changed[b[np.abs(more_forth).max(1) > least]] = True
+            changed[a[np.abs(more_back).max(1) > least]] = True
+            live = np.flatnonzero(changed[links].any(1))
         return np.exp(_normal(belief))
 
 
@@ -341,8 +375,9 @@ def _finder(field: Field) -> Callable:
                 more: list[Span] = []
                 if words:
                     rows, chain, skips = graph(text, words)
-                    known = np.array(covered(words, spans), np.int64)
-                    chance = field.marginals(np.array(rows), _pairs(chain), _pairs(skips), known)
+                    known = covered(words, spans)
+                    linked = _pairs(reach(skips, known))
+                    chance = field.marginals(np.array(rows), _pairs(chain), linked, np.array(known, np.int64))
                     more = added_spans(text, words, chance, spans)
                 base.append(spans)
                 added.append(more)
@@ -364,12 +399,14 @@ def find(docs: DataFrame, field: Field) -> DataFrame:
 
     Words that hold neither a digit nor an @ can have no label, so the field's
     variables are the others; words side by side share a potential, and so does
-    each word with the next similar one of the document, however distant. A word
-    that a pattern matched keeps its label.
+    each word with the next similar one of the document and with the nearest one
+    that a pattern matched, however distant. A word that a pattern matched keeps
+    its label.
 
     A null text counts as empty and has no spans. Repeated rows are treated
     alike, other columns pass through, columns of the new names are replaced,
-    an empty table gives an empty table. All steps are linear in a text's length.
+    an empty table gives an empty table. Steps are linear in a text's length, and
+    messages are worked on as long as they change.
     """
     bounded_batches(docs.sparkSession)
     rows = docs.drop("base", "added", "base_written", "all_written")

@@ -92,6 +92,39 @@ def test_a_distant_repeat_takes_the_label_of_its_like(spark, field):
     assert found(spark, field, "only 555-6532 here and 4663622617512348 or 12.5 of 2024")[1] == []
 
 
+@pytest.mark.parametrize("at", [0, 25, 50])
+def test_a_label_reaches_all_of_many_repeats(spark, field, at):
+    mentions = ["or 555-6532 again"] * 50
+    mentions.insert(at, "write to +1 (314) 555-6532 now")
+    base, added = found(spark, field, " and so on ".join(mentions))
+    assert base == [("phone", "+1 (314) 555-6532")]
+    assert added == [("phone", "555-6532")] * 50
+    assert found(spark, field, " and so on ".join(["or 555-6532 again"] * 50))[1] == []
+
+
+def test_links_go_to_the_nearest_match():
+    assert P.reach([(0, 1), (1, 3), (3, 4)], [1, 0, 0, 0, 2]) == [(0, 1), (1, 3), (3, 4)]
+    assert P.reach([(0, 1), (1, 2), (2, 3), (3, 4)], [0, 0, 0, 0, 2]) == [(0, 1), (1, 2), (2, 3), (3, 4), (0, 4), (1, 4), (2, 4)]
+    assert P.reach([(0, 1), (1, 5), (2, 3)], [1, 0, 0, 0, 0, 0]) == [(0, 1), (1, 5), (2, 3), (0, 5)]
+
+
+def test_messages_settle_on_long_chains():
+    rng = np.random.default_rng(1)
+    field = P.Field(rng.normal(size=(2, P.LABELS)) / 50, np.zeros((P.LABELS, P.LABELS)), np.eye(P.LABELS) * 6)
+    x, n = rng.normal(size=(300, 2)), 300
+    skips, known = np.array([[i, i + 1] for i in range(n - 1)]), np.zeros(n, np.int64)
+    known[0] = P.PHONE
+    got = field.marginals(x, np.empty((0, 2), np.int64), skips, known)
+    own = np.exp(x @ field.weights)
+    own[0] = np.eye(P.LABELS)[P.PHONE]
+    ahead, behind, pair = [own[0]], [np.ones(P.LABELS)], np.exp(field.skip)
+    for i in range(1, n):
+        ahead.append(own[i] * (pair.T @ (ahead[-1] / ahead[-1].sum())))
+        behind.append(pair @ (own[n - i] * behind[-1] / behind[-1].sum()))
+    want = np.array(ahead) * np.array(behind[::-1])
+    assert np.allclose(got, want / want.sum(1, keepdims=True), atol=1e-3)
+
+
 def test_clean_texts_stay_clean(spark, field):
     rows = P.find(table(spark, f"{TESTDATA}/sf0.01", "documents").select("doc_id", "text"), field).collect()
     silent = [r for r in rows if not re.search("[0-9@]", r.text or "")]
