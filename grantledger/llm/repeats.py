@@ -5,7 +5,9 @@ digits of the windows out by their most significant bits, sorts each bucket and
 keeps the windows whose digit stands in another place too; the next pass takes
 a longer digit of those alone. The first digit is the rarest half of a window
 (its least hash), which neighbouring windows share, so few digits stand for all
-bytes. After the last pass the groups of equal windows are the repeated ones.
+bytes. The last digit has two independent 64-bit hashes of the whole window, so
+windows that differ fall together as rarely as 128 random bits do. After the
+last pass the groups of equal windows are the repeated ones.
 """
 
 from __future__ import annotations
@@ -33,24 +35,27 @@ PART_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64))
+# of the second hash
+_BASE2 = 0xD6E8FEB86659FD93
+_BYTE2 = mixed(np.arange(1001, 1257, dtype=np.uint64))
 
 
-def _power(n: int) -> np.uint64:
-    return np.uint64(pow(_BASE, n, 1 << 64))
+def _power(n: int, base: int = _BASE) -> np.uint64:
+    return np.uint64(pow(base, n, 1 << 64))
 
 
-def rolling(values: np.ndarray, length: int) -> np.ndarray:
+def rolling(values: np.ndarray, length: int, base: int = _BASE) -> np.ndarray:
     """The polynomial hash of the `length` values from each place on, by doubling."""
     if len(values) < length:
         return np.empty(0, np.uint64)
     out, done, block, size = None, 0, values, 1
     while True:
         if length & size:
-            out = block if out is None else out[: len(block) - done] * _power(size) + block[done:]
+            out = block if out is None else out[: len(block) - done] * _power(size, base) + block[done:]
             done += size
         if size * 2 > length:
             return out
-        block = block[:-size] * _power(size) + block[size:]
+        block = block[:-size] * _power(size, base) + block[size:]
         size *= 2
 
 
@@ -72,7 +77,7 @@ class Part:
     def __init__(self, data: np.ndarray, ends: np.ndarray, owned: np.ndarray, at: np.ndarray, length: int) -> None:
         """`ends`: for each byte, how many follow to the end of its text, itself included; `at`: its place in the group."""
         half = length // 2
-        self.length, self.at = length, at
+        self.length, self.at, self.data = length, at, data
         values = _BYTE[data]
         halves = rolling(values, half)
         if length == 2 * half:
@@ -104,6 +109,20 @@ class Part:
         return np.flatnonzero(hit & self.fits & self.owned[: len(hit)])
 
 
+    def digits_of(self, starts: np.ndarray) -> np.ndarray:
+        """Both hashes of the windows that start there; few windows are hashed by themselves."""
+        if len(starts) * 20 < len(self.data):
+            powers = np.array([_power(self.length - 1 - i, _BASE2) for i in range(self.length)])
+            step = max(PART_BYTES // self.length, 1)
+            cuts = range(0, len(starts), step)
+            within = np.arange(self.length)
+            found = [(_BYTE2[self.data[starts[c : c + step, None] + within]] * powers).sum(1, dtype=np.uint64) for c in cuts]
+            second = np.concatenate([np.empty(0, np.uint64), *found])
+        else:
+            second = rolling(_BYTE2[self.data], self.length, _BASE2)[starts]
+        return np.stack([self.windows[starts], mixed(second)], 1)
+
+
 def parts(texts: list[bytes], length: int, most: int = PART_BYTES) -> Iterator[Part]:
     """A group's bytes in parts; a long text's parts overlap by what windows and their digits need."""
     held: list[tuple[bytes, int, int, int, int]] = []  # text, from, to, first owned, place of the text in the group
@@ -132,16 +151,22 @@ def _part(held: list[tuple[bytes, int, int, int, int]], length: int, most: int)
     return Part(data, np.concatenate(ends), np.concatenate(owned), np.concatenate(at), length)
 
 
-def _counted(values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values in order, and which of them stand more than once."""
-    found = np.concatenate(values) if values else np.empty(0, np.uint64)
-    distinct, counts = np.unique(found, return_counts=True)
-    return distinct, counts > 1
+def _counted(values: list[np.ndarray], words: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct digits of so many words in order, which of them stand more than once, and the place of each among them."""
+    found = np.concatenate([np.empty((0, words), np.uint64), *(v.reshape(-1, words) for v in values)])
+    order = np.lexsort(found.T[::-1])
+    ordered = found[order]
+    head = np.ones(len(found), bool)
+    head[1:] = (ordered[1:] != ordered[:-1]).any(1)
+    place = np.empty(len(found), np.int64)
+    place[order] = np.cumsum(head) - 1
+    starts = np.flatnonzero(head)
+    return ordered[starts], np.diff(np.append(starts, len(found))) > 1, place
 
 
 def _dealt(distinct: np.ndarray, buckets: int) -> np.ndarray:
     """Where each bucket's values begin in a sorted array, by the most significant bits."""
-    of = ((distinct >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    of = ((distinct[:, 0] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     return np.searchsorted(of, np.arange(buckets + 1, dtype=np.uint64))
 
 
@@ -154,7 +179,7 @@ def _sent(group: int, distinct: np.ndarray, twice: np.ndarray, buckets: int) ->
     """A row for each bucket: its digits, byte by byte most significant first, and flags."""
     edges = _dealt(distinct, buckets)
     some = np.flatnonzero(np.diff(edges))
-    big = distinct.astype(">u8").view(np.uint8).reshape(-1, 8)
+    big = distinct.astype(">u8").view(np.uint8).reshape(len(distinct), 8 * distinct.shape[1])
     return pa.table({
         "g": pa.array(np.full(len(some), group, np.int64)),
         "bucket": pa.array(some.astype(np.int32)),
@@ -166,8 +191,9 @@ def _sent(group: int, distinct: np.ndarray, twice: np.ndarray, buckets: int) ->
 def _answers(step: int) -> Callable:
     def answers(table: pa.Table) -> pa.Table:
         """Which digits of each group stand in some other place of the whole table."""
+        # the digits of step 1 have one word, those of step 2 have two
         digits = [
-            np.ascontiguousarray(np.frombuffer(d, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(np.uint64)
+            np.ascontiguousarray(np.frombuffer(d, np.uint8).reshape(8 * step, -1).T).view(">u8").astype(np.uint64)
             for d in table.column("digits").to_pylist()
         ]
         sizes = [len(d) for d in digits]
@@ -175,14 +201,9 @@ def _answers(step: int) -> Callable:
             np.unpackbits(np.frombuffer(t, np.uint8), count=n).astype(bool)
             for t, n in zip(table.column("twice").to_pylist(), sizes, strict=True)
         ])
-        values = np.concatenate(digits)
-        order = np.argsort(values, kind="stable")
-        ordered = values[order]
-        head = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        count = np.diff(np.concatenate([head, [len(ordered)]]))
-        again = (count > 1) | np.logical_or.reduceat(twice[order], head)
-        repeated = np.empty(len(values), bool)
-        repeated[order] = np.repeat(again, count)
+        _, many, place = _counted(digits, step)
+        again = many | (np.bincount(place, weights=twice, minlength=len(many)) > 0)
+        repeated = again[place]
         cuts = np.cumsum([0, *sizes])
         return pa.table({
             "g": table.column("g").cast(pa.int64()),
@@ -195,13 +216,13 @@ def _answers(step: int) -> Callable:
 
 
 def _marked(distinct: np.ndarray, buckets: int, answers: dict[int, bytes]) -> np.ndarray:
-    """The distinct digits that the answers call repeated."""
+    """Which of the distinct digits the answers call repeated."""
     edges = _dealt(distinct, buckets)
     out = np.zeros(len(distinct), bool)
     for bucket, bits in answers.items():
         a, b = edges[bucket], edges[bucket + 1]
         out[a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=int(b - a)).astype(bool)
-    return distinct[out]
+    return out
 
 
 def _answers_of(table: pa.Table, step: int) -> dict[int, bytes]:
@@ -226,24 +247,24 @@ def _parts(texts: list[bytes], length: int) -> Callable[[], Iterable[Part]]:
 def _first(length: int, buckets: int) -> Callable:
     def first(table: pa.Table) -> pa.Table:
         _, texts = _texts(table)
-        distinct, twice = _counted([part.digits for part in parts(texts, length)])
+        distinct, twice, _ = _counted([part.digits for part in parts(texts, length)])
         return _sent(table.column("g")[0].as_py(), distinct, twice, buckets)
 
     return first
 
 
 def _windows(texts: list[bytes], answers: pa.Table, length: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and place of the windows that the first pass left."""
+    """Hashes and place of the windows that the first pass left."""
     of_group, known = _answers_of(answers, 1), np.empty(0, np.uint64)
     again = _parts(texts, length) if of_group else list
     if of_group:
-        distinct, _ = _counted([part.digits for part in again()])
-        known = _marked(distinct, buckets, of_group)
-    hashes, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        distinct, _, _ = _counted([part.digits for part in again()])
+        known = distinct[_marked(distinct, buckets, of_group), 0]
+    hashes, places = [np.empty((0, 2), np.uint64)], [np.empty(0, np.int64)]
     if len(known):
         for part in again():
             starts = part.candidates(known)
-            hashes.append(part.windows[starts])
+            hashes.append(part.digits_of(starts))
             places.append(part.at[starts])
     return np.concatenate(hashes), np.concatenate(places)
 
@@ -251,10 +272,10 @@ def _windows(texts: list[bytes], answers: pa.Table, length: int, buckets: int) -
 def _second(length: int, buckets: int) -> Callable:
     def second(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return _sent(0, np.empty(0, np.uint64), np.empty(0, bool), buckets)
+            return _sent(0, np.empty((0, 2), np.uint64), np.empty(0, bool), buckets)
         _, texts = _texts(table)
         hashes, _ = _windows(texts, answers, length, buckets)
-        distinct, twice = _counted([hashes])
+        distinct, twice, _ = _counted([hashes], 2)
         return _sent(table.column("g")[0].as_py(), distinct, twice, buckets)
 
     return second
@@ -280,13 +301,8 @@ def _third(length: int, buckets: int) -> Callable:
     def third(table: pa.Table, answers: pa.Table) -> pa.Table:
         order, texts = _texts(table) if table.num_rows else (np.empty(0, np.int64), [])
         hashes, places = _windows(texts, answers, length, buckets)
-        distinct, _ = _counted([hashes])
-        known = _marked(distinct, buckets, _answers_of(answers, 2))
-        if len(known):
-            found = known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes
-            places = np.sort(places[found])
-        else:
-            places = np.empty(0, np.int64)
+        distinct, _, place = _counted([hashes], 2)
+        places = np.sort(places[_marked(distinct, buckets, _answers_of(answers, 2))[place]])
         copies = table.column("copies").take(pa.array(order)).to_pylist() if texts else []
         edges = np.cumsum([0, *map(len, texts)])
         cuts = np.searchsorted(places, edges)

@@ -3,6 +3,8 @@ from collections import Counter
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from grantledger.llm import repeats as R
@@ -78,3 +80,28 @@ def test_rolling_hashes_and_sliding_bests():
     assert len(R.rolling(values, 301)) == 0
     for width in (1, 2, 3, 50, 101):
         assert R.sliding(values, width, np.minimum).tolist() == [values[i : i + width].min() for i in range(301 - width)]
+
+
+def test_windows_of_one_hash_that_differ_are_no_repeats():
+    digits = lambda *rows: np.array(rows, np.uint64)
+    distinct, twice, place = R._counted([digits((5, 1), (5, 2)), digits((5, 2), (4, 9))], 2)
+    assert distinct.tolist() == [[4, 9], [5, 1], [5, 2]] and twice.tolist() == [False, False, True]
+    assert place.tolist() == [1, 2, 2, 0]
+    groups = [digits((5, 1), (7, 3)), digits((5, 2), (7, 3))]
+    sent = pa.concat_tables([R._sent(g, d, np.zeros(2, bool), 1) for g, d in enumerate(groups)])
+    answers = R._answers(2)(sent)
+    got = {g: R._marked(groups[g], 1, R._answers_of(answers.filter(pc.equal(answers["g"], g)), 2)).tolist() for g in (0, 1)}
+    assert got == {0: [False, True], 1: [False, True]}
+
+
+@pytest.mark.parametrize("length", [3, 8, 200])
+def test_both_hashes_agree_on_equal_windows_only(length):
+    rng = random.Random(length)
+    text = bytes(rng.choices(b"ab", k=4000)) + bytes(range(256)) * 40
+    part, = R.parts([text], length)
+    starts = np.flatnonzero(part.fits)
+    few = starts[:: len(starts) // 50]
+    both = part.digits_of(starts)
+    assert (part.digits_of(few) == both[few]).all()
+    windows = [text[i : i + length] for i in starts]
+    assert len(set(windows)) == len(np.unique(both[:, 0])) == len(np.unique(both[:, 1]))
