@@ -121,10 +121,11 @@ def _shape(word: str) -> list[float]:
     parts = core.split(".")
     n = len(digits)
     only = len(core) - n
+    local, _, domain = core.partition("@")
     return [
         1.0,
         float("@" in core),
-        float("@" in core and bool(re.fullmatch(r"[^@]{1,64}@[^@]+\.[^@]+", core[:400]))),
+        float(1 <= len(local) <= 64 and "@" not in domain and "." in domain[1:-1]),
         float(len(parts) == 4 and all(p.isdigit() and p.isascii() and _at_most_255(p) for p in parts)),
         float(len(parts) == 4),
         float(14 <= n <= 19 and only <= 4),
@@ -136,7 +137,7 @@ def _shape(word: str) -> list[float]:
         float(n <= 3),
         float(4 <= n <= 10),
         float(n > 19),
-        float(any(c.isalpha() for c in core[:200])),
+        float(any(c.isalpha() for c in core)),
     ]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,9 +14,9 @@ from grantledger.llm.common import bounded_batches, seeded, with_fields
 from grantledger.llm.hashing import joined_bytes, word_hashes
 
 SEED = 6
-#: The classifier is fitted on at most so many labelled documents, and so many lines of each.
+#: The classifier is fitted on whole labelled documents, at most so many and with so many lines together.
 SAMPLE_DOCS = 4000
-SAMPLE_LINES = 200
+SAMPLE_LINES = 800_000
 STEPS = 300
 THRESHOLD = 0.7
 
@@ -202,40 +202,46 @@ def held_out(key: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def _featured(lines: int) -> Callable:
-    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            first, length, own = batch_lines(batch.column("text"))
-            cut = np.minimum(np.diff(first), lines)
-            spans = list(zip(first[:-1], first[:-1] + cut, strict=True))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "quality": batch.column("quality"),
-                    "lengths": pa.array([length[a:b].tolist() for a, b in spans], pa.list_(pa.int64())),
-                    "own": pa.array([own[a:b].astype(np.float32).tobytes() for a, b in spans], pa.binary()),
-                }
-            )
-
-    return featured
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        first, length, own = batch_lines(batch.column("text"))
+        spans = list(zip(first[:-1], first[1:], strict=True))
+        yield pa.RecordBatch.from_pydict(
+            {
+                "quality": batch.column("quality"),
+                "lengths": pa.array([length[a:b].tolist() for a, b in spans], pa.list_(pa.int64())),
+                "own": pa.array([own[a:b].astype(np.float32).tobytes() for a, b in spans], pa.binary()),
+            }
+        )
 
 
 def train(
     docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS, lines: int = SAMPLE_LINES, seed: int = SEED
 ) -> Model:
-    """A model from at most `sample` labelled documents that are not held out, `lines` lines of each.
+    """A model from at most `sample` labelled documents that are not held out, with `lines` lines together.
 
-    The sample goes by a seeded hash of the id; rows with a null id or a null
-    label are not learnt from. It alone reaches the driver, as numbers.
+    The sample goes by a seeded hash of the id and ends before the document that
+    is too much, but has one at least; all lines of its documents are learnt
+    from. Rows with a null id or a null label are not. It alone reaches the
+    driver, as numbers.
     """
     bounded_batches(docs.sparkSession)
     known = labels.where(~held_out() & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     drawn = known.select("doc_id", F.col("quality").cast("int").alias("quality")).dropDuplicates(["doc_id"])
     drawn = drawn.orderBy(seeded(seed, F.col("doc_id")), "doc_id").limit(sample)
     # at most `sample` rows of two numbers
-    chosen = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("quality", "text")
-    rows = chosen.mapInArrow(_featured(lines), "quality int, lengths array<bigint>, own binary").collect()
+    chosen = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    held = F.regexp_count(F.coalesce("text", F.lit("")), F.lit("\n")) + 1
+    sizes = chosen.groupBy("doc_id").agg(F.sum(held).alias("n")).orderBy(seeded(seed, F.col("doc_id")), "doc_id").collect()
+    upto = np.cumsum([r.n for r in sizes])
+    if len(sizes) and upto[-1] > lines:
+        last = sizes[max(int(np.searchsorted(upto, lines, side="right")) - 1, 0)].doc_id
+        place = lambda doc: F.struct(seeded(seed, doc), doc)
+        chosen = chosen.where(place(F.col("doc_id")) <= place(F.lit(last).cast(docs.schema["doc_id"].dataType)))
+    chosen = chosen.select("quality", "text")
+    rows = chosen.mapInArrow(_featured, "quality int, lengths array<bigint>, own binary").collect()
     rows.sort(key=lambda r: (r.quality, bytes(r.own)))
     sizes = [len(r.lengths) for r in rows]
     own = np.frombuffer(b"".join(bytes(r.own) for r in rows), np.float32).astype(np.float64).reshape(-1, FEATURES)

@@ -125,6 +125,14 @@ def test_messages_settle_on_long_chains():
     assert np.allclose(got, want / want.sum(1, keepdims=True), atol=1e-3)
 
 
+def test_features_see_the_whole_word():
+    whole = lambda core: [bool(re.fullmatch(r"[^@]{1,64}@[^@]+\.[^@]+", core)), any(map(str.isalpha, core))]
+    words = ["1@" + "2" * 500 + ".3", "1@" + "2" * 400 + ".3@4", "0" * 300 + "x", "0" * 300, "a@b.c", "@b.c", "a@.c", "a@b.", "a" * 65 + "@b.c"]
+    for word in words:
+        core = word.strip(P._EDGES)
+        assert [P._shape(word)[2], P._shape(word)[-1]] == whole(core), word
+
+
 def test_clean_texts_stay_clean(spark, field):
     rows = P.find(table(spark, f"{TESTDATA}/sf0.01", "documents").select("doc_id", "text"), field).collect()
     silent = [r for r in rows if not re.search("[0-9@]", r.text or "")]

@@ -61,3 +61,17 @@ def test_odd_rows_and_no_labels(spark, docs_of):
     assert Q.score(docs.where("false"), model).count() == 0
     untaught = Q.train(docs, labels.where("false"))
     assert {r.score for r in Q.score(docs, untaught).collect()} == {0.5}
+
+
+def test_all_lines_of_a_document_are_learnt_from(spark, docs_of, monkeypatch):
+    seen = []
+    fit = Q.fit
+    monkeypatch.setattr(Q, "fit", lambda first, *rest: seen.append(np.diff(first).tolist()) or fit(first, *rest, steps=5))
+    docs = docs_of([(i, "\n".join([f"A good line {i}."] * 200 + ["$$ ## !!"] * 100 * i)) for i in range(12)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    known = [r.doc_id for r in labels.where(~Q.held_out()).orderBy(Q.seeded(Q.SEED, Q.F.col("doc_id")), "doc_id").collect()]
+    sizes = [200 + 100 * i for i in known]
+    Q.train(docs, labels)
+    Q.train(docs, labels, lines=sum(sizes[:4]))
+    Q.train(docs, labels, lines=1)
+    assert [sorted(s) for s in seen] == [sorted(sizes), sorted(sizes[:4]), sizes[:1]]
