@@ -33,11 +33,25 @@ def word_hashes(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.n
     inside = is_word[data]
     edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
     starts, ends = edges[::2], edges[1::2]
-    if not len(starts):
-        return starts, ends, np.empty(0, np.uint64)
-    sizes = ends - starts
+    return starts, ends, hashes_of(data[inside], ends - starts)
+
+
+def hashes_of(data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hashes of byte strings that follow each other in `data`."""
+    if not len(sizes):
+        return np.empty(0, np.uint64)
     first = np.cumsum(sizes) - sizes
     powers = np.cumprod(np.full(int(sizes.max()), _ODD))
     place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
-    values = (data[inside].astype(np.uint64) + np.uint64(1)) * powers[place]
-    return starts, ends, mixed(np.add.reduceat(values, first) + sizes.astype(np.uint64))
+    values = (data.astype(np.uint64) + np.uint64(1)) * powers[place]
+    return mixed(np.add.reduceat(values, first) + sizes.astype(np.uint64))
+
+
+def same_bytes(data: np.ndarray, sizes: np.ndarray, like: np.ndarray) -> bool:
+    """Whether each of the strings that follow each other in `data` equals the one whose number `like` gives."""
+    if not len(sizes):
+        return True
+    if not np.array_equal(sizes, sizes[like]):
+        return False
+    first = np.cumsum(sizes) - sizes
+    return np.array_equal(data, data[np.arange(len(data)) + np.repeat(first[like] - first, sizes)])

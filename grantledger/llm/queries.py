@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantledger.llm import chat, contamination, fingerprints, jaccard, mixing, pages, personal, quality, repeats, sharding
+from grantledger.llm import (
+    chat, contamination, fingerprints, jaccard, mixing, pages, personal, quality, repeats, sharding, tokens,
+)
 from grantledger.llm.common import WORD, table, whole_text
 from grantledger.session import settle
 
@@ -141,6 +144,12 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder, manifest = tokens.write(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return tokens.read(spark, folder, manifest, docs.schema["doc_id"].dataType)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_repeats": op2_repeats,
@@ -152,4 +161,5 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_main_text": op9_main_text,
     "op10_fingerprints": op10_fingerprints,
+    "op13_token_ids": op13_token_ids,
 }
