@@ -147,4 +147,40 @@ FROM reached JOIN docs d ON d.r = reached.r JOIN docs o ON o.r = reached.other L
 GROUP BY d.r, d.doc_id
 """
 
-ORACLES = {"op1_mixing": MIXING, "op3_decontamination": CONTAMINATION, "op5_sharding": SHARDING, "op7_jaccard": JACCARD, "op8_chat": CHAT}
+_TERMS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+SEARCH = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS words FROM documents
+), totals AS (
+    SELECT count(*) AS n_docs, sum(len(words))::BIGINT AS n_words FROM docs WHERE len(words) > 0
+), items AS (
+    SELECT row_number() OVER () AS i, item_id, {_TERMS} AS words FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), asked AS (
+    SELECT i, item_id, term, count(*) AS repeats FROM (SELECT i, item_id, unnest(words) AS term FROM items) GROUP BY ALL
+), held AS (
+    SELECT r, doc_id, n, term, count(*) AS tf
+    FROM (SELECT r, doc_id, len(words)::BIGINT AS n, unnest(words) AS term FROM docs)
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM held, totals GROUP BY term, n_docs
+), scores AS (
+    SELECT i, item_id, r, doc_id,
+           sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_words))))::BIGINT AS score
+    FROM asked JOIN held USING (term) JOIN weights USING (term), totals GROUP BY ALL
+)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id, r) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""
+
+ORACLES = {
+    "op1_mixing": MIXING,
+    "op3_decontamination": CONTAMINATION,
+    "op5_sharding": SHARDING,
+    "op7_jaccard": JACCARD,
+    "op8_chat": CHAT,
+    "op12_search": SEARCH,
+}

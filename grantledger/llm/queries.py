@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantledger.llm import (
-    chat, contamination, fingerprints, jaccard, mixing, pages, personal, quality, repeats, sharding, tokens,
+    chat, contamination, fingerprints, jaccard, mixing, pages, personal, quality, repeats, search, sharding, tokens,
 )
 from grantledger.llm.common import WORD, table, whole_text
 from grantledger.session import settle
@@ -144,6 +144,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     folder, manifest = tokens.write(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
@@ -161,5 +165,6 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_main_text": op9_main_text,
     "op10_fingerprints": op10_fingerprints,
+    "op12_search": op12_search,
     "op13_token_ids": op13_token_ids,
 }

@@ -13,9 +13,9 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +36,9 @@ from grantledger.session import settle, shared_dir
 FILE_TOKENS = 1 << 22
 #: Words whose ids a Python worker remembers; beyond them it starts anew.
 REMEMBERED = 1 << 20
-#: Bytes of text that are cut into words at once, and tokens that are decoded at once.
+#: Bytes of text that are cut into words at once, and tokens that are read at once.
 AT_ONCE = 1 << 21
+READ_AT_ONCE = 1 << 18
 
 MAGIC = b"DACIDS01"
 
@@ -74,15 +75,12 @@ _LETTER[97:123] = _LETTER[128:192] = _LETTER[0xC3] = True
 _ODD = np.zeros(256, bool)
 _ODD[[ord("'"), ord("<")]] = _ODD[192:] = True
 _ODD[0xC3] = False
-#: The sign that byte-level vocabularies write for each byte.
-_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b and b != 173]
-_SIGN = {b: chr(b) for b in _SHOWN} | {
-    b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(_SHOWN))
-}
+#: Bytes that byte-level vocabularies write with another sign than the one of that number.
+_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b != 173))}
 
 
-def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased bytes, which of them are in pieces, and where each piece starts and ends.
+def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes, which of them are in pieces, which in runs of letters, and where each piece starts and ends.
 
     A plain word falls into runs of letters and runs of other signs; any other
     word is one piece, in its own case.
@@ -90,16 +88,16 @@ def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     inside = ~_SPACE[data]
     before = np.concatenate([[False], inside[:-1]])
     word = np.cumsum(inside & ~before)
-    times = ((data == 0x97) | (data == 0xB7)) & np.concatenate([[False], data[:-1] == 0xC3])
+    second = np.concatenate([[False], data[:-1] == 0xC3])
     odd = np.zeros(int(word[-1]) + 1 if len(word) else 1, bool)
-    odd[word[_ODD[data] | times]] = True
+    odd[word[_ODD[data] | (second & ((data == 0x97) | (data == 0xB7)))]] = True  # the signs of times and division
     plain = inside & ~odd[word]
-    data = np.where(plain, _LOWER[data], data)
+    data = np.where(plain, np.where(second & (data < 0x9F), data | 0x20, _LOWER[data]), data)
     letter = plain & _LETTER[data]
     turns = np.concatenate([[False], letter[1:] != letter[:-1]])
     begins = inside & (~before | (plain & turns))
     ends = inside & np.concatenate([~inside[1:] | begins[1:], [True]])
-    return data, inside, np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    return data, inside, letter, np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
 class Encoder:
@@ -111,7 +109,7 @@ class Encoder:
         own = all(t["content"].startswith("<") and not t["lstrip"] and not t["rstrip"] for t in rules["added_tokens"])
         #: whether pieces may be encoded by themselves; texts of other tokenizers are encoded whole
         self.apart = own and rules["normalizer"] == APART_NORMALIZER and rules["pre_tokenizer"] == APART_SPLIT
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.known: dict[bytes, bytes] = {}  # the ids as 32-bit numbers
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and for each text the number of them up to its end. Null counts as empty."""
@@ -142,36 +140,35 @@ class Encoder:
 
     def _by_pieces(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
         """Ids, the places of the pieces, and the number of ids before each of them and after the last."""
-        data, inside, starts, ends = pieces(data)
+        data, inside, letter, starts, ends = pieces(data)
         if not len(starts):
             return np.empty(0, np.uint32), starts, np.zeros(1, np.int64)
         packed = data[inside]
         _, first, which = np.unique(hashes_of(packed, ends - starts), return_index=True, return_inverse=True)
         if not same_bytes(packed, ends - starts, first[which]):
             return None
-        raw = data.tobytes()
-        ids = self._ids([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat, begin = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), np.cumsum(sizes) - sizes
+        raw, begins = data.tobytes(), starts[first]
+        words = [raw[a:b] for a, b in zip(begins.tolist(), ends[first].tolist(), strict=True)]
+        ids = self._ids(words, letter[begins].tolist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        flat, begin = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(sizes) - sizes
         upto = np.cumsum(sizes[which])
         before = np.concatenate([np.zeros(1, np.int64), upto])
         return flat[np.arange(upto[-1]) + np.repeat(begin[which] - before[:-1], sizes[which])], starts, before
 
-    def _ids(self, words: list[bytes]) -> list[tuple[int, ...]]:
+    def _ids(self, words: list[bytes], are_letters: list[bool]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        known, model, others = self.known, self.tokenizer.model, []
-        for word in words:
-            if word in known:
-                continue
-            text = word.decode()
-            if text.isalpha() and max(text) <= "\xff":  # one run of letters
-                shown = "".join(map(_SIGN.__getitem__, text.lower().encode()))
-                known[word] = tuple(token.id for token in model.tokenize(shown))
-            else:
-                others.append(word)
+        known, tokenize = self.known, self.tokenizer.model.tokenize
+        new = [(word, letters) for word, letters in zip(words, are_letters, strict=True) if word not in known]
+        for word, letters in new:
+            if letters:  # the rules leave a run of lower-case letters as it is
+                shown = word.decode("latin-1")
+                shown = shown if shown.isascii() else shown.translate(_SIGNS)
+                known[word] = array("I", [token.id for token in tokenize(shown)]).tobytes()
+        others = [word for word, letters in new if not letters]
         encoded = self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)
-        known.update((word, tuple(e.ids)) for word, e in zip(others, encoded, strict=True))
+        known.update((word, array("I", e.ids).tobytes()) for word, e in zip(others, encoded, strict=True))
         return [known[word] for word in words]
 
 
@@ -214,7 +211,7 @@ def to_file(doc_ids: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> bytes:
 
 
 class TokenFile:
-    """A file read back. `tokens` gives any of its tokens without decoding others, `document` a document's."""
+    """A file read back. `tokens` gives any of its tokens without decoding others, `document` those of one."""
 
     def __init__(self, content: bytes) -> None:
         if content[:8] != MAGIC:
@@ -244,12 +241,24 @@ class TokenFile:
     def tokens(self, places: np.ndarray) -> np.ndarray:
         return codes.decode(self.levels, places)
 
-    def document(self, number: int) -> Iterator[np.ndarray]:
-        """The ids of the document of that number in the file, in parts of bounded size."""
+    def document(self, number: int) -> np.ndarray:
         start = int(self.starts[number])
-        end = start + int(self.sizes[number])
-        for lo in range(start, end, AT_ONCE // 8):
-            yield codes.decode_range(self.levels, lo, min(lo + AT_ONCE // 8, end))
+        return codes.decode_range(self.levels, start, start + int(self.sizes[number]))
+
+    def checksums(self) -> list[int]:
+        """The CRC-32 of each document's ids as little-endian 32-bit numbers, reading a bounded part of the file at once."""
+        sums, number = [0] * len(self.sizes), 0
+        ends = (self.starts + self.sizes).tolist()
+        for lo in range(0, self.n_tokens, READ_AT_ONCE):
+            hi = min(lo + READ_AT_ONCE, self.n_tokens)
+            part = memoryview(codes.decode_range(self.levels, lo, hi).astype("<u4")).cast("B")
+            at = lo
+            while at < hi:
+                upto = min(ends[number], hi)
+                sums[number] = zlib.crc32(part[4 * (at - lo) : 4 * (upto - lo)], sums[number])
+                number += upto == ends[number]
+                at = upto
+        return sums
 
 
 def _filesystem(uri: str) -> tuple[fs.FileSystem, str]:
@@ -344,12 +353,7 @@ def _digests(id_kind: pa.DataType) -> Callable:
         for batch in batches:
             for name, content in zip(batch.column("file").to_pylist(), batch.column("content"), strict=True):
                 held = TokenFile(content.as_py())
-                sums = []
-                for number in range(len(held.sizes)):
-                    crc = 0
-                    for ids in held.document(number):
-                        crc = zlib.crc32(ids.astype("<u4").tobytes(), crc)
-                    sums.append(crc)
+                sums = held.checksums()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * len(sums), pa.string()), held.doc_ids.cast(id_kind), pa.array(held.starts, pa.int64()),
                      pa.array(held.sizes, pa.int64()), pa.array(sums, pa.int64())],

@@ -47,7 +47,7 @@ def test_widths_are_the_cheapest():
 
 ENCODER = K.Encoder(WORDS)
 PIECE = st.sampled_from(
-    ["the", "The", "École", "naïve", "it's", "l'enfant", "'", "'s.", "...", "a—.", "é", "é", "×", "a×b", "12,5", "ß", "ŒUVRE",
+    ["the", "The", "École", "naïve", "ÀÞß", "ÿÑ", "it's", "l'enfant", "'", "'s.", "...", "a—.", "é", "é", "×", "a×b", "12,5", "ß", "ŒUVRE",
      "日本", "<|endoftext|>", "<|startoftext|>x", "<", "|>", " ", "  ", "\n", "\t", " ", " ", "\x85", "\x00", "\x1c", "ª", "µm",
      "İ", "ΣΑΣ", "́", "don't.", "x" * 300, "#!?", "😀"]
 )
@@ -110,6 +110,17 @@ def test_any_token_is_read_by_itself(spark, docs_of):
         assert held.tokens(places).tolist() == [whole[row.before + p] for p in places]
 
 
+def test_checksums_of_documents_in_parts(monkeypatch):
+    monkeypatch.setattr(K, "READ_AT_ONCE", 7)
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(1, 30, 40)
+    ids = rng.integers(0, 49_408, int(sizes.sum())).astype(np.uint32)
+    held = K.TokenFile(K.to_file(pa.array(range(40)), sizes, ids))
+    cuts = np.split(ids, np.cumsum(sizes)[:-1])
+    assert held.checksums() == [zlib.crc32(c.astype("<u4").tobytes()) for c in cuts]
+    assert all((held.document(i) == c).all() for i, c in enumerate(cuts))
+
+
 def test_files_that_the_manifest_does_not_list_are_ignored(spark, docs_of):
     rows = [(1, "a b"), (2, "c")]
     folder, manifest = K.write(docs_of(rows), WORDS, 2)
