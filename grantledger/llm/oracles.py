@@ -176,11 +176,95 @@ FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id, r
 WHERE rank <= 10
 """
 
+REPAIR = r"""
+WITH RECURSIVE bits AS (
+    SELECT range::BIGINT AS i FROM range(256)
+), steps AS (
+    SELECT i, list_reduce(list_prepend(i, [x::BIGINT FOR x IN range(8)]),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) AS v
+    FROM bits
+), crc AS (
+    SELECT list(v ORDER BY i) AS steps FROM steps
+), given AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           xor(list_reduce(list_prepend(4294967295::BIGINT, [('0x' || x)::BIGINT FOR x IN regexp_extract_all(
+               hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))), '..')]),
+               lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)::BIGINT % 20 AS kind
+    FROM conversations, crc
+), damaged AS (
+    SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM (SELECT *, unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) FROM given)
+), chats AS (
+    SELECT row_number() OVER () AS c, conv_id FROM (SELECT DISTINCT conv_id FROM conversations)
+), placed AS (
+    SELECT c, turn, role, text, left(role, 1) AS initial,
+           row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i
+    FROM damaged d JOIN chats ON d.conv_id IS NOT DISTINCT FROM chats.conv_id
+), rows AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+           WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+           WHEN right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) NOT IN ('.', '!', '?')
+           THEN 'truncated' END AS fault,
+           lag(initial) OVER (PARTITION BY c ORDER BY i) || initial AS neighbours
+    FROM placed
+), inserted(state, reached, paid, edits) AS (
+    VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 3, 'I'), (1, 2, 3, 'I'), (2, 3, 3, 'I'),
+           (3, 2, 3, 'I'), (0, 3, 6, 'II'), (1, 3, 6, 'II')
+), edits(state, edit, initial, next, cost) AS (
+    VALUES (0, 'K', 's', 1, 0), (0, 'K', 'u', 2, 0), (1, 'K', 'u', 2, 0), (3, 'K', 'u', 2, 0), (2, 'K', 'a', 3, 0),
+           (0, 'R', NULL, 2, 3), (1, 'R', NULL, 2, 3), (2, 'R', NULL, 3, 3), (3, 'R', NULL, 2, 3),
+           (0, 'D', NULL, 0, 4), (1, 'D', NULL, 1, 4), (2, 'D', NULL, 2, 4), (3, 'D', NULL, 3, 4)
+), walks AS (
+    -- the cost, nine digits wide, and the edits that led to a state after i rows
+    SELECT c, 0::BIGINT AS i, 0 AS state, '000000000' AS walk FROM chats
+    UNION ALL
+    SELECT c, i, next, min(lpad((paid + cost + substr(walk, 1, 9)::INT)::VARCHAR, 9, '0') || substr(walk, 10) || edits)
+    FROM (
+        SELECT w.c, r.i, e.next, w.walk, n.paid, n.edits || e.edit AS edits,
+               e.cost + CASE WHEN e.edit <> 'D' AND r.fault = 'truncated' THEN 3 ELSE 0 END AS cost
+        FROM walks w JOIN rows r ON r.c = w.c AND r.i = w.i + 1 JOIN inserted n ON n.state = w.state
+        JOIN edits e ON e.state = n.reached AND (e.initial IS NULL OR e.initial = r.initial)
+             AND (e.edit = 'D' OR r.fault IS NULL OR r.fault = 'truncated')
+    ) GROUP BY c, i, next
+), lengths AS (
+    SELECT chats.c, count(rows.i) AS n FROM chats LEFT JOIN rows ON rows.c = chats.c GROUP BY chats.c
+), ended AS (
+    SELECT c, min(lpad((substr(walk, 1, 9)::INT + more)::VARCHAR, 9, '0') || substr(walk, 10) || at_end) AS walk
+    FROM walks JOIN lengths USING (c)
+    JOIN (VALUES (0, 0, ''), (1, 6, 'II'), (2, 3, 'I'), (3, 0, '')) AS e(state, more, at_end) USING (state)
+    WHERE i = n GROUP BY c
+), marks AS (
+    SELECT c, j, substr(walk, 9 + j, 1) AS edit FROM (SELECT c, walk, unnest(range(1, len(walk) - 8)) AS j FROM ended)
+), numbered AS (
+    SELECT *, count(*) FILTER (edit <> 'I') OVER w AS i, count(*) FILTER (edit <> 'D') OVER w AS p
+    FROM marks WINDOW w AS (PARTITION BY c ORDER BY j)
+), left_rows AS (
+    SELECT m.c, j, p, edit, r.role, CASE WHEN edit = 'I' THEN '' ELSE r.text END AS text,
+           max(CASE WHEN p = 1 AND edit = 'K' AND r.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY m.c) AS has_system
+    FROM numbered m LEFT JOIN rows r ON r.c = m.c AND r.i = m.i AND m.edit <> 'I' WHERE edit <> 'D'
+), repaired AS (
+    SELECT c, string_agg(CASE WHEN edit = 'K' THEN role WHEN (p - has_system) % 2 = 1 THEN 'user' ELSE 'assistant' END
+           || ':' || text, chr(10) ORDER BY j) AS whole FROM left_rows GROUP BY c
+), faults AS (
+    SELECT c, CASE WHEN count(turn) = 0 THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (neighbours NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM rows GROUP BY c
+)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, substr(walk, 1, 9)::BIGINT AS cost,
+       substr(walk, 10) AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM chats JOIN ended USING (c) LEFT JOIN faults USING (c) LEFT JOIN repaired USING (c)
+"""
+
 ORACLES = {
     "op1_mixing": MIXING,
     "op3_decontamination": CONTAMINATION,
     "op5_sharding": SHARDING,
     "op7_jaccard": JACCARD,
     "op8_chat": CHAT,
+    "op11_repair": REPAIR,
     "op12_search": SEARCH,
 }

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantledger.llm import (
-    chat, contamination, fingerprints, jaccard, mixing, pages, personal, quality, repeats, search, sharding, tokens,
+    chat, contamination, fingerprints, jaccard, mixing, pages, personal, quality, repair, repeats, search, sharding, tokens,
 )
 from grantledger.llm.common import WORD, table, whole_text
 from grantledger.session import settle
@@ -144,6 +144,25 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = repair.Repair(repair.damaged(turns))
+    found = repaired.faults().withColumnRenamed("conv_id", "__c1")
+    written = repaired.digests().withColumnRenamed("conv_id", "__c2")
+    every = turns.select("conv_id").distinct()
+    joined = every.join(found, F.col("conv_id").eqNullSafe(F.col("__c1")), "left")
+    joined = joined.join(written, F.col("conv_id").eqNullSafe(F.col("__c2")), "left")
+    # a conversation that lost all its rows has no fault and nothing to repair
+    counts = ["blank", "duplicate", "truncated", "illegal", "cost"]
+    return joined.select(
+        "conv_id",
+        F.when(F.col("audit").isNull(), F.lit(0)).otherwise(F.col("gaps")).cast("long").alias("gaps"),
+        *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -165,6 +184,7 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_main_text": op9_main_text,
     "op10_fingerprints": op10_fingerprints,
+    "op11_repair": op11_repair,
     "op12_search": op12_search,
     "op13_token_ids": op13_token_ids,
 }

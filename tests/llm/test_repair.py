@@ -1,0 +1,193 @@
+import hashlib
+import random
+import re
+import zlib
+from itertools import product
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from grantledger.llm import repair as R
+
+ROWS = "conv_id long, turn long, role string, text string"
+KINDS = [a + b for a in "suax" for b in "-tbd"]
+
+
+def by_enumeration(symbols):
+    """Every way to edit up to three rows, with up to two insertions at each place."""
+    rows = [symbols[i : i + 2] for i in range(0, len(symbols), 2)]
+    found = []
+    for edits in product("DKRQ", repeat=len(rows)):  # Q: a new role of assistant
+        if any(e != "D" and r[1] in "bd" for e, r in zip(edits, rows, strict=True)):
+            continue
+        for inserted in product(["", "u", "a", "ua", "au"], repeat=len(rows) + 1):
+            initials, cost, audit = inserted[0], 3 * len(inserted[0]), "I" * len(inserted[0])
+            for edit, (initial, fault), more in zip(edits, rows, inserted[1:], strict=True):
+                initials += {"D": "", "K": initial, "R": "u", "Q": "a"}[edit] + more
+                cost += {"D": 4, "K": 0, "R": 3, "Q": 3}[edit] + 3 * (fault == "t" and edit != "D") + 3 * len(more)
+                audit += edit.replace("Q", "R") + "I" * len(more)
+            if re.fullmatch("(s?(ua)+)?", initials):
+                found.append((cost, audit))
+    return min(found)
+
+
+def cheapest(symbols):
+    costs = R.applied(R.matrix_of(symbols), R.END)
+    audit, _ = R.unrolled(symbols, R.EMPTY, R.END, True)
+    return costs[R.EMPTY], audit
+
+
+def test_all_short_conversations():
+    for n in range(3):
+        for rows in product([k for k in KINDS if k[1] != "b"], repeat=n):
+            assert cheapest("".join(rows)) == by_enumeration("".join(rows)), rows
+    rng = random.Random(4)
+    for _ in range(150):
+        rows = "".join(rng.choices(KINDS, k=3))
+        assert cheapest(rows) == by_enumeration(rows), rows
+
+
+def forward(symbols):
+    """The least (cost, edits) for each state, row by row."""
+    ways = {R.EMPTY: (0, "")}
+    rows = [symbols[i : i + 2] for i in range(0, len(symbols), 2)]
+
+    def put(out, state, way):
+        out[state] = min(out.get(state, way), way)
+
+    def with_inserted(ways):
+        out = dict(ways)
+        for state, (cost, audit) in ways.items():
+            for more in (1, 2):
+                state = R.NEXT[state]
+                put(out, state, (cost + 3 * more, audit + "I" * more))
+        return out
+
+    for row in rows:
+        out = {}
+        for state, (cost, audit) in with_inserted(ways).items():
+            for edit, then, paid in R.row_edits(row, state):
+                put(out, then, (cost + paid, audit + edit))
+        ways = out
+    return min(way for state, way in with_inserted(ways).items() if state in (R.EMPTY, R.ASSISTANT))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(KINDS), st.integers(1, 9)), max_size=12), st.integers(1, 5))
+def test_runs_and_parts_agree_with_rows(runs, unrolled):
+    symbols = "".join(symbol * length for symbol, length in runs)
+    before, R.UNROLLED = R.UNROLLED, unrolled
+    try:
+        assert cheapest(symbols) == forward(symbols)
+    finally:
+        R.UNROLLED = before
+    # cut anywhere, the parts' matrices make up the whole's
+    cut = 2 * (len(symbols) // 4)
+    assert R.product(R.matrix_of(symbols[:cut]), R.matrix_of(symbols[cut:])) == R.matrix_of(symbols)
+    after = R.applied(R.matrix_of(symbols[cut:]), R.END)
+    head, state = R.unrolled(symbols[:cut], R.EMPTY, after, False)
+    tail, _ = R.unrolled(symbols[cut:], state, R.END, True)
+    assert head + tail == cheapest(symbols)[1]
+
+
+def test_powers_are_repeated_products():
+    for symbol in KINDS:
+        out = R.UNIT
+        for n in range(1, 12):
+            out = R.product(out, R.power(symbol, 0))
+            assert R.over_run(symbol, n) == out
+
+
+def test_a_very_long_run():
+    """Of each two user rows one gets a new role; the odd one needs an answer."""
+    cost, audit = cheapest("u-" * 50_001)
+    assert (cost, len(audit)) == (3 * 25_001, 50_002)
+
+
+def plain(rows):
+    """Faults, cost, audit and digest of one conversation's (turn, role, text), row by row."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode(), (r[2] or "").encode()))
+    rows = [(t, r or "", x or "") for t, r, x in rows]
+    seen, symbols = set(), ""
+    for _, role, text in rows:
+        bare = text.rstrip(" \t\n\x0b\f\r")
+        fault = "b" if not bare.strip(" \t\n\x0b\f\r") else "d" if (role, text) in seen else "-" if bare[-1] in ".!?" else "t"
+        seen.add((role, text))
+        symbols += (role[:1] if role[:1] in ("s", "u", "a") else "x") + fault
+    cost, audit = forward(symbols)
+    out, state, i = [], R.EMPTY, 0
+    for edit in audit:
+        if edit == "K":
+            state = R.KEPT[symbols[2 * i]][state]
+            out.append(f"{rows[i][1]}:{rows[i][2]}")
+        elif edit in "RI":
+            state = R.NEXT[state]
+            out.append(("user" if state == R.USER else "assistant") + ":" + (rows[i][2] if edit == "R" else ""))
+        i += edit != "I"
+    turns = {t for t, _, _ in rows if t is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    initials = [r[:1] for _, r, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:], strict=False))
+    counts = [symbols[1::2].count(f) for f in "bdt"]
+    return gaps, *counts, illegal, cost, audit, hashlib.sha256("\n".join(out).encode()).hexdigest()
+
+
+def result(repaired):
+    faults = {r.conv_id: r for r in repaired.faults().collect()}
+    out = {}
+    for r in repaired.digests().collect():
+        f = faults.pop(r.conv_id)
+        out[r.conv_id] = (f.gaps, f.blank, f.duplicate, f.truncated, f.illegal, f.cost, r.audit, r.repaired_sha256)
+    assert not faults
+    return out
+
+
+def chats(rng, n):
+    texts = ["", " \n", "Hi.", "Hi", "Yes! ", "no?\n", "a\nb", "日本.", "x" * 50]
+    roles = ["system", "user", "assistant", "tool", "", "User", None]
+    out = {}
+    for c in range(n):
+        size = rng.choice([1, 2, 5, 9, 40])
+        out[c] = [
+            (rng.choice([None, *range(size)]), rng.choices(roles, [2, 8, 8, 1, 1, 1, 1])[0], rng.choice([*texts, f"t{rng.random()}.", None]))
+            for _ in range(size)
+        ]
+    return out
+
+
+@pytest.mark.parametrize("width", [1, 9])
+def test_random_conversations(spark, conf, width):
+    conf(spark__sql__shuffle__partitions=str(width))
+    given = chats(random.Random(width), 60)
+    given[99] = [(i, "user" if i % 3 else "assistant", f"text {i % 700}" + "." * (i % 2)) for i in range(3000)]  # in several parts
+    rows = [(c, *r) for c, turns in given.items() for r in turns]
+    random.Random(1).shuffle(rows)
+    repaired = R.Repair(spark.createDataFrame(rows, ROWS))
+    assert result(repaired) == {c: plain(turns) for c, turns in given.items()}
+    if width > 1:
+        assert repaired.faulty.where("conv_id = 99").select("__range").distinct().count() > 1
+
+
+def test_odd_conversations(spark):
+    rows = [(None, None, None, None, "x"), (1, 5, "user", "w " * 200_000, "x"), (1, 5, "user", "w " * 200_000, "x"),
+            (2, 2**63 - 1, "user", "a.", "x"), (2, -(2**63), "assistant", "b.", "x")]
+    df = spark.createDataFrame(rows, ROWS + ", audit string")
+    got = result(R.Repair(df))
+    for c in (None, 1):
+        assert got[c] == plain([r[1:4] for r in rows if r[0] == c])
+    assert got[2][0] is None and got[2][1:] == plain([r[1:4] for r in rows if r[0] == 2])[1:]
+    assert result(R.Repair(df.where("false"))) == {}
+
+
+def test_damage(spark):
+    rows = [(c, t, role, text) for c in (*range(40), None) for t, role, text in
+            [(0, "system", "a. b!"), (1, "user", "q?"), (2, "assistant", None), (None, None, "c.d")]]
+    wanted = []
+    for c, t, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        wanted += [(c, t, "user" if kind == 4 else role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    got = R.damaged(spark.createDataFrame(rows, ROWS)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(wanted, key=str)
