@@ -29,8 +29,8 @@ from grantledger.session import settle
 
 #: Results for each item.
 BEST = 10
-#: Places of a signature for each different term, at least, and how many of them a term sets.
-PLACES, SET = 16, 6
+#: Places of a signature for each key, at least, and how many of them a key sets.
+PLACES, SET = 24, 8
 #: A block ends at so many documents, or when a task holds so many terms.
 BLOCK_DOCS, HELD_TERMS = 2048, 1 << 21
 #: Words of the items that are searched in one pass over the index.
@@ -52,6 +52,24 @@ def step_of(counts: np.ndarray) -> np.ndarray:
     return np.searchsorted(STEPS, counts, "right") - 1
 
 
+def octave_of(step: int) -> int:
+    """Doublings from 8 on, 0 for the steps of exact counts."""
+    return max((step - 3) // 4, 0) if step >= 7 else 0
+
+
+def keys_of(hashes: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What a document's terms set: each its step, and from 8 occurrences on all doublings up to its own.
+
+    The doublings, few as they are, keep chance from showing high counts.
+    """
+    parts = [(hashes, steps)]
+    octaves = np.maximum((steps - 3) // 4, 0) * (steps >= 7)
+    for octave in range(1, int(octaves.max(initial=0)) + 1):
+        more = hashes[octaves >= octave]
+        parts.append((more, np.full(len(more), len(STEPS) + octave, np.int64)))
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+
 def places_of(hashes: np.ndarray, step: np.ndarray | int, width: int) -> np.ndarray:
     """The places that a term with a count of that step sets in a signature; one row for each term."""
     key = mixed(hashes + np.asarray(step, np.uint64) * _STEP_KEY)
@@ -59,14 +77,14 @@ def places_of(hashes: np.ndarray, step: np.ndarray | int, width: int) -> np.ndar
     return ((key[:, None] + np.arange(SET, dtype=np.uint64) * other[:, None]) % np.uint64(width)).astype(np.int64)
 
 
-def width_of(n_terms: int) -> int:
+def width_of(n_keys: int) -> int:
     """Places of a signature: powers of the square root of two, so that like documents share a width."""
-    wanted = max(PLACES * n_terms, 64)
+    wanted = max(PLACES * n_keys, 64)
     return int(math.ceil(2 ** (math.ceil(2 * math.log2(wanted)) / 2)))
 
 
 def _block(width: int, held: list[tuple[object, int, np.ndarray, np.ndarray]]) -> dict:
-    """A row of the index from documents (id, words, term hashes, steps) of one width."""
+    """A row of the index from documents (id, words, keys) of one width."""
     bits = np.zeros((width, -(-len(held) // 8) * 8), bool)
     for column, (_, _, hashes, steps) in enumerate(held):
         bits[places_of(hashes, steps, width).ravel(), column] = True
@@ -100,10 +118,10 @@ def _indexer(id_kind: pa.DataType, block_docs: int, held_terms: int) -> Callable
             for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
                 if not n_words[i]:
                     continue  # without a term it is never found and does not count
-                mine = slice(of[i], of[i + 1])
-                width = width_of(int(of[i + 1] - of[i]))
-                held.setdefault(width, []).append((doc_id, n_words[i], terms[mine].copy(), steps[mine].copy()))
-                n_held += int(of[i + 1] - of[i])
+                keys = keys_of(terms[of[i] : of[i + 1]], steps[of[i] : of[i + 1]])
+                width = width_of(len(keys[0]))
+                held.setdefault(width, []).append((doc_id, n_words[i], *keys))
+                n_held += len(keys[0])
                 if len(held[width]) >= block_docs:
                     n_held -= sum(len(h[2]) for h in held[width])
                     yield row(width)
@@ -168,6 +186,11 @@ class Queries:
                     seen = part[places[:, 0]]
                     for i in range(1, SET):
                         seen &= part[places[:, i]]
+                    for octave in range(1, octave_of(step) + 1):
+                        some = np.flatnonzero(seen.any(axis=1))
+                        places = places_of(self.hashes[first + some], len(STEPS) + octave, width)
+                        for i in range(SET):
+                            seen[some] &= part[places[:, i]]
                     term, byte = np.nonzero(seen)
                     which, bit = np.nonzero(np.unpackbits(seen[term, byte][:, None], axis=1, bitorder="little"))
                     column = byte[which] * 8 + bit  # bits beyond the last document are never set
