@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from grantledger.functions.matching import equal, same
 from grantledger.functions.times import stamp
+from grantledger.operators.coverage import Coverage, inside, outside
 from grantledger.schemas import INSTANCE, POLL, PRINCIPALS, Domain
 
 IN_LIVE = "in_live"
@@ -36,13 +37,17 @@ def _poll(df: DataFrame) -> Column:
 
 
 def compare(
-    live: DataFrame, staging: DataFrame, domain: Domain, history: DataFrame | None = None
+    live: DataFrame, staging: DataFrame, domain: Domain, history: DataFrame | None = None,
+    coverage: Coverage | None = None,
 ) -> DataFrame:
     """One row per distinct value tuple, flagged with the sides that hold it.
 
     The time a sticky row was last recorded as removed comes from live, where
-    live tables carry it, or else from `history`.
+    live tables carry it, or else from `history`. Rows outside the `coverage`
+    of the snapshot are left out on both sides.
     """
+    live, staging = inside(live, coverage), inside(staging, coverage)
+
     def side(df: DataFrame, in_live: bool, in_staging: bool, seen: Column, recorded: Column):
         return df.select(
             *domain.values,
@@ -91,13 +96,14 @@ def removed(
     as_of: datetime | str,
     history: DataFrame | None = None,
     with_first_seen: bool = False,
+    coverage: Coverage | None = None,
 ) -> DataFrame:
     """Live rows that the snapshot no longer holds, stamped with the time of notice.
 
     With `history`, a sticky row that stays live is recorded once and not on
     every run. `with_first_seen` keeps the live row's own time as well.
     """
-    rows = compare(live, staging, domain, history).filter(_gone())
+    rows = compare(live, staging, domain, history, coverage).filter(_gone())
     if history is not None and domain.sticky is not None:
         rows = rows.filter(_unrecorded())
     extra = [FIRST_SEEN] if with_first_seen else []
@@ -105,18 +111,19 @@ def removed(
 
 
 def added(
-    live: DataFrame, staging: DataFrame, domain: Domain, as_of: datetime | str
+    live: DataFrame, staging: DataFrame, domain: Domain, as_of: datetime | str, coverage: Coverage | None = None
 ) -> DataFrame:
     """Snapshot rows that live does not hold yet."""
-    rows = compare(live, staging, domain).filter(_new())
+    rows = compare(live, staging, domain, coverage=coverage).filter(_new())
     return rows.select(*domain.values, stamp(as_of).alias(POLL))
 
 
 def changes(
-    live: DataFrame, staging: DataFrame, domain: Domain, history: DataFrame | None = None
+    live: DataFrame, staging: DataFrame, domain: Domain, history: DataFrame | None = None,
+    coverage: Coverage | None = None,
 ) -> DataFrame:
     """Both directions at once: value columns, `change`, `first_seen`, `unrecorded`."""
-    one_sided = compare(live, staging, domain, history).filter(_gone() | _new())
+    one_sided = compare(live, staging, domain, history, coverage).filter(_gone() | _new())
     return one_sided.select(
         *domain.values,
         F.when(F.col(IN_LIVE), "removed").otherwise("added").alias("change"),
@@ -144,8 +151,9 @@ def apply_removed(
     domain: Domain,
     compat: bool = False,
     since: datetime | str | None = None,
+    coverage: Coverage | None = None,
 ) -> DataFrame:
-    """Live without the removed rows; sticky rows stay.
+    """Live without the removed rows; sticky rows and rows outside the coverage stay.
 
     Strict mode matches all value columns null-safely. Compat mode compares
     with plain equality, so rows holding a NULL stay live, and takes only
@@ -161,7 +169,8 @@ def apply_removed(
     else:
         condition = same(domain.values)
     leaving = gone.filter(~_is_sticky(domain))
-    return live.alias("l").join(leaving.alias("r"), condition, "left_anti")
+    stay = inside(live, coverage).alias("l").join(leaving.alias("r"), condition, "left_anti")
+    return stay if coverage is None else stay.unionByName(outside(live, coverage))
 
 
 def apply_added(live: DataFrame, new: DataFrame, domain: Domain) -> DataFrame:

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grantledger.functions.times import stamp
-from grantledger.operators import databases, diff, groups, instance
+from grantledger.operators import coverage, databases, diff, digests, groups, instance
+from grantledger.operators.coverage import Coverage
 from grantledger.schemas import (
     DOMAINS, GROUPS, INSTANCE, OBJECTS, POLL, PRINCIPALS, ROLES, Domain,
 )
@@ -87,6 +88,13 @@ def gather(domain: Domain, catalogs: Catalogs, server_name: str | None, compat:
     )
 
 
+def coverage_of(domain: Domain, catalogs: Catalogs, server_name: str | None) -> Coverage | None:
+    """Which databases the snapshot read; the other domains are delivered whole."""
+    if domain in (ROLES, OBJECTS):
+        return coverage.of_databases(catalogs.databases, server_name)
+    return None
+
+
 class _DomainRun:
     """One domain's part of a run; its steps follow each other."""
 
@@ -101,6 +109,7 @@ class _DomainRun:
 
     def gather(self, catalogs: Catalogs, server_name: str | None, compat: bool) -> None:
         self.live = self.state.live_at(self.domain, self.earlier)
+        self.coverage = coverage_of(self.domain, catalogs, server_name)
         rows = gather(self.domain, catalogs, server_name, compat)
         self.state.write_staging(self.domain, rows)
 
@@ -126,7 +135,9 @@ class _StrictRun(_DomainRun):
 
     def removed(self) -> None:
         domain = self.domain
-        self.delta = self.settled("changes", diff.changes(self.live, self.staging, domain))
+        # live and staging are stored tables: their digests cost less than a shuffle of all rows
+        live, staging = digests.differing(coverage.inside(self.live, self.coverage), self.staging, domain)
+        self.delta = self.settled("changes", diff.changes(live, staging, domain, coverage=self.coverage))
         gone = self.delta.filter((F.col("change") == "removed") & F.col("unrecorded"))
         if domain.update_key:
             gone = diff.superseded(gone, self.delta.filter(F.col("change") == "added"), domain)
@@ -165,7 +176,7 @@ class _CompatRun(_DomainRun):
         self.live = self.live.select(*self.domain.values, POLL)
 
     def _delete(self, kind: Domain, step: str) -> None:
-        gone = diff.removed(self.live, self.staging, kind, self.as_of)
+        gone = diff.removed(self.live, self.staging, kind, self.as_of, coverage=self.coverage)
         recorded = self.record(kind, self.settled(step, gone))
         if self.since is None:
             return
@@ -173,7 +184,7 @@ class _CompatRun(_DomainRun):
         history = self.state.history(kind, self.since).select(*columns)
         if recorded:
             history = history.unionByName(self.state.recorded_in(kind, self.run_id).select(*columns))
-        after = diff.apply_removed(self.live, history, kind, True, self.since)
+        after = diff.apply_removed(self.live, history, kind, True, self.since, self.coverage)
         self.live = self.settled(f"after-{step}", after)
         self.deleted = True
 
@@ -188,7 +199,7 @@ class _CompatRun(_DomainRun):
         if domain is INSTANCE:
             live = diff.upsert_compat(self.live, staging, self.as_of)
         else:
-            new = diff.added(self.live, staging, domain, self.as_of)
+            new = diff.added(self.live, staging, domain, self.as_of, self.coverage)
             live = diff.apply_added(self.live, new, domain)
         self.write_live(live)
         self.deleted = False

@@ -66,17 +66,23 @@ def instance_gather(principals: str, permissions: str, roles) -> str:
 
 # databases
 
-USABLE = "SELECT name FROM fx_databases WHERE state_desc = 'ONLINE' AND user_access_desc = 'MULTI_USER'"
+def usable(databases: str) -> str:
+    return f"SELECT name FROM {databases} WHERE state_desc = 'ONLINE' AND user_access_desc = 'MULTI_USER'"
 
 
-def role_members(members: str) -> str:
+def unread(databases: str) -> str:
+    """Databases that are listed but could not be read."""
+    return f"SELECT name FROM {databases} EXCEPT {usable(databases)}"
+
+
+def role_members(members: str, databases: str = "fx_databases") -> str:
     return f"""
 SELECT '{SERVER}' AS ServerName, m.database_name AS Scope, p.sid, p.name AS PrincipalName,
 p.type_desc AS PrincipalType, r.name AS DatabaseRole
 FROM {members} m
 JOIN fx_database_principals p ON p.database_name = m.database_name AND p.principal_id = m.member_principal_id
 JOIN fx_database_principals r ON r.database_name = m.database_name AND r.principal_id = m.role_principal_id
-WHERE m.database_name IN ({USABLE})"""
+WHERE m.database_name IN ({usable(databases)})"""
 
 
 # per class: object type, schema, object and column names, and the joins they come from
@@ -118,18 +124,22 @@ COLLECTION_COMPAT = ("p.class_desc", "'N/A'", "COALESCE(o.name, 'Unknown')", "'N
                      _lookup("fx_all_objects", "o", "o.object_id = p.major_id"))
 
 
-def object_class(cls: int, permissions: str = "fx_database_permissions", compat: bool = False) -> str:
+def object_class(
+    cls: int, permissions: str = "fx_database_permissions", compat: bool = False, databases: str = "fx_databases"
+) -> str:
     kind, schema, name, column, joins = COLLECTION_COMPAT if compat and cls == 10 else OBJECT_CLASSES[cls]
     return f"""
 SELECT '{SERVER}' AS ServerName, p.database_name AS Scope, g.sid, g.name AS PrincipalName, {kind} AS ObjectType,
 p.permission_name AS PermissionType, p.state_desc AS PermissionState, {schema} AS SchemaName, {name} AS ObjectName, {column} AS ColumnName
 FROM {permissions} p
 LEFT JOIN fx_database_principals g ON g.database_name = p.database_name AND g.principal_id = p.grantee_principal_id
-{joins} WHERE p.class = {cls} AND p.database_name IN ({USABLE})"""
+{joins} WHERE p.class = {cls} AND p.database_name IN ({usable(databases)})"""
 
 
-def object_gather(permissions: str = "fx_database_permissions", compat: bool = False) -> str:
-    return " UNION ALL ".join(object_class(cls, permissions, compat) for cls in OBJECT_CLASSES)
+def object_gather(
+    permissions: str = "fx_database_permissions", compat: bool = False, databases: str = "fx_databases"
+) -> str:
+    return " UNION ALL ".join(object_class(cls, permissions, compat, databases) for cls in OBJECT_CLASSES)
 
 
 # groups
@@ -213,14 +223,25 @@ LEFT JOIN (SELECT DISTINCT *, 1 AS hit FROM {before}) p ON {null_safe(domain.val
 GROUP BY {cols(domain.values)}"""
 
 
-def after_removal_compat(domain, before: str, now: str) -> str:
-    """Live without the rows that the snapshot lacks, as plain equality finds them."""
+def minus_covered(domain, first: str, second: str, databases: str) -> str:
+    return f"SELECT * FROM ({minus(domain, first, second)}) t WHERE Scope NOT IN ({unread(databases)})"
+
+
+def next_state_covered(domain, before: str, now: str, databases: str) -> str:
+    """Live after removal and insertion; rows of databases that could not be read stay."""
+    return f"""{next_state(domain, before, now)} UNION ALL
+SELECT DISTINCT {cols(domain.values)}, TIMESTAMP '{POLLED}' FROM {before} WHERE Scope IN ({unread(databases)})"""
+
+
+def after_removal_compat(domain, before: str, now: str, spared: str | None = None) -> str:
+    """Live without the rows that the snapshot lacks, as plain equality finds them, but for those in spared databases."""
     match = plain(domain.compat_match, "l", "g")
     if domain.compat_null_safe:
         match += " AND " + null_safe(domain.compat_null_safe, "l", "g")
     return f"""SELECT {cols(domain.values, 'l.')}, TIMESTAMP '{POLLED}' AS PollDate
 FROM (SELECT DISTINCT {cols(domain.values)} FROM {before}) l
-WHERE NOT EXISTS (SELECT 1 FROM ({minus(domain, before, now)}) g WHERE {match})"""
+WHERE NOT EXISTS (SELECT 1 FROM ({minus(domain, before, now)}) g WHERE {match})
+{f"OR l.Scope IN ({spared})" if spared else ""}"""
 
 
 # lookups: live tables and the four parts of an answer
@@ -309,4 +330,4 @@ ALERT_GATE = """
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M') AS alert_minute FROM events
 WHERE date_part('hour', ts) = 10 AND date_part('minute', ts) < 15"""
 
-DB_ONLINE = f"SELECT database_name, principal_id, name FROM fx_database_principals WHERE database_name IN ({USABLE})"
+DB_ONLINE = f"SELECT database_name, principal_id, name FROM fx_database_principals WHERE database_name IN ({usable('fx_databases')})"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from grantledger.functions.labels import FIXED_SERVER_ROLES, SECURABLE_CLASSES
 from grantledger.functions.times import in_alert_window, run_timestamp, stamp, stamp_text
-from grantledger.operators import databases, diff, groups, instance, lookup
+from grantledger.operators import coverage, databases, diff, digests, groups, instance, lookup
 from grantledger.schemas import DOMAINS, GROUPS, INSTANCE, OBJECTS, POLL, PRINCIPALS, ROLES, Domain
 from grantledger.session import settle
 from grantledger.sources import runs
@@ -71,18 +71,21 @@ def instance_gather(v: Views) -> DataFrame:
     )
 
 
-def roles_gather(v: Views, members: str = "fx_database_role_members") -> DataFrame:
+def roles_gather(
+    v: Views, members: str = "fx_database_role_members", listed: str = "fx_databases"
+) -> DataFrame:
     return databases.role_members(
-        v.fx_database_principals, getattr(v, members), v.fx_databases, O.SERVER
+        v.fx_database_principals, getattr(v, members), getattr(v, listed), O.SERVER
     )
 
 
 def objects_gather(
-    v: Views, permissions: str = "fx_database_permissions", classes=SECURABLE_CLASSES, compat=False
+    v: Views, permissions: str = "fx_database_permissions", classes=SECURABLE_CLASSES, compat=False,
+    listed: str = "fx_databases",
 ) -> DataFrame:
     return databases.object_permissions(
         getattr(v, permissions), v.fx_database_principals, v.fx_all_objects, v.fx_schemas,
-        v.fx_all_columns, v.fx_securables, v.fx_databases, O.SERVER, classes, compat,
+        v.fx_all_columns, v.fx_securables, getattr(v, listed), O.SERVER, classes, compat,
     )
 
 
@@ -126,6 +129,46 @@ def after_removal_compat(v: Views, domain: Domain) -> DataFrame:
     return _plain_time(diff.apply_removed(live, gone, domain, True, O.POLLED))
 
 
+# comparisons within what the later snapshot could read
+
+def covered_snapshots(v: Views, domain: Domain) -> tuple[DataFrame, DataFrame, coverage.Coverage]:
+    gather, before = (
+        (roles_gather, "prev_database_role_members") if domain is ROLES
+        else (objects_gather, "prev_database_permissions")
+    )
+    return (
+        gather(v, before, listed="prev_databases"),
+        gather(v, listed="later_databases"),
+        coverage.of_databases(v.later_databases, O.SERVER),
+    )
+
+
+def gone_covered(v: Views, domain: Domain) -> DataFrame:
+    before, now, read = covered_snapshots(v, domain)
+    return diff.removed(before, now, domain, O.AS_OF, coverage=read).select(*domain.values)
+
+
+def next_state_covered(v: Views, domain: Domain) -> DataFrame:
+    before, now, read = covered_snapshots(v, domain)
+    live = settle(_polled(before.distinct()), "live")
+    delta = settle(diff.changes(live, now, domain, coverage=read), "changes")
+    return _plain_time(diff.next_live(live, delta, domain, O.AS_OF))
+
+
+def after_removal_covered_compat(v: Views, domain: Domain) -> DataFrame:
+    before, now, read = covered_snapshots(v, domain)
+    live = settle(_polled(before.distinct()), "live")
+    gone = settle(diff.removed(live, now, domain, O.AS_OF, coverage=read), "gone")
+    return _plain_time(diff.apply_removed(live, gone, domain, True, O.POLLED, read))
+
+
+# comparisons of stored snapshots, narrowed by digests
+
+def unlike(v: Views, domain: Domain) -> tuple[DataFrame, DataFrame]:
+    before, now = (settle(rows, "snapshot") for rows in snapshots(v, domain))
+    return digests.differing(before, now, domain)
+
+
 # instance transitions
 
 def after_revoke(v: Views, compat: bool = False) -> DataFrame:
@@ -272,6 +315,12 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "obj_new": lambda v: new(v, OBJECTS),
     "obj_live_next": lambda v: next_state(v, OBJECTS),
     "obj_live_after_removal_compat": lambda v: after_removal_compat(v, OBJECTS),
+    "role_dropped_covered": lambda v: gone_covered(v, ROLES),
+    "role_live_next_covered": lambda v: next_state_covered(v, ROLES),
+    "role_live_after_removal_covered_compat": lambda v: after_removal_covered_compat(v, ROLES),
+    "obj_revoked_covered": lambda v: gone_covered(v, OBJECTS),
+    "inst_delta_by_digest": lambda v: diff.added(*unlike(v, INSTANCE), INSTANCE, O.AS_OF).select(*INSTANCE.values),
+    "obj_revoked_by_digest": lambda v: diff.removed(*unlike(v, OBJECTS), OBJECTS, O.AS_OF).select(*OBJECTS.values),
     "lookup_instance": lambda v: _plain_time(
         lookup.instance_part(identities(v, O.LOGIN), LiveViews(v))
     ),
@@ -399,6 +448,29 @@ def oracle_sql() -> dict[str, str]:
         "job_run_times": _sql(O.JOB_RUN_TIMES),
         "alert_gate": _sql(O.ALERT_GATE),
     }
+    covered = {
+        "role": (ROLES, {
+            "before": O.role_members("prev_database_role_members", "prev_databases"),
+            "now": O.role_members("fx_database_role_members", "later_databases"),
+        }),
+        "obj": (OBJECTS, {
+            "before": O.object_gather("prev_database_permissions", databases="prev_databases"),
+            "now": O.object_gather(databases="later_databases"),
+        }),
+    }
+    domain, steps = covered["role"]
+    result |= {
+        "role_dropped_covered": _sql(O.minus_covered(domain, "before", "now", "later_databases"), steps),
+        "role_live_next_covered": _sql(O.next_state_covered(domain, "before", "now", "later_databases"), steps),
+        "role_live_after_removal_covered_compat": _sql(
+            O.after_removal_compat(domain, "before", "now", O.unread("later_databases")), steps
+        ),
+        "obj_revoked_covered": _sql(
+            O.minus_covered(OBJECTS, "before", "now", "later_databases"), covered["obj"][1]
+        ),
+        "inst_delta_by_digest": result["inst_delta"],
+        "obj_revoked_by_digest": _sql(O.minus(OBJECTS, "before", "now"), domains["obj"][1]),
+    }
     for step in ("after_revoke", "after_drop", "after_upsert"):
         result[f"inst_live_{step}"] = _sql(instance_state + step, strict)
         result[f"inst_live_{step}_compat"] = _sql(instance_state + step, compat)

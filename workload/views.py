@@ -129,6 +129,11 @@ FROM customer""",
     "fx_databases": """
 SELECT r_name AS name, CASE WHEN r_regionkey = 4 THEN 'OFFLINE' ELSE 'ONLINE' END AS state_desc,
 CASE WHEN r_regionkey = 3 THEN 'SINGLE_USER' ELSE 'MULTI_USER' END AS user_access_desc FROM region""",
+    # an earlier and a later list of databases: one comes, two go out of reach, one is dropped
+    "prev_databases": """
+SELECT r_name AS name, CASE WHEN r_regionkey = 2 THEN 'OFFLINE' ELSE 'ONLINE' END AS state_desc,
+'MULTI_USER' AS user_access_desc FROM region""",
+    "later_databases": "SELECT name, state_desc, user_access_desc FROM fx_databases WHERE name <> 'AMERICA'",
     "fx_database_principals": f"""
 SELECT r_name AS database_name, s_suppkey AS principal_id, {_USER_SID.format(k='s_suppkey')} AS sid,
 s_name AS name, CASE WHEN s_suppkey % 5 = 0 THEN 'DATABASE_ROLE' ELSE 'SQL_USER' END AS type_desc
