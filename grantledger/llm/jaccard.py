@@ -6,6 +6,7 @@ import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ PERCENT = 90
 BAND_RATIO = 1.5
 #: A list of nodes is sent to all tasks up to this length (16 bytes each), and joined by a shuffle beyond.
 SENT_ROWS = 1_000_000
+#: Numbers of 64 parities in a sketch; a set has two sketches.
+PARITY_LONGS = 8
 
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -122,24 +125,27 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return upto[ends] - upto[ends - sizes]
 
 
-def nodes(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def nodes(shingles: np.ndarray, sizes: np.ndarray, seed: int = 0) -> np.ndarray:
     """One number for each set, equal for equal sets; 0 only for the empty set."""
-    found = mixed(_sums(mixed(shingles ^ np.uint64(0xA5A5)), sizes) + sizes.astype(np.uint64)) | np.uint64(1)
+    key = mixed(np.array([0xA5A5 + seed], np.uint64))
+    found = mixed(_sums(mixed(shingles ^ key), sizes) + sizes.astype(np.uint64)) | np.uint64(1)
     return np.where(sizes > 0, found, np.uint64(0)).view(np.int64)
 
 
-def parities(shingles: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 parities of each set: two sets differ in at least as many shingles as parities."""
-    bit = np.uint64(1) << (shingles & np.uint64(63))
-    out = []
-    for half in (0, 1):
-        part = np.where((shingles >> np.uint64(6)) & np.uint64(1) == half, bit, np.uint64(0))
-        found = np.zeros(len(sizes), np.uint64)
-        some = sizes > 0
-        if len(part):
-            found[some] = np.bitwise_xor.reduceat(part, (np.cumsum(sizes) - sizes)[some])
-        out.append(found.view(np.int64))
-    return out[0], out[1]
+def parities(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Two sketches of 512 parities of each set, eight numbers each.
+
+    Two sets differ in at least as many shingles as parities of a sketch. The
+    sketches are independent, so a pair just beyond the limit has to be hidden
+    by chance in both.
+    """
+    out = np.zeros((len(sizes), 2 * PARITY_LONGS), np.uint64)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    for sketch in (0, 1):
+        place = (shingles >> np.uint64(9 * sketch)) & np.uint64(511)
+        at = row * (2 * PARITY_LONGS) + sketch * PARITY_LONGS + (place >> np.uint64(6)).astype(np.int64)
+        np.bitwise_xor.at(out.ravel(), at, np.uint64(1) << (place & np.uint64(63)))
+    return out.view(np.int64)
 
 
 def signatures(shingles: np.ndarray, sizes: np.ndarray, plan: Bands) -> tuple[np.ndarray, np.ndarray]:
@@ -188,28 +194,29 @@ def _split(values: pa.Array, row: np.ndarray, count: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(count + 1)), pa.int32()), values)
 
 
-def _sized(words: int) -> Callable:
+def _sized(words: int, seed: int) -> Callable:
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 shingles, sizes = shingle_sets(batch.column("text"), words)
-                low, high = parities(shingles, sizes)
+                flat = pa.array(parities(shingles, sizes).ravel())
+                ends = pa.array(np.arange(len(sizes) + 1) * 2 * PARITY_LONGS, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(n) for n in ("doc_id", "__k", "__k2")), pa.array(nodes(shingles, sizes)),
-                     pa.array(sizes), pa.array(low), pa.array(high)],
-                    names=["doc_id", "__k", "__k2", "node", "n_shingles", "low", "high"],
+                    [*(batch.column(n) for n in ("doc_id", "__k", "__k2")), pa.array(nodes(shingles, sizes, seed)),
+                     pa.array(sizes), pa.ListArray.from_arrays(ends, flat)],
+                    names=["doc_id", "__k", "__k2", "node", "n_shingles", "parity"],
                 )
 
     return sized
 
 
-def _signed(words: int, plan: Bands) -> Callable:
+def _signed(words: int, plan: Bands, seed: int) -> Callable:
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             shingles, sizes = shingle_sets(batch.column("text"), words)
-            node = nodes(shingles, sizes)
+            node = nodes(shingles, sizes, seed)
             signature, row = signatures(shingles, sizes, plan)
             # of a batch, one row for each signature goes to the shuffle; the others join that row's node here
             order = np.lexsort((node[row], signature))
@@ -220,8 +227,10 @@ def _signed(words: int, plan: Bands) -> Callable:
             again = ~head & (own != lead)
             again[1:] &= own[1:] != own[:-1]
             keep = head | again
+            # a row that leads its signature has no other lead, and nothing to store for it
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signature[keep]), pa.array(own[keep]), pa.array(lead[keep])], names=["signature", "node", "lead"]
+                [pa.array(signature[keep]), pa.array(own[keep]), pa.array(lead[keep], mask=(lead == own)[keep])],
+                names=["signature", "node", "lead"],
             )
 
     return signed
@@ -248,14 +257,14 @@ def _sent(rows: DataFrame) -> DataFrame:
 
 
 def _may_link(percent: int) -> Column:
-    """Bounds that every linked pair meets: on the sizes, and on the parities in which they differ."""
+    """Bounds that every linked pair meets: on the sizes, and on the parities of each sketch in which they differ."""
     n, m = F.col("n_a"), F.col("n_b")
-    parity = F.bit_count(F.col("low_a").bitwiseXOR(F.col("low_b"))) + F.bit_count(
-        F.col("high_a").bitwiseXOR(F.col("high_b"))
-    )
-    return (
-        (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * parity <= (100 - percent) * (n + m))
-    )
+    bounds = 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    for sketch in (0, 1):
+        numbers = range(sketch * PARITY_LONGS, (sketch + 1) * PARITY_LONGS)
+        unlike = [F.bit_count(F.col("parity_a")[i].bitwiseXOR(F.col("parity_b")[i])) for i in numbers]
+        bounds = bounds & ((100 + percent) * reduce(add, unlike) <= (100 - percent) * (n + m))
+    return bounds
 
 
 class _Linker:
@@ -268,16 +277,24 @@ class _Linker:
             {"__k": F.xxhash64("doc_id", "text"), "__k2": F.xxhash64(F.lit(1), "text", "doc_id")}
         )
         id_kind = docs.schema["doc_id"].dataType.simpleString()
-        kind = f"doc_id {id_kind}, __k long, __k2 long, node long, n_shingles long, low long, high long"
-        self.members = settle(self.docs.mapInArrow(_sized(words), kind), "members")
-        sets = self.members.where("n_shingles > 0").groupBy("node")
-        self.sets = settle(
-            sets.agg(
-                F.first("n_shingles").alias("n"), F.first("low").alias("low"), F.first("high").alias("high"),
-                F.min(F.struct("__k", "__k2")).alias("__of"),
-            ),
-            "sets",
-        )
+        kind = f"doc_id {id_kind}, __k long, __k2 long, node long, n_shingles long, parity array<bigint>"
+        self.seed = 0
+        while True:
+            self.members = settle(self.docs.mapInArrow(_sized(words, self.seed), kind), "members")
+            sets = self.members.where("n_shingles > 0").groupBy("node")
+            self.sets = settle(
+                sets.agg(
+                    F.first("n_shingles").alias("n"), F.min("parity").alias("parity"),
+                    F.min(F.struct("__k", "__k2")).alias("__of"),
+                    (F.min(F.struct("n_shingles", "parity")) != F.max(F.struct("n_shingles", "parity"))).alias("__mixed"),
+                ),
+                "sets",
+            )
+            # different sets that got one number are told apart by other numbers
+            if self.sets.where("__mixed").isEmpty():
+                break
+            self.seed += 1
+        self.sets = self.sets.drop("__mixed")
 
         counted = self.members.groupBy("__k", "__k2").count()
         self.repeated = not counted.where("count > 1").isEmpty()
@@ -296,18 +313,18 @@ class _Linker:
         """
         plan = plan or plan_bands(self._band_sizes(), self.percent)
         rows = settle(
-            self.docs.select("text").mapInArrow(_signed(self.words, plan), "signature long, node long, lead long"),
+            self.docs.select("text").mapInArrow(_signed(self.words, plan, self.seed), "signature long, node long, lead long"),
             "signatures",
         )
         # one shuffle serves both the hubs and the join with them; with a row for each batch
         # at most, no signature has many
-        led = rows.where("node = lead").select("signature", "node").repartition(
+        led = rows.where("lead is null").select("signature", "node").repartition(
             shuffle_width(self.docs.sparkSession), "signature"
         )
         hubs = led.groupBy("signature").agg(F.min("node").alias("hub"), F.max("node").alias("__last"))
         hubs = hubs.where("hub < __last").select("signature", "hub")
         across = led.join(hubs, "signature").select("signature", "node", "hub")
-        near = rows.where("node <> lead").select("signature", "node", F.col("lead").alias("hub"))
+        near = rows.where("lead is not null").select("signature", "node", F.col("lead").alias("hub"))
         # a batch's own group also has the row that leads it
         leads = near.select("signature", F.col("hub").alias("node"), "hub")
         shared = settle(across.union(near).union(leads), "shared")
@@ -321,8 +338,7 @@ class _Linker:
         columns = pairs.columns
         for side in ("a", "b"):
             of = self.sets.select(
-                F.col("node").alias(side), F.col("n").alias(f"n_{side}"),
-                F.col("low").alias(f"low_{side}"), F.col("high").alias(f"high_{side}"),
+                F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"parity_{side}"),
             )
             pairs = pairs.join(of, side)
         return pairs.where(_may_link(self.percent)).select(*columns, "n_a", "n_b")
@@ -415,7 +431,7 @@ class _Linker:
         rows = settle(self._apart(shared, found).join(self.sets.drop("__of"), "node"), "sets-apart")
 
         def side(name: str) -> DataFrame:
-            columns = {"n": "n", "low": "low", "high": "high", "component": "c"}
+            columns = {"n": "n", "parity": "parity", "component": "c"}
             return rows.select(
                 "signature", F.col("node").alias(name), *[F.col(c).alias(f"{d}_{name}") for c, d in columns.items()]
             )
@@ -438,7 +454,7 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, plan: Band
     """
     linker = _Linker(docs, words, percent)
     found = linker.labels(plan)
-    rows = linker.members.drop("low", "high").join(found, "node", "left")
+    rows = linker.members.drop("parity").join(found, "node", "left")
     rows = rows.withColumn("component", F.coalesce("component", "node"))
     linked = rows.where("n_shingles > 0")
     first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__k", "__k2")

@@ -10,16 +10,16 @@ from grantledger.llm import jaccard as J
 from tests.llm.conftest import ODD
 
 
-def shingles(text):
+def shingles(text, n=3):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not words:
         return frozenset()
-    return frozenset(tuple(words[i : i + 3]) for i in range(max(len(words) - 2, 1)))
+    return frozenset(tuple(words[i : i + n]) for i in range(max(len(words) - n + 1, 1)))
 
 
-def plain(rows):
+def plain(rows, words=3, percent=90):
     """The least id that links reach, by comparing all pairs."""
-    sets = [shingles(text) for _, text in rows]
+    sets = [shingles(text, words) for _, text in rows]
     parent = list(range(len(rows)))
 
     def root(i):
@@ -29,7 +29,7 @@ def plain(rows):
 
     for i, j in itertools.combinations(range(len(rows)), 2):
         a, b = sets[i], sets[j]
-        if a and b and 100 * len(a & b) >= 90 * len(a | b):
+        if a and b and 100 * len(a & b) >= percent * len(a | b):
             parent[root(i)] = root(j)
     least = {}
     for i, (doc, _) in enumerate(rows):
@@ -112,6 +112,62 @@ def test_many_near_copies_and_a_common_half(docs_of):
     assert got == {doc: found[1] for (doc, _), found in plain(rows).items()}
 
 
+def test_other_limits(docs_of):
+    rows = families(11, most=150)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.link(docs_of(rows), words=5, percent=80).collect()}
+    assert got == {doc: found for (doc, _), found in plain(rows, 5, 80).items()}
+
+
+def test_parities_never_overstate_and_rarely_hide():
+    """Sets that differ in six shingles of some fifty, where five may: hardly any pair gets through both sketches."""
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 63, 45).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base, rng.integers(0, 1 << 63, 3).astype(np.uint64)])) for _ in range(300)]
+    sets += [np.unique(rng.integers(0, 1 << 63, int(n)).astype(np.uint64)) for n in (0, 1, 400, 900)]
+    bits = np.unpackbits(J.parities(np.concatenate(sets), np.array([len(s) for s in sets])).view(np.uint8), axis=1)
+    hidden = 0
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        different = len(np.setxor1d(sets[i], sets[j]))
+        unlike = bits[i] ^ bits[j]
+        each = [int(unlike[:512].sum()), int(unlike[512:].sum())]
+        assert max(each) <= different
+        hidden += i < 300 and j < 300 and max(each) <= 5
+    assert hidden <= 0.005 * 300 * 299 / 2
+
+
+def test_sets_that_share_a_number_are_told_apart(docs_of, monkeypatch):
+    made = J.nodes
+    rows = [(i, f"some words of text {i // 2} and more") for i in range(12)]
+
+    def linked():
+        return {r.doc_id: r.component_id for r in J.link(docs_of(rows)).collect()}
+
+    def colliding(shingles, sizes, seed=0):
+        return made(shingles, sizes, seed) if seed else np.where(sizes > 0, 5, 0)
+
+    # the tasks get the function by its module, so it is put there for them too
+    monkeypatch.setattr(J, "_sized", _sized_with(colliding, J._sized))
+    assert linked() == {i: i - i % 2 for i in range(12)}
+
+
+def _sized_with(nodes, sized):
+    def changed(words, seed):
+        run = sized(words, seed)
+
+        def with_nodes(batches):
+            from grantledger.llm import jaccard
+
+            before, jaccard.nodes = jaccard.nodes, nodes
+            try:
+                yield from run(batches)
+            finally:
+                jaccard.nodes = before
+
+        return with_nodes
+
+    return changed
+
+
 def test_odd_rows(docs_of):
     rows = [*ODD, (8, "Short"), (9, "short"), (10, "two words"), (11, "TWO words"), (12, "words two")]
     docs = docs_of(rows, node="n", component="c")

@@ -51,7 +51,7 @@ def test_quality_keeps_what_scores_well(spark, steps):
 
 def test_one_document_of_each_group_stays(steps):
     before, after = steps["near_duplicates"]
-    found = test_jaccard.plain([(r.doc_id, r.text) for r in before.collect()])
+    found = test_jaccard.plain([(r.doc_id, r.text) for r in before.collect()], words=5, percent=80)
     assert rows(after) == Counter(key for key, (n, component) in found.items() if not n or component == key[0])
 
 
