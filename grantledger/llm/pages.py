@@ -270,7 +270,7 @@ def template_candidates(root: Node, host: str = "") -> set[int]:
 
 
 def main_text(root: Node, template: frozenset[int], hashes: dict[int, int] | None = None) -> str:
-    """The blocks of the article, or of the body without one, joined by empty lines."""
+    """The blocks of all articles, or of the main parts or the body without one, in page order, joined by empty lines."""
     if hashes is None:
         hashes = subtrees(root) if template else {}
 
@@ -281,22 +281,21 @@ def main_text(root: Node, template: frozenset[int], hashes: dict[int, int] | Non
 
     articles: list[Node] = []
     mains: list[Node] = []
-    stack = [root]
-    while stack:
-        node = stack.pop()
-        for child in node.inside:
-            if isinstance(child, Node) and not gone(child, False):
-                if child.tag == "article":
-                    articles.append(child)  # what is inside an article is part of it
-                    continue
-                if child.tag == "main" or child.attribute("role").lower() == "main":
-                    mains.append(child)
-                stack.append(child)
-    if articles:
-        texts = [_blocks(a, gone, True) for a in reversed(articles)]
-        return "\n\n".join(max(texts, key=lambda blocks: sum(map(len, blocks))))
-    if mains:
-        return "\n\n".join(_blocks(mains[-1], gone, True))
+    stack = [(root, False)]
+    while stack:  # in page order
+        node, in_main = stack.pop()
+        if node is not root:
+            if gone(node, False):
+                continue
+            if node.tag == "article":
+                articles.append(node)  # what is inside an article is part of it
+                continue
+            if not in_main and (node.tag == "main" or node.attribute("role").lower() == "main"):
+                mains.append(node)
+                in_main = True
+        stack.extend((child, in_main) for child in reversed(node.inside) if isinstance(child, Node))
+    if articles or mains:
+        return "\n\n".join(block for top in articles or mains for block in _blocks(top, gone, True))
     return "\n\n".join(_blocks(root, gone, False))
 
 

@@ -148,3 +148,13 @@ def test_odd_markup_takes_linear_time():
                  "<span>" * 20_000 + "<p>" * 20_000, "<script>" * 30_000, "&" * 200_000, "<a href='" * 50_000):
         P.main_text(P.parse(html), frozenset({1}))
     assert time.perf_counter() - start < 60
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_all_articles_and_mains_stay_in_page_order(tag):
+    inner = f"<{tag}><p>nested</p></{tag}>"
+    html = (
+        f"<body><nav>menu</nav><div><{tag}><p>a longer first one</p>{inner}</{tag}></div><aside><{tag}>aside</{tag}></aside>"
+        f"<section><{tag}><p>second</p></{tag}></section><{tag}>third</{tag}><footer>foot</footer></body>"
+    )
+    assert P.main_text(P.parse(html), frozenset()) == "a longer first one\n\nnested\n\nsecond\n\nthird"
