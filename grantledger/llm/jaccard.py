@@ -28,6 +28,8 @@ BAND_RATIO = 1.5
 SENT_ROWS = 1_000_000
 #: Numbers of 64 parities in a sketch; a set has two sketches.
 PARITY_LONGS = 8
+#: Rounds with drawn hubs go on while they link more than this share of the sets that are apart.
+STAR_SHARE = 0.1
 
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -363,33 +365,42 @@ class _Linker:
     def labels(self, plan: Bands | None = None) -> DataFrame:
         """`node`, `component` for all sets with a link to another set.
 
-        Three rounds, each only over pairs of different components. First each
-        set is compared with the hub that it shares most signatures with; then,
-        where sets of a signature are still apart, with a hub of another
-        component; then all pairs that share a signature and are still apart.
-        A large group of near copies is one component after the first or second
-        round, so its pairs are never listed.
+        Rounds of comparisons, each only between different components. First
+        each set is compared with the hub that it shares most signatures with;
+        then, where sets of a signature are still apart, with a hub drawn anew
+        in each round, as long as such comparisons link a share of the sets;
+        then all pairs that share a signature and are still apart. A large group
+        of near copies is one component before pairs are listed.
         """
         shared = self.shared_signatures(plan)
         found = tried = links = known = shingles = None
-        for candidates in (self._first, self._second, self._rest):
-            pairs = settle(candidates(shared, found, tried), "pairs")
-            release(self.docs.sparkSession)
-            if pairs.isEmpty():
-                continue
-            ends = settle(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends")
-            if known is None:
-                known, shingles = ends, self.shingles(ends)
-            else:
-                new = settle(ends.join(known, "node", "left_anti"), "ends")
-                if not new.isEmpty():
-                    known, shingles = known.union(new), shingles.union(self.shingles(new))
-            more = settle(self.verified(pairs, shingles), "links")
-            compared = pairs.select("a", "b")
-            tried = compared if tried is None else tried.union(compared)
-            links = more if links is None else links.union(more)
-            found = components(links)
+        number, candidates = 0, self._first
+        while True:
+            pairs = settle(candidates(shared, found, tried, number), "pairs")
             release(self.docs.sparkSession)
+            compared = pairs.count()
+            linked = 0
+            if compared:
+                ends = settle(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends")
+                if known is None:
+                    known, shingles = ends, self.shingles(ends)
+                else:
+                    new = settle(ends.join(known, "node", "left_anti"), "ends")
+                    if not new.isEmpty():
+                        known, shingles = known.union(new), shingles.union(self.shingles(new))
+                more = settle(self.verified(pairs, shingles), "links")
+                pairs = pairs.select("a", "b")
+                tried = pairs if tried is None else tried.union(pairs)
+                linked = more.count()
+                if linked:
+                    links = more if links is None else links.union(more)
+                    found = components(links)
+                release(self.docs.sparkSession)
+            if candidates == self._rest:
+                break
+            number += 1
+            goes_on = number == 1 or linked > self.sets_apart * STAR_SHARE
+            candidates = self._star if goes_on else self._rest
         if found is None:
             return self.sets.where("false").select("node", F.col("node").alias("component"))
         return found
@@ -400,7 +411,7 @@ class _Linker:
         best = counted.groupBy("a").agg(F.max_by("b", F.struct("__n", "b")).alias("b"))
         return self.bounded(best)
 
-    def _first(self, shared: DataFrame, found: DataFrame | None, tried: DataFrame | None) -> DataFrame:
+    def _first(self, shared: DataFrame, found: DataFrame | None, tried: DataFrame | None, number: int) -> DataFrame:
         return self._best(shared.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")))
 
     def _apart(self, shared: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -414,9 +425,12 @@ class _Linker:
         ends = ends.where("__a < __b").select("signature")
         return settle(rows.join(ends, "signature", "left_semi").distinct(), "apart")
 
-    def _second(self, shared: DataFrame, found: DataFrame | None, tried: DataFrame | None) -> DataFrame:
+    def _star(self, shared: DataFrame, found: DataFrame | None, tried: DataFrame | None, number: int) -> DataFrame:
+        """Each set that is apart with a hub of another component; the hub of a signature is drawn by the round."""
         apart = self._apart(shared, found)
-        hubs = apart.groupBy("signature").agg(F.min(F.struct("component", "node")).alias("hub"))
+        self.sets_apart = apart.select("node").distinct().count()
+        drawn = F.struct(F.xxhash64(F.lit(number), "node"), "component", "node")
+        hubs = apart.groupBy("signature").agg(F.min(drawn).alias("hub"))
         hubs = hubs.select("signature", F.col("hub.component").alias("__of"), F.col("hub.node").alias("b"))
         stars = apart.join(hubs, "signature").where("component <> __of").select(F.col("node").alias("a"), "b")
         return self._untried(self._best(stars), tried)
@@ -426,7 +440,7 @@ class _Linker:
             return pairs
         return pairs.join(tried.union(tried.select("b", "a")), ["a", "b"], "left_anti")
 
-    def _rest(self, shared: DataFrame, found: DataFrame | None, tried: DataFrame | None) -> DataFrame:
+    def _rest(self, shared: DataFrame, found: DataFrame | None, tried: DataFrame | None, number: int) -> DataFrame:
         """All pairs of different components that share a signature, meet the bounds and were not compared yet."""
         rows = settle(self._apart(shared, found).join(self.sets.drop("__of"), "node"), "sets-apart")
 
