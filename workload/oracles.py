@@ -9,6 +9,7 @@ POLLED = "2024-01-01 00:00:00"
 LOGIN = "Customer#000000042"
 USER = "Supplier#000000003"
 ASKED = ("Supplier#000000001", "Supplier#000000003", "Supplier#000000007", "Supplier#000000010")
+ASKED_LOGINS = ("Customer#000000007", "Customer#000000010", "Customer#000000042", "Customer#000000100")
 JOB = "permissions-audit"
 SERVER = "SRV"
 
@@ -295,12 +296,16 @@ UNION ALL SELECT Principal, 'objects', CAST(sum(n) AS BIGINT) FROM (
 SELECT w.Principal, o.* FROM who w JOIN counts o ON o.PrincipalName = w.PrincipalName
 UNION SELECT l.name, o.* FROM fx_user_logins l JOIN counts o ON o.sid = l.sid) t GROUP BY 1"""
 
-_WHO = f"""
-WITH asked AS (SELECT name FROM fx_user_logins WHERE name IN ({", ".join(f"'{n}'" for n in ASKED)})),
+def _who(names, logins: str) -> str:
+    return f"""
+WITH asked AS (SELECT name FROM {logins} WHERE name IN ({", ".join(f"'{n}'" for n in names)})),
 who AS (SELECT name AS Principal, name AS PrincipalName FROM asked
 UNION SELECT PrincipalName, ADGroupName FROM fx_group_mappings WHERE PrincipalName IN (SELECT name FROM asked))"""
+
+
+_WHO = _who(ASKED, "fx_user_logins")
 LOOKUP_BATCH = {
-    "instance": f"""SELECT * FROM ({_WHO} SELECT w.Principal, {cols([*INSTANCE.values, 'PollDate'], 'l.')}
+    "instance": f"""SELECT * FROM ({_who(ASKED_LOGINS, "fx_logins")} SELECT w.Principal, {cols([*INSTANCE.values, 'PollDate'], 'l.')}
 FROM who w JOIN live_instance l ON l.PrincipalName = w.PrincipalName) t""",
     "roles": f"""SELECT * FROM ({_WHO} SELECT w.Principal, {cols([*ROLE_SHOWN, 'PollDate'], 'l.')}
 FROM who w JOIN live_roles l ON l.PrincipalName = w.PrincipalName) t""",
@@ -322,6 +327,9 @@ SELECT run_date, run_time, strptime(CAST(run_date AS VARCHAR) || lpad(CAST(run_t
 FROM fx_job_history WHERE job_name = '{JOB}' AND step_id = 0 AND run_status = 1
 ORDER BY run_date DESC, run_time DESC LIMIT 1"""
 
+JOB_RUNS_NAMED = """SELECT j.name AS job_name, h.step_id, h.run_status, h.run_date, h.run_time
+FROM fx_job_runs h JOIN fx_jobs j ON j.job_id = h.job_id"""
+
 JOB_RUN_TIMES = """
 SELECT run_date, run_time, strftime(strptime(CAST(run_date AS VARCHAR) || lpad(CAST(run_time AS VARCHAR), 6, '0'), '%Y%m%d%H%M%S'),
 '%Y-%m-%d %H:%M:%S') || '.000' AS run_text FROM fx_job_history"""

@@ -234,10 +234,11 @@ def lookup_objects(v: Views) -> DataFrame:
     return lookup.objects_part(O.USER, identities(v, O.USER), LiveViews(v), v.fx_user_logins)
 
 
-def batch(v: Views) -> lookup.Permissions:
+def batch(v: Views, names=O.ASKED, logins: str = "fx_user_logins") -> lookup.Permissions:
     """Answers for a given list of principals."""
-    asked = v.fx_user_logins.filter(F.col("name").isin(*O.ASKED)).select("name")
-    return lookup.permissions_of(asked, LiveViews(v), v.fx_user_logins)
+    known = getattr(v, logins)
+    asked = known.filter(F.col("name").isin(*names)).select("name")
+    return lookup.permissions_of(asked, LiveViews(v), known)
 
 
 def answer(v: Views) -> DataFrame:
@@ -261,6 +262,16 @@ def last_success(v: Views) -> DataFrame:
     )
 
 
+def last_success_of_job(v: Views) -> DataFrame:
+    history = runs.with_job_names(v.fx_job_runs, v.fx_jobs)
+    return runs.last_success(history, O.JOB).withColumn("last_run", F.col("last_run").cast("timestamp_ntz"))
+
+
+def job_runs_named(v: Views) -> DataFrame:
+    history = runs.with_job_names(v.fx_job_runs, v.fx_jobs)
+    return history.select("job_name", "step_id", "run_status", "run_date", "run_time")
+
+
 def alert_gate(v: Views) -> DataFrame:
     return v.events.filter(in_alert_window(F.col("ts"))).select(
         "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm").alias("alert_minute")
@@ -334,6 +345,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
         f"lookup_batch_{part}": lambda v, part=part: _plain_time(getattr(batch(v), part))
         for part in lookup.Permissions._fields
     },
+    "lookup_batch_instance": lambda v: _plain_time(batch(v, O.ASKED_LOGINS, "fx_logins").instance),
     "audit_two_runs": audit_runs.summary,
     **{
         f"audit_live_{domain.name}": lambda v, domain=domain: _plain_time(audit_runs.live_rows(v, domain))
@@ -357,6 +369,8 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     },
     "audit_log": audit_runs.log_rows,
     "last_success": last_success,
+    "last_success_of_job": last_success_of_job,
+    "job_runs_named": job_runs_named,
     "job_run_times": job_run_times,
     "alert_gate": alert_gate,
 }
@@ -445,6 +459,8 @@ def oracle_sql() -> dict[str, str]:
         },
         "audit_log": audit_runs.log_sql(),
         "last_success": _sql(O.LAST_SUCCESS),
+        "last_success_of_job": _sql(O.LAST_SUCCESS.replace("fx_job_history", f"({O.JOB_RUNS_NAMED}) h")),
+        "job_runs_named": _sql(O.JOB_RUNS_NAMED),
         "job_run_times": _sql(O.JOB_RUN_TIMES),
         "alert_gate": _sql(O.ALERT_GATE),
     }

@@ -200,6 +200,15 @@ SELECT {_USER_SID.format(k='(s_suppkey + 1)')} AS sid, s_name AS name FROM suppl
 SELECT CAST(NULL AS STRING) AS sid, account_name AS PrincipalName, permission_path AS ADGroupName,
 TIMESTAMP '2024-01-01 00:00:00' AS PollDate FROM fx_group_edges
 UNION ALL SELECT sid, PrincipalName, ADGroupName, PollDate FROM fx_user_groups""",
+    # runs of several jobs by id, some of a job that is not known any more
+    "fx_jobs": """
+SELECT CAST(r_regionkey AS BIGINT) AS job_id, CASE WHEN r_regionkey = 1 THEN 'permissions-audit' ELSE 'job of ' || r_name END AS name
+FROM region""",
+    "fx_job_runs": """
+SELECT CAST(user_id % 7 AS BIGINT) AS job_id, CAST(event_id % 3 AS INT) AS step_id,
+CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS run_status,
+CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INT) AS run_date,
+CAST(hour(ts) * 10000 + minute(ts) * 100 + floor(second(ts)) AS INT) AS run_time FROM events""",
     "fx_job_history": """
 SELECT 'permissions-audit' AS job_name, CAST(event_id % 3 AS INT) AS step_id,
 CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS run_status,
