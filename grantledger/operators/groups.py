@@ -5,6 +5,10 @@ member of the group `permission_path`. Only edges between groups are walked
 round by round; the far larger number of user edges is joined once at the end.
 Every round is written to the shared folder, and pairs already found are not
 followed again, so cycles end and any depth is covered.
+
+Who is a member, without the depth, is found over components: groups that are
+members of each other are one node while paths are doubled, and are listed one
+by one only in the result.
 """
 
 from __future__ import annotations
@@ -12,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grantledger.functions.labels import status_text
+from grantledger.operators.condense import cyclic_components
 from grantledger.operators.skew import spread_join
 from grantledger.schemas import GROUPS
 from grantledger.session import settle
@@ -110,6 +116,50 @@ def closure(edges: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     )
 
 
+def memberships(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """(account_name, ancestor) over any number of nesting levels, each pair once.
+
+    The pairs of `closure` without their depth. A cycle of n groups is one node
+    while groups below the roots and paths are walked; its n * n pairs are rows
+    of the result alone.
+    """
+    parts = cyclic_components(_links(edges))
+
+    def node(frame: DataFrame, column: str) -> DataFrame:
+        """`frame` with the component in place of a group that lies on a cycle."""
+        mapped = frame.join(parts.withColumnRenamed("group", column), column, "left")
+        return mapped.withColumn(column, F.coalesce("component", column)).drop("component")
+
+    between = node(node(_nested(edges), "child"), "parent").filter(F.col("child") != F.col("parent"))
+    steps = settle(
+        between.select(
+            F.col("child").alias("account_name"), F.lit(GROUP_TYPE).alias("type"), F.col("parent").alias("permission_path")
+        ).distinct(),
+        "steps",
+    )
+    wanted = groups_below(steps, node(roots, "group")).withColumnRenamed("ancestor", "child")
+    paths = group_paths(steps.join(wanted.withColumnRenamed("child", "permission_path"), "permission_path", "left_semi"))
+    members = node(edges.select("account_name", F.col("permission_path").alias("child")), "child")
+    first = settle(members.distinct().join(wanted, "child", "left_semi"), "first")
+    further = spread_join(first, paths, ["child"]).select("account_name", F.col("ancestor").alias("child"))
+    reached = first.unionByName(further).distinct()
+    listed = reached.join(parts.withColumnsRenamed({"component": "child"}), "child", "left")
+    return listed.select("account_name", F.coalesce("group", "child").alias("ancestor")).filter(
+        F.col("account_name") != F.col("ancestor")
+    )
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(group, component, size) of all groups, with the least name of those that contain each other."""
+    links = _links(edges)
+    alone = edges.select(F.col("permission_path").alias("group")).union(links.select("child")).dropna().distinct()
+    parts = cyclic_components(links)
+    every = alone.join(parts, "group", "left").select("group", F.coalesce("component", "group").alias("component"))
+    return every.join(every.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component").select(
+        "group", "component", "size"
+    )
+
+
 def _login_sids(logins: DataFrame) -> DataFrame:
     return logins.select("sid", F.col("name").alias("login")).distinct()
 
@@ -131,6 +181,26 @@ def direct_members(edges: DataFrame, logins: DataFrame) -> DataFrame:
     )
 
 
+def members_with_status(edges: DataFrame, logins: DataFrame) -> DataFrame:
+    """Direct members of the group logins, with the status and group flag of that login.
+
+    A member has no status of its own in the directory; it counts as enabled or
+    disabled with the login of its group. A group that is several logins gives
+    a row for each different status.
+    """
+    parents = logins.filter(F.col("isntgroup") == 1).select(
+        F.col("name").alias("permission_path"), "status", "isntgroup"
+    )
+    rows = edges.select("account_name", "permission_path").distinct().join(parents.distinct(), "permission_path")
+    return rows.select(
+        F.col("account_name").alias("PrincipalName"),
+        F.col("permission_path").alias("ADGroupName"),
+        "status",
+        "isntgroup",
+        status_text(F.col("status")).alias("StatusText"),
+    )
+
+
 def gather(edges: DataFrame, logins: DataFrame, compat: bool = False) -> DataFrame:
     """Staging rows of the group domain.
 
@@ -140,7 +210,7 @@ def gather(edges: DataFrame, logins: DataFrame, compat: bool = False) -> DataFra
     sid of that nested group.
     """
     if not compat:
-        pairs = closure(edges, group_logins(logins))
+        pairs = memberships(edges, group_logins(logins))
         own = _login_sids(logins).withColumnRenamed("login", "account_name")
         return pairs.join(own, "account_name", "left").select(
             "sid",

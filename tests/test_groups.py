@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from grantledger.operators import groups
+from grantledger.operators import condense, groups
 
 LOGIN = "sid string, name string, isntgroup int"
 EDGE = "account_name string, type string, permission_path string"
@@ -117,3 +117,77 @@ def test_edges_out_of_the_roots_reach_are_not_walked(spark, monkeypatch):
     got = {(r.account_name, r.ancestor): r.depth for r in groups.closure(edges, roots).collect()}
     assert {r.permission_path for r in walked[0]} == {"g1", "g2", "root"}
     assert got == {("a", "g1"): 1, ("a", "root"): 2, ("a", "g2"): 2, ("g1", "root"): 1, ("g2", "root"): 2, ("g2", "g1"): 1, ("g1", "g2"): 1}
+
+
+def brute_components(pairs, group_names):
+    reach = {n: {n} for p in pairs for n in p}
+    for (a, b) in brute_closure(pairs, group_names):
+        reach[a].add(b)
+    return {
+        n: min(m for m in reach[n] if n in reach[m]) for n in reach if any(m != n and n in reach[m] for m in reach[n])
+    }
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_components_of_random_graphs(spark, seed):
+    rng = random.Random(seed)
+    names = [f"g{i:02}" for i in range(40)]
+    pairs = sorted({(rng.choice(names), rng.choice(names)) for _ in range(rng.choice([35, 50, 70]))})
+    links = spark.createDataFrame([*pairs, *pairs[:5], (None, "g00"), ("g00", None)], "child string, parent string")
+    got = {r.group: r.component for r in condense.cyclic_components(links).collect()}
+    assert got == brute_components(pairs, set(names))
+
+
+def test_components_without_links(spark):
+    assert condense.cyclic_components(spark.createDataFrame([], "child string, parent string")).isEmpty()
+    alone = groups.components(spark.createDataFrame([("u", "user", "top"), ("top", "group", "top")], EDGE))
+    assert [tuple(r) for r in alone.collect()] == [("top", "top", 1)]
+
+
+@pytest.mark.parametrize("seed", range(1))
+def test_memberships_are_the_closure_without_depth(spark, seed):
+    rng = random.Random(100 + seed)
+    names = [f"g{i}" for i in range(20)]
+    pairs = [(rng.choice(names), rng.choice(names)) for _ in range(30)]
+    pairs += [(f"u{i}", rng.choice(names)) for i in range(20)]
+    graph = edges(spark, pairs, set(names))
+    roots = spark.createDataFrame([(n,) for n in names[:3]], "group string")
+    got = groups.memberships(graph, roots)
+    wanted = groups.closure(graph, roots).select("account_name", "ancestor")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_a_long_cycle_takes_linear_rows_until_the_result(spark, monkeypatch):
+    size, written = 2000, []
+
+    def counted(module):
+        plain = module.settle
+
+        def count(df, label):
+            table = plain(df, label)
+            written.append(table.count())
+            return table
+
+        monkeypatch.setattr(module, "settle", count)
+
+    counted(groups)
+    counted(condense)
+    ring = [(f"g{i}", f"g{(i + 1) % size}") for i in range(size)]
+    pairs = [*ring, ("u", "g5"), ("g7", "top"), ("below", "g9"), ("v", "below")]
+    names = {g for _, g in pairs}
+    roots = spark.createDataFrame([("top",)], "group string")
+    found = groups.memberships(edges(spark, pairs, names), roots)
+    # each of the ring in the others and in top; u and below and v in the ring and top; v in below
+    assert found.count() == size * (size - 1) + size + 3 * (size + 1) + 1
+    assert max(written) <= 2 * size and len(written) < 60
+
+
+def test_members_carry_the_status_of_their_group(spark):
+    login = spark.createDataFrame(
+        [("top", 1, 9), ("low", 1, 10), ("odd", 1, None), ("u", 0, 9)], "name string, isntgroup int, status int"
+    )
+    graph = edges(spark, [("u", "top"), ("u", "top"), ("u", "low"), ("w", "odd"), ("w", "u")], set())
+    got = {tuple(r) for r in groups.members_with_status(graph, login).collect()}
+    assert got == {
+        ("u", "top", 9, 1, "Enabled"), ("u", "low", 10, 1, "Disabled"), ("w", "odd", None, 1, "???"),
+    }

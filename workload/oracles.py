@@ -175,6 +175,19 @@ GROUP_DIRECT = f"""
 SELECT DISTINCT CAST(NULL AS VARCHAR) AS sid, account_name AS PrincipalName, permission_path AS ADGroupName
 FROM fx_group_edges WHERE permission_path IN ({ROOTS})"""
 
+GROUP_STATUS = """
+SELECT DISTINCT account_name AS PrincipalName, permission_path AS ADGroupName, status, isntgroup,
+CASE WHEN status = 9 THEN 'Enabled' WHEN status = 10 THEN 'Disabled' ELSE '???' END AS StatusText
+FROM fx_group_edges JOIN fx_logins ON name = permission_path WHERE isntgroup = 1"""
+
+GROUP_COMPONENTS = """
+SELECT name AS "group", component, count(*) OVER (PARTITION BY component) AS size
+FROM (SELECT g.name, least(g.name, coalesce(min(b.account_name), g.name)) AS component
+FROM (SELECT account_name AS name FROM fx_ring_edges WHERE type = 'group' UNION SELECT permission_path FROM fx_ring_edges) g
+LEFT JOIN walk_ring a ON a.account_name = g.name
+LEFT JOIN walk_ring b ON b.account_name = a.ancestor AND b.ancestor = g.name
+GROUP BY g.name) t"""
+
 GROUP_COMPAT = f"""{GROUP_DIRECT}
 UNION SELECT l.sid, m.account_name, u.permission_path FROM fx_group_edges m
 JOIN fx_group_edges u ON u.account_name = m.permission_path AND u.type = 'group'

@@ -314,6 +314,9 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "group_members": groups_gather,
     "group_members_compat": lambda v: groups_gather(v, compat=True),
     "group_closure": group_closure,
+    "group_ring_members": lambda v: groups_gather(v, "fx_ring_edges"),
+    "group_components": lambda v: groups.components(v.fx_ring_edges),
+    "group_members_status": lambda v: groups.members_with_status(v.fx_group_edges, v.fx_logins),
     "group_dropped": lambda v: gone(v, GROUPS),
     "group_new": lambda v: new(v, GROUPS),
     "group_live_next": lambda v: next_state(v, GROUPS),
@@ -391,6 +394,7 @@ def _sql(final: str, steps: dict[str, str] | None = None) -> str:
 def oracle_sql() -> dict[str, str]:
     strict, compat = O.instance_steps(False), O.instance_steps(True)
     walk = {**O.group_walk("fx_group_edges"), **O.group_walk("prev_group_edges", "_prev")}
+    ring = O.group_walk("fx_ring_edges", "_ring")
     domains = {
         "group": (GROUPS, {
             **walk, "before": O.group_members("_prev"), "now": O.group_members(),
@@ -428,6 +432,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT account_name, ancestor, CAST(min(depth) AS INT) AS depth FROM ways "
             "WHERE account_name <> ancestor GROUP BY account_name, ancestor", walk,
         ),
+        "group_ring_members": _sql(O.group_members("_ring"), ring),
+        "group_components": _sql(O.GROUP_COMPONENTS, ring),
+        "group_members_status": _sql(O.GROUP_STATUS),
         "lookup_instance": _sql(O.LOOKUP_INSTANCE, O.LIVE),
         "lookup_roles": _sql(O.LOOKUP_ROLES, O.LIVE),
         "lookup_role_permissions": _sql(O.LOOKUP_ROLE_PERMISSIONS, O.LIVE),

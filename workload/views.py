@@ -175,6 +175,13 @@ UNION ALL SELECT database_name, 'XML_SCHEMA_COLLECTION', p_partkey, p_brand || '
 FROM part JOIN fx_all_objects ON object_id = p_partkey WHERE p_partkey % 3 > 0""",
     "fx_group_edges": _group_edges("BUILDING"),
     "prev_group_edges": _group_edges("MACHINERY"),
+    # rings of ten groups that contain each other, every second ring inside the next one, and users in them
+    "fx_ring_edges": """
+SELECT m.c_name AS account_name, 'group' AS type, g.c_name AS permission_path
+FROM (SELECT c_name, c_custkey - (c_custkey - 1) % 10 + c_custkey % 10 AS parent FROM customer
+UNION ALL SELECT c_name, c_custkey + 10 FROM customer WHERE c_custkey % 20 = 7) m
+JOIN customer g ON g.c_custkey = m.parent
+UNION ALL SELECT s_name, 'user', c_name FROM supplier JOIN customer ON c_custkey = s_suppkey""",
     "fx_instance": _instance_snapshot(
         "CASE WHEN o_custkey % 43 = 1 THEN 'Renamed#' ELSE 'Customer#' END",
         "o_custkey % 10 = 0 OR o_custkey % 41 = 1",
