@@ -10,6 +10,8 @@ LOGIN = "Customer#000000042"
 USER = "Supplier#000000003"
 ASKED = ("Supplier#000000001", "Supplier#000000003", "Supplier#000000007", "Supplier#000000010")
 ASKED_LOGINS = ("Customer#000000007", "Customer#000000010", "Customer#000000042", "Customer#000000100")
+#: Before both snapshots, between them, and at the second one.
+MOMENTS = ("2023-12-31 12:00:00", "2024-01-15 08:00:00", AS_OF)
 JOB = "permissions-audit"
 SERVER = "SRV"
 
@@ -335,6 +337,84 @@ UNION ALL SELECT PrincipalName, count(*), 'roles' FROM live_roles WHERE Principa
 UNION ALL SELECT PrincipalName, count(*), 'role_permissions' FROM ({LOOKUP_ROLE_PERMISSIONS}) a GROUP BY 1
 UNION ALL SELECT PrincipalName, count(*), 'objects' FROM ({LOOKUP_OBJECTS}) b GROUP BY 1"""
 
+# nested roles, all databases at once
+
+ROLE_WALK = {
+    "role_walk": """SELECT ServerName, Scope, PrincipalName AS member, DatabaseRole AS role FROM live_roles WHERE PrincipalType = 'DATABASE_ROLE'
+UNION SELECT w.ServerName, w.Scope, w.member, r.DatabaseRole FROM role_walk w JOIN live_roles r ON r.ServerName = w.ServerName
+AND r.Scope = w.Scope AND r.PrincipalName = w.role AND r.PrincipalType = 'DATABASE_ROLE'""",
+}
+LOOKUP_NESTED_ROLES = f"""
+SELECT Principal, ServerName, Scope, DatabaseRole, bool_or(direct) AS direct FROM ({_WHO},
+first AS (SELECT w.Principal, l.ServerName, l.Scope, l.DatabaseRole FROM who w JOIN live_roles l ON l.PrincipalName = w.PrincipalName)
+SELECT *, true AS direct FROM first
+UNION ALL SELECT f.Principal, f.ServerName, f.Scope, w.role, false FROM first f
+JOIN role_walk w ON w.ServerName = f.ServerName AND w.Scope = f.Scope AND w.member = f.DatabaseRole) t GROUP BY 1, 2, 3, 4"""
+LOOKUP_NESTED_ROLE_PERMISSIONS = f"""
+SELECT r.Principal, {cols([*OBJECT_SHOWN, 'PollDate'], 'o.')} FROM ({LOOKUP_NESTED_ROLES}) r
+JOIN live_objects o ON o.ServerName = r.ServerName AND o.Scope = r.Scope AND o.PrincipalName = r.DatabaseRole"""
+
+
+# lookups at moments of the past
+
+def _span(domain, before: str, now: str) -> str:
+    """Rows of two snapshots with the time in which they were held."""
+    listed = cols(domain.values)
+    return f"""SELECT {listed}, CASE WHEN bool_or(b) THEN TIMESTAMP '{POLLED}' ELSE TIMESTAMP '{AS_OF}' END AS valid_from,
+CASE WHEN bool_or(n) THEN NULL ELSE TIMESTAMP '{AS_OF}' END AS valid_to
+FROM (SELECT {listed}, true AS b, false AS n FROM ({before}) x UNION ALL SELECT {listed}, false, true FROM ({now}) y) z GROUP BY {listed}"""
+
+
+def _in_span(ask: str, row: str) -> str:
+    return f"{row}.valid_from <= {ask}.Moment AND ({row}.valid_to IS NULL OR {ask}.Moment < {row}.valid_to)"
+
+
+def past_steps() -> dict[str, str]:
+    moments = ", ".join(f"(TIMESTAMP '{at}')" for at in MOMENTS)
+    names = ", ".join(f"'{n}'" for n in (*ASKED, *ASKED_LOGINS))
+    return instance_steps(False) | {
+        "span_instance": _span(INSTANCE, "SELECT * FROM prev_instance", "SELECT * FROM after_upsert"),
+        "span_groups": _span(GROUPS, "SELECT * FROM prev_user_groups", "SELECT * FROM fx_user_groups"),
+        "span_roles": _span(ROLES, role_members("prev_database_role_members"), role_members("fx_database_role_members")),
+        "span_objects": _span(OBJECTS, object_gather("prev_database_permissions"), object_gather()),
+        "asked_at": f"""SELECT DISTINCT name, Moment FROM (SELECT name FROM fx_user_logins UNION ALL SELECT name FROM fx_logins) l,
+(VALUES {moments}) m(Moment) WHERE name IN ({names})""",
+        "who_at": f"""SELECT name AS Principal, Moment, name AS PrincipalName FROM asked_at
+UNION SELECT a.name, a.Moment, g.ADGroupName FROM asked_at a JOIN span_groups g ON g.PrincipalName = a.name AND {_in_span('a', 'g')}""",
+    }
+
+
+_SPAN = ["valid_from", "valid_to"]
+_OBJECTS_AT = cols([*OBJECT_SHOWN, *_SPAN], "o.")
+LOOKUP_AS_OF = {
+    "instance": f"""SELECT w.Principal, w.Moment, {cols([*INSTANCE.values, *_SPAN], 'o.')} FROM who_at w
+JOIN span_instance o ON o.PrincipalName = w.PrincipalName AND {_in_span('w', 'o')}""",
+    "roles": f"""SELECT w.Principal, w.Moment, {cols([*ROLE_SHOWN, *_SPAN], 'o.')} FROM who_at w
+JOIN span_roles o ON o.PrincipalName = w.PrincipalName AND {_in_span('w', 'o')}""",
+    "role_permissions": f"""SELECT r.Principal, r.Moment, {_OBJECTS_AT} FROM (SELECT DISTINCT w.Principal, w.Moment, l.ServerName, l.Scope, l.DatabaseRole
+FROM who_at w JOIN span_roles l ON l.PrincipalName = w.PrincipalName AND {_in_span('w', 'l')}) r
+JOIN span_objects o ON o.ServerName = r.ServerName AND o.Scope = r.Scope AND o.PrincipalName = r.DatabaseRole AND {_in_span('r', 'o')}""",
+    "objects": f"""SELECT a.name AS Principal, a.Moment, {_OBJECTS_AT} FROM asked_at a JOIN span_objects o ON {_in_span('a', 'o')}
+AND (o.PrincipalName IN (SELECT PrincipalName FROM who_at w WHERE w.Principal = a.name AND w.Moment = a.Moment)
+OR o.sid IN (SELECT sid FROM fx_user_logins l WHERE l.name = a.name))""",
+}
+
+
+# principals that went and came, paired by sid: first those that kept their name, the others by rank
+
+PRINCIPALS_CHANGED = """
+SELECT * FROM (WITH o1 AS (SELECT *, row_number() OVER (PARTITION BY ServerName, Scope, sid, PrincipalName ORDER BY PrincipalType) AS place FROM went),
+n1 AS (SELECT *, row_number() OVER (PARTITION BY ServerName, Scope, sid, PrincipalName ORDER BY PrincipalType) AS place FROM came),
+kept AS (SELECT o.*, n.PrincipalType AS NewType FROM o1 o JOIN n1 n USING (ServerName, Scope, sid, PrincipalName, place)),
+o2 AS (SELECT o.*, row_number() OVER (PARTITION BY ServerName, Scope, sid ORDER BY PrincipalName, PrincipalType) AS rank FROM o1 o
+WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.ServerName = o.ServerName AND k.sid = o.sid AND k.PrincipalName = o.PrincipalName AND k.place = o.place)),
+n2 AS (SELECT n.*, row_number() OVER (PARTITION BY ServerName, Scope, sid ORDER BY PrincipalName, PrincipalType) AS rank FROM n1 n
+WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.ServerName = n.ServerName AND k.sid = n.sid AND k.PrincipalName = n.PrincipalName AND k.place = n.place))
+SELECT ServerName, Scope, sid, PrincipalName AS OldName, PrincipalType AS OldType, PrincipalName AS NewName, NewType, 'retyped' AS change FROM kept
+UNION ALL SELECT coalesce(o.ServerName, n.ServerName), coalesce(o.Scope, n.Scope), coalesce(o.sid, n.sid), o.PrincipalName, o.PrincipalType,
+n.PrincipalName, n.PrincipalType, CASE WHEN n.rank IS NULL THEN 'dropped' WHEN o.rank IS NULL THEN 'new' ELSE 'renamed' END
+FROM o2 o FULL JOIN n2 n ON n.ServerName = o.ServerName AND n.Scope = o.Scope AND n.sid = o.sid AND n.rank = o.rank) t"""
+
 LAST_SUCCESS = f"""
 SELECT run_date, run_time, strptime(CAST(run_date AS VARCHAR) || lpad(CAST(run_time AS VARCHAR), 6, '0'), '%Y%m%d%H%M%S') AS last_run
 FROM fx_job_history WHERE job_name = '{JOB}' AND step_id = 0 AND run_status = 1

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from grantledger.functions.labels import FIXED_SERVER_ROLES, SECURABLE_CLASSES
 from grantledger.functions.times import in_alert_window, run_timestamp, stamp, stamp_text
-from grantledger.operators import coverage, databases, diff, digests, groups, instance, lookup
+from grantledger.operators import (
+    asof, coverage, databases, diff, digests, groups, instance, lookup, nested_roles, renames,
+)
 from grantledger.schemas import DOMAINS, GROUPS, INSTANCE, OBJECTS, POLL, PRINCIPALS, ROLES, Domain
 from grantledger.session import settle
 from grantledger.sources import runs
@@ -241,6 +243,41 @@ def batch(v: Views, names=O.ASKED, logins: str = "fx_user_logins") -> lookup.Per
     return lookup.permissions_of(asked, LiveViews(v), known)
 
 
+def nested(v: Views, of: Callable) -> DataFrame:
+    asked = v.fx_user_logins.filter(F.col("name").isin(*O.ASKED)).select("name")
+    return of(asked, LiveViews(v))
+
+
+# lookups at moments of the past
+
+def past(v: Views) -> lookup.Live:
+    """When the rows of two snapshots were held, from live tables and histories after both."""
+    def span(domain: Domain) -> DataFrame:
+        before, now = (v.prev_user_groups, v.fx_user_groups) if domain is GROUPS else snapshots(v, domain)
+        before = before if POLL in before.columns else _polled(before)
+        live = settle(before.select(*domain.values, POLL).distinct(), "live")
+        delta = settle(diff.changes(live, now, domain), "changes")
+        dropped = None
+        if domain is INSTANCE:
+            dropped = diff.dropped_principals(delta, now, O.AS_OF).select(*PRINCIPALS.values)
+        history = delta.filter((F.col("change") == "removed") & F.col("unrecorded"))
+        return asof.validity(
+            diff.next_live(live, delta, domain, O.AS_OF, dropped),
+            history.select(*domain.values, stamp(O.AS_OF).alias(POLL), diff.FIRST_SEEN),
+            domain,
+        )
+
+    return lookup.Live(*[settle(span(domain), "validity") for domain in DOMAINS])
+
+
+def lookup_as_of(v: Views, part: str) -> DataFrame:
+    known = v.fx_user_logins.select("name").unionByName(v.fx_logins.select("name"))
+    moments = F.explode(F.array(*[stamp(at) for at in O.MOMENTS])).alias(asof.AT)
+    asked = known.filter(F.col("name").isin(*O.ASKED, *O.ASKED_LOGINS)).select("name", moments)
+    rows = getattr(asof.permissions_at(asked, past(v), v.fx_user_logins), part)
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in (asof.AT, *asof.SPAN)})
+
+
 def answer(v: Views) -> DataFrame:
     """A whole answer for one principal: the rows of its four parts."""
     parts = lookup.permissions(O.USER, LiveViews(v), v.fx_user_logins)
@@ -349,6 +386,12 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
         for part in lookup.Permissions._fields
     },
     "lookup_batch_instance": lambda v: _plain_time(batch(v, O.ASKED_LOGINS, "fx_logins").instance),
+    "principals_changed": lambda v: renames.principal_changes(*snapshots(v, PRINCIPALS)),
+    "lookup_nested_roles": lambda v: nested(v, nested_roles.roles_of),
+    "lookup_nested_role_permissions": lambda v: _plain_time(nested(v, nested_roles.role_permissions_of)),
+    **{
+        f"lookup_as_of_{part}": lambda v, part=part: lookup_as_of(v, part) for part in lookup.Permissions._fields
+    },
     "audit_two_runs": audit_runs.summary,
     **{
         f"audit_live_{domain.name}": lambda v, domain=domain: _plain_time(audit_runs.live_rows(v, domain))
@@ -443,6 +486,13 @@ def oracle_sql() -> dict[str, str]:
         "lookup_summary": _sql(f"SELECT * FROM ({O.LOOKUP_SUMMARY}) t", O.LIVE),
         "lookup_answer": _sql(O.LOOKUP_ANSWER, O.LIVE),
         **{f"lookup_batch_{part}": _sql(sql, O.LIVE) for part, sql in O.LOOKUP_BATCH.items()},
+        "principals_changed": _sql(O.PRINCIPALS_CHANGED, {
+            "went": O.minus(PRINCIPALS, "prev_instance", "fx_instance"),
+            "came": O.minus(PRINCIPALS, "fx_instance", "prev_instance"),
+        }),
+        "lookup_nested_roles": _sql(O.LOOKUP_NESTED_ROLES, O.LIVE | O.ROLE_WALK),
+        "lookup_nested_role_permissions": _sql(O.LOOKUP_NESTED_ROLE_PERMISSIONS, O.LIVE | O.ROLE_WALK),
+        **{f"lookup_as_of_{part}": _sql(sql, O.past_steps()) for part, sql in O.LOOKUP_AS_OF.items()},
         "audit_two_runs": _sql(audit_runs.final(), audit_runs.steps(walk)),
         **{
             f"audit_live_{domain.name}": _sql(audit_runs.live_sql(domain), audit_runs.steps(walk))

@@ -91,6 +91,15 @@ JOIN fx_database_principals r ON r.principal_id = l.role_key AND r.database_name
 WHERE r.type_desc = 'DATABASE_ROLE' AND r.principal_id <> m.principal_id"""
 
 
+def _user_groups(shift: str) -> str:
+    key = _NEAR_SUPPLIER.format(step=11, width=7, shift=shift)
+    return f"""
+SELECT DISTINCT CAST(NULL AS STRING) AS sid, m.s_name AS PrincipalName, g.s_name AS ADGroupName,
+TIMESTAMP '2024-01-01 00:00:00' AS PollDate
+FROM (SELECT l_suppkey, {key} AS key FROM lineitem) l
+JOIN supplier m ON m.s_suppkey = l_suppkey JOIN supplier g ON g.s_suppkey = l.key AND g.s_suppkey <> m.s_suppkey"""
+
+
 def _database_permissions(state: str) -> str:
     return f"""
 SELECT r_name AS database_name, c.class, c.class_desc,
@@ -195,11 +204,8 @@ UNION ALL SELECT s_name, 'user', c_name FROM supplier JOIN customer ON c_custkey
         )
         + ") t"
     ),
-    "fx_user_groups": """
-SELECT DISTINCT CAST(NULL AS STRING) AS sid, m.s_name AS PrincipalName, g.s_name AS ADGroupName,
-TIMESTAMP '2024-01-01 00:00:00' AS PollDate
-FROM (SELECT l_suppkey, """ + _NEAR_SUPPLIER.format(step=11, width=7, shift=0) + """ AS key FROM lineitem) l
-JOIN supplier m ON m.s_suppkey = l_suppkey JOIN supplier g ON g.s_suppkey = l.key AND g.s_suppkey <> m.s_suppkey""",
+    "fx_user_groups": _user_groups("0"),
+    "prev_user_groups": _user_groups("CASE WHEN l_suppkey % 4 = 1 THEN 3 ELSE 0 END"),
     # a login whose sid is that of another database user
     "fx_user_logins": f"""
 SELECT {_USER_SID.format(k='(s_suppkey + 1)')} AS sid, s_name AS name FROM supplier""",
