@@ -83,34 +83,50 @@ def held(intervals: DataFrame, asks: DataFrame, on: list[str]) -> DataFrame:
     return joined.filter(began & (F.col(VALID_TO).isNull() | (F.col(AT) < F.col(VALID_TO))))
 
 
-def permissions_at(asks: DataFrame, past: Live, logins: DataFrame) -> Permissions:
-    """Effective permissions at given moments (`name`, `Moment`), in strict mode.
-
-    `past` are the four tables of `validity`. Groups and roles count as they
-    were at the moment. `logins`, which have no history, give today's sids. The
-    four parts show the interval in which a row was held.
-    """
+def identities_at(asks: DataFrame, past: Live) -> DataFrame:
+    """(Principal, Moment, PrincipalName): each asked `name` and `Moment` with itself and its groups of then."""
     asked = asks.select(F.col("name").alias(ASKED), AT).dropna().distinct()
     own = asked.select(ASKED, AT, F.col(ASKED).alias("PrincipalName"))
     in_groups = held(past.groups, own, ["PrincipalName"]).select(ASKED, AT, F.col("ADGroupName").alias("PrincipalName"))
-    who = settle(own.unionByName(in_groups.dropna()).distinct(), "identities")
+    return settle(own.unionByName(in_groups.dropna()).distinct(), "identities")
+
+
+def _shown(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    return rows.select(ASKED, AT, *[c for c in columns if c != POLL], *SPAN)
+
+
+def instance_at(who: DataFrame, past: Live) -> DataFrame:
+    return _shown(held(past.instance, who, ["PrincipalName"]), INSTANCE.values)
 
-    instance = held(past.instance, who, ["PrincipalName"])
-    roles = settle(held(past.roles, who, ["PrincipalName"]), "roles")
-    in_scope = ["ServerName", "Scope", "PrincipalName"]
-    names = roles.select(ASKED, AT, "ServerName", "Scope", F.col("DatabaseRole").alias("PrincipalName")).distinct()
-    through_roles = held(past.objects, names, in_scope)
 
+def roles_at(who: DataFrame, past: Live) -> DataFrame:
+    return _shown(held(past.roles, who, ["PrincipalName"]), ROLE_COLUMNS)
+
+
+def role_permissions_at(who: DataFrame, past: Live) -> DataFrame:
+    """Object permissions of the roles held at the moment, each role once for a principal and moment."""
+    names = roles_at(who, past).select(ASKED, AT, "ServerName", "Scope", F.col("DatabaseRole").alias("PrincipalName"))
+    names = settle(names.distinct(), "roles")
+    return _shown(held(past.objects, names, ["ServerName", "Scope", "PrincipalName"]), OBJECT_COLUMNS)
+
+
+def objects_at(who: DataFrame, past: Live, logins: DataFrame) -> DataFrame:
+    """Object permissions of the identities, or of the sid that the principal's login has today."""
     by_name = held(past.objects, who, ["PrincipalName"])
+    asked = who.select(ASKED, AT).distinct()
     sids = logins.select(F.col("name").alias(ASKED), "sid").dropna().distinct().join(asked, ASKED)
     by_sid = held(past.objects, sids, ["sid"]).join(who, [ASKED, AT, "PrincipalName"], "left_anti")
+    return _shown(by_name, OBJECT_COLUMNS).unionByName(_shown(by_sid, OBJECT_COLUMNS))
 
-    def shown(rows: DataFrame, columns) -> DataFrame:
-        return rows.select(ASKED, AT, *[c for c in columns if c != POLL], *SPAN)
 
+def permissions_at(asks: DataFrame, past: Live, logins: DataFrame) -> Permissions:
+    """Effective permissions at given moments (`name`, `Moment`), in strict mode.
+
+    `past` are the four tables of `validity`. Groups and roles count as they
+    were at the moment. `logins`, which have no history, give today's sids. The
+    four parts show the interval in which a row was held.
+    """
+    who = identities_at(asks, past)
     return Permissions(
-        shown(instance, INSTANCE.values),
-        shown(roles, ROLE_COLUMNS),
-        shown(through_roles, OBJECT_COLUMNS),
-        shown(by_name, OBJECT_COLUMNS).unionByName(shown(by_sid, OBJECT_COLUMNS)),
+        instance_at(who, past), roles_at(who, past), role_permissions_at(who, past), objects_at(who, past, logins)
     )

@@ -250,9 +250,14 @@ def nested(v: Views, of: Callable) -> DataFrame:
 
 # lookups at moments of the past
 
-def past(v: Views) -> lookup.Live:
-    """When the rows of two snapshots were held, from live tables and histories after both."""
-    def span(domain: Domain) -> DataFrame:
+class PastViews:
+    """When the rows of two snapshots were held, from live tables and histories after both; each domain when it is asked for."""
+
+    def __init__(self, v: Views) -> None:
+        self._v = v
+
+    def _span(self, domain: Domain) -> DataFrame:
+        v = self._v
         before, now = (v.prev_user_groups, v.fx_user_groups) if domain is GROUPS else snapshots(v, domain)
         before = before if POLL in before.columns else _polled(before)
         live = settle(before.select(*domain.values, POLL).distinct(), "live")
@@ -261,20 +266,38 @@ def past(v: Views) -> lookup.Live:
         if domain is INSTANCE:
             dropped = diff.dropped_principals(delta, now, O.AS_OF).select(*PRINCIPALS.values)
         history = delta.filter((F.col("change") == "removed") & F.col("unrecorded"))
-        return asof.validity(
+        spans = asof.validity(
             diff.next_live(live, delta, domain, O.AS_OF, dropped),
             history.select(*domain.values, stamp(O.AS_OF).alias(POLL), diff.FIRST_SEEN),
             domain,
         )
+        return settle(spans, "validity")
 
-    return lookup.Live(*[settle(span(domain), "validity") for domain in DOMAINS])
+    @cached_property
+    def instance(self) -> DataFrame:
+        return self._span(INSTANCE)
+
+    @cached_property
+    def groups(self) -> DataFrame:
+        return self._span(GROUPS)
+
+    @cached_property
+    def roles(self) -> DataFrame:
+        return self._span(ROLES)
+
+    @cached_property
+    def objects(self) -> DataFrame:
+        return self._span(OBJECTS)
 
 
 def lookup_as_of(v: Views, part: str) -> DataFrame:
     known = v.fx_user_logins.select("name").unionByName(v.fx_logins.select("name"))
     moments = F.explode(F.array(*[stamp(at) for at in O.MOMENTS])).alias(asof.AT)
     asked = known.filter(F.col("name").isin(*O.ASKED, *O.ASKED_LOGINS)).select("name", moments)
-    rows = getattr(asof.permissions_at(asked, past(v), v.fx_user_logins), part)
+    tables = PastViews(v)
+    who = asof.identities_at(asked, tables)
+    more = [v.fx_user_logins] if part == "objects" else []
+    rows = getattr(asof, f"{part}_at")(who, tables, *more)
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in (asof.AT, *asof.SPAN)})
 
 
