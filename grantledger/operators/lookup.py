@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
+from functools import cached_property, reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -68,6 +69,18 @@ def _having(table: DataFrame, column: str, rows: DataFrame) -> DataFrame:
     return table.filter(F.col(column).isin(values))
 
 
+def _of_either(objects: DataFrame, who: DataFrame, sids: DataFrame) -> DataFrame:
+    """Objects with the principal name of a row of `who` or the sid of a row of `sids`; one read of the objects."""
+    names, numbers = _listed(who, "PrincipalName"), _listed(sids, "sid")
+    if names is not None and numbers is not None:
+        return objects.filter(F.col("PrincipalName").isin(names) | F.col("sid").isin(numbers))
+    # both conditions of the OR as flags, so the objects are read once
+    flagged = objects.join(
+        who.select("PrincipalName").distinct().withColumn("by_name", F.lit(True)), "PrincipalName", "left"
+    ).join(sids.select("sid").distinct().withColumn("by_sid", F.lit(True)), "sid", "left")
+    return flagged.filter(F.col("by_name").isNotNull() | F.col("by_sid").isNotNull()).select(*objects.columns)
+
+
 def instance_part(who: DataFrame, live: Live) -> DataFrame:
     """Instance permissions of the identities."""
     return _having(live.instance, "PrincipalName", who).select(*INSTANCE_COLUMNS)
@@ -101,17 +114,7 @@ def objects_part(principal: str, who: DataFrame, live: Live, logins: DataFrame)
     sids = settle(
         logins.filter(F.col("name") == principal).select("sid").dropna().distinct(), "sids"
     )
-    names, numbers = _listed(who, "PrincipalName"), _listed(sids, "sid")
-    if names is not None and numbers is not None:
-        either = F.col("PrincipalName").isin(names) | F.col("sid").isin(numbers)
-        return live.objects.filter(either).select(*OBJECT_COLUMNS)
-    # both conditions of the OR as flags, so the objects are read once
-    flagged = live.objects.join(
-        who.withColumn("by_name", F.lit(True)), "PrincipalName", "left"
-    ).join(sids.withColumn("by_sid", F.lit(True)), "sid", "left")
-    return flagged.filter(
-        F.col("by_name").isNotNull() | F.col("by_sid").isNotNull()
-    ).select(*OBJECT_COLUMNS)
+    return _of_either(live.objects, who, sids).select(*OBJECT_COLUMNS)
 
 
 def permissions(
@@ -147,39 +150,67 @@ def identities_of(principals: DataFrame, groups: DataFrame) -> DataFrame:
     return own.unionByName(in_groups.dropna()).distinct()
 
 
-def permissions_of(principals: DataFrame, live: Live, logins: DataFrame) -> Permissions:
+def _met(table: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """`spread_join` of the rows of `table` that have a principal of the settled `right`.
+
+    These rows alone are written, so that hot keys are counted and joined
+    without a further reading of the whole table.
+    """
+    return spread_join(settle(_having(table, "PrincipalName", right), "met"), right, on)
+
+
+class BatchPermissions:
+    """The four parts of the answers for several principals, each found when it is first asked for."""
+
+    def __init__(self, who: DataFrame, live: Live, logins: DataFrame) -> None:
+        self._who, self._live, self._logins = who, live, logins
+
+    def __iter__(self) -> Iterator[DataFrame]:
+        return (getattr(self, part) for part in Permissions._fields)
+
+    @cached_property
+    def instance(self) -> DataFrame:
+        rows = self._live.instance.select(*INSTANCE_COLUMNS)
+        return _met(rows, self._who, ["PrincipalName"]).select(ASKED, *INSTANCE_COLUMNS)
+
+    @cached_property
+    def roles(self) -> DataFrame:
+        rows = self._live.roles.select(*ROLE_COLUMNS)
+        return _met(rows, self._who, ["PrincipalName"]).select(ASKED, *ROLE_COLUMNS)
+
+    @cached_property
+    def role_permissions(self) -> DataFrame:
+        names = self.roles.select(ASKED, "ServerName", "Scope", F.col("DatabaseRole").alias("PrincipalName"))
+        names = settle(names.distinct(), "roles")
+        rows = self._live.objects.select(*OBJECT_COLUMNS)
+        return _met(rows, names, ["ServerName", "Scope", "PrincipalName"]).select(ASKED, *OBJECT_COLUMNS)
+
+    @cached_property
+    def objects(self) -> DataFrame:
+        who = self._who
+        sids = settle(
+            self._logins.select(F.col("name").alias(ASKED), "sid")
+            .join(who.select(ASKED).distinct(), ASKED, "left_semi")
+            .dropna()
+            .distinct(),
+            "sids",
+        )
+        rows = settle(_of_either(self._live.objects.select("sid", *OBJECT_COLUMNS), who, sids), "met")
+        by_name = spread_join(rows.select(*OBJECT_COLUMNS), who, ["PrincipalName"])
+        by_sid = spread_join(rows, sids, ["sid"]).join(who, [ASKED, "PrincipalName"], "left_anti")
+        columns = [ASKED, *OBJECT_COLUMNS]
+        return by_name.select(*columns).unionByName(by_sid.select(*columns))
+
+
+def permissions_of(principals: DataFrame, live: Live, logins: DataFrame) -> BatchPermissions:
     """Effective permissions of several principals (column `name`), in strict mode.
 
-    Same four parts with the asked principal as first column. Tables are the
-    left side of the spread joins, so a name or role holding a large share of
-    all rows is cut into slices.
+    Same four parts with the asked principal as first column. A table is read
+    once, for the parts that are asked for, and what it has of the identities
+    is the left side of the spread joins, so a name or role holding a large
+    share of all rows is cut into slices.
     """
-    who = settle(identities_of(principals, live.groups), "identities")
-    instance = spread_join(
-        live.instance.select(*INSTANCE_COLUMNS), who, ["PrincipalName"]
-    ).select(ASKED, *INSTANCE_COLUMNS)
-    held = spread_join(live.roles.select(*ROLE_COLUMNS), who, ["PrincipalName"])
-    roles = held.select(ASKED, *ROLE_COLUMNS)
-    role_names = held.select(
-        ASKED, "ServerName", "Scope", F.col("DatabaseRole").alias("PrincipalName")
-    ).distinct()
-    through_roles = spread_join(
-        live.objects.select(*OBJECT_COLUMNS), role_names, ["ServerName", "Scope", "PrincipalName"]
-    ).select(ASKED, *OBJECT_COLUMNS)
-
-    by_name = spread_join(live.objects.select(*OBJECT_COLUMNS), who, ["PrincipalName"])
-    sids = (
-        logins.select(F.col("name").alias(ASKED), "sid")
-        .join(who.select(ASKED).distinct(), ASKED, "left_semi")
-        .dropna()
-        .distinct()
-    )
-    by_sid = spread_join(live.objects.select("sid", *OBJECT_COLUMNS), sids, ["sid"]).join(
-        who, [ASKED, "PrincipalName"], "left_anti"
-    )
-    columns = [ASKED, *OBJECT_COLUMNS]
-    objects = by_name.select(*columns).unionByName(by_sid.select(*columns))
-    return Permissions(instance, roles, through_roles, objects)
+    return BatchPermissions(settle(identities_of(principals, live.groups), "identities"), live, logins)
 
 
 def summary(principals: DataFrame, live: Live, logins: DataFrame) -> DataFrame:

@@ -141,3 +141,36 @@ def test_names_reach_the_scan_of_a_recorded_state(spark, conf, tmp_path):
         live = [line for line in text.splitlines() if "FileScan" in line and "/live/" in line]
         assert len(live) == scans
         assert re.search(r"PushedFilters: \[[^\]]*(In|EqualTo)\(PrincipalName", live[0])
+
+
+def test_batch_parts_read_what_they_need_once(spark):
+    """A part of the answers for several principals runs its own table alone, and that once."""
+    _, state, logins = live_tables(spark, 1)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        def passed(batches):
+            for batch in batches:
+                reads.add(batch.num_rows)
+                yield batch
+
+        return rows.coalesce(1).mapInArrow(passed, rows.schema)
+
+    sizes = {part: rows.count() for part, rows in zip(state._fields, state)}
+    needs = {
+        "instance": ["instance"], "roles": ["roles"],
+        "role_permissions": ["roles", "objects"], "objects": ["objects"],
+    }
+    for part, tables_ in needs.items():
+        reads.value = 0
+        watched = state._replace(**{t: counted(getattr(state, t)) for t in ("instance", "roles", "objects")})
+        getattr(lookup.permissions_of(logins, watched, logins), part).collect()
+        assert reads.value == sum(sizes[t] for t in tables_), part
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_batch_of_more_names_than_literals(spark, seed, monkeypatch):
+    _, state, logins = live_tables(spark, seed)
+    few = [everything(part) for part in lookup.permissions_of(logins, state, logins)]
+    monkeypatch.setattr(lookup, "LITERALS", 1)
+    assert [everything(part) for part in lookup.permissions_of(logins, state, logins)] == few

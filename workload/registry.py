@@ -236,7 +236,7 @@ def lookup_objects(v: Views) -> DataFrame:
     return lookup.objects_part(O.USER, identities(v, O.USER), LiveViews(v), v.fx_user_logins)
 
 
-def batch(v: Views, names=O.ASKED, logins: str = "fx_user_logins") -> lookup.Permissions:
+def batch(v: Views, names=O.ASKED, logins: str = "fx_user_logins") -> lookup.BatchPermissions:
     """Answers for a given list of principals."""
     known = getattr(v, logins)
     asked = known.filter(F.col("name").isin(*names)).select("name")
