@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantledger.operators.diff import FIRST_SEEN
-from grantledger.operators.lookup import ASKED, OBJECT_COLUMNS, ROLE_COLUMNS, Live, Permissions
+from grantledger.operators.lookup import ASKED, OBJECT_COLUMNS, ROLE_COLUMNS, Live, Permissions, having
 from grantledger.operators.skew import spread_join
 from grantledger.schemas import INSTANCE, POLL, Domain
 from grantledger.session import settle
@@ -73,10 +73,11 @@ def held(intervals: DataFrame, asks: DataFrame, on: list[str]) -> DataFrame:
 
     The start belongs to an interval, the end does not. A NULL in `on` or a
     NULL moment matches nothing. Keys that hold many intervals are cut into
-    slices.
+    slices. `asks` is read several times, so it should be settled or cheap.
     """
     asks = asks.dropna(subset=[*on, AT])
-    wanted = intervals.join(asks.select(*on).distinct(), on, "left_semi")
+    # a short list of names becomes literals, which reach the tables below `validity`
+    wanted = having(intervals, on[-1], asks).join(asks.select(*on).distinct(), on, "left_semi")
     rows = settle(_placed(wanted), "intervals")
     joined = spread_join(rows, _asking(asks), [*on, *_NODE]).drop(*_NODE)
     began = F.col(VALID_FROM).isNull() | (F.col(VALID_FROM) <= F.col(AT))
@@ -85,7 +86,7 @@ def held(intervals: DataFrame, asks: DataFrame, on: list[str]) -> DataFrame:
 
 def identities_at(asks: DataFrame, past: Live) -> DataFrame:
     """(Principal, Moment, PrincipalName): each asked `name` and `Moment` with itself and its groups of then."""
-    asked = asks.select(F.col("name").alias(ASKED), AT).dropna().distinct()
+    asked = settle(asks.select(F.col("name").alias(ASKED), AT).dropna().distinct(), "asked")
     own = asked.select(ASKED, AT, F.col(ASKED).alias("PrincipalName"))
     in_groups = held(past.groups, own, ["PrincipalName"]).select(ASKED, AT, F.col("ADGroupName").alias("PrincipalName"))
     return settle(own.unionByName(in_groups.dropna()).distinct(), "identities")
@@ -114,7 +115,7 @@ def objects_at(who: DataFrame, past: Live, logins: DataFrame) -> DataFrame:
     """Object permissions of the identities, or of the sid that the principal's login has today."""
     by_name = held(past.objects, who, ["PrincipalName"])
     asked = who.select(ASKED, AT).distinct()
-    sids = logins.select(F.col("name").alias(ASKED), "sid").dropna().distinct().join(asked, ASKED)
+    sids = settle(logins.select(F.col("name").alias(ASKED), "sid").dropna().distinct().join(asked, ASKED), "sids")
     by_sid = held(past.objects, sids, ["sid"]).join(who, [ASKED, AT, "PrincipalName"], "left_anti")
     return _shown(by_name, OBJECT_COLUMNS).unionByName(_shown(by_sid, OBJECT_COLUMNS))
 

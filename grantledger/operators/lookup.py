@@ -57,7 +57,7 @@ def _listed(rows: DataFrame, column: str) -> list | None:
     return [row[0] for row in values] if len(values) <= LITERALS else None
 
 
-def _having(table: DataFrame, column: str, rows: DataFrame) -> DataFrame:
+def having(table: DataFrame, column: str, rows: DataFrame) -> DataFrame:
     """Rows of `table` whose `column` is among that of `rows`.
 
     A short list is a filter with literals, which reaches the scan: live files
@@ -83,14 +83,14 @@ def _of_either(objects: DataFrame, who: DataFrame, sids: DataFrame) -> DataFrame
 
 def instance_part(who: DataFrame, live: Live) -> DataFrame:
     """Instance permissions of the identities."""
-    return _having(live.instance, "PrincipalName", who).select(*INSTANCE_COLUMNS)
+    return having(live.instance, "PrincipalName", who).select(*INSTANCE_COLUMNS)
 
 
 def roles_part(
     who: DataFrame, live: Live, server_name: str | None = None, compat: bool = False
 ) -> DataFrame:
     """Database roles the identities hold; compat mode shows `server_name` on them."""
-    held = _having(live.roles, "PrincipalName", who).select(*ROLE_COLUMNS)
+    held = having(live.roles, "PrincipalName", who).select(*ROLE_COLUMNS)
     if compat and server_name is not None:
         held = held.withColumn("ServerName", F.lit(server_name))
     return held
@@ -103,10 +103,10 @@ def role_permissions_part(who: DataFrame, live: Live, compat: bool = False) -> D
     identity that holds the role.
     """
     key = ["Scope", "PrincipalName"] if compat else ["ServerName", "Scope", "PrincipalName"]
-    held = _having(live.roles, "PrincipalName", who)
+    held = having(live.roles, "PrincipalName", who)
     names = held.drop("PrincipalName").withColumnRenamed("DatabaseRole", "PrincipalName")
     names = settle(names.select(*key) if compat else names.select(*key).distinct(), "roles")
-    return _having(live.objects, "PrincipalName", names).join(names, key, "inner").select(*OBJECT_COLUMNS)
+    return having(live.objects, "PrincipalName", names).join(names, key, "inner").select(*OBJECT_COLUMNS)
 
 
 def objects_part(principal: str, who: DataFrame, live: Live, logins: DataFrame) -> DataFrame:
@@ -156,7 +156,7 @@ def _met(table: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     These rows alone are written, so that hot keys are counted and joined
     without a further reading of the whole table.
     """
-    return spread_join(settle(_having(table, "PrincipalName", right), "met"), right, on)
+    return spread_join(settle(having(table, "PrincipalName", right), "met"), right, on)
 
 
 class BatchPermissions:

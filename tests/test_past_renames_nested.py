@@ -177,3 +177,26 @@ def test_nested_roles_equal_a_walk(spark, seed):
     assert everything(nested_roles.roles_of(asked, state)) == Counter(expected)
     got = nested_roles.role_permissions_of(asked, state).select("Principal", "ServerName", "Scope", "PrincipalName")
     assert everything(got) == Counter(row[:4] for row in expected)
+
+
+def test_only_the_intervals_of_the_asked_are_grouped(spark, monkeypatch):
+    """The asked names are a filter below the grouping of `validity`, on live and history alike."""
+    spans = asof.validity(
+        live(spark, ROLES, [("s", "d", None, n, "SQL_USER", "r") for n in ("ann", "bob")]),
+        live(spark, ROLES, [("s", "d", None, "ann", "SQL_USER", "r2")], poll=DAY2),
+        ROLES,
+    )
+    asks = spark.createDataFrame([("ann", DAY1)], "PrincipalName string, Moment string")
+    asks = asks.withColumn("Moment", F.col("Moment").cast("timestamp"))
+    plans = []
+    settle = asof.settle
+
+    def noted(rows, label):
+        if label == "intervals":
+            plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return settle(rows, label)
+
+    monkeypatch.setattr(asof, "settle", noted)
+    assert asof.held(spans, asks, ["PrincipalName"]).count() == 2
+    below = plans[0].partition("Union")[2].rpartition("Aggregate [")[0]
+    assert below.count("= ann)") == 2, plans[0]
