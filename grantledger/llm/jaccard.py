@@ -1,4 +1,8 @@
-"""Exact Jaccard join of word n-grams: partitions of the universe and the pigeonhole principle."""
+"""Exact Jaccard join of word n-grams: partitions of the universe and the pigeonhole principle.
+
+At low limits, where segments are many and short, sets may be brought together
+by the rarest of their shingles instead (`prefixes`).
+"""
 
 from __future__ import annotations
 
@@ -30,6 +34,9 @@ SENT_ROWS = 1_000_000
 PARITY_LONGS = 8
 #: Rounds with drawn hubs go on while they link more than this share of the sets that are apart.
 STAR_SHARE = 0.1
+#: Shingles of the sets, drawn whole, in which common ones are counted. What is found common orders the shingles of a set
+#: and leaves none out, so it decides how much is compared and not what is linked.
+SAMPLE_SHINGLES = 2_000_000
 
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -191,6 +198,38 @@ def signatures(shingles: np.ndarray, sizes: np.ndarray, plan: Bands) -> tuple[np
     return np.concatenate(out_signature).view(np.int64), np.concatenate(out_row)
 
 
+def prefixes(
+    shingles: np.ndarray, sizes: np.ndarray, plan: Bands, common: np.ndarray, times: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, row of its set): linked sets share one at least, as with `signatures`.
+
+    All sets order their shingles alike, the `common` ones (sorted) last, by how
+    many `times` they were seen. A set of n shingles has at least `percent` % of
+    n in common with a linked one, so the first of what they share is among the
+    first n + 1 less that of both. These are the signatures, in the set's band
+    and in the next one if a set there may be linked with it.
+    """
+    level = np.zeros(len(shingles), np.uint64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        steps = np.minimum(1 + np.log2(np.maximum(times, 1)), 255).astype(np.uint64)
+        level = np.where(common[at] == shingles, steps[at], np.uint64(0))
+    order = (level << np.uint64(56)) | (mixed(shingles ^ np.uint64(0xC3C3)) >> np.uint64(8))
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    # equal ranks stay in the order of the shingles, which is that of all sets too
+    by_rank = np.lexsort((order, row))
+    place = np.arange(len(shingles)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    first = sizes - (plan.percent * sizes + 99) // 100 + 1
+    taken = by_rank[place < np.repeat(first, sizes)]
+    own, row = shingles[taken], row[taken]
+    band = np.searchsorted(plan.least, sizes, side="right") - 1
+    beyond = band + 1 < len(plan.least)
+    beyond &= 100 * sizes >= plan.percent * plan.least[np.minimum(band + 1, len(plan.least) - 1)]
+    further = beyond[row]
+    own, of = np.concatenate([own, own[further]]), np.concatenate([band[row], band[row[further]] + 1])
+    return mixed(own ^ mixed(of.astype(np.uint64))).view(np.int64), np.concatenate([row, row[further]])
+
+
 def _split(values: pa.Array, row: np.ndarray, count: int) -> pa.ListArray:
     """A list for each of `count` rows; `row` is sorted."""
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(count + 1)), pa.int32()), values)
@@ -212,14 +251,15 @@ def _sized(words: int, seed: int) -> Callable:
     return sized
 
 
-def _signed(words: int, plan: Bands, seed: int) -> Callable:
+def _signed(words: int, plan: Bands, seed: int, common: tuple[np.ndarray, np.ndarray] | None = None) -> Callable:
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             shingles, sizes = shingle_sets(batch.column("text"), words)
             node = nodes(shingles, sizes, seed)
-            signature, row = signatures(shingles, sizes, plan)
+            made = signatures(shingles, sizes, plan) if common is None else prefixes(shingles, sizes, plan, *common)
+            signature, row = made
             # of a batch, one row for each signature goes to the shuffle; the others join that row's node here
             order = np.lexsort((node[row], signature))
             signature, own = signature[order], node[row][order]
@@ -272,8 +312,8 @@ def _may_link(percent: int) -> Column:
 class _Linker:
     """The rounds of one join: candidate pairs in, verified links and their components out."""
 
-    def __init__(self, docs: DataFrame, words: int, percent: int) -> None:
-        self.percent, self.words = percent, words
+    def __init__(self, docs: DataFrame, words: int, percent: int, by_prefix: bool = False) -> None:
+        self.percent, self.words, self.by_prefix = percent, words, by_prefix
         bounded_batches(docs.sparkSession)
         self.docs = docs.select("doc_id", "text").withColumns(
             {"__k": F.xxhash64("doc_id", "text"), "__k2": F.xxhash64(F.lit(1), "text", "doc_id")}
@@ -307,6 +347,19 @@ class _Linker:
         rows = self.sets.groupBy(step).agg(F.max("n").alias("n"), F.count("*").alias("count")).collect()
         return {r.n: r["count"] for r in rows}
 
+    def _common(self) -> tuple[np.ndarray, np.ndarray]:
+        """Shingles of several drawn sets, sorted, and of how many; those of less than a thousandth are left out."""
+        total = self.sets.agg(F.sum("n")).first()[0] or 0
+        drawn = self.sets.where(F.pmod(F.xxhash64("node"), F.lit(max(-(-total // SAMPLE_SHINGLES), 1))) == 0)
+        drawn = settle(drawn.select("node"), "drawn")
+        least = max(3, drawn.count() // 1000)
+        seen = self.shingles(drawn).select(F.explode("shingles").alias("shingle")).groupBy("shingle").count()
+        # a thousand times the shingles of a set at most
+        rows = seen.where(F.col("count") >= least).toArrow()
+        shingle = rows["shingle"].to_numpy().view(np.uint64)
+        order = np.argsort(shingle)
+        return shingle[order], rows["count"].to_numpy()[order]
+
     def shared_signatures(self, plan: Bands | None = None) -> DataFrame:
         """(`signature`, `node`, `hub`) for all signatures of several different sets; the hub is one of them.
 
@@ -314,10 +367,8 @@ class _Linker:
         texts, so a signature that a third of all sets have stays small.
         """
         plan = plan or plan_bands(self._band_sizes(), self.percent)
-        rows = settle(
-            self.docs.select("text").mapInArrow(_signed(self.words, plan, self.seed), "signature long, node long, lead long"),
-            "signatures",
-        )
+        signed = _signed(self.words, plan, self.seed, self._common() if self.by_prefix else None)
+        rows = settle(self.docs.select("text").mapInArrow(signed, "signature long, node long, lead long"), "signatures")
         # one shuffle serves both the hubs and the join with them; with a row for each batch
         # at most, no signature has many
         led = rows.where("lead is null").select("signature", "node").repartition(
@@ -355,8 +406,10 @@ class _Linker:
         return made.dropDuplicates(["node"]) if self.repeated else made
 
     def verified(self, pairs: DataFrame, shingles: DataFrame) -> DataFrame:
-        for side in ("a", "b"):
-            of = shingles.select(F.col("node").alias(side), F.col("shingles").alias(f"of_{side}"))
+        # rounds before have left shingles that these pairs do not ask for
+        asked = shingles.join(_sent(pairs.select(F.col("b").alias("node")).distinct()), "node", "left_semi")
+        for side, known in (("a", shingles), ("b", asked)):
+            of = known.select(F.col("node").alias(side), F.col("shingles").alias(f"of_{side}"))
             pairs = pairs.join(of, side)
         both = F.size(F.array_intersect("of_a", "of_b"))
         near = (100 + self.percent) * both >= self.percent * (F.col("n_a") + F.col("n_b"))
@@ -442,7 +495,13 @@ class _Linker:
 
     def _rest(self, shared: DataFrame, found: DataFrame | None, tried: DataFrame | None, number: int) -> DataFrame:
         """All pairs of different components that share a signature, meet the bounds and were not compared yet."""
-        rows = settle(self._apart(shared, found).join(self.sets.drop("__of"), "node"), "sets-apart")
+        apart = self._apart(shared, found)
+        # signatures of the same sets, as a family has many, list the same pairs: one of them stays
+        numbers = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(f"__{seed}") for seed in (0, 1)]
+        groups = apart.groupBy("signature").agg(F.count("*").alias("__size"), *numbers)
+        one = groups.groupBy("__size", "__0", "__1").agg(F.min("signature").alias("signature")).select("signature")
+        rows = apart.join(one, "signature", "left_semi").join(self.sets.drop("__of"), "node")
+        rows = settle(rows, "sets-apart")
 
         def side(name: str) -> DataFrame:
             columns = {"n": "n", "parity": "parity", "component": "c"}
@@ -455,7 +514,9 @@ class _Linker:
         return self._untried(both.select("a", "b", "n_a", "n_b").distinct(), tried)
 
 
-def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, plan: Bands | None = None) -> DataFrame:
+def link(
+    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, plan: Bands | None = None, by_prefix: bool = False
+) -> DataFrame:
     """One row for each row of `docs`: `doc_id`, `n_shingles`, `node`, `component_id`, `leads`, `__k`, `__k2`.
 
     `node` is the same for equal sets of shingles, `component_id` the least id
@@ -465,8 +526,12 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, plan: Band
     A null or empty text has no shingles and no link. Null ids count last; a
     component of null ids only has a null id. Repeated rows are linked. An
     empty table gives an empty table. Only `doc_id` and `text` are read.
+
+    `by_prefix` brings sets together by their rarest shingles in place of
+    segments, with the same result: at 80 % a set then has a signature for each
+    fifth shingle, where segments make several for each one.
     """
-    linker = _Linker(docs, words, percent)
+    linker = _Linker(docs, words, percent, by_prefix)
     found = linker.labels(plan)
     rows = linker.members.drop("parity").join(found, "node", "left")
     rows = rows.withColumn("component", F.coalesce("component", "node"))
@@ -486,10 +551,10 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, plan: Band
     )
 
 
-def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, by_prefix: bool = False) -> DataFrame:
     """`docs` with one row of each component: the leading one."""
     dropped = settle(
-        link(docs, words, percent).where("not leads").select("__k", "__k2").distinct(), "dropped"
+        link(docs, words, percent, by_prefix=by_prefix).where("not leads").select("__k", "__k2").distinct(), "dropped"
     )
     keyed = docs.withColumns(
         {"__k": F.xxhash64("doc_id", "text"), "__k2": F.xxhash64(F.lit(1), "text", "doc_id")}

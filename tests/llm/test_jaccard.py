@@ -118,6 +118,39 @@ def test_other_limits(docs_of):
     assert got == {doc: found for (doc, _), found in plain(rows, 5, 80).items()}
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_one_of_few_prefixes(percent):
+    """A set has a prefix for each shingle it may lose, in two bands at most, whatever is common."""
+    rng = np.random.default_rng(percent)
+    pool = rng.integers(0, 1 << 63, 400).astype(np.uint64)
+    common, times = np.unique(pool[:200]), np.arange(200)
+    plan = J.plan_bands({3000: 1}, percent)
+    linked = 0
+    for _ in range(200):
+        size = int(rng.choice([1, 2, 4, 5, 9, 10, 19, 40, 200, 390]))
+        a = rng.choice(pool, size, replace=False)
+        lost = rng.integers(0, max(size * (100 - percent) // 100, 1) + 1)
+        b = np.concatenate([a[lost:], rng.integers(0, 1 << 63, rng.integers(0, 2)).astype(np.uint64)])
+        sets = [np.unique(a), np.unique(b)]
+        both = len(np.intersect1d(*sets))
+        sizes = np.array([len(s) for s in sets])
+        signature, row = J.prefixes(np.concatenate(sets), sizes, plan, common, times)
+        most = sizes * (100 - percent) // 100 + 1
+        assert (np.bincount(row, minlength=2) <= 2 * most).all()
+        if both and 100 * both >= percent * (sizes.sum() - both):
+            linked += 1
+            assert set(signature[row == 0]) & set(signature[row == 1])
+    assert linked > 50
+
+
+@pytest.mark.parametrize("limits", [(5, 80), (3, 90), (1, 70)])
+def test_prefixes_find_all_links(docs_of, limits):
+    rows = families(13, most=150) + [(10**7 + i, "the " * (20 + i) + "the end") for i in range(8)]
+    docs = docs_of(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.link(docs, *limits, by_prefix=True).collect()}
+    assert got == {doc: found for (doc, _), found in plain(rows, *limits).items()}
+
+
 def test_parities_never_overstate_and_rarely_hide():
     """Sets that differ in six shingles of some fifty, where five may: hardly any pair gets through both sketches."""
     rng = np.random.default_rng(1)
