@@ -3,9 +3,9 @@
 Links are (child, parent). Groups without a link in or out are peeled off first,
 which is all of it in a directory without cycles. What is left is coloured in
 both directions: every group learns the least group it reaches and the least one
-that reaches it, least by a hash that each round seeds anew. Where both are the
-same group, the component of that group is found; a link between groups that
-differ in either cannot lie on a cycle and is cut.
+that reaches it. Groups go by numbers meanwhile, which are dealt anew for each
+colouring. Where both are the same group, the component of that group is found;
+a link between groups that differ in either cannot lie on a cycle and is cut.
 
 A round of colouring holds a few rows for each link, however long the cycles. A
 group also takes over what its present colours have learned, and what a group
@@ -17,7 +17,7 @@ one group in a round.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grantledger.session import settle
@@ -44,8 +44,19 @@ def _peeled(links: DataFrame) -> DataFrame:
     return links
 
 
-def _rank(name: str, seed: int) -> Column:
-    return F.struct(F.xxhash64(F.col(name), F.lit(seed)).alias("rank"), F.col(name).alias("name"))
+def _numbered(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(group, number), and the links by numbers."""
+    groups = links.select(F.col("child").alias("group")).union(links.select("parent")).distinct()
+    names = settle(groups.withColumn("number", F.monotonically_increasing_id()), "names")
+    for side in ("child", "parent"):
+        of = names.select(F.col("group").alias(side), F.col("number").alias(f"{side}_number"))
+        links = links.join(of, side)
+    return names, links.select(*[F.col(f"{side}_number").alias(side) for side in ("child", "parent")])
+
+
+def _dealt(frame: DataFrame, *columns: str) -> DataFrame:
+    """Other numbers in place of these; the hash of one long is a permutation, so different ones stay different."""
+    return frame.withColumns({c: F.xxhash64(c) for c in columns})
 
 
 def _offers(groups: DataFrame, links: DataFrame) -> DataFrame:
@@ -59,8 +70,8 @@ def _offers(groups: DataFrame, links: DataFrame) -> DataFrame:
     wanted = (
         asks(links, "child", "parent", "ahead")
         .unionByName(asks(links, "parent", "child", "behind"))
-        .unionByName(asks(groups, "group", "ahead.name", "ahead"))
-        .unionByName(asks(groups, "group", "behind.name", "behind"))
+        .unionByName(asks(groups, "group", "ahead", "ahead"))
+        .unionByName(asks(groups, "group", "behind", "behind"))
         .unionByName(asks(groups, "group", "up", "up"))
         .unionByName(asks(groups, "group", "down", "down"))
     )
@@ -74,12 +85,12 @@ def _offers(groups: DataFrame, links: DataFrame) -> DataFrame:
     return own.unionByName(taken, allowMissingColumns=True)
 
 
-def _coloured(links: DataFrame, seed: int) -> DataFrame:
+def _coloured(links: DataFrame) -> DataFrame:
     """(group, ahead, behind): the least group it reaches and the least that reaches it."""
-    ends = links.select(F.col("child").alias("group"), F.col("parent").alias("up"), F.lit(None).cast("string").alias("down"))
-    names = ends.union(links.select("parent", F.lit(None).cast("string"), "child"))
+    ends = links.select(F.col("child").alias("group"), F.col("parent").alias("up"), F.lit(None).cast("long").alias("down"))
+    names = ends.union(links.select("parent", F.lit(None).cast("long"), "child"))
     first = names.groupBy("group").agg(F.min("up").alias("up"), F.min("down").alias("down"))
-    groups = settle(first.select("*", *[_rank("group", seed).alias(c) for c in _COLOURS]), "colours")
+    groups = settle(first.select("*", *[F.col("group").alias(c) for c in _COLOURS]), "colours")
     while True:
         best = _offers(groups, links).groupBy("group").agg(
             *[F.min(c).alias(c) for c in _COLOURS],
@@ -100,11 +111,18 @@ def cyclic_components(links: DataFrame) -> DataFrame:
     itself and links with a NULL are no cycle; repeated links count once.
     """
     links = _peeled(links.select("child", "parent").filter(F.col("child") != F.col("parent")).distinct())
+    if links.isEmpty():
+        return links.select(F.col("child").alias("group"), F.col("child").alias("component"))
+    names, links = _numbered(links)
     parts: DataFrame | None = None
-    seed = 0
     while not links.isEmpty():
-        groups = _coloured(links, seed)
-        done = groups.filter(F.col("ahead") == F.col("behind")).select("group", F.col("ahead.name").alias("component"))
+        names, links = _dealt(names, "number"), settle(_dealt(links, "child", "parent"), "links")
+        if parts is not None:
+            parts = _dealt(parts, "number", "component")
+        groups = _coloured(links)
+        done = groups.filter(F.col("ahead") == F.col("behind")).select(
+            F.col("group").alias("number"), F.col("ahead").alias("component")
+        )
         parts = done if parts is None else parts.unionByName(done)
         open_ = groups.filter(F.col("ahead") != F.col("behind"))
         sides = [
@@ -115,9 +133,7 @@ def cyclic_components(links: DataFrame) -> DataFrame:
             (F.col("child_ahead") == F.col("parent_ahead")) & (F.col("child_behind") == F.col("parent_behind"))
         )
         links = _peeled(kept.select("child", "parent"))
-        seed += 1
-    if parts is None:
-        return links.select(F.col("child").alias("group"), F.col("child").alias("component"))
+    parts = settle(parts.join(names, "number").select("group", "component"), "parts")
     named = parts.groupBy("component").agg(F.min("group").alias("least"), F.count(F.lit(1)).alias("size"))
     return settle(
         parts.join(named.filter("size > 1"), "component").select("group", F.col("least").alias("component")),

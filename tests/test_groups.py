@@ -138,6 +138,24 @@ def test_components_of_random_graphs(spark, seed):
     assert got == brute_components(pairs, set(names))
 
 
+def test_colours_are_numbers(spark, monkeypatch):
+    """Names are looked up before and after the rounds alone; several colourings find rings linked to each other."""
+    kinds, plain = [], condense.settle
+
+    def noted(df, label):
+        if label == "colours":
+            kinds.append({f.dataType.simpleString() for f in df.schema})
+        return plain(df, label)
+
+    monkeypatch.setattr(condense, "settle", noted)
+    rings = [[f"a rather long name of a group {r} {i}" for i in range(4)] for r in range(8)]
+    pairs = [(a, b) for ring in rings for a, b in zip(ring, ring[1:] + ring[:1], strict=True)]
+    pairs += [(one[1], other[2]) for one, other in zip(rings, rings[1:], strict=False)]
+    got = {r.group: r.component for r in condense.cyclic_components(spark.createDataFrame(pairs, "child string, parent string")).collect()}
+    assert got == {name: ring[0] for ring in rings for name in ring}
+    assert kinds and set().union(*kinds) <= {"bigint", "boolean"}
+
+
 def test_components_without_links(spark):
     assert condense.cyclic_components(spark.createDataFrame([], "child string, parent string")).isEmpty()
     alone = groups.components(spark.createDataFrame([("u", "user", "top"), ("top", "group", "top")], EDGE))
