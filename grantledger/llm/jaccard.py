@@ -32,6 +32,9 @@ BAND_RATIO = 1.5
 SENT_ROWS = 1_000_000
 #: Numbers of 64 parities in a sketch; a set has two sketches.
 PARITY_LONGS = 8
+#: Parities for each shingle of a set, at least, in the sketch by which pairs are sieved before their shingles are compared.
+#: It follows the size, as a sketch of fixed length is full with large sets and sieves none of their pairs.
+SIEVE_PARITIES = 2
 #: Rounds with drawn hubs go on while they link more than this share of the sets that are apart.
 STAR_SHARE = 0.1
 #: Shingles of the sets, drawn whole, in which common ones are counted. What is found common orders the shingles of a set
@@ -157,6 +160,21 @@ def parities(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def sieves(shingles: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parities of each set one set after another, and how many numbers of 64 each set has: a power of two.
+
+    Parities go by the low bits of the shingles, so the two halves of a sketch,
+    combined by exclusive or, are the same set's sketch of half the length.
+    """
+    wanted = np.maximum(SIEVE_PARITIES * sizes, 64).astype(np.float64)
+    longs = (1 << (np.ceil(np.log2(wanted)).astype(np.int64) - 6)).astype(np.int64)
+    out = np.zeros(int(longs.sum()), np.uint64)
+    place = shingles & np.repeat((longs * 64 - 1).astype(np.uint64), sizes)
+    at = np.repeat(np.cumsum(longs) - longs, sizes) + (place >> np.uint64(6)).astype(np.int64)
+    np.bitwise_xor.at(out, at, np.uint64(1) << (place & np.uint64(63)))
+    return out.view(np.int64), longs
+
+
 def signatures(shingles: np.ndarray, sizes: np.ndarray, plan: Bands) -> tuple[np.ndarray, np.ndarray]:
     """(signature, row of its set): linked sets share one at least.
 
@@ -286,8 +304,11 @@ def _shingled(words: int) -> Callable:
                 lists = pa.LargeListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(sizes)])), pa.array(shingles.view(np.int64))
                 )
+                parity, longs = sieves(shingles, sizes)
+                sketch = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(longs)])), pa.array(parity))
+                kind = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("node"), lists.cast(pa.list_(pa.int64()))], names=["node", "shingles"]
+                    [batch.column("node"), lists.cast(kind), sketch.cast(kind)], names=["node", "shingles", "sieve"]
                 )
 
     return shingled
@@ -309,6 +330,22 @@ def _may_link(percent: int) -> Column:
     return bounds
 
 
+def _unlike(a: Column, b: Column) -> Column:
+    """In how many parities two sketches of `sieves` differ; the longer one is folded once if it is twice as long.
+
+    0, which sieves nothing, where that does not make them equally long.
+    """
+
+    def folded(sketch: Column, other: Column) -> Column:
+        half = F.size(other)
+        once = F.zip_with(F.slice(sketch, 1, half), F.slice(sketch, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(sketch) == 2 * half, once).otherwise(sketch)
+
+    one, other = folded(a, b), folded(b, a)
+    both = F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.when(F.size(one) == F.size(other), F.aggregate(both, F.lit(0), lambda total, n: total + n)).otherwise(0)
+
+
 class _Linker:
     """The rounds of one join: candidate pairs in, verified links and their components out."""
 
@@ -400,16 +437,30 @@ class _Linker:
         """`node`, `shingles` of the wanted nodes, computed again from one text of each."""
         of = settle(self.sets.join(wanted, "node", "left_semi").select("node", "__of.__k", "__of.__k2"), "wanted")
         texts = self.docs.join(_sent(of), ["__k", "__k2"]).select("node", "text")
-        made = texts.mapInArrow(_shingled(self.words), "node long, shingles array<bigint>")
+        made = texts.mapInArrow(_shingled(self.words), "node long, shingles array<bigint>, sieve array<bigint>")
         made = settle(made, "shingles")
         # one text was chosen for each node; only rows repeated in the input come twice
         return made.dropDuplicates(["node"]) if self.repeated else made
 
+    def sieved(self, pairs: DataFrame, shingles: DataFrame) -> DataFrame:
+        """The pairs that may be linked by sketches as long as their sets; none that is linked is left out.
+
+        Two sets differ in at least as many shingles as parities.
+        """
+        for side in ("a", "b"):
+            of = shingles.select(F.col("node").alias(side), F.col("sieve").alias(f"sieve_{side}"))
+            pairs = pairs.join(of, side)
+        bound = (100 + self.percent) * _unlike(F.col("sieve_a"), F.col("sieve_b"))
+        return pairs.where(bound <= (100 - self.percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b", "n_a", "n_b")
+
     def verified(self, pairs: DataFrame, shingles: DataFrame) -> DataFrame:
+        # a pair takes whole sets through a shuffle, so only pairs that are left by then do
+        pairs = settle(self.sieved(pairs, shingles), "sieved")
+        release(self.docs.sparkSession)
         # rounds before have left shingles that these pairs do not ask for
-        asked = shingles.join(_sent(pairs.select(F.col("b").alias("node")).distinct()), "node", "left_semi")
-        for side, known in (("a", shingles), ("b", asked)):
-            of = known.select(F.col("node").alias(side), F.col("shingles").alias(f"of_{side}"))
+        for side in ("a", "b"):
+            asked = shingles.join(_sent(pairs.select(F.col(side).alias("node")).distinct()), "node", "left_semi")
+            of = asked.select(F.col("node").alias(side), F.col("shingles").alias(f"of_{side}"))
             pairs = pairs.join(of, side)
         both = F.size(F.array_intersect("of_a", "of_b"))
         near = (100 + self.percent) * both >= self.percent * (F.col("n_a") + F.col("n_b"))

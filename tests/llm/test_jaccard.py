@@ -168,6 +168,48 @@ def test_parities_never_overstate_and_rarely_hide():
     assert hidden <= 0.005 * 300 * 299 / 2
 
 
+def test_large_sets_far_beyond_the_limit_are_sieved_before_their_shingles_meet(docs_of):
+    """Sketches of fixed length let them all through, and each pair took a whole set through a shuffle."""
+    def copy(doc, changed):
+        return " ".join(f"y{doc}_{i}" if i < changed else f"w{i}" for i in range(3000))
+
+    # of 2,998 shingles; at 80 % some 333 changed in one of two may be
+    changed = {0: 0, 1: 100, 2: 320, 3: 340, 4: 900, 5: 1500, 6: 2998}
+    docs = docs_of([(doc, copy(doc, n)) for doc, n in changed.items()])
+    linker = J._Linker(docs, 3, 80)
+    ids = {r.node: r.doc_id for r in linker.members.collect()}
+    ends = linker.sets.select("node")
+    pairs = ends.toDF("a").crossJoin(ends.toDF("b")).where("a < b")
+    pairs = J.settle(linker.bounded(pairs), "all-pairs")
+
+    def met(rows):
+        return {tuple(sorted((ids[r.a], ids[r.b]))) for r in rows.collect()}
+
+    shingles = linker.shingles(ends)
+    texts = {doc: frozenset(zip(*[copy(doc, n).split()[i:] for i in range(3)], strict=False)) for doc, n in changed.items()}
+    alike = {(i, j): len(texts[i] & texts[j]) / len(texts[i] | texts[j]) for i, j in itertools.combinations(texts, 2)}
+    linked = {pair for pair, share in alike.items() if share >= 0.8}
+    left = met(linker.sieved(pairs, shingles))
+    assert linked and linked <= left and not [pair for pair in left if alike[pair] < 0.7]
+    assert {(0, 4), (0, 5)} <= met(pairs)  # the fixed sketches do not tell these
+    assert met(linker.verified(pairs, shingles)) == linked
+
+
+def test_sieves_never_overstate_and_fold():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (0, 1, 31, 33, 64, 500, 520)]
+    sets.append(np.unique(np.concatenate([sets[-1][:500], rng.integers(0, 1 << 63, 20).astype(np.uint64)])))
+    found, longs = J.sieves(np.concatenate(sets), np.array([len(s) for s in sets]))
+    assert longs.tolist() == [1, 1, 1, 2, 2, 16, 32, 32] and len(found) == longs.sum()
+    each = np.split(found, np.cumsum(longs)[:-1])
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        one, other = sorted((each[i], each[j]), key=len)
+        while len(other) > len(one):
+            other = other[: len(other) // 2] ^ other[len(other) // 2 :]
+        unlike = int(np.unpackbits((one ^ other).view(np.uint8)).sum())
+        assert unlike <= len(np.setxor1d(sets[i], sets[j]))
+
+
 def test_sets_that_share_a_number_are_told_apart(docs_of, monkeypatch):
     made = J.nodes
     rows = [(i, f"some words of text {i // 2} and more") for i in range(12)]
