@@ -180,13 +180,14 @@ def apply_added(live: DataFrame, new: DataFrame, domain: Domain) -> DataFrame:
 
 
 def upsert_compat(
-    live: DataFrame, staging: DataFrame, as_of: datetime | str, domain: Domain = INSTANCE
+    live: DataFrame, staging: DataFrame, as_of: datetime | str, domain: Domain = INSTANCE, new: DataFrame | None = None
 ) -> DataFrame:
     """Live with every row of a new row's key overwritten, also those still valid, by the smallest new one.
 
-    Keys match with plain equality; the other new rows are inserted.
+    Keys match with plain equality; the other new rows are inserted. `new` holds
+    the rows of the snapshot that live lacks, where they are known.
     """
-    delta = added(live, staging, domain, as_of)
+    delta = added(live, staging, domain, as_of) if new is None else new
     pick = delta.groupBy(*domain.update_key).agg(
         F.min(F.struct(*domain.values, POLL)).alias("pick")
     )

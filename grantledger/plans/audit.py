@@ -170,18 +170,22 @@ class _CompatRun(_DomainRun):
 
     since: datetime | str | None = None
     deleted = False
+    #: New rows as one comparison found them along with the removed ones; None where live may have lost others since.
+    new: DataFrame | None = None
 
     def gather(self, catalogs: Catalogs, server_name: str | None, compat: bool) -> None:
         super().gather(catalogs, server_name, compat)
         self.live = self.live.select(*self.domain.values, POLL)
 
-    def _delete(self, kind: Domain, step: str) -> None:
-        gone = diff.removed(self.live, self.staging, kind, self.as_of, coverage=self.coverage)
-        recorded = self.record(kind, self.settled(step, gone))
+    def _delete(self, kind: Domain, step: str, gone: DataFrame) -> None:
+        recorded = self.record(kind, gone)
         if self.since is None:
             return
         columns = [*kind.values, POLL]
         history = self.state.history(kind, self.since).select(*columns)
+        if self.new is not None and not history.isEmpty():
+            # what other runs recorded may delete rows that the snapshot holds
+            self.new = None
         if recorded:
             history = history.unionByName(self.state.recorded_in(kind, self.run_id).select(*columns))
         after = diff.apply_removed(self.live, history, kind, True, self.since, self.coverage)
@@ -189,17 +193,32 @@ class _CompatRun(_DomainRun):
         self.deleted = True
 
     def removed(self) -> None:
-        self._delete(self.domain, "removed")
+        domain = self.domain
+        if {*domain.compat_match, *domain.compat_null_safe} != {*domain.values}:
+            # the deletion may take rows along that the snapshot holds
+            gone = diff.removed(self.live, self.staging, domain, self.as_of, coverage=self.coverage)
+            self._delete(domain, "removed", self.settled("removed", gone))
+            return
+        delta = self.settled("changes", diff.changes(self.live, self.staging, domain, coverage=self.coverage))
+        sides = {
+            change: delta.filter(F.col("change") == change).select(*domain.values, stamp(self.as_of).alias(POLL))
+            for change in ("added", "removed")
+        }
+        self.new = sides["added"]
+        self._delete(domain, "removed", sides["removed"])
 
     def dropped(self) -> None:
-        self._delete(PRINCIPALS, "dropped")
+        gone = diff.removed(self.live, self.staging, PRINCIPALS, self.as_of, coverage=self.coverage)
+        self._delete(PRINCIPALS, "dropped", self.settled("dropped", gone))
 
     def changed(self) -> None:
         domain, staging = self.domain, self.staging
         if domain is INSTANCE:
-            live = diff.upsert_compat(self.live, staging, self.as_of)
+            live = diff.upsert_compat(self.live, staging, self.as_of, new=self.new)
         else:
-            new = diff.added(self.live, staging, domain, self.as_of, self.coverage)
+            new = self.new
+            if new is None:
+                new = diff.added(self.live, staging, domain, self.as_of, self.coverage)
             live = diff.apply_added(self.live, new, domain)
         self.write_live(live)
         self.deleted = False
