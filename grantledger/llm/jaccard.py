@@ -35,8 +35,10 @@ PARITY_LONGS = 8
 #: Parities for each shingle of a set, at least, in the sketch by which pairs are sieved before their shingles are compared.
 #: It follows the size, as a sketch of fixed length is full with large sets and sieves none of their pairs.
 SIEVE_PARITIES = 2
-#: Rounds with drawn hubs go on while they link more than this share of the sets that are apart.
-STAR_SHARE = 0.1
+#: Rounds with drawn hubs go on while they link more than this share of the sets they compare, and more than so many sets:
+#: what is left to the pairs then is few sets, each with those that share a signature, however large their group is.
+STAR_SHARE = 0.05
+STAR_LEAST = 20
 #: Shingles of the sets, drawn whole, in which common ones are counted. What is found common orders the shingles of a set
 #: and leaves none out, so it decides how much is compared and not what is linked.
 SAMPLE_SHINGLES = 2_000_000
@@ -471,12 +473,14 @@ class _Linker:
 
         Rounds of comparisons, each only between different components. First
         each set is compared with the hub that it shares most signatures with;
-        then, where sets of a signature are still apart, with a hub drawn anew
-        in each round, as long as such comparisons link a share of the sets;
+        then, where sets of a signature are still apart, those outside its
+        largest component with a hub in it that is drawn anew in each round, as
+        long as such comparisons link a share of the sets compared;
         then all pairs that share a signature and are still apart. A large group
         of near copies is one component before pairs are listed.
         """
         shared = self.shared_signatures(plan)
+        self.still_apart = shared.select("signature", "node")
         found = tried = links = known = shingles = None
         number, candidates = 0, self._first
         while True:
@@ -503,7 +507,7 @@ class _Linker:
             if candidates == self._rest:
                 break
             number += 1
-            goes_on = number == 1 or linked > self.sets_apart * STAR_SHARE
+            goes_on = number == 1 or linked > max(compared * STAR_SHARE, STAR_LEAST)
             candidates = self._star if goes_on else self._rest
         if found is None:
             return self.sets.where("false").select("node", F.col("node").alias("component"))
@@ -518,24 +522,34 @@ class _Linker:
     def _first(self, shared: DataFrame, found: DataFrame | None, tried: DataFrame | None, number: int) -> DataFrame:
         return self._best(shared.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")))
 
-    def _apart(self, shared: DataFrame, found: DataFrame | None) -> DataFrame:
-        """(`signature`, `node`, `component`) of the signatures whose sets are not one component."""
-        rows = shared.select("signature", "node")
+    def _apart(self, found: DataFrame | None) -> DataFrame:
+        """(`signature`, `node`, `component`) of the signatures whose sets are not one component.
+
+        Components only grow, so each round looks at what the one before has left.
+        """
+        rows = self.still_apart
         if found is None:
             rows = rows.withColumn("component", F.col("node"))
         else:
             rows = rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         ends = rows.groupBy("signature").agg(F.min("component").alias("__a"), F.max("component").alias("__b"))
         ends = ends.where("__a < __b").select("signature")
-        return settle(rows.join(ends, "signature", "left_semi").distinct(), "apart")
+        apart = settle(rows.join(ends, "signature", "left_semi").distinct(), "apart")
+        self.still_apart = apart.select("signature", "node")
+        return apart
 
     def _star(self, shared: DataFrame, found: DataFrame | None, tried: DataFrame | None, number: int) -> DataFrame:
-        """Each set that is apart with a hub of another component; the hub of a signature is drawn by the round."""
-        apart = self._apart(shared, found)
-        self.sets_apart = apart.select("node").distinct().count()
-        drawn = F.struct(F.xxhash64(F.lit(number), "node"), "component", "node")
-        hubs = apart.groupBy("signature").agg(F.min(drawn).alias("hub"))
-        hubs = hubs.select("signature", F.col("hub.component").alias("__of"), F.col("hub.node").alias("b"))
+        """Each set that is apart with a hub of another component; the hub of a signature is drawn by the round.
+
+        It is drawn in the component that has most sets of the signature. One drawn among a few others would be
+        compared with all sets of that component, and link no more than itself.
+        """
+        apart = self._apart(found)
+        drawn = F.min(F.struct(F.xxhash64(F.lit(number), "node"), "node"))["node"]
+        parts = apart.groupBy("signature", "component").agg(F.count("*").alias("__n"), drawn.alias("b"))
+        largest = F.struct("__n", F.xxhash64(F.lit(number), "component"), "component")
+        hubs = parts.groupBy("signature").agg(F.max_by(F.struct("component", "b"), largest).alias("hub"))
+        hubs = hubs.select("signature", F.col("hub.component").alias("__of"), F.col("hub.b").alias("b"))
         stars = apart.join(hubs, "signature").where("component <> __of").select(F.col("node").alias("a"), "b")
         return self._untried(self._best(stars), tried)
 
@@ -546,7 +560,7 @@ class _Linker:
 
     def _rest(self, shared: DataFrame, found: DataFrame | None, tried: DataFrame | None, number: int) -> DataFrame:
         """All pairs of different components that share a signature, meet the bounds and were not compared yet."""
-        apart = self._apart(shared, found)
+        apart = self._apart(found)
         # signatures of the same sets, as a family has many, list the same pairs: one of them stays
         numbers = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(f"__{seed}") for seed in (0, 1)]
         groups = apart.groupBy("signature").agg(F.count("*").alias("__size"), *numbers)

@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from grantledger.llm import jaccard as J
 from tests.llm.conftest import ODD
@@ -263,3 +264,43 @@ def test_shingles_of_a_batch_match_single_texts():
     node = J.nodes(found, sizes)
     for i, j in itertools.combinations(range(len(texts)), 2):
         assert (node[i] == node[j]) == (shingles(texts[i]) == shingles(texts[j]))
+
+
+def test_a_group_that_is_few_of_the_sets_apart_is_one_component_before_pairs_are_listed(spark, monkeypatch):
+    """Half its pairs are linked; beside it are many sets that share a signature with one other, and no link."""
+    monkeypatch.setattr(J, "STAR_LEAST", 2, raising=False)
+    compared = []
+
+    class Linker(J._Linker):
+        def __init__(self):
+            self.docs, self.percent, self.by_prefix = spark.range(0), 80, False
+            self.sets = spark.range(3000).select(
+                F.col("id").alias("node"), F.lit(1).alias("n"), F.array_repeat(F.lit(0).cast("long"), 16).alias("parity"),
+                F.lit(None).alias("__of"),
+            )
+
+        def shared_signatures(self, plan=None):
+            # of a group of 200 sets 140 had one hub
+            group = spark.range(200).select(
+                F.lit(-1).cast("long").alias("signature"), F.col("id").alias("node"),
+                F.when(F.col("id") < 140, 0).otherwise(F.col("id")).alias("hub"),
+            )
+            others = spark.range(1000, 3000).select(
+                F.floor(F.col("id") / 2).alias("signature"), F.col("id").alias("node"), F.col("id").alias("hub")
+            )
+            return J.settle(group.union(others), "shared")
+
+        def bounded(self, pairs):
+            return pairs.where("a < 1000").withColumns({"n_a": F.lit(1), "n_b": F.lit(1)})
+
+        def shingles(self, wanted):
+            return wanted
+
+        def verified(self, pairs, shingles):
+            compared.append(pairs.count())
+            drawn = F.xxhash64(F.least("a", "b"), F.greatest("a", "b")) % 2 == 0
+            return pairs.where((F.col("a") < 1000) & (drawn | (F.least("a", "b") == 0))).select("a", "b")
+
+    found = Linker().labels()
+    assert [(r.component, r["count"]) for r in found.groupBy("component").count().collect()] == [(0, 200)]
+    assert len(compared) > 3 and compared[-1] < 1000 + 10 * 200 and sum(compared) < 2 * 2200
